@@ -6,7 +6,11 @@ Each ``opN_`` query is a thin layer: it reads whole tables, calls its operator a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .mixing import mixing_sql, with_copies
+from .packing import pack_documents
+from .simhash import simhash_components
 from .substring_dedup import substring_dedup
 
 
@@ -19,7 +23,28 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_components(_table(spark, sf_dir, "documents"), shingle_words=4, distance=4, seed=42)
+    return out.select("doc_id", "fingerprint", "component_id")
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = with_copies(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_repeat=3)
+    return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
+
+
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("word_bpe_49k.json"), max_tokens=2048)
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_source_mixing": op5_source_mixing,
+    "op10_pattern_packing": op10_pattern_packing,
+}
+ORACLES: dict[str, str] = {
+    "op5_source_mixing": mixing_sql(),
 }
-ORACLES: dict[str, str] = {}
