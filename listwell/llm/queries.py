@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from .mixing import mixing_sql, with_copies
 from .packing import pack_documents
+from .quality import fit_quality_model, quality_report
 from .simhash import simhash_components
 from .substring_dedup import substring_dedup
+from .toxicity import fit_toxicity_model, toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, fit_toxicity_model(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_components(_table(spark, sf_dir, "documents"), shingle_words=4, distance=4, seed=42)
     return out.select("doc_id", "fingerprint", "component_id")
@@ -33,6 +40,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_report(docs, fit_quality_model(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,8 +53,10 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
 }
 ORACLES: dict[str, str] = {

@@ -71,11 +71,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * _power("down", len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def split_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _IS_SPACE) -> Words:
+    """``separator``: 256 flags of the bytes that part words."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(data, offsets, none, none, np.zeros(len(offsets), np.int64))
-    inside = ~_IS_SPACE[data]
+    inside = ~separator[data]
     breaks = np.zeros(len(data) + 1, bool)
     breaks[offsets] = True
     left, right = np.ones(len(data), bool), np.ones(len(data), bool)
@@ -127,5 +128,11 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return v
 
 
+def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of each text's values; ``first`` has one bound more than there are texts."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    return total[first[1:]] - total[first[:-1]]
+
+
 def pack(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
