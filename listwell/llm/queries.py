@@ -14,6 +14,7 @@ from .quality import fit_quality_model, quality_report
 from .simhash import simhash_components
 from .substring_dedup import substring_dedup
 from .toxicity import fit_toxicity_model, toxicity_scores
+from .warc import archived_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = archived_pages(_table(spark, sf_dir, "pages"), min_bytes=0)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_report(docs, fit_quality_model(docs, _table(spark, sf_dir, "labels")))
@@ -56,6 +62,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op8_warc_transactions": op8_warc_transactions,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
 }
