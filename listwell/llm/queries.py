@@ -8,11 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .mixing import mixing_sql, with_copies
+from .chat import rotate_perspectives, rotation_sql
+from .mixing import WORDS, mixing_sql, with_copies, word_count
 from .packing import pack_documents
 from .quality import fit_quality_model, quality_report
 from .simhash import simhash_components
+from .storage import scratch_path
 from .substring_dedup import substring_dedup
+from .token_rollup import TokenRollup, image, nothing
+from .topk import exact_top_k
 from .toxicity import fit_toxicity_model, toxicity_scores
 from .warc import archived_pages
 
@@ -21,6 +25,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rotate_perspectives(_table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select("conv_id", "speaker", "n_turns", "text", mask.alias("mask"), "n_trained")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(_table(spark, sf_dir, "documents"), min_words=13, with_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -41,6 +51,41 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10, scale=1024).select("query_id", "rank", "vec_id", "score")
+
+
+def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches and two replays: all documents come in; texts under 50 words are deleted; texts of 1,000 words or
+    more are recounted at one token for each 4 characters begun; a second tokenizer version comes in."""
+    docs = _table(spark, sf_dir, "documents").withColumn("words", word_count("text"))
+    rollup = TokenRollup(spark, scratch_path(spark, "rollup"))
+    v1 = image(tokenizer="words-v1", tokens=F.col("words"))
+    load = docs.select(nothing().alias("before"), v1.alias("after"))
+    short = docs.where("words < 50").select(v1.alias("before"), nothing().alias("after"))
+    recount = docs.where("words >= 1000").select(v1.alias("before"), image(tokenizer="words-v1", tokens=F.ceil(F.length("text") / 4)).alias("after"))
+    second = docs.select(nothing().alias("before"), image(tokenizer="bytes-v2", tokens=F.octet_length("text")).alias("after"))
+    for batch, changes in (("load", load), ("short", short), ("recount", recount), ("short", short), ("second", second), ("load", load)):
+        rollup.commit(batch, changes)
+    return rollup.totals()
+
+
+_ROLLUP_SQL = rf"""
+WITH d AS (SELECT source, lang, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0)::BIGINT AS w, coalesce(length(text), 0) AS c, coalesce(strlen(text), 0)::BIGINT AS b FROM documents)
+SELECT source, lang, 'words-v1' AS tokenizer, count(*) FILTER (WHERE w >= 50)::BIGINT AS n_docs,
+       coalesce(sum(CASE WHEN w >= 1000 THEN (c + 3) // 4 WHEN w >= 50 THEN w ELSE 0 END), 0)::BIGINT AS n_tokens FROM d GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'bytes-v2', count(*)::BIGINT, sum(b)::BIGINT FROM d GROUP BY source, lang"""
+
+_TOP_K_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, list_sum(list_transform(list_zip(q.v, e.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM e AS q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 10"""
+
+
 def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = archived_pages(_table(spark, sf_dir, "pages"), min_bytes=0)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
@@ -58,14 +103,20 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_perspective_rotation": op1_perspective_rotation,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op6_exact_top_k": op6_exact_top_k,
+    "op7_token_rollup": op7_token_rollup,
     "op8_warc_transactions": op8_warc_transactions,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
 }
 ORACLES: dict[str, str] = {
+    "op1_perspective_rotation": rotation_sql(),
     "op5_source_mixing": mixing_sql(),
+    "op6_exact_top_k": _TOP_K_SQL,
+    "op7_token_rollup": _ROLLUP_SQL,
 }
