@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .words import gram_hashes, mix, pack, sliding_min, split_words, text_slices
 
@@ -213,7 +215,7 @@ def _apply(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int,
     """Mark the covered words of one chunk's documents and render what is left."""
     kinds = {"id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_text": pa.string(), "removed": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "kept_sha256": pa.string()}
     if not table.num_rows:
-        return pa.table({k: pa.array([], t) for k, t in kinds.items()})
+        return pa.table({k: pa.array([], t) for k, t in kinds.items()} | {"rest": pa.array([], table.schema.field("rest").type)})
     ids, covers = _ids(table), {}
     if extra.num_rows:
         s = _Stretches(table, _shared_of(extra), min_words, anchor_words, shards)
@@ -242,14 +244,16 @@ def _apply(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int,
             spans = [{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2], strict=True)]
             words = [words[j] for j in np.flatnonzero(~gone)]
         kept = b" ".join(words)
-        for k, v in zip(kinds, (int(ids[i]), n, removed, kept.decode() if with_text else None, spans, hashlib.sha256(kept).hexdigest()), strict=True):
+        shown = None if not with_text else kept.decode() if removed else text and text.decode()
+        for k, v in zip(kinds, (int(ids[i]), n, removed, shown, spans, hashlib.sha256(kept).hexdigest()), strict=True):
             out[k].append(v)
-    return pa.table({k: pa.array(v, kinds[k]) for k, v in out.items()})
+    return pa.table({k: pa.array(v, kinds[k]) for k, v in out.items()} | {"rest": table.column("rest")})
 
 
-def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, anchor_words: int = 4, chunks: int | None = None, with_text: bool = True) -> DataFrame:
-    """One row per document: ``id_col``, ``n_words``, ``n_removed``, ``kept_text`` (kept words joined by one space), ``removed``
-    (word spans), ``kept_sha256``.
+def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, anchor_words: int = 4, chunks: int | None = None, with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``id_col``, ``n_words``, ``n_removed``, ``kept_text`` (the text itself where nothing goes, else the
+    kept words joined by one space), ``removed`` (word spans), ``kept_sha256`` (of the kept words joined by one space), and
+    ``rest``: a struct of the ``carry`` columns.
 
     ``chunks`` (default: the session's shuffle partitions) sets the number of chunks and of shards; a chunk is held by one
     task, so keep the text of a chunk below some 100 MB. Null and empty texts have no words. Rows with a null id are
@@ -262,20 +266,33 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     args = (min_words, anchor_words, n)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # a null id is later than any other and equal to itself: nothing is taken from it by order, see below
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("rest"))
     dealt = rows.where("id is not null").withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(n, "chunk")
     anchors = dealt.groupBy("chunk").applyInArrow(lambda t: _chunk_anchors(t, *args), "shard int, chunk int, anchors binary, several binary")
     shared = anchors.groupBy("shard").applyInArrow(_shared_anchors, "chunk int, shard int, blob binary").withColumn("answer", F.lit(False))
     stretches = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(lambda t, e: _chunk_stretches(t, e, *args), _STRETCH_SCHEMA)
     answers = stretches.groupBy("shard").applyInArrow(lambda t: _search_shard(t, min_words), "chunk int, shard int, blob binary").withColumn("answer", F.lit(True))
-    out = dealt.groupBy("chunk").cogroup(shared.unionByName(answers).groupBy("chunk")).applyInArrow(lambda t, e: _apply(t, e, *args, with_text), _RESULT_SCHEMA)
-    alone = rows.where("id is null").mapInArrow(lambda it: (_apply(pa.Table.from_batches([b]).append_column("chunk", pa.array([0] * b.num_rows, pa.int32())), pa.table({"x": []}), *args, with_text).set_column(0, "id", pa.nulls(b.num_rows, pa.int64())).combine_chunks().to_batches(max_chunksize=b.num_rows)[0] for b in _null_safe(it)), _RESULT_SCHEMA)
+    schema = StructType([*StructType.fromDDL(_RESULT_SCHEMA), rows.schema["rest"]])
+    out = dealt.groupBy("chunk").cogroup(shared.unionByName(answers).groupBy("chunk")).applyInArrow(lambda t, e: _apply(t, e, *args, with_text), schema)
+    alone = rows.where("id is null").mapInArrow(lambda it: _unmatched(it, *args, with_text), schema)
     return out.unionByName(alone).withColumnRenamed("id", id_col)
 
 
-def _null_safe(batches):
-    """Batches with rows, their null ids put to zero for rendering."""
+def _unmatched(batches: Iterator[pa.RecordBatch], *args) -> Iterator[pa.RecordBatch]:
+    """Rows with a null id, which nothing is compared with."""
     for b in batches:
         if b.num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int64)), b.column(1)], names=["id", "text"])
+            zero = pa.table([pa.array(np.zeros(b.num_rows, np.int64)), b.column(1), b.column(2)], names=["id", "text", "rest"])
+            yield from _apply(zero, pa.table({"none": []}), *args).set_column(0, "id", pa.nulls(b.num_rows, pa.int64())).to_batches()
+
+
+def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:
+    """``docs`` with repeated passages cut from the texts, columns in their order; ``length_col`` follows the new text.
+
+    Documents that lose all their words go; those that had none stay.
+    """
+    carry = tuple(c for c in docs.columns if c not in (id_col, text_col))
+    cut = substring_dedup(docs, id_col=id_col, text_col=text_col, carry=carry, **options).where("n_removed < n_words OR n_words = 0")
+    length = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col(f"rest.`{length_col}`")) if length_col in carry else None
+    value = {id_col: F.col(id_col), text_col: F.col("kept_text"), length_col: length}
+    return cut.select(*((value[c] if value.get(c) is not None else F.col(f"rest.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns))

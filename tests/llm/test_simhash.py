@@ -6,7 +6,7 @@ import xxhash
 
 from listwell.llm import simhash
 from listwell.llm.components import connected_components
-from listwell.llm.simhash import allocate, fingerprint, near_fingerprint_links, simhash_components
+from listwell.llm.simhash import allocate, fingerprint, near_fingerprint_links, one_of_each_group, simhash_components
 
 SF = "/root/testdata/sf0.01"
 
@@ -20,7 +20,7 @@ def brute_fp(text, k):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def brute_components(fps, d):
+def brute_components(fps, d, also=lambda a, b: True):
     parent = {i: i for i in fps}
 
     def find(x):
@@ -31,7 +31,7 @@ def brute_components(fps, d):
     ids = sorted(fps)
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
-            if (fps[a] ^ fps[b]).bit_count() <= d:
+            if (fps[a] ^ fps[b]).bit_count() <= d and also(a, b):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
@@ -39,7 +39,7 @@ def brute_components(fps, d):
 
 def components(spark, fps):
     rows = [(int(np.array([f], np.uint64).view(np.int64)[0]), i) for i, f in fps.items()]
-    found = connected_components(near_fingerprint_links(spark.createDataFrame(rows, "fp long, rep long"), 4))
+    found = connected_components(near_fingerprint_links(spark.createDataFrame(rows, "fp long, rep long").selectExpr("*", "0L as fp2"), 4))
     got = {r.node: r.component for r in found.collect()}
     return {i: got.get(i, i) for i in fps}
 
@@ -97,3 +97,14 @@ def test_large_bucket_and_chain(spark):
     ball = {100 + i: (1 << 63) | (1 << (i % 50)) | (1 << ((i * 7) % 50)) for i in range(200)}
     fps = {i: f for f, i in {f: i for i, f in reversed({**chain, **ball}.items())}.items()}
     assert components(spark, fps) == brute_components(fps, 4)
+
+
+def test_wide_distance_is_verified_over_both_fingerprints(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = {r.doc_id: fingerprint(r.text.encode(), 5) for r in docs.collect()}
+    second = {r.doc_id: fingerprint(r.text.encode(), 5, 43) for r in docs.collect()}
+    want = brute_components(first, 12, lambda a, b: (first[a] ^ first[b]).bit_count() + (second[a] ^ second[b]).bit_count() <= 22)
+    got = {r.doc_id: r.component_id for r in simhash_components(docs, distance=12, limit=22).collect()}
+    assert got == want
+    kept = {r.doc_id for r in one_of_each_group(docs, distance=12, limit=22).collect()}
+    assert kept == set(want.values())
