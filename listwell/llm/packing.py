@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .storage import written
 from .words import split_words, text_slices
 
-#: Distinct words whose ids a worker keeps; beyond, it starts anew.
-CACHE_WORDS = 400_000
+#: Distinct words whose ids a worker keeps, from one task to the next; beyond, it starts anew.
+CACHE_WORDS = 1_000_000
+_encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
@@ -87,7 +88,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, max_tokens: int = 2048, end
     schema = "id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordEncoder(tokenizer))
         for b in batches:
             for row, rows, data, offsets in text_slices(b.column(1)):
                 ids, first = encoder.encode(data, offsets)
