@@ -6,9 +6,11 @@ and round once; the price of a square metre is rounded to cents for each row bef
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.primitives import text_key
+
 MONEY, AREA = "decimal(12,2)", "decimal(8,2)"
 
 
@@ -38,3 +40,48 @@ def price_area_mart(silver: DataFrame, group: str = "district", price: str = "pr
         exact_mean(price_per_area("p", "a"), MONEY).alias("avg_price_per_m2"),
         exact_mean(F.col("a"), AREA).alias("avg_area_m2"),
     )
+
+
+def style_mart(silver: DataFrame, small_sample: int = 3) -> DataFrame:
+    """Listings by normalised style, renovation, and two booleans that may be null; groups under ``small_sample`` are marked."""
+    rows = silver.select(
+        text_key(F.col("style")).alias("style_norm"), text_key(F.col("renovation_style")).alias("renovation_style_norm"), "has_renovation", "has_furniture", F.col("price_rub").cast(MONEY).alias("p"), F.col("area_m2").cast(AREA).alias("a")
+    )
+    grouped = rows.groupBy("style_norm", "renovation_style_norm", "has_renovation", "has_furniture").agg(
+        F.count(F.lit(1)).alias("listing_count"), exact_mean(F.col("p"), MONEY).alias("avg_price_rub"), exact_median(F.col("p")).alias("median_price_rub"), exact_mean(F.col("a"), AREA).alias("avg_area_m2")
+    )
+    return grouped.withColumn("is_small_sample", F.col("listing_count") < small_sample)
+
+
+def daily_counts(rows: DataFrame, moment: str) -> DataFrame:
+    return rows.groupBy(F.to_date(moment).alias("load_date")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """Every day from the first to the last; no rows for none."""
+    bounds = days.agg(F.min("load_date").alias("first"), F.max("load_date").alias("last"))
+    return bounds.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("load_date"))
+
+
+def dynamics_mart(silver: DataFrame, moment: str = "_ingested_at") -> DataFrame:
+    """Listings added for each day without gaps, and their running total. The window holds one row a day."""
+    daily = daily_counts(silver.where(F.col(moment).isNotNull()), moment)
+    filled = calendar(daily).join(daily, "load_date", "left").select("load_date", F.coalesce("n", F.lit(0)).alias("listings_added"))
+    running = F.sum("listings_added").over(Window.orderBy("load_date").rowsBetween(Window.unboundedPreceding, 0))
+    return filled.withColumn("listings_added_cumulative", running)
+
+
+def large_group_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The exact median by rank instead of a map of values: for groups whose distinct values would not fit a task's memory.
+
+    Values are counted before anything is ordered, so repeated values cost one row; equal results to ``exact_median``.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*keys)
+    ranked = counts.withColumn("upto", F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(group))
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
+    pick = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col(value).cast("double")))
+    return ranked.groupBy(*keys).agg(((pick(low) + pick(high)) / 2).cast(MONEY).alias(f"median_{value}"))
+
+
+MARTS = {"mart_price_area_by_district": price_area_mart, "mart_style_renovation_furniture": style_mart, "mart_listing_dynamics": dynamics_mart}
