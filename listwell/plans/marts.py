@@ -20,8 +20,11 @@ def exact_mean(value: Column, kind: str) -> Column:
 
 
 def exact_median(value: Column, kind: str = MONEY) -> Column:
-    """Mean of the two middle values; nulls are ignored. Deterministic, unlike an approximate percentile."""
-    return F.percentile(value, 0.5).cast(kind)
+    """Mean of the two middle values, halves up; nulls are ignored. Deterministic, unlike an approximate percentile.
+
+    It is taken over whole cents, whose mean is exact as a double, so that no half cent is lost to binary fractions.
+    """
+    return (F.percentile((value.cast(MONEY) * 100).cast("bigint"), 0.5).cast("decimal(20,1)") / 100).cast(kind)
 
 
 def price_per_area(price: str = "price_rub", area: str = "area_m2") -> Column:
@@ -80,7 +83,7 @@ def large_group_median(rows: DataFrame, keys: list[str], value: str) -> DataFram
     group = Window.partitionBy(*keys)
     ranked = counts.withColumn("upto", F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(group))
     low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    pick = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col(value).cast("double")))
+    pick = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col(value).cast(MONEY)))
     return ranked.groupBy(*keys).agg(((pick(low) + pick(high)) / 2).cast(MONEY).alias(f"median_{value}"))
 
 

@@ -1,4 +1,8 @@
-"""Registered queries for the lakehouse operators, on the given tables, and the SQL that checks them."""
+"""Registered queries for the lakehouse operators, on the given tables, and the SQL that checks them.
+
+The tables stand in for listings: parts and line items for priced objects, events for an append-only log, customers for a
+source of files. Every query reads whole tables.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +11,405 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MONEY, _SMALL = "decimal(12,2)", "decimal(8,2)"
+from .functions import primitives as P
+from .functions.inference import infer_types
+from .functions.names import clean_names
+from .operators import rows as R
+from .operators.export import content_fingerprint, export_dataset, read_manifest
+from .operators.quarantine import registry, reject_rows
+from .operators.runlog import failed_runs, freshness, latest_status, stage_totals, stale_sources
+from .operators.schema import aligned, merged_schema
+from .operators.tables import VersionedTable
+from .plans.features import floor_ratio
+from .plans.lake import Lake
+from .plans.marts import MONEY, daily_counts, dynamics_mart, large_group_median, price_area_mart, price_per_area, style_mart
+from .storage import scratch_path
+
+SMALL = "decimal(8,2)"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as listings: price, area, two style texts and two flags."""
+    item = _table(spark, sf_dir, "lineitem")
+    return item.select(
+        F.concat_ws("-", "l_returnflag", "l_linestatus").alias("district"),
+        F.col("l_extendedprice").cast(MONEY).alias("price_rub"),
+        F.col("l_quantity").cast(SMALL).alias("area_m2"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("_ingested_at"),
+    )
+
+
+# -- marts ---------------------------------------------------------------------------------------------------------
+
+
 def mart_group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price and area mart, with parts by brand as the listings."""
-    from .plans.marts import price_area_mart
+    part = _table(spark, sf_dir, "part")
+    return price_area_mart(part.select(F.col("p_brand").alias("district"), F.col("p_retailprice").alias("price_rub"), F.col("p_size").alias("area_m2")))
+
+
+def mart_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mart over line items: few groups with many rows."""
+    return price_area_mart(_listings(spark, sf_dir))
+
+
+#: Exact in whole cents, halves up, for values that aren't negative.
+_RATIO = "(((200 * (p * 100)::BIGINT + (a * 100)::BIGINT) // nullif(2 * (a * 100)::BIGINT, 0))::DOUBLE / 100)::DECIMAL(12,2)"
+_MEDIAN = "(floor(quantile_cont((p * 100)::BIGINT::DOUBLE, 0.5) + 0.5) / 100)::DECIMAL(12,2)"
+
+
+def _summary_sql(rows: str) -> str:
+    mean = lambda v, n: f"(((2 * sum(({v} * 100)::BIGINT) + count({v})) // (2 * count({v})))::DOUBLE / 100)::DECIMAL({n},2)"
+    return f"""
+WITH b AS (SELECT k, p, a, {_RATIO} AS pm FROM ({rows}))
+SELECT coalesce(k, 'unknown') AS district, count(*)::BIGINT AS listing_count, {mean("p", 12)} AS avg_price_rub, {_MEDIAN} AS median_price_rub,
+       min(p) AS min_price_rub, max(p) AS max_price_rub, {mean("pm", 12)} AS avg_price_per_m2, {mean("a", 8)} AS avg_area_m2
+FROM b GROUP BY 1"""
+
+
+def median_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians of large groups by rank."""
+    return large_group_median(_listings(spark, sf_dir), ["district"], "price_rub")
+
+
+def mart_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    return style_mart(
+        orders.select(F.concat(F.lit(" "), "o_orderpriority").alias("style"), F.nullif("o_orderstatus", F.lit("P")).alias("renovation_style"), F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus") == "F").alias("has_renovation"),
+                      (F.year("o_orderdate") >= 2000).alias("has_furniture"), F.col("o_totalprice").alias("price_rub"), F.dayofmonth("o_orderdate").alias("area_m2")),
+        small_sample=70,
+    )
+
+
+def mart_dynamics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases above a value by day, without gaps, with the running total."""
+    return dynamics_mart(_table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 100"), "ts")
+
+
+def daily_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_counts(_table(spark, sf_dir, "events"), "ts")
+
+
+def panel_selected_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A panel: the mart of chosen groups, largest first."""
+    return mart_large_groups(spark, sf_dir).where(F.col("district").isin("A-F", "N-O")).select("district", "listing_count", "min_price_rub", "max_price_rub").orderBy(F.col("listing_count").desc(), "district")
+
+
+def distinct_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "part").select(F.coalesce("p_brand", F.lit("unknown")).alias("district")).distinct().orderBy("district")
+
+
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-level features: price for each unit, ratio with a zero guard, untouched target."""
+    item = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast(MONEY).alias("price_rub"), F.col("l_quantity").cast(SMALL).alias("area_m2"), F.col("l_linenumber").alias("floor"), (F.col("l_linenumber") % 3).alias("floors_total"))
+    return item.select("l_orderkey", "l_linenumber", price_per_area().alias("price_per_m2"), floor_ratio().alias("floor_ratio"), F.lit(None).cast("boolean").alias("is_loft"))
+
+
+def target_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_rows(spark, sf_dir).agg(F.count_if(F.col("is_loft").isNull()).alias("null_targets"), F.count_if(F.col("floor_ratio").isNull()).alias("null_ratios"))
+
+
+# -- primitives ----------------------------------------------------------------------------------------------------
+
+
+def text_primitives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replace, extract, casts, unit conversion and key normalisation on parts."""
+    part = _table(spark, sf_dir, "part")
+    price = F.format_string("%.2f", "p_retailprice")
+    return part.select(
+        "p_partkey",
+        P.cast_bigint(P.regex_extract(F.col("p_brand"), r"#(\d+)")[0])[0].alias("brand_no"),
+        P.regex_replace(F.col("p_name"), r"(\w+) (\w+)", r"\2-\1")[0].alias("turned"),
+        P.unit_convert(P.cast_decimal(price)[0], "thousands_rub", "rub")[0].alias("price_rub"),
+        P.cast_bigint(price)[1].alias("not_an_integer"),
+        P.text_key(F.concat(F.lit("\t"), "p_type", F.lit(" "))).alias("type_key"),
+    )
+
+
+def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").withColumn("v", F.try_parse_json("props"))
+    return events.select("event_id", F.try_variant_get("v", "$.k", "string").try_cast("bigint").alias("k"), F.get_json_object("props", "$.k").alias("k_text"))
+
+
+def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the first rule that they break: range, mandatory field, size."""
+    events = _table(spark, sf_dir, "events")
+    ok, bad = R.split_rejects(events, [(F.col("value") > 300, "value above 300"), (F.col("value") < 0.1, "value below 0.1"), (F.nullif("event_type", F.lit("error")).isNull(), "event_type is missing"), (R.oversize(["props"], 9), "props too long")])
+    every = ok.withColumn(R.REASON, F.lit("valid")).unionByName(bad)
+    return every.groupBy(F.col(R.REASON).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+
+
+def dictionary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    value, missed = P.enum_map(F.concat(F.lit(" "), F.lower("o_orderstatus")), {"F": True, "O": False})
+    return orders.groupBy(value.alias("finished"), missed.alias("missed")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def boolean_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    word = F.when(F.col("o_orderstatus") == "F", " Да").when(F.col("o_orderstatus") == "O", "NO").otherwise("y")
+    value, failed = P.cast_boolean(word)
+    return orders.groupBy("o_orderstatus").agg(F.first(value).alias("value"), F.first(failed).alias("failed"))
+
+
+def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select("o_orderkey", P.stable_id(F.col("o_orderpriority"), F.col("o_orderkey").cast("string")).alias("id"))
+
+
+def synthetic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identity of rows without an id column, from their fields; a null shows as None."""
+    part = _table(spark, sf_dir, "part")
+    basis = P.fields_text({"size": F.col("p_size"), "brand": F.col("p_brand"), "name": F.nullif("p_name", F.lit("red widget"))})
+    return part.select("p_partkey", basis.alias("basis"), P.stable_id(F.lit("part"), basis).alias("id"))
+
+
+def column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean column names out of brands, as a header that has them would get."""
+    raw = [r[0] for r in _table(spark, sf_dir, "part").select("p_brand").distinct().orderBy("p_brand").collect()]
+    return spark.createDataFrame(list(zip(raw, clean_names(raw), strict=True)), "raw string, clean string")
+
+
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of line items as text, inferred back in one pass."""
+    item = _table(spark, sf_dir, "lineitem")
+    text = item.select(*((F.date_format(c, "yyyy-MM-dd") if t.startswith("timestamp") else F.col(c).cast("string")).alias(c) for c, t in item.dtypes))
+    return spark.createDataFrame(list(infer_types(text).items()), "column_name string, type string")
 
-    listings = _table(spark, sf_dir, "part").select(F.col("p_brand").alias("district"), F.col("p_retailprice").cast(_MONEY).alias("price_rub"), F.col("p_size").cast(_SMALL).alias("area_m2"))
-    return price_area_mart(listings)
+
+# -- row operators -------------------------------------------------------------------------------------------------
+
+
+def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.latest_per_key(_table(spark, sf_dir, "events"), ["user_id"], "ts", "event_id").select("user_id", "event_id", "event_type", "value")
+
+
+def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later balance wins, an equal version doesn't, an unknown customer is added."""
+    base = _table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("balance"), F.lit(1).alias("version"))
+    orders = _table(spark, sf_dir, "orders")
+    updates = orders.select((F.col("o_custkey") + F.when(F.col("o_orderstatus") == "P", 1_000_000).otherwise(0)).alias("c_custkey"), F.col("o_totalprice").alias("balance"), F.when(F.col("o_orderpriority") == "1-URGENT", 2).otherwise(1).alias("version"), "o_orderkey")
+    return R.latest_wins(base, updates, ["c_custkey"], "version", "o_orderkey").select("c_custkey", "balance", "version", F.col("_change").alias("change"))
+
+
+def pending_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.pending(_table(spark, sf_dir, "documents").select("doc_id", "source"), _table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+def reconciled_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers aligned to the table of customers: missing columns null, a new one added, existing types kept."""
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    suppliers = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("double").alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_nationkey").alias("nation"))
+    schema = merged_schema(customers.schema, suppliers.schema)
+    return aligned(customers, schema).unionByName(aligned(suppliers, schema))
+
+
+# -- run log -------------------------------------------------------------------------------------------------------
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a run log: five stages, some failed."""
+    events = _table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    return events.select(
+        F.col("event_id").cast("string").alias("run_id"), F.col("event_type").alias("stage"), F.col("ts").cast("timestamp_ntz").alias("started_at"), (F.col("ts") + F.expr("interval 5 minutes")).cast("timestamp_ntz").alias("finished_at"),
+        F.concat(F.lit("u"), "user_id").alias("source_file"), F.col("user_id").cast("string").alias("content_hash"), k.alias("rows_ok"), (k % 7).alias("rows_quarantined"), F.concat(F.lit('{"mapping_config_hash": "'), (k % 2).cast("string"), F.lit('"}')).alias("schema_json"),
+        F.when(k < 20, "failed").when(k % 7 > 0, "partial").otherwise("success").alias("status"), F.when(k < 20, F.concat(F.lit("k="), k.cast("string"))).alias("error_message"),
+    )
+
+
+_LOG_SQL = """(SELECT event_id::VARCHAR AS run_id, event_type AS stage, ts AS started_at, ts + INTERVAL 5 MINUTE AS finished_at, 'u' || user_id AS source_file, user_id::VARCHAR AS content_hash,
+ json_extract_string(props, '$.k')::BIGINT AS rows_ok, json_extract_string(props, '$.k')::BIGINT % 7 AS rows_quarantined, (json_extract_string(props, '$.k')::BIGINT % 2)::VARCHAR AS hash,
+ CASE WHEN json_extract_string(props, '$.k')::BIGINT < 20 THEN 'failed' WHEN json_extract_string(props, '$.k')::BIGINT % 7 > 0 THEN 'partial' ELSE 'success' END AS status,
+ CASE WHEN json_extract_string(props, '$.k')::BIGINT < 20 THEN 'k=' || json_extract_string(props, '$.k') END AS error_message FROM events)"""
+
+
+def runs_latest_by_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_status(_log(spark, sf_dir), "stage").select("stage", "status", "finished_at")
+
+
+def runs_latest_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_status(_log(spark, sf_dir), "content_hash", "stage").select("content_hash", "stage", "run_id", "status")
+
+
+def runs_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_totals(_log(spark, sf_dir).where("started_at >= timestamp_ntz'2024-01-05' AND started_at <= timestamp_ntz'2024-01-25'"))
+
+
+def runs_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age at a fixed moment, so that reruns agree."""
+    return freshness(_log(spark, sf_dir), F.expr("timestamp_ntz'2024-02-01'"))
+
+
+def runs_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest 200 failures: a report of fixed length."""
+    return failed_runs(_log(spark, sf_dir), 200)
+
+
+def runs_stale_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir).withColumn("stage", F.lit("transform"))
+    current = _table(spark, sf_dir, "events").select(F.concat(F.lit("u"), "user_id").alias("source"), F.lit("1").alias("fingerprint")).distinct()
+    return stale_sources(log, current)
+
+
+def quarantine_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").withColumn("_content_hash", F.col("user_id").cast("string"))
+    _, bad = R.split_rejects(events, [(F.col("value") > 100, "too high")])
+    parts = [reject_rows(bad.where(F.col("event_type") == t), ["event_id", "value"], layer=layer, source=t, run_id="r", now=F.col("ts").cast("timestamp_ntz")) for layer, t in (("bronze", "click"), ("silver", "view"))]
+    return registry(parts[0].unionByName(parts[1]))
+
+
+# -- files, versions, flows ----------------------------------------------------------------------------------------
+
+
+def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as CSV files and taken in again: names, types and rows come back."""
+    root = scratch_path(spark, "ingest")
+    _table(spark, sf_dir, "customer").repartition(3, "c_custkey").write.option("header", True).csv(f"{root}/in/customer")
+    lake = Lake(spark, f"{root}/lake")
+    lake.ingest([f"{root}/in/customer"])
+    tables = lake.bronze_sources()
+    out = lake.bronze(tables[0])
+    for t in tables[1:]:
+        out = out.unionByName(lake.bronze(t))
+    return out.select("c_custkey", "c_name", F.col("c_nationkey"), "c_acctbal", "c_mktsegment")
+
+
+def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as JSON lines with a nested object, taken in as typed columns."""
+    root = scratch_path(spark, "ingest")
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.struct(F.col("user_id").alias("b"), F.lit("x").alias("a")).alias("nested"))
+    events.coalesce(1).write.json(f"{root}/in")
+    lake = Lake(spark, f"{root}/lake")
+    lake.ingest([f"{root}/in"], archive=False)
+    return lake.bronze(lake.bronze_sources()[0]).select("event_id", "event_type", "value", "nested")
+
+
+_FLOW_MAPPING = """
+[meta]
+external_id = "p_partkey"
+[fields.price_rub]
+input = "p_retailprice"
+cast = "decimal"
+unit_convert = { from = "thousands_rub", to = "rub" }
+[fields.area_m2]
+input = "p_size"
+cast = "decimal"
+[fields.rooms]
+input = "p_brand"
+regex_extract = '#(\\d+)'
+cast = "bigint"
+[fields.district]
+input = "p_type"
+"""
+
+
+def listing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts through the whole flow: file, bronze, mapping with sanity ranges, silver, mart."""
+    root = scratch_path(spark, "flow")
+    _table(spark, sf_dir, "part").coalesce(1).write.option("header", True).csv(f"{root}/in")
+    lake = Lake(spark, f"{root}/lake")
+    lake.ingest([f"{root}/in"])
+    lake.transform(dict.fromkeys(lake.bronze_sources(), _FLOW_MAPPING))
+    lake.build_gold(["mart_price_area_by_district"])
+    return lake.gold("mart_price_area_by_district").drop("_computed_at", "_gold_run_id")
+
+
+def versioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pinned snapshot is unmoved by later versions of its parts."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    table = VersionedTable(spark, scratch_path(spark, "versions"), orders.schema)
+    for status in ("F", "O", "P"):
+        table.publish(orders.where(F.col("o_orderstatus") == status), status)
+    pinned = table.snapshot()
+    table.publish(orders.where("o_orderstatus = 'F' AND o_totalprice > 100000"), "F")
+    return table.read(pinned).withColumn("in_latest", F.lit(False)).unionByName(table.read().withColumn("in_latest", F.lit(True)))
+
+
+def exported_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset version read back."""
+    root = scratch_path(spark, "datasets")
+    orders = _table(spark, sf_dir, "orders").withColumn("id", P.stable_id(F.lit("o"), F.col("o_orderkey").cast("string")))
+    version = export_dataset(orders, root)
+    return spark.read.parquet(f"{root}/{version}/parquet")
+
+
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest says of a version: rows, null targets, columns, and whether its content is that of the table."""
+    root = scratch_path(spark, "datasets")
+    orders = _table(spark, sf_dir, "orders").withColumn("target", F.nullif("o_orderstatus", F.lit("P")))
+    version = export_dataset(orders, root, key="o_orderkey", target="target", formats=("parquet",))
+    head, _ = read_manifest(spark, f"{root}/{version}")
+    return spark.createDataFrame([(head["rows"], head["target_nulls"], len(head["schema"]), head["content"] == content_fingerprint(orders)[1])], "n_rows long, target_nulls long, n_columns long, same_content boolean")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "mart_group_summary": mart_group_summary,
+    f.__name__: f
+    for f in (
+        mart_group_summary, mart_large_groups, median_by_rank, mart_styles, mart_dynamics, daily_event_counts, panel_selected_districts, distinct_districts, feature_rows, target_nulls,
+        text_primitives, json_fields, reject_split, dictionary_lookup, boolean_words, stable_ids, synthetic_ids, column_names, inferred_types, latest_event_per_user, upsert_customers,
+        pending_documents, reconciled_schema, runs_latest_by_stage, runs_latest_by_content, runs_totals, runs_freshness, runs_failed, runs_stale_mappings, quarantine_registry, ingest_csv,
+        ingest_json, listing_flow, versioned_orders, exported_orders, dataset_manifest,
+    )
+}
+
+_ITEMS = "SELECT l_returnflag || '-' || l_linestatus AS k, l_extendedprice::DECIMAL(12,2) AS p, l_quantity::DECIMAL(8,2) AS a FROM lineitem"
+_MEAN = lambda v, n: f"(((2 * sum(({v} * 100)::BIGINT) + count({v})) // (2 * count({v})))::DOUBLE / 100)::DECIMAL({n},2)"
+_KIND = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "bigint", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "date"}
+_LATEST = "row_number() OVER (PARTITION BY {} ORDER BY started_at DESC, run_id DESC)"
+
+ORACLES: dict[str, str] = {
+    "mart_group_summary": _summary_sql("SELECT p_brand AS k, p_retailprice::DECIMAL(12,2) AS p, p_size::DECIMAL(8,2) AS a FROM part"),
+    "mart_large_groups": _summary_sql(_ITEMS),
+    "median_by_rank": f"SELECT k AS district, {_MEDIAN} AS median_price_rub FROM ({_ITEMS}) GROUP BY k",
+    "mart_styles": f"""
+SELECT lower(trim(o_orderpriority)) AS style_norm, coalesce(lower(nullif(o_orderstatus, 'P')), 'none') AS renovation_style_norm, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus = 'F' END AS has_renovation, year(o_orderdate) >= 2000 AS has_furniture,
+       count(*)::BIGINT AS listing_count, {_MEAN("p", 12)} AS avg_price_rub, {_MEDIAN} AS median_price_rub, {_MEAN("a", 8)} AS avg_area_m2, count(*) < 70 AS is_small_sample
+FROM (SELECT *, o_totalprice::DECIMAL(12,2) AS p, day(o_orderdate)::DECIMAL(8,2) AS a FROM orders) GROUP BY 1, 2, 3, 4""",
+    "mart_dynamics": """
+WITH d AS (SELECT ts::DATE AS load_date, count(*) AS n FROM events WHERE event_type = 'purchase' AND value > 100 GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(load_date), max(load_date), INTERVAL 1 DAY))::DATE AS load_date FROM d)
+SELECT s.load_date, coalesce(n, 0)::BIGINT AS listings_added, (sum(coalesce(n, 0)) OVER (ORDER BY s.load_date))::BIGINT AS listings_added_cumulative FROM s LEFT JOIN d ON s.load_date = d.load_date""",
+    "daily_event_counts": "SELECT ts::DATE AS load_date, count(*)::BIGINT AS n FROM events GROUP BY 1",
+    "panel_selected_districts": f"SELECT k AS district, count(*)::BIGINT AS listing_count, min(p) AS min_price_rub, max(p) AS max_price_rub FROM ({_ITEMS}) WHERE k IN ('A-F', 'N-O') GROUP BY k ORDER BY listing_count DESC, district",
+    "distinct_districts": "SELECT DISTINCT coalesce(p_brand, 'unknown') AS district FROM part",
+    "feature_rows": f"SELECT l_orderkey, l_linenumber, {_RATIO} AS price_per_m2, l_linenumber::DOUBLE / nullif(l_linenumber % 3, 0)::DOUBLE AS floor_ratio, NULL::BOOLEAN AS is_loft FROM (SELECT *, l_extendedprice::DECIMAL(12,2) AS p, l_quantity::DECIMAL(8,2) AS a FROM lineitem)",
+    "target_nulls": "SELECT count(*)::BIGINT AS null_targets, count(*) FILTER (WHERE l_linenumber % 3 = 0)::BIGINT AS null_ratios FROM lineitem",
+    "text_primitives": r"""
+SELECT p_partkey, nullif(regexp_extract(p_brand, '#(\d+)', 1), '')::BIGINT AS brand_no, regexp_replace(p_name, '(\w+) (\w+)', '\2-\1', 'g') AS turned,
+       (p_retailprice::DECIMAL(12,2) * 1000)::DECIMAL(34,2) AS price_rub, true AS not_an_integer, lower(p_type) AS type_key FROM part""",
+    "json_fields": "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, json_extract_string(props, '$.k') AS k_text FROM events",
+    "reject_split": """
+SELECT CASE WHEN value > 300 THEN 'value above 300' WHEN value < 0.1 THEN 'value below 0.1' WHEN event_type = 'error' THEN 'event_type is missing' WHEN strlen(props) > 9 THEN 'props too long' ELSE 'valid' END AS reason,
+       count(*)::BIGINT AS n, min(event_id) AS first_event FROM events GROUP BY 1""",
+    "dictionary_lookup": "SELECT CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS finished, o_orderstatus NOT IN ('F', 'O') AS missed, count(*)::BIGINT AS n FROM orders GROUP BY 1, 2",
+    "boolean_words": "SELECT DISTINCT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS value, o_orderstatus NOT IN ('F', 'O') AS failed FROM orders",
+    "stable_ids": "SELECT o_orderkey, sha256(concat(length(o_orderpriority), ':', o_orderpriority, ':', o_orderkey)) AS id FROM orders",
+    "synthetic_ids": "SELECT p_partkey, basis, sha256(concat('4:part:', basis)) AS id FROM (SELECT p_partkey, concat('brand=', p_brand, ';name=', coalesce(nullif(p_name, 'red widget'), 'None'), ';size=', p_size) AS basis FROM part)",
+    "column_names": "SELECT DISTINCT p_brand AS raw, regexp_replace(lower(p_brand), '[^a-z0-9_]', '_', 'g') AS clean FROM part",
+    "inferred_types": " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS type" for c, t in _KIND.items()),
+    "latest_event_per_user": "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS n FROM events) WHERE n = 1",
+    "upsert_customers": """
+WITH u AS (SELECT o_custkey + CASE WHEN o_orderstatus = 'P' THEN 1000000 ELSE 0 END AS c_custkey, o_totalprice AS balance, CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS version, o_orderkey FROM orders),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY version DESC, o_orderkey) AS n FROM u) WHERE n = 1)
+SELECT coalesce(c.c_custkey, l.c_custkey) AS c_custkey, CASE WHEN c.c_custkey IS NULL OR l.version > 1 THEN l.balance ELSE c.c_acctbal END AS balance, CASE WHEN c.c_custkey IS NULL OR l.version > 1 THEN l.version ELSE 1 END AS version,
+       CASE WHEN c.c_custkey IS NULL THEN 'inserted' WHEN l.version > 1 THEN 'updated' ELSE 'unchanged' END AS change FROM customer c FULL JOIN l ON c.c_custkey = l.c_custkey""",
+    "pending_documents": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+    "reconciled_schema": "SELECT c_custkey, c_name, c_acctbal, NULL::INTEGER AS nation FROM customer UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier",
+    "runs_latest_by_stage": f"SELECT stage, status, finished_at FROM (SELECT *, {_LATEST.format('stage')} AS n FROM {_LOG_SQL}) WHERE n = 1",
+    "runs_latest_by_content": f"SELECT content_hash, stage, run_id, status FROM (SELECT *, {_LATEST.format('content_hash, stage')} AS n FROM {_LOG_SQL}) WHERE n = 1",
+    "runs_totals": f"SELECT stage, sum(rows_ok)::BIGINT AS accepted, sum(rows_quarantined)::BIGINT AS rejected FROM {_LOG_SQL} WHERE started_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25' GROUP BY stage",
+    "runs_freshness": f"SELECT stage, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(finished_at))) // 1000000 AS age_seconds FROM {_LOG_SQL} WHERE status = 'success' GROUP BY stage",
+    "runs_failed": f"SELECT started_at, run_id, stage, source_file, error_message FROM {_LOG_SQL} WHERE status = 'failed' ORDER BY started_at DESC, run_id LIMIT 200",
+    "runs_stale_mappings": f"SELECT source_file AS source, hash AS was, '1' AS fingerprint FROM (SELECT *, {_LATEST.format('source_file')} AS n FROM {_LOG_SQL} WHERE status <> 'failed') WHERE n = 1 AND hash <> '1'",
+    "quarantine_registry": "SELECT CASE event_type WHEN 'click' THEN 'bronze' ELSE 'silver' END AS layer, event_type AS source, count(*)::BIGINT AS n_rejects, max(ts) AS last_rejected_at FROM events WHERE value > 100 AND event_type IN ('click', 'view') GROUP BY 1, 2",
+    "ingest_csv": "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "ingest_json": """SELECT event_id, event_type, value, '{"a":"x","b":' || user_id || '}' AS nested FROM events""",
+    "listing_flow": _summary_sql("SELECT p_type AS k, (p_retailprice * 1000)::DECIMAL(12,2) AS p, p_size::DECIMAL(8,2) AS a FROM part WHERE nullif(regexp_extract(p_brand, '#([0-9]+)', 1), '')::INTEGER <= 20"),
+    "versioned_orders": "SELECT o_orderkey, o_orderstatus, o_totalprice, false AS in_latest FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, true FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice > 100000",
+    "exported_orders": "SELECT *, sha256(concat('1:o:', o_orderkey)) AS id FROM orders",
+    "dataset_manifest": "SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'P')::BIGINT AS target_nulls, 7::BIGINT AS n_columns, true AS same_content FROM orders",
 }
-ORACLES: dict[str, str] = {}
