@@ -55,28 +55,26 @@ def draw(id_col: str, seed: int) -> Column:
 
 
 def with_copies(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3, seed: int = 7) -> DataFrame:
-    """``docs`` with one struct column ``mix``: size, source_size, target, rate, copies."""
+    """Each row of ``docs`` as a struct ``doc``, with a struct ``mix``: size, source_size, target, rate, copies."""
     size = word_count(text_col)
-    rates = source_rates(docs.select(F.col(source_col).alias("source"), size.alias("size")), weights=weights, max_repeat=max_repeat).select(F.struct("*").alias("r"))
+    rates = source_rates(docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size")), weights=weights, max_repeat=max_repeat).select(F.struct("*").alias("r"))
     held = rates.agg(F.sum(F.coalesce(F.octet_length("r.source"), F.lit(0)) + 64)).first()[0] or 0
     rates = F.broadcast(rates) if held <= BROADCAST_BYTES else rates
-    joined = docs.withColumn("mix", F.struct(size.alias("size"), draw(id_col, seed).alias("u"))).join(rates, F.col(source_col).eqNullSafe(F.col("r.source")))
+    rows = docs.select(F.struct("*").alias("doc"), F.col(source_col).cast("string").alias("source"), size.alias("size"), draw(id_col, seed).alias("u"))
+    joined = rows.join(rates, F.col("source").eqNullSafe(F.col("r.source")))
     whole = F.floor("r.rate")
-    copies = whole + (F.col("mix.u") < F.col("r.rate") - whole).cast("long")
-    return joined.withColumn("mix", F.struct("mix.size", "r.source_size", "r.target", "r.rate", copies.alias("copies"))).drop("r")
+    copies = whole + (F.col("u") < F.col("r.rate") - whole).cast("long")
+    return joined.select("doc", F.struct("size", "r.source_size", "r.target", "r.rate", copies.alias("copies")).alias("mix"))
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as the mix takes it, columns unchanged.
 
     Rows that share an id share their draw. Null texts have no words; rows of the null source are a source of their own,
-    the last. An empty table gives an empty one. Columns named ``mix`` or ``r`` in ``docs`` are not allowed.
+    the last. An empty table gives an empty one. Columns of any name pass through.
     """
-    columns = docs.columns
-    if {"mix", "r"} & {c.lower() for c in columns}:
-        raise ValueError("columns 'mix' and 'r' are used by the operator; rename them first")
     copied = with_copies(docs, **options).where("mix.copies > 0")
-    return copied.withColumn("mix", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int")))).select(*columns)
+    return copied.select("doc", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int"))).alias("copy")).select("doc.*")
 
 
 def mixing_sql(seed: int = 7, max_repeat: int = 3) -> str:

@@ -48,7 +48,7 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = with_copies(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_repeat=3)
-    return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
+    return out.select("doc.doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +71,23 @@ def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+_REPEATS_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM d),
+s AS (SELECT *, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS run FROM t),
+f AS (SELECT run, min(doc_id) AS first FROM s WHERE i + 13 <= n GROUP BY run),
+h AS (SELECT s.doc_id, i, word, coalesce(i + 13 <= n AND first < s.doc_id, false) AS hit FROM s LEFT JOIN f ON s.run = f.run),
+c AS (SELECT *, max(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM h),
+k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+#: Base 32 of a hexadecimal SHA-1: five hexadecimal digits make four letters.
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+b AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY x) AS last,
+             list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(x, (k // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1)::BIGINT, 1)), 'string_agg', '') AS payload_digest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to, true AS digest_ok FROM b"""
+
 _ROLLUP_SQL = rf"""
 WITH d AS (SELECT source, lang, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0)::BIGINT AS w, coalesce(length(text), 0) AS c, coalesce(strlen(text), 0)::BIGINT AS b FROM documents)
 SELECT source, lang, 'words-v1' AS tokenizer, count(*) FILTER (WHERE w >= 50)::BIGINT AS n_docs,
@@ -116,7 +133,9 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_perspective_rotation": rotation_sql(),
+    "op2_substring_dedup": _REPEATS_SQL,
     "op5_source_mixing": mixing_sql(),
     "op6_exact_top_k": _TOP_K_SQL,
     "op7_token_rollup": _ROLLUP_SQL,
+    "op8_warc_transactions": _WARC_SQL,
 }

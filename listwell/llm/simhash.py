@@ -117,7 +117,7 @@ def allocate(n: int, together: np.ndarray, distance: int) -> list[tuple[list[int
                 elif len(g) >= budget:
                     masks = math.comb(len(g), budget - 1)
                     agree = float(np.prod(same[g])) / float(np.mean(same[g])) ** (budget - 1)
-                    cost[i, budget] = masks * (n * ROW_COST + n * n / 2 * agree * PAIR_COST)
+                    cost[i, budget] = masks * (max(n, 1) * ROW_COST + n * n / 2 * agree * PAIR_COST)
         table = {0: (0.0, [])}
         for i in range(parts):
             table = {
@@ -208,13 +208,14 @@ def near_fingerprint_links(reps: DataFrame, distance: int, limit: int | None = N
     n, together = bit_counts(reps)
     masks = _masks(allocate(n, together, distance))
     limit = distance if limit is None else limit
+    salts = np.arange(len(masks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     schema = "key long, rep long, fp long, fp2 long"
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column(1).to_numpy().view(np.uint64)
             for i, mask in enumerate(masks):
-                key = mix((fp & mask) + np.uint64(i) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                key = mix((fp & mask) + salts[i]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "rep", "fp", "fp2"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -266,7 +266,7 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     args = (min_words, anchor_words, n)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("rest"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in carry) if carry else [F.lit(0).alias("none")]).alias("rest"))
     dealt = rows.where("id is not null").withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(n, "chunk")
     anchors = dealt.groupBy("chunk").applyInArrow(lambda t: _chunk_anchors(t, *args), "shard int, chunk int, anchors binary, several binary")
     shared = anchors.groupBy("shard").applyInArrow(_shared_anchors, "chunk int, shard int, blob binary").withColumn("answer", F.lit(False))

@@ -42,21 +42,19 @@ def test_query_matches_sql(spark):
 
 def test_taken_is_near_target_at_scale(spark):
     df = spark.range(60_000).selectExpr("id as doc_id", "concat('s', id % 7) as source", "repeat('w ', int(id % 20) + 1) as text")
-    for r in with_copies(df).groupBy("source").agg({"mix.target": "max"}).collect():
-        pass
-    rows = with_copies(df).selectExpr("source", "mix.size * mix.copies as t", "mix.target as g", "mix.copies as c").groupBy("source").agg({"t": "sum", "g": "max", "c": "max"}).collect()
+    rows = with_copies(df).selectExpr("doc.source as source", "mix.size * mix.copies as t", "mix.target as g", "mix.copies as c").groupBy("source").agg({"t": "sum", "g": "max", "c": "max"}).collect()
     for r in rows:
         assert abs(r["sum(t)"] - r["max(g)"]) < 0.03 * r["max(g)"] and r["max(c)"] <= 3
 
 
 def test_mix_repeats_rows_and_edges(spark):
     rows = [(1, "a b", "x"), (2, None, None), (3, "", "y"), (None, "q", "x"), (1, "a b", "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 as size", "2 as target", "3 as rate")
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 as size", "2 as target", "3 as rate", "4 as mix", "5 as r", "6 as doc", "7 as u")
     out = mix_sources(df)
     assert out.columns == df.columns
     counts = {r[0]: r["count"] for r in out.groupBy("doc_id").count().collect()}
     want = {}
-    for r in with_copies(df).selectExpr("doc_id", "mix.copies as copies").collect():
+    for r in with_copies(df).selectExpr("doc.doc_id as doc_id", "mix.copies as copies").collect():
         want[r.doc_id] = want.get(r.doc_id, 0) + r.copies
     assert counts == {k: v for k, v in want.items() if v}
     assert mix_sources(df.limit(0)).count() == 0

@@ -35,7 +35,7 @@ def test_each_stage_against_brute_force(spark, tmp_path):
         n, gone, _ = want[r["doc_id"]]
         assert len(r["text"].split()) == n - gone and r["n_chars"] == len(r["text"])
         assert gone or r == old[r["doc_id"]]
-    copies = {r.doc_id: r.copies for r in with_copies(spark.read.parquet(str(tmp_path / "repeated_passages"))).selectExpr("doc_id", "mix.copies as copies").collect()}
+    copies = {r.doc_id: r.copies for r in with_copies(spark.read.parquet(str(tmp_path / "repeated_passages"))).selectExpr("doc.doc_id as doc_id", "mix.copies as copies").collect()}
     assert by_id(mixed) == by_id(r for r in cut for _ in range(copies[r["doc_id"]]))
     n = check(packed, [(r["doc_id"], r["text"]) for r in mixed], 2048)
     assert n <= math.ceil(sum(r.length for r in packed) / 2048) * 1.01 + 1
@@ -47,3 +47,14 @@ def test_run_and_registration(spark):
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     assert len([n for n in __spark_entry__.queries() if n.startswith("op")]) == 10
+
+
+def test_stages_take_odd_rows_and_extra_columns(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (10**6, None, "en", None, None), (10**6, "", None, "src0", 0), (10**6 + 1, "w " * 60_000, "en", "src0", 120_000)], docs.schema)
+    wide = docs.unionByName(odd).selectExpr("*", "1 as id", "'x' as rest", "2 as chunk", "3 as mix", "array(4) as fp", "named_struct('text', 1) as doc", "5 as component_id", "6 as `_`", "cast(null as string) as kept_text")
+    for case in (wide, wide.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, case, "/root/testdata/sf0.001")
+            assert name == "packing" or out.schema.names == wide.columns
+            assert (out.count() > 0) == (case is wide)

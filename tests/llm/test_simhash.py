@@ -77,9 +77,9 @@ def test_no_link_is_lost_for_any_number_of_parts(spark, monkeypatch, parts):
 
 
 def test_thresholds_cover_the_distance():
-    for n in (10, 10**5, 10**8, 10**11):
-        plan = allocate(n, np.full((64, 64), n / 4) + np.eye(64) * n / 4, 4)
-        assert sum(t + 1 for _, t in plan) == 5
+    for n, distance in [(n, d) for n in (0, 1, 10, 10**5, 10**7) for d in (0, 4, 12)]:
+        plan = allocate(n, np.full((64, 64), n / 4) + np.eye(64) * n / 4, distance)
+        assert sum(t + 1 for _, t in plan) == distance + 1 and len(simhash._masks(plan)) < 10**5
         assert len({b for g, _ in plan for b in g}) == sum(len(g) for g, _ in plan)
 
 
