@@ -8,10 +8,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from listwell.llm.jaccard import one_of_each_similar
 from listwell.llm.mixing import mix_sources
 from listwell.llm.packing import pack_documents
 from listwell.llm.quality import fit_quality_model, good_documents
-from listwell.llm.simhash import one_of_each_group
 from listwell.llm.storage import written
 from listwell.llm.substring_dedup import without_repeats
 
@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of copies: five-word shingles, similarity of about 0.8 or more."""
-    return one_of_each_group(docs, shingle_words=5, distance=12, limit=22)
+    """One document, that of the least id, of each group of copies: five-word shingles, similarity of 0.8 or more."""
+    return one_of_each_similar(docs, shingle_words=5, similarity=0.8)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
