@@ -1,7 +1,7 @@
 """Quality rules: base counts, and a logistic regression on hashed word and character n-grams with calibrated output.
 
-The model is fitted on a bounded sample of labelled documents (``per_class`` of each label): words and byte 4-grams are
-hashed to fixed buckets, their shares of a text are the features. A quarter of the sample is held out to calibrate the
+The model is fitted on a bounded sample of labelled documents (``per_class`` of each label): words, pairs of words and
+4-grams of characters (code points) are hashed to fixed buckets, their shares of a text are the features. A quarter of the sample is held out to calibrate the
 probability (Platt scaling). Scoring and all counts run in Arrow batches over every whole text, against fixed thresholds.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .training import labelled_sample
-from .words import Words, gram_hashes, mix, span_hashes, split_words, sums_by_text, text_slices
+from .words import Words, gram_hashes, mix, same_spans, span_hashes, split_words, sums_by_text, text_slices
 
 WORD_BITS, CHAR_BITS, CHAR_GRAM = 18, 16, 4
 #: Features are shares of a text, times this.
@@ -31,23 +31,33 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
 
-def word_buckets(words: Words) -> np.ndarray:
-    return (words.hashes() >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+def word_buckets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of words, buckets of pairs of words, and whether a pair lies within one text."""
+    h, text = words.hashes(), words.text_of
+    pair = gram_hashes(h, 2)
+    return (h >> np.uint64(64 - WORD_BITS)).astype(np.int64), (pair >> np.uint64(64 - WORD_BITS)).astype(np.int64), text[:-1] == text[1:]
 
 
-def char_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of the byte n-gram at each place, and whether it lies within one text."""
-    n = len(data) - CHAR_GRAM + 1
+def char_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of the n-gram of code points at each place, whether it lies within one text, and each text's first place."""
+    first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    n = len(points) - CHAR_GRAM + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, bool)
-    code = np.zeros(n, np.uint32)
+        return np.zeros(0, np.int64), np.zeros(0, bool), first
+    code = np.zeros(n, np.uint64)
     for j in range(CHAR_GRAM):
-        code |= data[j : j + n].astype(np.uint32) << np.uint32(8 * j)
+        code = (code + points[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
     whole = np.ones(n, bool)
     for j in range(1, CHAR_GRAM):
-        cut = offsets[1:-1] - j
+        cut = first[1:-1] - j
         whole[cut[(cut >= 0) & (cut < n)]] = False
-    return ((code * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BITS)).astype(np.int64), whole
+    return (code >> np.uint64(64 - CHAR_BITS)).astype(np.int64), whole, first
+
+
+def _within(first: np.ndarray, n: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds of each text's n-grams among ``n`` places, how many it has)."""
+    return np.minimum(first, n), np.maximum(np.diff(first) - gram + 1, 0)
 
 
 @dataclass
@@ -59,11 +69,15 @@ class QualityModel:
     shift: float = 0.0
 
     def scores(self, words: Words, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        w = sums_by_text(self.word[word_buckets(words)], words.first) / np.maximum(words.counts, 1)
-        bucket, whole = char_buckets(data, offsets)
-        at = np.minimum(offsets, len(bucket))
-        c = sums_by_text(self.char[bucket] * whole, at) / np.maximum(np.diff(offsets) - CHAR_GRAM + 1, 1)
-        return SCALE * (w + c) + self.bias
+        """Score of each text: weights times shares, an empty share being zero."""
+        word, pair, joined = word_buckets(words)
+        total = sums_by_text(self.word[word], words.first) / np.maximum(words.counts, 1)
+        at, n = _within(words.first, len(pair), 2)
+        total += sums_by_text(self.word[pair] * joined, at) / np.maximum(n, 1)
+        char, whole, first = char_buckets(data, offsets)
+        at, n = _within(first, len(char), CHAR_GRAM)
+        total += sums_by_text(self.char[char] * whole, at) / np.maximum(n, 1)
+        return SCALE * total + self.bias
 
     def probabilities(self, scores: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * scores + self.shift, -50, 50)))
@@ -75,14 +89,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for _, n, data, offsets in text_slices(b.column(0)):
             words = split_words(data, offsets)
-            w = word_buckets(words)
-            c, whole = char_buckets(data, offsets)
+            w, pair, joined = word_buckets(words)
+            c, whole, first = char_buckets(data, offsets)
             for i in range(n):
-                own = w[words.first[i] : words.first[i + 1]]
-                inside = slice(offsets[i], min(offsets[i + 1], len(c)))
-                chars = c[inside][whole[inside]] + (1 << WORD_BITS)
+                a, z = words.first[i], words.first[i + 1]
+                inside = slice(first[i], min(first[i + 1], len(c)))
+                own = (w[a:z], pair[a : max(a, z - 1)], c[inside][whole[inside]] + (1 << WORD_BITS))
                 at, value = [], []
-                for part in (own, chars):
+                for part in own:
                     u, k = np.unique(part, return_counts=True)
                     at.append(u)
                     value.append(SCALE * k / max(len(part), 1))
@@ -186,8 +200,18 @@ def _dup_lines(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarra
     start, end, text = start[filled], end[filled], text[filled]
     if not len(start):
         return np.zeros(texts, np.int64)
+    # equal hashes of one text, confirmed by bytes against the first of them
     key = mix(span_hashes(data, start, end) + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return np.bincount(text[pd.Series(key).duplicated().to_numpy()], minlength=texts)
+    code, _ = pd.factorize(key)
+    place = np.empty(int(code.max()) + 1, np.int64)
+    place[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+    again = np.flatnonzero(place[code] != np.arange(len(code)))
+    if not (text[again] == text[place[code[again]]]).all() or not same_spans(data, start, end, again, place[code[again]]).all():
+        raw = data.tobytes()
+        seen: set = set()
+        lines = [(t, raw[a:b]) for t, a, b in zip(text.tolist(), start.tolist(), end.tolist(), strict=True)]
+        again = np.array([i for i, line in enumerate(lines) if line in seen or seen.add(line)], np.int64)
+    return np.bincount(text[again], minlength=texts)
 
 
 def _judged(texts: pa.Array, model: QualityModel | None, threshold: float) -> Iterator[tuple]:

@@ -14,24 +14,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 2 << 20
-_BASE = 0x9E3779B97F4A7C15
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE = (np.arange(1, 257, dtype=np.uint64) * _MIX1) ^ np.uint64(0x5851F42D4C957F2D)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _power(kind: str, n: int) -> np.ndarray:
-    """Powers 0..n-1 of the hash base or of its inverse modulo 2**64; kept for the worker's life."""
-    if len(_powers[kind]) < n:
-        base = _BASE if kind == "up" else pow(_BASE, -1, 1 << 64)
-        steps = np.full(max(n, SLICE_BYTES + 1024), base, np.uint64)
-        steps[0] = 1
-        _powers[kind] = np.multiply.accumulate(steps)
-    return _powers[kind][:n]
+#: Key of the span hash, and the length in bytes from which a span is hashed by xxhash.
+_KEY, _LONG = 0x243F6A8885A308D3, 256
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -64,11 +55,49 @@ class Words:
         return span_hashes(self.data, self.starts, self.ends)
 
 
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one little-endian number; bytes past the end are zeros."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial hash of byte spans through prefix sums, then mixed with the length."""
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power("up", len(data)), out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * _power("down", len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
+    """Hash of byte spans: eight bytes at a time through a keyed mixer, long spans by XXH3.
+
+    A step is one-to-one in the bytes it takes in, so spans of one length that differ in one lane alone never collide.
+    """
+    lanes, n = _lanes(data), ends - starts
+    h = mix(n.astype(np.uint64) ^ np.uint64(_KEY))
+    live = np.flatnonzero(n < _LONG)
+    at = 0
+    while len(live):
+        left = n[live] - at
+        h[live] = mix(h[live] ^ (lanes[starts[live] + at] & _KEEP[np.minimum(left, 8)]))
+        live = live[left > 8]
+        at += 8
+    if (n >= _LONG).any():
+        raw = memoryview(np.ascontiguousarray(data))
+        for i in np.flatnonzero(n >= _LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : ends[i]], _KEY)
+    return h
+
+
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether spans a[i] and b[i] hold the same bytes."""
+    lanes, n = _lanes(data), ends - starts
+    same = n[a] == n[b]
+    live = np.flatnonzero(same & (a != b))
+    at = 0
+    while len(live):
+        x, y = a[live], b[live]
+        left = n[x] - at
+        keep = _KEEP[np.clip(left, 0, 8)]
+        equal = (lanes[starts[x] + np.minimum(at, n[x])] & keep) == (lanes[starts[y] + np.minimum(at, n[y])] & keep)
+        same[live[~equal]] = False
+        live = live[equal & (left > 8)]
+        at += 8
+    return same
 
 
 def split_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _IS_SPACE) -> Words:
@@ -130,7 +159,7 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of each text's values; ``first`` has one bound more than there are texts."""
-    total = np.concatenate([[0], np.cumsum(values)])
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else None)])
     return total[first[1:]] - total[first[:-1]]
 
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
-from listwell.llm.packing import WordEncoder, best_fit, pack_documents, plan_packing, slot_table
+from listwell.llm.packing import WordEncoder, best_fit, fitted_patterns, pack_documents, plan_packing, slot_table, token_pieces
 
 SF = "/root/testdata/sf0.01"
 PATH = P.path("word_bpe_49k.json")
@@ -70,3 +71,33 @@ def test_plan_covers_the_histogram(seed):
     total = int((h * np.arange(size + 1)).sum())
     assert sum(plan.values()) <= -(-total // size) * 1.01 + 2
     assert len(slot_table(plan)[0]) == sum(map(len, plan))
+
+
+def test_words_that_differ_in_structure_only(spark):
+    a, b = ("".join(p[i.bit_count() % 2] for i in range(2048)) for p in ("ab", "ba"))
+    rows = [(1, a), (2, b), (3, f"{a} {b} {a}")]
+    check(pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer=PATH).collect(), rows, 2048)
+
+
+def test_runs_of_letters_give_the_tokenizers_ids():
+    e, t = WordEncoder(PATH), Tokenizer.from_file(PATH)
+    assert e.fine
+    rng = random.Random(3)
+    bits = ["Don't", "x'SAY", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "a<b|c", "42nd", "É×é", "÷", "Привет,", "мир1", "ѓ", "Ω", "ΑΣ", "ﬁ", "\u0301", "e\u0301", "İx", "ŉ", "—", "ab—cd", "\x00", "\x1c", "\x7f", "\u00a0", "漢字", "C:\\x", "...", "http://a.b/c?d=1&e=2", "'", "''s", "ſ", "🙂!"]
+    for _ in range(400):
+        texts = ["".join(rng.choice(bits) + rng.choice(["", "", " ", "\n"]) for _ in range(rng.randrange(0, 9))) for _ in range(4)]
+        raw = [x.encode() for x in texts]
+        ids, first = e.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [t.encode(x, add_special_tokens=False).ids for x in texts], texts
+
+
+def test_most_sequences_come_from_patterns_of_several_pieces(spark):
+    pieces = token_pieces(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), tokenizer=PATH)
+    h = np.zeros(2049, np.int64)
+    for length, n in pieces.groupBy("length").count().collect():
+        h[length] = n
+    fitted, left = fitted_patterns(h, 2048)
+    plan = plan_packing(h, 2048)
+    several = sum(n for p, n in fitted.items() if len(p) > 1)
+    assert several >= 0.9 * (sum(plan.values()) - h[2048]) and left.sum() <= 0.1 * h.sum()
+    assert sum(plan.values()) <= 1.002 * -(-int(h @ np.arange(2049)) // 2048)

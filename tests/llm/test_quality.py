@@ -1,9 +1,13 @@
+import itertools
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from listwell.llm.quality import fit_quality_model, quality_report
+from listwell.llm.quality import char_buckets, fit_quality_model, quality_report, word_buckets
+from listwell.llm.words import split_words
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,3 +64,38 @@ def test_edges(spark):
     assert quality_report(df.limit(0), None).count() == 0
     one = spark.createDataFrame([(0, 1), (1, None), (None, 0)], "doc_id long, quality int")
     assert fit_quality_model(df, one) is None
+
+
+def test_lines_that_differ_in_structure_only(spark):
+    a = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+    b = "".join("ba"[i.bit_count() % 2] for i in range(4096))
+    text = f"{a}\n{b}\n{a}\n" + "w " * 60
+    got = quality_report(spark.createDataFrame([(1, text)], "doc_id long, text string"), None).collect()
+    assert stats(got) == [brute(text)] and got[0].n_dup_lines == 1
+
+
+def test_scores_match_a_plain_scorer(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_quality_model(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1: "", -2: "é", -3: "ab", -4: "привет мир " * 30}
+    bucket, bits = {}, lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+
+    def one(kind, gram):
+        """Bucket of one n-gram on its own."""
+        if (kind, gram) not in bucket:
+            raw = bits(gram)
+            bucket[kind, gram] = int(char_buckets(*raw)[0][0]) if kind == "char" else int(word_buckets(split_words(*raw))[0 if kind == "word" else 1][0])
+        return bucket[kind, gram]
+
+    def plain(text):
+        w = WORD.findall(text)
+        parts = [("word", w, model.word), ("pair", [f"{a} {b}" for a, b in itertools.pairwise(w)], model.word), ("char", [text[i : i + 4] for i in range(len(text) - 3)], model.char)]
+        score = sum(10 * sum(float(table[one(kind, g)]) * k for g, k in Counter(grams).items()) / len(grams) for kind, grams, table in parts if grams)
+        return 1 / (1 + math.exp(-max(-50, min(50, model.slope * (score + model.bias) + model.shift))))
+
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = quality_report(df, model).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.probability == pytest.approx(plain(texts[r.doc_id]), abs=1e-5)
+        assert r.kept == (not r.base_failed and r.probability >= 0.3)
