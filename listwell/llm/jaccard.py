@@ -1,10 +1,13 @@
-"""Exact near-duplicates: documents whose sets of word shingles have a Jaccard similarity of a threshold or more.
-
-Equal sets are one node. Sets in one global order (hot shingles last, else by hash) whose similarity reaches the threshold
-share a shingle of their prefixes, so buckets by prefix shingle miss no pair. Two bounds that never reject a true pair, on
-the sizes and on the parity bits of the sets, thin the buckets to coarse links. Each coarse component is then met whole and
-its sets are compared exactly, one set with those not yet reached, never all pairs. Shingles stand for each other by
-64-bit hashes.
+"""Near-duplicates by similarity: documents whose sets of word shingles have a Jaccard similarity of a threshold or more.
+
+SimHash by the generalised pigeonhole finds the tight groups. At a similarity of 0.8 fingerprints of 64 bits differ in
+about ten, more than pigeonhole probes can reach at a bounded cost, so the looser links come from a prefix filter: sets in
+one global order (hot shingles last, else by hash) whose similarity reaches the threshold share a shingle of their
+prefixes. A bucket of one tight group says nothing new and goes; two bounds that never reject a true pair, on the sizes and
+on the parity bits of the sets, thin the others to coarse links. Both kinds of links make coarse components. Their sets
+are compared exactly, one with those not yet reached, never all pairs; a component too large for a task is compared in
+chunks with its first member, and only members that this does not reach meet all chunks. Equal sets are one node. Shingles
+stand for each other by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -19,14 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .simhash import _local_stars
-from .storage import checkpointed
+from .simhash import _local_stars, near_fingerprint_links
+from .storage import checkpointed, written
 from .words import gram_hashes, mix, split_words, text_slices
 
 #: Parity bits of a set.
 PARITY_BITS = 1024
 #: Hot shingles are looked for in about so many documents; they only order the sets, no pair depends on them.
 SAMPLE_DOCS, HOT_DOCS, HOT_SHINGLES = 10_000, 20, 100_000
+#: Differing bits of fingerprints within a tight group, and shingles that one comparing task holds of a coarse component.
+TIGHT_BITS, CHUNK_SHINGLES = 4, 2_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -50,6 +55,12 @@ def signature(s: np.ndarray) -> int:
     return int(mix(s ^ np.uint64(0x51ED270B9F3C6A8D)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0
 
 
+def simhash(s: np.ndarray) -> int:
+    """Signed 64-bit SimHash of a set: a bit is set if it is in over half of the shingles' hashes."""
+    ones = np.unpackbits(mix(s).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(s)).tobytes(), "big", signed=True)
+
+
 def parity(s: np.ndarray) -> np.ndarray:
     """Bits that tell whether an odd number of shingles falls on each; two sets differ in as many shingles at least as bits."""
     return np.packbits((np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.uint64)
@@ -153,28 +164,30 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = hot.value
         for b in itertools.chain.from_iterable(_pieces(b) for b in batches):
-            sig, size, prefix, bits = [], [], [], []
+            sig, size, fp, prefix, bits = [], [], [], [], []
             for s in shingle_sets(b.column(2), shingle_words):
                 late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s if len(last) else np.zeros(len(s), bool)
                 keep = len(s) - -(-len(s) * t.numerator // t.denominator) + 1 if len(s) else 0
                 sig.append(signature(s))
                 size.append(len(s))
+                fp.append(simhash(s))
                 prefix.append(np.concatenate([s[~late], s[late]])[:keep].tobytes())
                 bits.append(parity(s).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], names=["id", "text_hash", "sig", "size", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], names=["id", "text_hash", "sig", "size", "fp", "prefix", "bits"])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in itertools.chain.from_iterable(_pieces(b) for b in batches):
-            keys = [np.frombuffer(p, np.int64) for p in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "sig": np.repeat(b.column(0).to_numpy(), [len(k) for k in keys])})
+            keys = [np.frombuffer(p, np.int64) for p in b.column(2).to_pylist()]
+            n = [len(k) for k in keys]
+            yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "sig": np.repeat(b.column(0).to_numpy(), n), "tight": np.repeat(b.column(1).to_numpy(), n)})
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a bucket is named by its members, so that equal buckets become one
-        for key, sig in _runs(batches):
-            key, sig = key.to_numpy(), sig.to_numpy()
+        for columns in _runs(batches):
+            key, sig, tight = (c.to_numpy() for c in columns)
             head, n = _heads(key)
             name = np.add.reduceat(mix(sig.view(np.uint64)), head).view(np.int64)
-            own = np.repeat(n > 1, n)
+            own = np.repeat(np.minimum.reduceat(tight, head) < np.maximum.reduceat(tight, head), n)
             if own.any():
                 yield pa.RecordBatch.from_pydict({"bucket": np.repeat(name, n)[own], "sig": sig[own]})
 
@@ -200,25 +213,52 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_pydict({"src": src, "dst": dst})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for coarse, sig, text in _runs(batches):
+        for unit, sig, text in _runs(batches):
             sig = sig.to_numpy()
-            for h, m in zip(*_heads(coarse.to_numpy()), strict=True):
+            for h, m in zip(*_heads(unit.to_numpy()), strict=True):
                 own, first = np.unique(sig[h : h + m], return_index=True)
                 x, y = exact_links(list(shingle_sets(text.slice(h, m).take(pa.array(first)), shingle_words)), t)
                 node, exact = _local_stars(own[x], own[y])
                 if len(node):
-                    yield pa.RecordBatch.from_pydict({"node": node, "exact": exact})
-
-    described = checkpointed(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(describe, "id long, text_hash long, sig long, size long, prefix binary, bits binary"))
-    nodes = checkpointed(described.where("size > 0").groupBy("sig").agg(F.min_by(F.struct("id", "text_hash", "size", "prefix", "bits"), F.struct("id", "text_hash")).alias("one")).select("sig", "one.*"))
-    met = nodes.select("sig", "prefix").mapInArrow(explode, "key long, sig long").repartition("key").sortWithinPartitions("key").mapInArrow(meet, "bucket long, sig long").distinct()
+                    yield pa.RecordBatch.from_pydict({"src": node, "dst": exact})
+
+    described = checkpointed(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(describe, "id long, text_hash long, sig long, size long, fp long, prefix binary, bits binary"))
+    nodes = checkpointed(described.where("size > 0").groupBy("sig").agg(F.min_by(F.struct("id", "text_hash", "size", "fp", "prefix", "bits"), F.struct("id", "text_hash")).alias("one")).select("sig", "one.*"))
+    by_print = nodes.groupBy("fp").agg(F.min("sig").alias("rep"))
+    stars = connected_components(near_fingerprint_links(checkpointed(by_print), TIGHT_BITS))
+    tight = by_print.join(stars, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("tight"))
+    named = checkpointed(nodes.select("sig", "fp").join(tight, "fp").select("sig", "tight"))
+    met = nodes.join(named, "sig").select("sig", "tight", "prefix").mapInArrow(explode, "key long, sig long, tight long").repartition("key").sortWithinPartitions("key").mapInArrow(meet, "bucket long, sig long").distinct()
     thinned = met.join(nodes.select("sig", "size", "bits"), "sig").select("bucket", "sig", "size", "bits").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(thin, "src long, dst long")
-    coarse = connected_components(thinned)
+    coarse = connected_components(thinned.unionByName(named.where("sig <> tight").select(F.col("sig").alias("src"), F.col("tight").alias("dst"))))
     members = coarse.select(F.col("node").alias("sig"), F.col("component").alias("coarse")).unionByName(coarse.select(F.col("component").alias("sig"), F.col("component").alias("coarse")).distinct())
-    wanted = nodes.join(members, "sig").select("id", "text_hash", "sig", "coarse")
-    found = texts.withColumn("text_hash", F.xxhash64("text")).join(wanted, ["id", "text_hash"]).select("coarse", "sig", "text")
-    exact = checkpointed(found.repartition("coarse").sortWithinPartitions("coarse").mapInArrow(compare, "node long, exact long"))
-    groups = described.select("id", "text_hash", "sig").join(exact, F.col("sig") == F.col("node"), "left").select("id", "text_hash", F.coalesce("exact", "sig").alias("group"))
+    wanted = nodes.join(members, "sig").select("id", "text_hash", "sig", "coarse", "size")
+    shares = wanted.groupBy("coarse").agg(F.ceil(F.sum("size") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    placed = wanted.join(shares, "coarse").withColumn("chunk", F.pmod(F.xxhash64("sig"), "chunks").cast("int"))
+    found = texts.withColumn("text_hash", F.xxhash64("text")).join(placed.drop("size"), ["id", "text_hash"])
+    found = written(found.select("coarse", "chunks", "chunk", "sig", "text"), "similar-members")
+
+    def links(rows: DataFrame) -> DataFrame:
+        return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "src long, dst long"))
+
+    # a coarse component is named by its least member, which goes along with every chunk
+    everywhere = F.when(F.col("sig") == F.col("coarse"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
+    near = links(found.withColumn("part", F.explode(everywhere)).select(F.xxhash64("coarse", "part").alias("unit"), "sig", "text"))
+    if found.where("chunks > 1").head(1):
+        large = found.where("chunks > 1")
+        reached = connected_components(near)
+        known = large.select("coarse", "chunks", "sig").join(reached, F.col("sig") == F.col("node"), "left").withColumn("group", F.coalesce("component", "sig"))
+        main = known.where("sig = coarse").select("coarse", F.col("group").alias("main"))
+        strays = known.join(main, "coarse").where("group <> main").select("coarse", "chunks", "sig")
+        blocks = F.xxhash64("coarse", F.pmod(F.xxhash64("sig", F.lit(1)), "chunks"))
+        met_by = strays.withColumn("block", blocks).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        again = large.select("coarse", F.col("chunk").alias("part"), F.col("sig"), "text")
+        units = met_by.select("coarse", "part", "block").distinct()
+        first = met_by.join(large.select("sig", "text"), "sig").select(F.xxhash64("block", "part").alias("unit"), "sig", "text")
+        second = again.join(units, ["coarse", "part"]).select(F.xxhash64("block", "part").alias("unit"), "sig", "text")
+        near = near.unionByName(links(first.unionByName(second)))
+    exact = connected_components(near)
+    groups = described.select("id", "text_hash", "sig").join(exact, F.col("sig") == F.col("node"), "left").select("id", "text_hash", F.coalesce("component", "sig").alias("group"))
     least = groups.groupBy("group").agg(F.min("id").alias("least_id"))
     return groups.join(least, "group").select("id", "text_hash", "least_id")
 

@@ -49,18 +49,15 @@ def fingerprint(text: bytes, shingle_words: int, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def simhash_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, seed: int = 42, both: bool = False) -> DataFrame:
-    """(id, fp, fp2) for each document; fp holds the bits of the unsigned fingerprint, fp2 those of a second one from the
-    next seed if ``both``, else zero."""
+def simhash_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, seed: int = 42) -> DataFrame:
+    """(id, fp) for each document; fp holds the bits of the unsigned fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
-            first = np.array([fingerprint(t, shingle_words, seed) for t in texts], np.uint64)
-            second = np.array([fingerprint(t, shingle_words, seed + 1) for t in texts], np.uint64) if both else np.zeros(len(texts), np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(first.view(np.int64)), pa.array(second.view(np.int64))], names=["id", "fp", "fp2"])
+            found = np.array([fingerprint(t.as_py() or b"", shingle_words, seed) for t in b.column(1).cast(pa.binary())], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, fp long, fp2 long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, fp long")
 
 
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -155,23 +152,14 @@ def _local_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[label[own]]
 
 
-def _near(fp: np.ndarray, fp2: np.ndarray, a: np.ndarray | slice, b: np.ndarray | int, distance: int, limit: int) -> np.ndarray:
-    """Whether the first fingerprints differ by ``distance`` bits at most and both together by ``limit``."""
-    first = np.bitwise_count(fp[a] ^ fp[b])
-    near = first <= distance
-    if limit > distance:
-        near &= first + np.bitwise_count(fp2[a] ^ fp2[b]) <= limit
-    return near
-
-
-def _grow(fp: np.ndarray, fp2: np.ndarray, rep: np.ndarray, distance: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def _grow(fp: np.ndarray, rep: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that span the groups of one large bucket: each step compares one fingerprint with those not yet reached."""
     left, a, b = np.arange(len(fp)), [], []
     while len(left):
         todo, left = [left[0]], left[1:]
         while todo and len(left):
             at = todo.pop()
-            near = _near(fp, fp2, left, at, distance, limit)
+            near = np.bitwise_count(fp[left] ^ fp[at]) <= distance
             if near.any():
                 hit, left = left[near], left[~near]
                 todo.extend(hit.tolist())
@@ -181,78 +169,63 @@ def _grow(fp: np.ndarray, fp2: np.ndarray, rep: np.ndarray, distance: int, limit
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def _verify(key: np.ndarray, rep: np.ndarray, fp: np.ndarray, fp2: np.ndarray, distance: int, limit: int, large: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def _verify(key: np.ndarray, rep: np.ndarray, fp: np.ndarray, distance: int, large: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Links within whole buckets, sorted by key."""
     head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     size = np.diff(np.append(head, len(key)))
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     small = np.repeat(size <= large, size)
-    k, r, f, f2 = key[small], rep[small], fp[small], fp2[small]
+    k, r, f = key[small], rep[small], fp[small]
     for step in range(1, int(size[size <= large].max(initial=1))):
         same = np.flatnonzero(k[step:] == k[:-step])
-        near = same[_near(f, f2, same, same + step, distance, limit)]
+        near = same[np.bitwise_count(f[same] ^ f[same + step]) <= distance]
         a.append(r[near])
         b.append(r[near + step])
     for h, n in zip(head[size > large], size[size > large], strict=True):
-        x, y = _grow(fp[h : h + n], fp2[h : h + n], rep[h : h + n], distance, limit)
+        x, y = _grow(fp[h : h + n], rep[h : h + n], distance)
         a.append(x)
         b.append(y)
     return _local_stars(np.concatenate(a), np.concatenate(b))
 
 
-def near_fingerprint_links(reps: DataFrame, distance: int, limit: int | None = None) -> DataFrame:
-    """(src, dst) links that connect the same groups as all pairs of ``reps`` (fp, fp2, rep) within the distance.
-
-    With ``limit`` a pair must also differ in at most that many bits of fp and fp2 together.
-    """
+def near_fingerprint_links(reps: DataFrame, distance: int) -> DataFrame:
+    """(src, dst) links that connect the same groups as all pairs of ``reps`` (fp, rep) within the distance."""
     n, together = bit_counts(reps)
     masks = _masks(allocate(n, together, distance))
-    limit = distance if limit is None else limit
     salts = np.arange(len(masks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    schema = "key long, rep long, fp long, fp2 long"
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column(1).to_numpy().view(np.uint64)
             for i, mask in enumerate(masks):
                 key = mix((fp & mask) + salts[i]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "rep", "fp", "fp2"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "rep", "fp"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # buckets come in order of key; the last one of a batch may go on in the next
-        rest = [np.zeros(0, np.int64)] * 4
+        rest = [np.zeros(0, np.int64)] * 3
         for b in itertools.chain(batches, [None]):
             rows = rest if b is None else [np.concatenate([r, b.column(i).to_numpy()]) for i, r in enumerate(rest)]
             cut = len(rows[0]) if b is None or not len(rows[0]) else int(np.searchsorted(rows[0], rows[0][-1]))
             rest = [r[cut:] for r in rows]
             if cut:
-                key, rep, fp, fp2 = (r[:cut] for r in rows)
-                src, dst = _verify(key, rep, fp.view(np.uint64), fp2.view(np.uint64), distance, limit)
+                key, rep, fp = (r[:cut] for r in rows)
+                src, dst = _verify(key, rep, fp.view(np.uint64), distance)
                 yield pa.RecordBatch.from_pydict({"src": src, "dst": dst})
 
-    return reps.select("rep", "fp", "fp2").mapInArrow(probe, schema).repartition("key").sortWithinPartitions("key").mapInArrow(verify, "src long, dst long")
+    return reps.select("rep", "fp").mapInArrow(probe, "key long, rep long, fp long").repartition("key").sortWithinPartitions("key").mapInArrow(verify, "src long, dst long")
 
 
-def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, distance: int = 4, limit: int | None = None, seed: int = 42) -> DataFrame:
+def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, distance: int = 4, seed: int = 42) -> DataFrame:
     """One row per document: ``id_col``, ``fingerprint`` (16 hex digits), ``component_id`` (least id reachable over links).
 
     Letters A-Z are lower-cased, a shingle is ``shingle_words`` words joined by a space, shorter texts are one shingle and
-    texts without words, null or empty, have fingerprint zero and link like any other. Repeated rows give repeated rows. A row with a null id has its own
-    fingerprint and a null component unless a document with an id shares or nears its fingerprint. An empty table gives
-    an empty result. Other columns are not looked at.
-
-    ``limit`` allows a wide ``distance`` without false links: a pair is verified over 128 bits, of which it may differ in
-    ``limit``. Texts of Jaccard similarity 0.8 differ in 20 of 128 on average.
+    texts without words, null or empty, have fingerprint zero and link like any other. Repeated rows give repeated rows. A
+    row with a null id has its own fingerprint and a null component unless a document with an id shares or nears its
+    fingerprint. An empty table gives an empty result. Other columns are not looked at.
     """
-    fps = checkpointed(simhash_fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, seed=seed, both=limit is not None))
-    reps = checkpointed(fps.where("id is not null").groupBy("fp", "fp2").agg(F.min("id").alias("rep")))
-    stars = connected_components(near_fingerprint_links(reps, distance, limit))
-    groups = reps.join(stars, reps["rep"] == stars["node"], "left").select("fp", "fp2", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(groups, ["fp", "fp2"], "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` without those whose group holds a smaller id, columns unchanged. Rows with a null id stay."""
-    groups = simhash_components(docs, id_col=id_col, **options)
-    extra = groups.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).cast("long").alias("extra_id")).distinct()
-    return docs.join(extra, docs[id_col].cast("long") == extra["extra_id"], "left_anti")
+    fps = checkpointed(simhash_fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, seed=seed))
+    reps = checkpointed(fps.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")))
+    stars = connected_components(near_fingerprint_links(reps, distance))
+    groups = reps.join(stars, reps["rep"] == stars["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    return fps.join(groups, "fp", "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; a local one only where the setting is unset, as in tests."""
+    """The session's shared folder. Where none is set a local session gets a temporary one; on a cluster it is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="listwell-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

@@ -81,3 +81,19 @@ def test_odd_rows(spark, empty):
     docs = near(spark, [] if empty else rows)
     kept = sorted((str(r.doc_id), r.text) for r in one_of_each_similar(docs).collect())
     assert kept == ([] if empty else [("1", None), ("3", "a b c d e f"), ("4", "other words that stand all alone here"), ("9", "zz"), ("None", "a b c d e f")])
+
+
+def test_components_too_large_for_a_task(spark, monkeypatch):
+    """Chunks of few shingles: groups that only members of other chunks join are found all the same."""
+    monkeypatch.setattr("listwell.llm.jaccard.CHUNK_SHINGLES", 700)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    rows, now = [], list(base)
+    for i in range(40):  # a chain: each is near the one before, the ends are far apart
+        now = list(now)
+        now[(i * 7) % 120] = f"c{i}"
+        rows.append((i, " ".join(now)))
+    rows += [(100 + i, edited(rng, base, rng.randrange(4))) for i in range(60)]
+    rng.shuffle(rows)
+    got = {r.id: r.least_id for r in jaccard_components(near(spark, rows)).collect()}
+    assert got == brute(rows)

@@ -3,10 +3,9 @@ import math
 import corpus_pipeline
 from listwell.llm.mixing import with_copies
 from listwell.llm.quality import fit_quality_model, quality_report
-from listwell.llm.simhash import fingerprint
 
+from .test_jaccard import brute as similar
 from .test_packing import check
-from .test_simhash import brute_components
 from .test_substring_dedup import brute
 
 SF = "/root/testdata/sf0.01"
@@ -25,8 +24,7 @@ def test_each_stage_against_brute_force(spark, tmp_path):
     kept = {r.doc_id for r in quality_report(source, model).collect() if r.kept}
     by_id = lambda rows: sorted(rows, key=lambda r: r["doc_id"])
     assert by_id(good) == by_id(r for r in start if r["doc_id"] in kept) and len(good) < len(start)
-    first, second = ({r["doc_id"]: fingerprint(r["text"].encode(), 5, s) for r in good} for s in (42, 43))
-    groups = brute_components(first, 12, lambda a, b: (first[a] ^ first[b]).bit_count() + (second[a] ^ second[b]).bit_count() <= 22)
+    groups = similar([(r["doc_id"], r["text"]) for r in good])
     assert by_id(distinct) == by_id(r for r in good if groups[r["doc_id"]] == r["doc_id"]) and len(distinct) < len(good)
     want = brute([(r["doc_id"], r["text"]) for r in distinct])
     assert {r["doc_id"] for r in cut} == {i for i, (n, gone, _) in want.items() if gone < n}
