@@ -10,7 +10,9 @@ TRUE_WORDS, FALSE_WORDS = ("true", "t", "yes"), ("false", "f", "no")
 INTEGER = r"^[+-]?[0-9]+$"
 NUMBER = r"^\s*[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+WEEK_DAY = r"^([0-9]{4})(-?)W([0-9]{2})(?:\2([1-7]))?$"
+COMPACT_DAY = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
+MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
 
 #: In the order of preference; the text type takes what no other does.
 ORDER = ("boolean", "bigint", "double", "date", "timestamp_ntz")
@@ -37,36 +39,58 @@ def as_double(value: Column) -> Column:
     return F.when(F.abs(number) < float("inf"), number)
 
 
+def _week_date(value: Column) -> Column:
+    """The day of an ISO week date: the Monday of the week that holds 4 January, and on from there."""
+    part = lambda i: F.regexp_extract(value, WEEK_DAY, i).try_cast("int")
+    first = F.date_trunc("week", F.concat(F.regexp_extract(value, WEEK_DAY, 1), F.lit("-01-04")).try_cast("date")).cast("date")
+    day = F.date_add(first, 7 * (part(3) - 1) + F.coalesce(part(4), F.lit(1)) - 1)
+    # a week that its year doesn't have is no date
+    return F.when(F.weekofyear(day) == part(3), day)
+
+
 def as_date(value: Column) -> Column:
-    return F.when(value.rlike(DAY), value.try_cast("date"))
+    """ISO dates: 2020-01-31, 20200131, 2020-W05-5."""
+    compact = F.regexp_replace(value, COMPACT_DAY, "$1-$2-$3").try_cast("date")
+    return F.when(value.rlike(DAY), value.try_cast("date")).when(value.rlike(COMPACT_DAY), compact).when(value.rlike(WEEK_DAY), _week_date(value))
 
 
 def as_timestamp(value: Column) -> Column:
-    """Full ISO date with an optional time; the wall clock of a zoned time is kept and its zone dropped."""
-    plain = F.replace(F.regexp_replace(value, r"(Z|[+-][0-9]{2}:?[0-9]{2})$", ""), F.lit(","), F.lit("."))
-    whole = F.when(value.rlike(DAY), value).otherwise(plain)
-    return F.when(value.rlike(MOMENT), whole.try_cast("timestamp_ntz"))
+    """ISO date with an optional time, whole hours included; the wall clock of a zoned time is kept and its zone dropped."""
+    plain = F.replace(F.regexp_replace(value, r"(?<=[T ][0-9:.,]{2,15})(Z|[+-][0-9]{2}:?[0-9]{2})$", ""), F.lit(","), F.lit("."))
+    whole = F.when(plain.rlike(r"[T ][0-9]{2}$"), F.concat(plain, F.lit(":00"))).otherwise(plain)
+    return F.when(value.rlike(MOMENT), whole.try_cast("timestamp_ntz")).otherwise(as_date(value).cast("timestamp_ntz"))
 
 
 CASTS = {"boolean": as_boolean, "bigint": as_bigint, "double": as_double, "date": as_date, "timestamp_ntz": as_timestamp, TEXT: lambda value: value}
 
 
+def fitting_types(value: Column) -> Column:
+    """Bit set of the types in ``ORDER`` that a value fits: each value takes one branch, chosen by its look."""
+    bit = {t: 1 << i for i, t in enumerate(ORDER)}
+    number = F.when(as_double(value).isNotNull(), bit["double"]).otherwise(0)
+    day = F.when(as_date(value).isNotNull(), bit["date"] | bit["timestamp_ntz"]).otherwise(0)
+    whole = F.when(as_bigint(value).isNotNull(), bit["bigint"]).otherwise(0)
+    return (
+        F.when(value.rlike(COMPACT_DAY), whole.bitwiseOR(number).bitwiseOR(day))
+        .when(value.rlike(INTEGER), whole.bitwiseOR(number))
+        .when(value.rlike(NUMBER), number)
+        .when(value.rlike(DAY) | value.rlike(WEEK_DAY), day)
+        .when(value.rlike(MOMENT), F.when(as_timestamp(value).isNotNull(), bit["timestamp_ntz"]).otherwise(0))
+        .when(as_boolean(value).isNotNull(), bit["boolean"])
+        .otherwise(0)
+    )
+
+
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
     """The first type in ``ORDER`` that all filled values of a column have, text if none or if the column is empty.
 
-    One aggregation answers for all columns and types over every row: text / values counts, never the rows themselves.
+    One aggregation over every row: the intersection of the values' bit sets, one number for each column.
     """
     columns = columns if columns is not None else df.columns
     if not columns:
         return {}
-    aggregates = []
-    for i, c in enumerate(columns):
-        value = filled(F.col(f"`{c}`"))
-        aggregates.append(F.count(value).alias(f"n_{i}"))
-        aggregates += [F.count(CASTS[t](value)).alias(f"{t}_{i}") for t in ORDER]
-    row = df.agg(*aggregates).first()
-    pick = lambda i: next((t for t in ORDER if row[f"n_{i}"] and row[f"{t}_{i}"] == row[f"n_{i}"]), TEXT)
-    return {c: pick(i) for i, c in enumerate(columns)}
+    row = df.agg(*(F.bit_and(F.when(filled(F.col(f"`{c}`")).isNotNull(), fitting_types(F.col(f"`{c}`")))).alias(f"t_{i}") for i, c in enumerate(columns))).first()
+    return {c: next((t for k, t in enumerate(ORDER) if (row[i] or 0) >> k & 1), TEXT) for i, c in enumerate(columns)}
 
 
 def coerce(value: Column, kind: str) -> tuple[Column, Column]:

@@ -21,12 +21,16 @@ def clean_name(raw: str | None) -> str:
 
 def clean_names(raw: Sequence[str | None]) -> list[str]:
     """Unique clean names in order: an empty one becomes ``col_<position>``, a taken one gets ``_2``, ``_3``, ..."""
-    taken: list[str] = []
+    taken: dict[str, int] = {}
     for at, name in enumerate(raw):
         base = clean_name(name) or f"col_{at}"
-        options = [base, *(f"{base}_{k}" for k in range(2, len(taken) + 3))]
-        taken.append(next(o for o in options if o not in taken))
-    return taken
+        unique, k = base, taken.get(base, 0) + 1
+        while unique in taken:
+            k += 1
+            unique = f"{base}_{k}"
+        taken[base] = max(k - 1, taken.get(base, 0))
+        taken[unique] = taken.get(unique, 0)
+    return list(taken)
 
 
 def with_clean_names(df: DataFrame) -> DataFrame:

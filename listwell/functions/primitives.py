@@ -106,7 +106,7 @@ def unit_convert(value: Column, source: str, target: str) -> Checked:
     """Decimal times the factor, two places; an unknown pair is an error of the mapping."""
     if (source, target) not in UNIT_FACTORS:
         raise ValueError(f"unknown unit conversion {source} -> {target}")
-    exact = (value.cast("decimal(24,2)") * F.lit(UNIT_FACTORS[source, target]).cast("decimal(10,0)")).try_cast("decimal(34,2)")
+    exact = (value.try_cast("decimal(24,2)") * F.lit(UNIT_FACTORS[source, target]).cast("decimal(10,0)")).try_cast("decimal(34,2)")
     return _cast(value, exact)
 
 
@@ -136,8 +136,15 @@ def fields_text(fields: dict[str, Column]) -> Column:
     return F.concat_ws(";", *(F.concat(F.lit(f"{k}="), F.coalesce(fields[k].cast("string"), F.lit("None"))) for k in sorted(fields)))
 
 
+def _beginning(text: Column, size: int) -> Column:
+    """The first ``size`` bytes of a text, up to a whole character."""
+    raw = F.encode(text, "UTF-8")
+    cut = [F.substring(raw, F.lit(1), F.lit(max(0, size - k))) for k in range(4)]
+    return F.coalesce(*(F.when(F.is_valid_utf8(c.cast("string")), F.decode(c, "UTF-8")) for c in cut))
+
+
 def record_json(columns: list[str], limit: int = 200_000) -> Column:
-    """The row as JSON with nulls; a longer one is replaced by its size and beginning, still valid JSON."""
+    """The row as JSON with nulls; one of more bytes is replaced by its size and its first ``limit`` - 128 bytes, still valid JSON."""
     text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in columns)), {"ignoreNullFields": "false"})
-    short = F.to_json(F.struct(F.lit(True).alias("_truncated"), F.octet_length(text).alias("_original_bytes"), F.substring(text, 1, 1000).alias("_prefix")))
+    short = F.to_json(F.struct(F.lit(True).alias("_truncated"), F.octet_length(text).alias("_original_bytes"), _beginning(text, max(0, limit - 128)).alias("_prefix")))
     return F.when(F.octet_length(text) > limit, short).otherwise(text)

@@ -21,6 +21,12 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Drop a folder of intermediate files."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def json_line(df: DataFrame) -> Column:
     """A row as JSON with nulls; decimals as text, dates and times in ISO form."""
     return F.to_json(F.struct(*((F.col(f"`{n}`").cast("string") if t.startswith("decimal") else F.col(f"`{n}`")).alias(n) for n, t in df.dtypes)), {"ignoreNullFields": "false"})

@@ -14,7 +14,7 @@ from ..functions import primitives as P
 from ..functions.schemas import simple_schema
 from .rows import REASON
 
-#: The typed model of a listing. Service columns follow the mapped ones.
+# The typed model of a listing. Service columns follow the mapped ones.
 LISTING = simple_schema(
     "id string, source string, external_id string, price_rub decimal(12,2), area_m2 decimal(8,2), rooms bigint, floor bigint, floors_total bigint, "
     "metro_minutes bigint, address string, district string, style string, renovation_style string, has_renovation boolean, has_furniture boolean, "
@@ -24,7 +24,6 @@ LISTING = simple_schema(
 KEY = ("source", "external_id")
 MANDATORY = ("price_rub", "area_m2")
 MAPPABLE = tuple(f.name for f in LISTING if not f.name.startswith("_") and f.name not in ("id", *KEY))
-_STEPS = {"input", "regex_replace", "regex_extract", "enum_map", "cast", "unit_convert", "default"}
 
 
 class MappingError(ValueError):
@@ -42,6 +41,10 @@ class Field:
     default: object = None
 
 
+#: Names of the steps that a field may have.
+_STEPS = frozenset(Field.__dataclass_fields__)
+
+
 @dataclass(frozen=True)
 class Mapping:
     fields: dict[str, Field]
@@ -62,18 +65,25 @@ def _pair(spec: dict, step: str, first: str, second: str) -> tuple[str, str] | N
 
 
 def parse_mapping(text: str, mappable: tuple[str, ...] = MAPPABLE) -> Mapping:
-    """A mapping from TOML; unknown fields, steps, casts and units are errors."""
-    config = tomllib.loads(text)
+    """A mapping from TOML; text that is none, no fields at all, unknown fields, steps, casts and units are errors."""
+    try:
+        config = tomllib.loads(text)
+    except tomllib.TOMLDecodeError as e:
+        raise MappingError(f"not valid TOML: {e}") from e
     fields = {}
-    for name, spec in config.get("fields", {}).items():
+    if not isinstance(config.get("fields"), dict) or not config["fields"]:
+        raise MappingError("the mapping has no fields")
+    for name, spec in config["fields"].items():
+        if not isinstance(spec, dict):
+            raise MappingError(f"field {name}: not a table")
         if name not in mappable:
             raise MappingError(f"unknown field {name}")
         if extra := set(spec) - _STEPS:
             raise MappingError(f"field {name}: unknown step {sorted(extra)}")
         if spec.get("cast", "varchar") not in P.CASTS:
             raise MappingError(f"field {name}: unknown cast {spec['cast']}")
-        if "enum_map" in spec and not isinstance(spec["enum_map"], dict):
-            raise MappingError(f"field {name}: enum_map must be a table")
+        if "enum_map" in spec and not (isinstance(spec["enum_map"], dict) and spec["enum_map"]):
+            raise MappingError(f"field {name}: enum_map must be a table with entries")
         extract = spec.get("regex_extract")
         extract = extract.get("pattern") if isinstance(extract, dict) else extract
         one = Field(spec.get("input"), _pair(spec, "regex_replace", "pattern", "replacement"), extract, spec.get("enum_map"), spec.get("cast", "varchar"), _pair(spec, "unit_convert", "from", "to"), spec.get("default"))
@@ -105,11 +115,13 @@ def field_value(name: str, spec: Field, raw: Column, kind: str) -> tuple[Column,
         value = step(P.regex_extract(value, spec.regex_extract), "value too long for a pattern")
     value = step(P.enum_map(value, spec.enum_map), "not in dictionary") if spec.enum_map is not None else step(P.CASTS[spec.cast](value), f"not a {spec.cast}")
     if spec.unit_convert:
-        value = step(P.unit_convert(value, *spec.unit_convert), "unit conversion overflows")
+        value = step(P.unit_convert(value, *spec.unit_convert), "not a number, or too large once converted")
     if spec.default is not None:
-        value = F.coalesce(value, F.lit(spec.default).cast(kind) if spec.cast != "decimal" else F.lit(str(spec.default)).cast("decimal(38,2)"))
+        value = F.coalesce(value, F.lit(spec.default).try_cast(kind) if spec.cast != "decimal" else F.lit(str(spec.default)).cast("decimal(38,2)"))
     if name in P.SANITY:
-        step((value, ~P.in_range(name, value.cast("decimal(38,2)"))), "outside sanity range")
+        number = value.try_cast("decimal(38,2)")
+        step((number, value.isNotNull() & number.isNull()), "not a number")
+        step((value, ~P.in_range(name, number)), "outside sanity range")
     fitted = value.try_cast(kind)
     step((fitted, value.isNotNull() & fitted.isNull()), "outside the range of its type")
     return fitted, F.coalesce(*reasons)

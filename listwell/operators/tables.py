@@ -21,11 +21,15 @@ class VersionedTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
     def _versions(self) -> dict[str, list[int]]:
-        """Committed versions of each part: names in a folder, no data."""
-        pattern = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/part=*/v*/_SUCCESS")
+        """Committed versions of each part."""
+        return self._found("/_SUCCESS")
+
+    def _found(self, marker: str = "") -> dict[str, list[int]]:
+        """Versions of each part that have ``marker``: names in a folder, no data."""
+        pattern = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/part=*/v*{marker}")
         found: dict[str, list[int]] = {}
         for status in pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []:
-            part, version = re.search(r"/part=([^/]*)/v(\d+)/_SUCCESS$", status.getPath().toUri().getRawPath()).groups()
+            part, version = re.search(rf"/part=([^/]*)/v(\d+){marker}$", status.getPath().toUri().getRawPath()).groups()
             found.setdefault(unquote(unquote(part)), []).append(int(version))
         return found
 
@@ -43,8 +47,11 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def publish(self, df: DataFrame, part: str = "all") -> Snapshot:
-        """Write ``df`` as the next version of a part; versions are never overwritten."""
-        version = max(self._versions().get(part, [0])) + 1
+        """Write ``df`` as the next version of a part; versions are never overwritten.
+
+        The number follows that of every folder there is, so one that a failed write left behind is in nobody's way.
+        """
+        version = max(self._found().get(part, [0])) + 1
         df.select(*(df[c.name].cast(c.dataType).alias(c.name) for c in self.schema)).write.mode("errorifexists").parquet(self._path(part, version))
         return {part: version}
 

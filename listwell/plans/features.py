@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .marts import price_per_area
 
+# The columns of the feature table, in their order.
 FEATURES = (
     "id", "source", "external_id", "price_rub", "area_m2", "price_per_m2", "rooms", "floor", "floors_total", "metro_minutes", "floor_ratio", "district", "style", "renovation_style",
     "has_renovation", "has_furniture", "listed_at", "photo_urls", "ceiling_height_m", "wall_material", "year_built", "is_loft", "_silver_snapshot_id", "_source_transform_run_id", "_gold_run_id", "_computed_at",

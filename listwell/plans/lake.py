@@ -6,8 +6,10 @@ each file), schemas and counts.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections import defaultdict
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +18,12 @@ from ..functions.inference import TEXT, coerce, infer_types
 from ..functions.names import clean_name
 from ..operators import mapping as M
 from ..operators import rows as R
-from ..operators.export import export_dataset
+from ..operators.export import delete_folder, export_dataset, folder_names
 from ..operators.quarantine import Quarantine, reject_rows
 from ..operators.runlog import DONE_INGEST, DONE_TRANSFORM, RunLog, latest_status, stale_sources, status_of, utc_now
 from ..operators.schema import aligned, merged_schema
 from ..operators.tables import VersionedTable, snapshot_id
+from ..session import SETTINGS
 from ..sources import manifest as FM
 from ..sources import readers as SR
 from .features import TARGET, feature_table
@@ -29,11 +32,36 @@ from .marts import MARTS
 SERVICE = ("_run_id", "_content_hash", "_source_file", "_ingested_at", "_row_ordinal")
 
 
+#: Session settings without which old charsets aren't read and content hashes can be taken for numbers.
+NEEDED = ("spark.sql.legacy.javaCharsets", "spark.sql.sources.partitionColumnTypeInference.enabled")
+#: Files of one load whose names are broadcast; more are joined by shuffle.
+BROADCAST_FILES = 100_000
+#: Pending files of a source that a scan names one by one, so that only their partitions are read.
+PRUNED_FILES = 10_000
+
+
+@contextlib.contextmanager
+def isolated(outcome: dict[str, dict], hashes: list[str]) -> Iterator[None]:
+    """An error is noted for the files concerned, and the work goes on."""
+    try:
+        yield
+    except Exception as e:  # noqa: BLE001 - whatever it is, it is this unit's record
+        for h in hashes:
+            outcome[h]["error"] = outcome[h]["error"] or error_text(e)
+
+
+def error_text(e: Exception, limit: int = 2000) -> str:
+    """The kind of an error and the beginning of what it says, for the run log."""
+    return f"{type(e).__name__}: {e}"[:limit]
+
+
 class Lake:
     """Folders of one lake under ``root``: bronze, silver, gold, quarantine, ops, datasets."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        for key in NEEDED:
+            spark.conf.set(key, SETTINGS[key])
         self.log = RunLog(spark, f"{self.root}/ops/pipeline_runs")
         self.quarantine = Quarantine(spark, f"{self.root}/quarantine")
         self.silver = VersionedTable(spark, f"{self.root}/silver/listings", M.LISTING)
@@ -44,8 +72,6 @@ class Lake:
         return f"{self.root}/bronze/{source}"
 
     def bronze_sources(self) -> list[str]:
-        from ..operators.export import folder_names
-
         return sorted(folder_names(self.spark, f"{self.root}/bronze"))
 
     def _bronze_schema(self, source: str):
@@ -57,10 +83,12 @@ class Lake:
         df = self.spark.read.option("mergeSchema", "true").parquet(self._bronze_path(source))
         return df if hashes is None else df.where(F.col("_content_hash").isin(hashes))
 
-    def ingest(self, paths: list[str], *, max_file_bytes: int = FM.MAX_FILE_BYTES, max_field_bytes: int = 200_000, infer_rows: int = 5_000, archive: bool = True) -> dict[str, str]:
+    def ingest(self, paths: list[str], *, source: str | None = None, max_file_bytes: int = FM.MAX_FILE_BYTES, max_field_bytes: int = 200_000, infer_rows: int | None = None, archive: bool = True, json_lines: bool = False) -> dict[str, str]:
         """Take in files; returns file name -> status. A file seen before by content is skipped, a failed or partial one replayed.
 
-        Types come from the first ``infer_rows`` rows of a source; later values that don't fit are rejects.
+        All files go to the one ``source`` if it is named, else each to that of its name. A new column gets the first type
+        that all its values have; ``infer_rows`` looks at the first rows only, in the order of file and row, so that later
+        values that don't fit are rejects. ``json_lines`` says that files named .json hold a record a line too. Whatever goes wrong with one source is its record's error and leaves the others alone.
         """
         run_id, started = uuid.uuid4().hex, utc_now()
         files = FM.with_dialect(FM.file_manifest(self.spark, paths, max_bytes=max_file_bytes)).withColumn("refusal", FM.refusal(max_file_bytes)).drop("head")
@@ -77,19 +105,23 @@ class Lake:
             else:
                 taken.add(f.content_hash)
                 work.append(f)
-        if archive and work:
-            FM.archive_raw(self.spark, [f.path for f in work], f"{self.root}/raw")
         outcome: dict[str, dict] = {f.content_hash: {"ok": 0, "bad": 0, "tables": set(), "error": None} for f in work}
-        for source, raw, hashes in self._sources(work, outcome):
-            try:
-                for h, ok, bad in self._load(source, raw, {f.path: f for f in work if f.content_hash in hashes}, run_id, started, max_field_bytes, infer_rows):
-                    outcome[h]["ok"] += ok
-                    outcome[h]["bad"] += bad
-                for h in hashes:
-                    outcome[h]["tables"].add(source)
-            except ValueError as e:
-                for h in hashes:
-                    outcome[h]["error"] = str(e)
+        groups: dict[tuple, list] = defaultdict(list)
+        for f in work:
+            stem = clean_name(source or f.name.rsplit(".", 1)[0]) or "source"
+            groups[(f.suffix, stem, f.encoding, f.delimiter, f.header) if f.suffix == "csv" else (f.suffix, stem)].append(f)
+        with isolated(outcome, list(outcome)):
+            if archive and work:
+                FM.archive_raw(self.spark, [f.path for f in work], f"{self.root}/raw")
+            for kind, members in groups.items():
+                with isolated(outcome, [f.content_hash for f in members]):
+                    for name, raw, hashes in self._tables(kind, members, outcome, json_lines):
+                        with isolated(outcome, hashes):
+                            for h, ok, bad in self._load(name, raw, [f for f in members if f.content_hash in hashes], run_id, started, max_field_bytes, infer_rows):
+                                outcome[h]["ok"] += ok
+                                outcome[h]["bad"] += bad
+                            for h in hashes:
+                                outcome[h]["tables"].add(name)
         for f in work:
             o = outcome[f.content_hash]
             records.append(base(f) | {"target_table": ",".join(sorted(o["tables"])), "rows_ok": o["ok"], "rows_quarantined": o["bad"], "status": status_of(o["bad"], o["error"]), "error_message": o["error"]})
@@ -100,49 +132,46 @@ class Lake:
         now = utc_now()
         self.log.append([r | {"finished_at": now} for r in records])
 
-    def _sources(self, work: list, outcome: dict):
-        """(source, text rows, content hashes) of all logical tables: files of one dialect and header share a scan."""
-        groups: dict[tuple, list] = defaultdict(list)
-        for f in work:
-            stem = clean_name(f.name.rsplit(".", 1)[0]) or "source"
-            key = (f.suffix, stem, f.encoding, f.delimiter, f.header_line) if f.suffix == "csv" else (f.suffix, stem)
-            groups[key].append(f)
-        for (suffix, stem, *dialect), files in groups.items():
-            paths, hashes = [f.path for f in files], [f.content_hash for f in files]
-            if suffix == "csv":
-                encoding, delimiter, line = dialect
-                yield stem, SR.read_csv(self.spark, paths, SR.header_names(line, delimiter), delimiter=delimiter, encoding=encoding), hashes
-            elif suffix == "xlsx":
-                books = SR.read_workbooks(self.spark, paths)
-                by_path = {f.path: f for f in files}
-                broken = {r[0] for r in books.where("sheet IS NULL").select(SR.FILE).distinct().collect()}
-                for p in broken:
+    def _tables(self, kind: tuple, files: list, outcome: dict, json_lines: bool):
+        """(source, text rows, content hashes) of the logical tables in files of one suffix, name, dialect and header."""
+        suffix, stem, *dialect = kind
+        suffix = "jsonl" if suffix == "json" and json_lines else suffix
+        paths, hashes = [f.path for f in files], [f.content_hash for f in files]
+        by_path = {SR.plain_path(f.path): f for f in files}
+        if suffix == "csv":
+            encoding, delimiter, header = dialect
+            yield stem, SR.read_csv(self.spark, paths, SR.header_names(header, delimiter), delimiter=delimiter, encoding=encoding), hashes
+        elif suffix == "xlsx":
+            # workbooks are parsed once; sheets are then read from the parsed rows
+            parsed = f"{self.root}/ops/workbooks/{uuid.uuid4().hex}"
+            SR.read_workbooks(self.spark, paths).write.parquet(parsed)
+            books = self.spark.read.parquet(parsed)
+            try:
+                for (p,) in books.where("sheet IS NULL").select(SR.FILE).distinct().collect():
                     outcome[by_path[p].content_hash]["error"] = "not a readable workbook"
-                for r in SR.sheet_headers(books).collect():  # a row for each sheet
+                for r in SR.sheet_headers(books).orderBy(SR.FILE, "sheet").collect():  # a row for each sheet
                     name = clean_name(f"{stem}_{r.sheet}") or stem
                     yield name, SR.sheet_table(books, r[SR.FILE], r.sheet, r.header_row, r.names), [by_path[r[SR.FILE]].content_hash]
-            else:
-                lines = suffix != "json"
-                broken = {r[0] for r in SR.broken_json_files(self.spark, paths, lines=lines).collect()}
-                good = []
-                for f in files:
-                    if any(b.endswith(f.path.split(":", 1)[-1].lstrip("/")) for b in broken):
-                        outcome[f.content_hash]["error"] = "a record is not a JSON object"
-                    else:
-                        good.append(f)
-                if good:
-                    yield stem, SR.read_json(self.spark, [f.path for f in good], lines=lines), [f.content_hash for f in good]
-
-    def _load(self, source: str, raw: DataFrame, files: dict, run_id: str, started, max_field_bytes: int, infer_rows: int) -> list[tuple[str, int, int]]:
+            finally:
+                delete_folder(self.spark, parsed)
+        else:
+            lines = suffix != "json"
+            broken = {r[0] for r in SR.broken_json_files(self.spark, paths, lines=lines).collect()}
+            for p in broken:
+                outcome[by_path[p].content_hash]["error"] = "a record is not a JSON object"
+            good = [f for p, f in by_path.items() if p not in broken]
+            if good:
+                yield stem, SR.read_json(self.spark, [f.path for f in good], lines=lines), [f.content_hash for f in good]
+
+    def _load(self, source: str, raw: DataFrame, files: list, run_id: str, started, max_field_bytes: int, infer_rows: int | None) -> list[tuple[str, int, int]]:
         """Type, split and write one source; returns (content hash, rows, rejects)."""
         columns = [c for c in raw.columns if c not in (SR.FILE, SR.ORDINAL)]
-        known = self.spark.createDataFrame([(p.split(":", 1)[-1].lstrip("/"), f.content_hash, f.name) for p, f in files.items()], "_p string, _content_hash string, _source_file string")
-        local = F.regexp_replace(F.regexp_replace(SR.FILE, "^[a-z0-9]+:", ""), "^/+", "")
-        rows = raw.join(F.broadcast(known), F.url_decode(local) == F.col("_p")) if len(files) > 1 else raw.crossJoin(F.broadcast(known))  # one row for each file of this load
-        rows = rows.drop("_p", SR.FILE).persist()
+        known = self.spark.createDataFrame([(SR.plain_path(f.path), f.content_hash, f.name) for f in files], "_p string, _content_hash string, _source_file string")
+        known = F.broadcast(known) if len(files) <= BROADCAST_FILES else known
+        rows = raw.join(known, F.col(SR.FILE) == F.col("_p")).drop("_p").persist()
         try:
             table = self._bronze_schema(source)
-            kinds = infer_types(rows.orderBy(SR.ORDINAL).limit(infer_rows), columns)
+            kinds = infer_types(rows if infer_rows is None else rows.orderBy(SR.FILE, SR.ORDINAL).limit(infer_rows), columns)
             if table is not None:
                 # the table's type is tried first: a value that doesn't fit it is a reject, unless the batch's own type conflicts
                 batch = self.spark.createDataFrame([], ", ".join(f"`{c}` {kinds[c]}" for c in columns)).schema
@@ -154,7 +183,7 @@ class Lake:
             for c in columns:
                 typed[c], failed = coerce(F.col(f"`{c}`"), kinds[c])
                 rules.append((failed, f"{c}: not a {kinds[c]}"))
-            judged = rows.withColumn(R.REASON, R.first_reason(rules))
+            judged = rows.drop(SR.FILE).withColumn(R.REASON, R.first_reason(rules))
             service = [F.lit(run_id).alias("_run_id"), "_source_file", F.lit(started).cast("timestamp_ntz").alias("_ingested_at"), SR.ORDINAL, "_content_hash"]
             valid = judged.where(F.col(R.REASON).isNull()).select(*(typed[c].alias(c) for c in columns), *service)
             if whole is not None:
@@ -171,6 +200,7 @@ class Lake:
     def transform(self, mappings: dict[str, str], *, source: str | None = None, reprocess: bool = False) -> dict[str, str]:
         """Normalise pending files of each source by its mapping text; returns source -> status.
 
+        Whatever goes wrong with one source is its record's error and leaves the others alone.
         A mapping that changed since the last run stops its source until it is reprocessed. Reprocessing recomputes a
         source from all its bronze rows and leaves other sources alone.
         """
@@ -186,14 +216,17 @@ class Lake:
                 records += [base | m for m in made]
                 states = {m["status"] for m in made}
                 result[s] = "partial" if "partial" in states else "success"
-            except M.MappingError as e:
-                records.append(base | {"status": "failed", "error_message": str(e)})
+            except Exception as e:  # noqa: BLE001 - whatever it is, it is this source's record
+                records.append(base | {"status": "failed", "error_message": error_text(e)})
                 result[s] = "failed"
         self._finish(records)
         return result
 
     def _transform_source(self, source: str, mapping: M.Mapping, run_id: str, reprocess: bool) -> list[dict]:
-        bronze = self.bronze(source)
+        schema = self._bronze_schema(source)
+        if schema is None:
+            raise M.MappingError(f"no such source: {source}")
+        bronze = self.spark.read.schema(schema).parquet(self._bronze_path(source))
         M.check_inputs(mapping, bronze.columns)
         log = self.log.read()
         if not reprocess and stale_sources(log, self.spark.createDataFrame([(source, mapping.fingerprint)], "source string, fingerprint string")).head(1):
@@ -201,7 +234,11 @@ class Lake:
         parts = bronze.select(F.col("_content_hash").alias("content_hash")).where("content_hash <> ''").distinct()
         done = latest_status(log.where((F.col("stage") == "transform") & (F.col("source_file") == source) & F.col("content_hash").isNotNull()), "content_hash").where(F.col("status").isin(*DONE_TRANSFORM))
         todo = parts if reprocess else R.pending(parts, done, ["content_hash"])
-        rows = bronze.join(todo, bronze["_content_hash"] == todo["content_hash"], "left_semi")
+        pending = [r[0] for r in todo.limit(PRUNED_FILES + 1).collect()]
+        if not pending:
+            return []
+        # few files are named, so that the scan reads their partitions alone
+        rows = bronze.where(F.col("_content_hash").isin(pending)) if len(pending) <= PRUNED_FILES else bronze.join(todo, bronze["_content_hash"] == todo["content_hash"], "left_semi")
         mapped = M.apply_mapping(rows, mapping, source, run_id=run_id, now=F.lit(utc_now()).cast("timestamp_ntz")).persist()
         try:
             good = mapped.where(F.col(R.REASON).isNull()).select("_listing.*", F.col("_row_ordinal"))
@@ -212,27 +249,36 @@ class Lake:
             merged = R.latest_wins(before, good, M.KEY, "_ingested_at", "_source_content_hash", "_row_ordinal")
             self.silver.publish(merged.drop("_change"), source)
             columns = [c for c in rows.columns if c not in SERVICE]
-            if reprocess:
-                self.quarantine.clear("silver", source)
             self.quarantine.put(reject_rows(mapped.where(F.col(R.REASON).isNotNull()), columns, layer="silver", source=source, run_id=run_id, now=F.lit(utc_now()).cast("timestamp_ntz")))
+            if reprocess:  # only after the new rejects are there
+                self.quarantine.clear("silver", source, [h for h, _, bad, _ in counts if not bad])
         finally:
             mapped.unpersist()
         return [{"content_hash": h, "rows_ok": keys, "rows_quarantined": bad, "rows_deduplicated": ok - keys, "schema_json": M.schema_json(mapping), "status": status_of(bad, None)} for h, ok, bad, keys in counts]
 
     # -- gold and export ---------------------------------------------------------------------------------------
 
-    def build_gold(self, only: list[str] | None = None) -> dict[str, int]:
-        """Rebuild marts and features from one pinned snapshot; returns table -> rows. A new version appears whole."""
+    def build_gold(self, only: list[str] | None = None, *, small_sample: int = 3) -> dict[str, int]:
+        """Rebuild marts and features from one pinned snapshot; returns table -> rows. A new version appears whole.
+
+        Style groups of fewer than ``small_sample`` listings are marked. A table that fails keeps its former version and gets a
+        failed record; the others are built.
+        """
         run_id, started, pinned, records, rows = uuid.uuid4().hex, utc_now(), self.silver.snapshot(), [], {}
         silver, now = self.silver.read(pinned), F.lit(started).cast("timestamp_ntz")
-        plans = {n: f(silver).withColumn("_computed_at", now).withColumn("_gold_run_id", F.lit(run_id)) for n, f in MARTS.items()}
+        options = {"mart_style_renovation_furniture": {"small_sample": small_sample}}
+        plans = {n: f(silver, **options.get(n, {})).withColumn("_computed_at", now).withColumn("_gold_run_id", F.lit(run_id)) for n, f in MARTS.items()}
         plans["features"] = feature_table(silver, snapshot=snapshot_id(pinned), run_id=run_id, now=now)
         for name, df in plans.items():
             if only and name not in only:
                 continue
-            table = VersionedTable(self.spark, f"{self.root}/gold/{name}", df.schema)
-            rows[name] = table.read(table.publish(df)).count()
-            records.append({"run_id": run_id, "stage": "gold", "started_at": started, "target_table": name, "rows_ok": rows[name], "rows_quarantined": 0, "status": "success"})
+            record = {"run_id": run_id, "stage": "gold", "started_at": started, "target_table": name, "rows_ok": 0, "rows_quarantined": 0}
+            try:
+                table = VersionedTable(self.spark, f"{self.root}/gold/{name}", df.schema)
+                rows[name] = table.read(table.publish(df)).count()
+                records.append(record | {"rows_ok": rows[name], "status": "success"})
+            except Exception as e:  # noqa: BLE001 - whatever it is, it is this table's record
+                records.append(record | {"status": "failed", "error_message": error_text(e)})
         self._finish(records)
         return rows
 
@@ -243,9 +289,14 @@ class Lake:
 
     def export(self, formats: tuple[str, ...] = ("parquet", "jsonl")) -> str:
         """Export the feature table as the next dataset version."""
-        started, features = utc_now(), self.gold("features")
-        version = export_dataset(features, f"{self.root}/datasets", target=TARGET, snapshot=snapshot_id(self.silver.snapshot()), formats=formats)
-        self._finish([{"run_id": uuid.uuid4().hex, "stage": "export", "started_at": started, "target_table": f"datasets/{version}", "rows_ok": features.count(), "rows_quarantined": 0, "status": "success"}])
+        started, record = utc_now(), {"run_id": uuid.uuid4().hex, "stage": "export", "rows_ok": 0, "rows_quarantined": 0}
+        try:
+            features = self.gold("features")
+            version = export_dataset(features, f"{self.root}/datasets", target=TARGET, snapshot=snapshot_id(self.silver.snapshot()), formats=formats)
+            self._finish([record | {"started_at": started, "target_table": f"datasets/{version}", "rows_ok": features.count(), "status": "success"}])
+        except Exception as e:
+            self._finish([record | {"started_at": started, "target_table": "datasets", "status": "failed", "error_message": error_text(e)}])
+            raise
         return version
 
 

@@ -12,6 +12,8 @@ MAX_FILE_BYTES = 500 * 1024 * 1024
 SAMPLE_BYTES = 65_536
 MAX_CONTROL_SHARE = 0.30
 DELIMITERS = (",", ";", "\t")
+#: A CSV record: line breaks end it outside of quotes only.
+_FIRST_RECORD = r'^(?:[^"\r\n]++|"(?:[^"]++|"")*+"?+|\r(?!\n))*+'
 
 
 def file_manifest(spark: SparkSession, paths: list[str], *, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
@@ -32,7 +34,8 @@ def _empty_files(spark: SparkSession, paths: list[str], schema) -> DataFrame:
     jvm, rows = spark.sparkContext._jvm, []
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
-        for status in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path):
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in (inner for outer in fs.globStatus(path) or [] for inner in fs.listStatus(outer.getPath())):
             name = status.getPath().getName()
             suffix = name.rsplit(".", 1)[-1].lower()
             if status.isFile() and status.getLen() == 0 and suffix in SUFFIXES:
@@ -56,16 +59,24 @@ def _valid_utf8(head: Column) -> Column:
 
 
 def with_dialect(manifest: DataFrame) -> DataFrame:
-    """Adds ``encoding`` (UTF-8 if the sample decodes so, else windows-1251), ``delimiter`` and ``header_line`` for text files."""
+    """Adds ``encoding`` (UTF-8 if the sample decodes so, else windows-1251), ``delimiter`` and ``header`` for text files.
+
+    The delimiter is counted on the first line; the header is the first record, in which quoted names may hold line breaks.
+    """
     encoding = F.when(_valid_utf8(F.col("head")), "UTF-8").when(F.instr(F.decode("head", "ISO-8859-1"), "\x98") > 0, "UTF-8").otherwise("windows-1251")
     text = F.when(F.col("encoding") == "UTF-8", F.decode("head", "UTF-8")).otherwise(F.decode("head", "windows-1251"))
-    line = F.regexp_replace(F.substring_index(text, "\n", 1), "^﻿|\r$", "")
+    text = F.regexp_replace(text, "^﻿", "")
+    line = F.regexp_replace(F.substring_index(text, "\n", 1), "\r$", "")
+    header = F.regexp_extract(text, _FIRST_RECORD, 0)
     count = [F.length("header_line") - F.length(F.replace("header_line", F.lit(d))) for d in DELIMITERS]
     best = F.greatest(*count)
     delimiter = F.when(best <= 0, DELIMITERS[0])
     for d, n in zip(DELIMITERS, count, strict=True):
         delimiter = delimiter.when(n == best, d)
-    return manifest.withColumn("encoding", encoding).withColumn("header_line", line).withColumn("delimiter", delimiter)
+    return manifest.withColumn("encoding", encoding).withColumn("header_line", line).withColumn("header", header).withColumn("delimiter", delimiter).drop("header_line")
+
+
+ARCHIVE = "name string, content binary, content_hash string"
 
 
 def archive_raw(spark: SparkSession, paths: list[str], archive: str) -> DataFrame:
@@ -75,13 +86,12 @@ def archive_raw(spark: SparkSession, paths: list[str], archive: str) -> DataFram
     """
     files = spark.read.format("binaryFile").load(paths)
     rows = files.select(F.sha2("content", 256).alias("content_hash"), F.regexp_replace(F.element_at(F.split("path", "/"), -1), "[^A-Za-z0-9._-]", "_").alias("name"), "content")
-    known = spark.read.schema("name string, content binary, content_hash string").parquet(archive).select("content_hash") if _exists(spark, archive) else None
+    known = spark.read.schema(ARCHIVE).parquet(archive).select("content_hash") if _exists(spark, archive) else None
     fresh = rows if known is None else rows.join(known.distinct(), "content_hash", "left_anti")
     one = fresh.groupBy("content_hash").agg(F.min_by("name", "name").alias("name"), F.min_by("content", "name").alias("content"))
-    added = one.select("content_hash", "name").persist()
-    added.count()
+    added = [r[0] for r in fresh.select("content_hash").distinct().collect()]  # a row for each file
     one.write.mode("append").partitionBy("content_hash").parquet(archive)
-    return added
+    return spark.read.schema(ARCHIVE).parquet(archive).where(F.col("content_hash").isin(added)).select("content_hash", "name")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

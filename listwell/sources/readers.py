@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import datetime as dt
 import io
 import re
 import zipfile
@@ -10,7 +11,7 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,28 +21,39 @@ from ..functions.names import clean_names
 ORDINAL, FILE = "_row_ordinal", "_source_path"
 
 
+def plain_path(path: str) -> str:
+    """A file's path without scheme and leading slashes."""
+    return re.sub("^[a-z0-9]+:", "", path).lstrip("/")
+
+
+def _file_path() -> Column:
+    """The plain path of a row's file; the scan gives it percent-encoded."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^(?:[a-z0-9]+:)?/*", "")
+
+
 def header_names(line: str, delimiter: str) -> list[str]:
-    """Names of one header line, as they stand in the file."""
-    return next(csv.reader(io.StringIO(line), delimiter=delimiter), [])
+    """Names of a header as they stand in the file, without white space around them; a quoted name may span lines."""
+    return [name.strip() for name in next(csv.reader(io.StringIO(line, newline=""), delimiter=delimiter), [])]
 
 
 def read_csv(spark: SparkSession, paths: list[str], names: list[str], *, delimiter: str = ",", encoding: str = "UTF-8", multiline: bool = True) -> DataFrame:
     """Rows below the header of files of one dialect, by position under ``names`` made clean.
 
-    Short rows are filled with nulls and surplus fields dropped. ``multiline=False`` lets a large file be read in splits,
+    Short rows are filled with nulls and surplus fields dropped; a row whose cells are all empty is a row of nulls, a line
+    without any character is none. ``multiline=False`` lets a large file be read in splits,
     where no quoted field holds a line break. ``_row_ordinal`` follows the order of rows within a file.
     """
     clean = clean_names(names)
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(clean))])
     raw = spark.read.schema(schema).options(header=True, sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", enforceSchema=True).csv(paths)
-    placed = raw.withColumn(FILE, F.col("_metadata.file_path")).withColumn(ORDINAL, F.monotonically_increasing_id())
-    blank = F.concat_ws("", *(F.coalesce(f"c{i}", F.lit("")) for i in range(len(clean)))) == "" if clean else F.lit(False)
-    return placed.where(~blank).select(*(filled(F.col(f"c{i}")).alias(c) for i, c in enumerate(clean)), FILE, ORDINAL)
+    placed = raw.withColumn(FILE, _file_path()).withColumn(ORDINAL, F.monotonically_increasing_id())
+    return placed.select(*(filled(F.col(f"c{i}")).alias(c) for i, c in enumerate(clean)), FILE, ORDINAL)
 
 
 def _json_rows(spark: SparkSession, paths: list[str], lines: bool) -> DataFrame:
     """(value variant, file, ordinal) of every record; a record that isn't an object has a null value."""
-    text = spark.read.option("wholetext", str(not lines).lower()).text(paths).withColumn(FILE, F.col("_metadata.file_path")).withColumn(ORDINAL, F.monotonically_increasing_id())
+    text = spark.read.text(paths, wholetext=not lines).withColumn(FILE, _file_path()).withColumn(ORDINAL, F.monotonically_increasing_id())
     parsed = text.where(F.length(F.trim("value")) > 0).withColumn("v", F.try_parse_json("value"))
     if not lines:
         parsed.createOrReplaceTempView("_listwell_json")
@@ -73,8 +85,40 @@ def read_json(spark: SparkSession, paths: list[str], *, lines: bool) -> DataFram
     return rows.select(*columns, FILE, ORDINAL)
 
 
+# Number formats of workbooks that are dates or times, and the days that serial numbers count from.
+DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)))
+EPOCH, EPOCH_1904 = dt.datetime(1899, 12, 30), dt.datetime(1904, 1, 1)
+
+
+def _date_styles(book: zipfile.ZipFile, main: str) -> dict[int, bool]:
+    """Cell styles that show a date or time; true for those of elapsed time."""
+    if "xl/styles.xml" not in book.namelist():
+        return {}
+    sheet = ElementTree.fromstring(book.read("xl/styles.xml"))
+    codes = {int(f.get("numFmtId")): f.get("formatCode") or "" for f in sheet.iter(f"{main}numFmt")}
+    found = {}
+    for at, style in enumerate(x for formats in sheet.iter(f"{main}cellXfs") for x in formats.iter(f"{main}xf")):
+        number = int(style.get("numFmtId") or 0)
+        code = re.sub(r'"[^"]*"|\\.|_.|\[(?!hh?\]|mm?\]|ss?\])[^\]]*\]', "", codes.get(number, "").split(";")[0]).lower()
+        if number in DATE_FORMATS or re.search("[dmhys]", code.replace("general", "")):
+            found[at] = number == 46 or bool(re.search(r"\[(h|m|s)+\]", code))
+    return found
+
+
+def _moment_text(serial: str, epoch: dt.datetime, elapsed: bool) -> str:
+    """A serial number as ISO date and time, as a time of day below one, or as elapsed time."""
+    days = float(serial)
+    span = dt.timedelta(milliseconds=round(days * 86_400_000))
+    if elapsed:
+        return str(span)
+    if 0 <= days < 1 and epoch == EPOCH:
+        return (dt.datetime.min + span).time().isoformat()
+    # the calendar of 1900 has a 29 February that never was
+    return (epoch + span + dt.timedelta(days=1 if epoch == EPOCH and 1 <= days < 60 else 0)).isoformat()
+
+
 def _sheet_rows(data: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
-    """(sheet, row number, cells) of a workbook's filled rows: cached values, merged cells in their first place only."""
+    """(sheet, row number, cells) of a workbook's filled rows: cached values, merged cells in their first place only, dates as ISO text."""
     main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
     link = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
     with zipfile.ZipFile(io.BytesIO(data)) as book:
@@ -83,7 +127,10 @@ def _sheet_rows(data: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
         if "xl/sharedStrings.xml" in names:
             shared = ["".join(t.text or "" for t in item.iter(f"{main}t")) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{main}si")]
         targets = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
-        for sheet in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{main}sheet"):
+        outline = ElementTree.fromstring(book.read("xl/workbook.xml"))
+        epoch = EPOCH_1904 if any(p.get("date1904") in ("1", "true") for p in outline.iter(f"{main}workbookPr")) else EPOCH
+        dates = _date_styles(book, main)
+        for sheet in outline.iter(f"{main}sheet"):
             target = targets[sheet.get(link)].lstrip("/")
             body = ElementTree.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}"))
             for number, row in enumerate(body.iter(f"{main}row"), 1):
@@ -99,13 +146,15 @@ def _sheet_rows(data: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
                         value = "".join(t.text or "" for t in cell.iter(f"{main}t"))
                     elif kind == "b" and value is not None:
                         value = "true" if value == "1" else "false"
+                    elif kind in (None, "n") and value and int(cell.get("s") or 0) in dates:
+                        value = _moment_text(value, epoch, dates[int(cell.get("s") or 0)])
                     cells[at] = value or None
                 if any(cells):
                     yield sheet.get("name") or "", int(row.get("r") or number), cells
 
 
-def read_workbooks(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, sheet, row_no, cells) of all sheets, workbooks in parallel; unreadable workbooks give a row with a null sheet."""
+def workbook_rows(books: DataFrame) -> DataFrame:
+    """(file, sheet, row_no, cells) of all sheets of ``books`` (path, content), in parallel; an unreadable one gives a row with a null sheet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(FILE, pa.string()), ("sheet", pa.string()), ("row_no", pa.int64()), ("cells", pa.list_(pa.string()))])
@@ -115,11 +164,16 @@ def read_workbooks(spark: SparkSession, paths: list[str]) -> DataFrame:
                 try:
                     for sheet, number, cells in _sheet_rows(content.as_py()):
                         rows.append({FILE: path, "sheet": sheet, "row_no": number, "cells": cells})
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, IndexError):
+                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, IndexError, ValueError, OverflowError):
                     rows = [{FILE: path, "sheet": None, "row_no": 0, "cells": []}]
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, f"{FILE} string, sheet string, row_no long, cells array<string>")
+    return books.select(F.regexp_replace("path", "^(?:[a-z0-9]+:)?/*", ""), "content").mapInArrow(run, f"{FILE} string, sheet string, row_no long, cells array<string>")
+
+
+def read_workbooks(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The rows of workbook files."""
+    return workbook_rows(spark.read.format("binaryFile").load(paths))
 
 
 def sheet_headers(workbooks: DataFrame) -> DataFrame:

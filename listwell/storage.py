@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in ``spark.checkpoint.dir``; a local temporary folder only where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/listwell-{name}-{uuid.uuid4().hex}"
+    """A path in ``spark.checkpoint.dir``. Where that is unset a local session gets a temporary folder; on a cluster it is an
+    error, as executors would write to disks of their own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(base or tempfile.gettempdir()).rstrip('/')}/listwell-{name}-{uuid.uuid4().hex}"
