@@ -26,12 +26,15 @@ from .simhash import _local_stars, near_fingerprint_links
 from .storage import checkpointed, written
 from .words import gram_hashes, mix, split_words, text_slices
 
-#: Parity bits of a set.
-PARITY_BITS = 1024
+#: Parity bits of a set: four for each shingle, a power of two within these bounds.
+FEWEST_BITS, MOST_BITS = 512, 8192
+#: Prefix shingles that one task holds, and coarse members that are broadcast to the texts.
+SHARD_KEYS, BROADCAST_MEMBERS = 3_000_000, 200_000
 #: Hot shingles are looked for in about so many documents; they only order the sets, no pair depends on them.
 SAMPLE_DOCS, HOT_DOCS, HOT_SHINGLES = 10_000, 20, 100_000
 #: Differing bits of fingerprints within a tight group, and shingles that one comparing task holds of a coarse component.
 TIGHT_BITS, CHUNK_SHINGLES = 4, 2_000_000
+ENTRY = np.dtype([("key", "<u8"), ("sig", "<i8"), ("tight", "<i8"), ("size", "<i4")])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -63,17 +66,42 @@ def simhash(s: np.ndarray) -> int:
 
 def parity(s: np.ndarray) -> np.ndarray:
     """Bits that tell whether an odd number of shingles falls on each; two sets differ in as many shingles at least as bits."""
-    return np.packbits((np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.uint64)
-
-
-def _may_be_near(size: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray | int, t: Fraction) -> np.ndarray:
-    n, d = t.numerator, t.denominator
-    x, y = size[a], size[b]
-    ok = np.minimum(x, y) * d >= np.maximum(x, y) * n
-    at = np.flatnonzero(ok)
-    b = b[at] if isinstance(b, np.ndarray) else b
-    ok[at] = np.bitwise_count(bits[a[at]] ^ bits[b]).sum(axis=1, dtype=np.int64) * (d + n) <= (x + y)[at] * (d - n)
-    return ok
+    n = min(MOST_BITS, max(FEWEST_BITS, 1 << (4 * len(s) - 1).bit_length()))
+    return np.packbits((np.bincount((s & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1).astype(np.uint8)).view(np.uint64)
+
+
+class Sketches:
+    """Sizes and parity bits of sets; bits of different number are compared once the longer ones are folded."""
+
+    def __init__(self, size: np.ndarray, bits: list[np.ndarray], t: Fraction):
+        self.size, self.t = size, t
+        words = np.array([len(b) for b in bits], np.int64)
+        self.level = words
+        self.rows: dict[int, np.ndarray] = {}
+        longer = None
+        for w in sorted({1 << k for k in range((FEWEST_BITS // 64).bit_length() - 1, (MOST_BITS // 64).bit_length())}, reverse=True):
+            if longer is None and not (words >= w).any():
+                continue
+            here = np.zeros((len(bits), w), np.uint64)
+            if longer is not None:
+                here ^= longer[:, :w] ^ longer[:, w:]
+            own = np.flatnonzero(words == w)
+            if len(own):
+                here[own] = np.stack([bits[i] for i in own])
+            self.rows[w] = longer = here
+
+    def near(self, a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+        """Whether the pairs a, b may reach the similarity: never false for one that does."""
+        n, d = self.t.numerator, self.t.denominator
+        x, y = self.size[a], self.size[b]
+        ok = np.minimum(x, y) * d >= np.maximum(x, y) * n
+        level = np.minimum(self.level[a], self.level[b])
+        for w in np.unique(level[ok]).tolist():
+            at = np.flatnonzero(ok & (level == w))
+            other = b[at] if isinstance(b, np.ndarray) else b
+            apart = np.bitwise_count(self.rows[w][a[at]] ^ self.rows[w][other]).sum(axis=1, dtype=np.int64)
+            ok[at] = apart * (d + n) <= (x + y)[at] * (d - n)
+        return ok
 
 
 def _grow(count: int, near: Callable[[np.ndarray, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,10 +123,10 @@ def _grow(count: int, near: Callable[[np.ndarray, int], np.ndarray]) -> tuple[np
 def exact_links(sets: list[np.ndarray], t: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Positions of sets, in links that span the same groups as all pairs of similarity ``t`` or more."""
     size = np.array([len(s) for s in sets], np.int64)
-    bits = np.stack([parity(s) for s in sets])
+    sketches = Sketches(size, [parity(s) for s in sets], t)
 
     def near(left: np.ndarray, at: int) -> np.ndarray:
-        ok = _may_be_near(size, bits, left, at, t)
+        ok = sketches.near(left, at)
         one = sets[at]
         for part in np.array_split(np.flatnonzero(ok), max(1, int(size[left[ok]].sum()) >> 20)):
             if len(part) and len(one):
@@ -176,25 +204,42 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], names=["id", "text_hash", "sig", "size", "fp", "prefix", "bits"])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in itertools.chain.from_iterable(_pieces(b) for b in batches):
-            keys = [np.frombuffer(p, np.int64) for p in b.column(2).to_pylist()]
+        # entries are dealt to shards by key and packed, one row for each batch and shard
+        for b in itertools.chain.from_iterable(_pieces(b, 2048) for b in batches):
+            keys = [np.frombuffer(p, np.uint64) for p in b.column(3).to_pylist()]
             n = [len(k) for k in keys]
-            yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "sig": np.repeat(b.column(0).to_numpy(), n), "tight": np.repeat(b.column(1).to_numpy(), n)})
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a bucket is named by its members, so that equal buckets become one
-        for columns in _runs(batches):
-            key, sig, tight = (c.to_numpy() for c in columns)
-            head, n = _heads(key)
-            name = np.add.reduceat(mix(sig.view(np.uint64)), head).view(np.int64)
-            own = np.repeat(np.minimum.reduceat(tight, head) < np.maximum.reduceat(tight, head), n)
-            if own.any():
-                yield pa.RecordBatch.from_pydict({"bucket": np.repeat(name, n)[own], "sig": sig[own]})
+            entries = np.zeros(sum(n), ENTRY)
+            entries["key"] = np.concatenate(keys)
+            for i, name in enumerate(("sig", "tight", "size")):
+                entries[name] = np.repeat(b.column(i).to_numpy(), n)
+            shard = (mix(entries["key"]) % np.uint64(shards)).astype(np.int32)
+            order = np.argsort(shard, kind="stable")
+            head, _ = _heads(shard[order])
+            blobs = [part.tobytes() for part in np.split(entries[order], head[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[order][head]), pa.array(blobs, pa.binary())], names=["shard", "entries"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        # a bucket holds sets of one prefix shingle that have a partner of like size and another tight group; it is named
+        # by its members, so that equal buckets become one
+        entries = np.frombuffer(b"".join(table.column("entries").to_pylist()), ENTRY)
+        entries = entries[np.lexsort((entries["size"], entries["key"]))]
+        key, size = entries["key"], entries["size"].astype(np.int64)
+        near = (key[1:] == key[:-1]) & (size[:-1] * t.denominator >= size[1:] * t.numerator)
+        # runs of like size, each next to the one before it
+        run = np.concatenate([[0], np.cumsum(~near)])
+        head, n = _heads(run)
+        tight = entries["tight"]
+        several = np.minimum.reduceat(tight, head) < np.maximum.reduceat(tight, head)
+        paired = np.repeat(several, n)
+        sig = entries["sig"]
+        name = np.repeat(np.add.reduceat(mix(sig.view(np.uint64)), head).view(np.int64), n)
+        rows = np.unique(np.stack([name[paired], sig[paired]], axis=1), axis=0)
+        return pa.table({"bucket": rows[:, 0], "sig": rows[:, 1]})
 
     def thin(batches: Iterator[pa.RecordBatch], large: int = 64) -> Iterator[pa.RecordBatch]:
         for key, sig, size, packed in _runs(batches):
-            key, sig, size = key.to_numpy(), sig.to_numpy(), size.to_numpy()
-            bits = np.frombuffer(b"".join(packed.to_pylist()), np.uint64).reshape(len(key), -1)
+            key, sig = key.to_numpy(), sig.to_numpy()
+            sketches = Sketches(size.to_numpy(), [np.frombuffer(p, np.uint64) for p in packed.to_pylist()], t)
             head, n = _heads(key)
             a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             small = np.flatnonzero(np.repeat(n <= large, n))
@@ -202,11 +247,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             for step in range(1, int(n[n <= large].max(initial=1))):
                 same = np.flatnonzero(k[step:] == k[:-step])
                 x, y = small[same], small[same + step]
-                ok = _may_be_near(size, bits, x, y, t)
+                ok = sketches.near(x, y)
                 a.append(sig[x[ok]])
                 b.append(sig[y[ok]])
             for h, m in zip(head[n > large], n[n > large], strict=True):
-                x, y = _grow(int(m), lambda left, at, h=h: _may_be_near(size[h:], bits[h:], left, at, t))
+                x, y = _grow(int(m), lambda left, at, h=h: sketches.near(h + left, int(h) + at))
                 a.append(sig[h + x])
                 b.append(sig[h + y])
             src, dst = _local_stars(np.concatenate(a), np.concatenate(b))
@@ -228,14 +273,18 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     stars = connected_components(near_fingerprint_links(checkpointed(by_print), TIGHT_BITS))
     tight = by_print.join(stars, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("tight"))
     named = checkpointed(nodes.select("sig", "fp").join(tight, "fp").select("sig", "tight"))
-    met = nodes.join(named, "sig").select("sig", "tight", "prefix").mapInArrow(explode, "key long, sig long, tight long").repartition("key").sortWithinPartitions("key").mapInArrow(meet, "bucket long, sig long").distinct()
+    keys = nodes.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
+    shards = int(keys) // SHARD_KEYS + int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = nodes.join(named, "sig").select("sig", "tight", "size", "prefix").mapInArrow(explode, "shard int, entries binary").groupBy("shard").applyInArrow(meet, "bucket long, sig long").distinct()
     thinned = met.join(nodes.select("sig", "size", "bits"), "sig").select("bucket", "sig", "size", "bits").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(thin, "src long, dst long")
     coarse = connected_components(thinned.unionByName(named.where("sig <> tight").select(F.col("sig").alias("src"), F.col("tight").alias("dst"))))
     members = coarse.select(F.col("node").alias("sig"), F.col("component").alias("coarse")).unionByName(coarse.select(F.col("component").alias("sig"), F.col("component").alias("coarse")).distinct())
     wanted = nodes.join(members, "sig").select("id", "text_hash", "sig", "coarse", "size")
     shares = wanted.groupBy("coarse").agg(F.ceil(F.sum("size") / CHUNK_SHINGLES).cast("int").alias("chunks"))
     placed = wanted.join(shares, "coarse").withColumn("chunk", F.pmod(F.xxhash64("sig"), "chunks").cast("int"))
-    found = texts.withColumn("text_hash", F.xxhash64("text")).join(placed.drop("size"), ["id", "text_hash"])
+    placed = checkpointed(placed.drop("size"))
+    placed = F.broadcast(placed) if placed.count() <= BROADCAST_MEMBERS else placed
+    found = texts.withColumn("text_hash", F.xxhash64("text")).join(placed, ["id", "text_hash"])
     found = written(found.select("coarse", "chunks", "chunk", "sig", "text"), "similar-members")
 
     def links(rows: DataFrame) -> DataFrame:

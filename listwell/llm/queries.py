@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import rotate_perspectives, rotation_sql
-from .mixing import WORDS, mixing_sql, with_copies, word_count
+from .mixing import WORDS, mixing_sql, with_copies
 from .packing import pack_documents
 from .quality import fit_quality_model, quality_report
 from .simhash import simhash_components
-from .storage import scratch_path
+from .storage import scratch_path, written
 from .substring_dedup import substring_dedup
-from .token_rollup import TokenRollup, image, nothing
+from .token_rollup import TokenRollup, image, nothing, with_token_counts
 from .topk import exact_top_k
 from .toxicity import fit_toxicity_model, toxicity_scores
 from .warc import archived_pages
@@ -57,16 +57,21 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four batches and two replays: all documents come in; texts under 50 words are deleted; texts of 1,000 words or
-    more are recounted at one token for each 4 characters begun; a second tokenizer version comes in."""
-    docs = _table(spark, sf_dir, "documents").withColumn("words", word_count("text"))
-    rollup = TokenRollup(spark, scratch_path(spark, "rollup"))
-    v1 = image(tokenizer="words-v1", tokens=F.col("words"))
+    """Tokens by two tokenizer versions, counted once: all documents come in by the first; those under 50 of its tokens are
+    deleted; those of 1,000 or more are counted anew with a closing token; the second version comes in. Two batches are
+    replayed and change nothing, and the first ones are folded into kept totals."""
+    import public_tokenizers as P
+
+    versions = {name: P.path(file) for name, file in (("word_bpe_49k", "word_bpe_49k.json"), ("byte_bpe_50k", "byte_bpe_50k.tiktoken"))}
+    docs = written(with_token_counts(_table(spark, sf_dir, "documents"), versions, pattern=P.PATTERN), "token-counts")
+    first, second = (F.col("tokens")[name] for name in versions)
+    v1, v2 = image(tokenizer="word_bpe_49k", tokens=first), image(tokenizer="byte_bpe_50k", tokens=second)
+    rollup = TokenRollup(spark, scratch_path(spark, "rollup"), fold_every=3)
     load = docs.select(nothing().alias("before"), v1.alias("after"))
-    short = docs.where("words < 50").select(v1.alias("before"), nothing().alias("after"))
-    recount = docs.where("words >= 1000").select(v1.alias("before"), image(tokenizer="words-v1", tokens=F.ceil(F.length("text") / 4)).alias("after"))
-    second = docs.select(nothing().alias("before"), image(tokenizer="bytes-v2", tokens=F.octet_length("text")).alias("after"))
-    for batch, changes in (("load", load), ("short", short), ("recount", recount), ("short", short), ("second", second), ("load", load)):
+    short = docs.where(first < 50).select(v1.alias("before"), nothing().alias("after"))
+    recount = docs.where(first >= 1000).select(v1.alias("before"), image(tokenizer="word_bpe_49k", tokens=first + 1).alias("after"))
+    other = docs.select(nothing().alias("before"), v2.alias("after"))
+    for batch, changes in (("load", load), ("short", short), ("recount", recount), ("short", short), ("second", other), ("load", load)):
         rollup.commit(batch, changes)
     return rollup.totals()
 
@@ -82,18 +87,11 @@ k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word,
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
 
 #: Base 32 of a hexadecimal SHA-1: five hexadecimal digits make four letters.
-_WARC_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
-b AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY x) AS last,
+_WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS u, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+b AS (SELECT page_id, u, strlen(h)::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY x) AS last,
              list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(x, (k // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1)::BIGINT, 1)), 'string_agg', '') AS payload_digest FROM p)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to, true AS digest_ok FROM b"""
-
-_ROLLUP_SQL = rf"""
-WITH d AS (SELECT source, lang, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0)::BIGINT AS w, coalesce(length(text), 0) AS c, coalesce(strlen(text), 0)::BIGINT AS b FROM documents)
-SELECT source, lang, 'words-v1' AS tokenizer, count(*) FILTER (WHERE w >= 50)::BIGINT AS n_docs,
-       coalesce(sum(CASE WHEN w >= 1000 THEN (c + 3) // 4 WHEN w >= 50 THEN w ELSE 0 END), 0)::BIGINT AS n_tokens FROM d GROUP BY source, lang
-UNION ALL
-SELECT source, lang, 'bytes-v2', count(*)::BIGINT, sum(b)::BIGINT FROM d GROUP BY source, lang"""
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to, true AS digest_ok, regexp_replace(u, '[\r\n]', '', 'g') AS request_uri, 3::BIGINT AS n_records FROM b"""
 
 _TOP_K_SQL = """
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
@@ -105,7 +103,7 @@ SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITIO
 
 def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = archived_pages(_table(spark, sf_dir, "pages"), min_bytes=0)
-    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok", "request_uri", "n_records")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +134,5 @@ ORACLES: dict[str, str] = {
     "op2_substring_dedup": _REPEATS_SQL,
     "op5_source_mixing": mixing_sql(),
     "op6_exact_top_k": _TOP_K_SQL,
-    "op7_token_rollup": _ROLLUP_SQL,
     "op8_warc_transactions": _WARC_SQL,
 }

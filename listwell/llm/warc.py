@@ -1,8 +1,9 @@
 """WARC archives: writing captures, reading records, and assembling transactions.
 
-Records are written by Spark's text writer, one file a task, each record followed by its closing CRLF CRLF. Reading takes
-whole files from ``binaryFile`` and parses them in Arrow batches, gzip members included; split archives into files that fit a
-task. Transactions are joined through WARC-Concurrent-To: one nested row for each capture.
+Records are written by Spark's text writer, each followed by its closing CRLF CRLF; an archive is what one task writes, and
+there are as many as keep one at about ``ARCHIVE_BYTES``. Reading takes whole files from ``binaryFile`` and parses them in
+Arrow batches, gzip members included. Transactions are joined through WARC-Concurrent-To, in whichever direction records
+name each other: one nested row for each capture.
 """
 
 from __future__ import annotations
@@ -16,37 +17,41 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import scratch_path
+from .storage import scratch_path, written
 
 CRLF = "\r\n"
-RECORD_SCHEMA = "warc_type string, record_id string, concurrent_to string, refers_to string, target_uri string, date string, block_bytes long, payload_bytes long, payload_digest string, declared_digest string, http_head string, payload binary, fields map<string,string>"
+#: Text of an archive, before compression.
+ARCHIVE_BYTES = 64 << 20
+#: Record types that are a capture of their own; others belong to one.
+MAIN_TYPES = ("response", "revisit", "resource", "conversion")
+# Fixed value: the letters of base 32.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+RECORD_SCHEMA = "warc_type string, record_id string, concurrent_to array<string>, refers_to string, target_uri string, date string, block_bytes long, payload_bytes long, payload_digest string, declared_digest string, http_head string, payload binary, fields map<string,string>"
 
 
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def payload_digests(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(id, payload_bytes, digest) of each row's payload: the text in UTF-8, a null one empty."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw = [v or b"" for v in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(v) for v in raw], pa.int64()), pa.array([base32_sha1(v) for v in raw], pa.string())], names=["id", "payload_bytes", "digest"])
-
-    return pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).cast("string")).mapInArrow(run, "id long, payload_bytes long, digest string")
+def base32_of_hex(digest: Column) -> Column:
+    """Base 32 of the 40 hexadecimal digits of a SHA-1: five of them make four letters."""
+    letters = []
+    for at in range(0, 40, 5):
+        value = F.conv(F.substring(digest, at + 1, 5), 16, 10).cast("int")
+        letters += [F.substring(F.lit(BASE32), F.pmod(F.shiftright(value, 15 - 5 * k), F.lit(32)) + 1, F.lit(1)) for k in range(4)]
+    return F.concat(*letters)
 
 
 def capture_roles(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """(id, digest, refers_to) for each row: refers_to is the response of equal payload, null for responses themselves.
+    """(id, sha1, latest) for each row: ``latest`` is the largest id of equal payload, null where payloads are not compared.
 
-    Of equal payloads of at least ``min_bytes`` the one of the largest id is the response; smaller ones are all responses.
+    The payload is the text in UTF-8, a null one empty. Payloads of at least ``min_bytes`` are compared.
     """
-    found = payload_digests(pages, id_col=id_col, html_col=html_col)
+    html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    found = pages.select(F.col(id_col).cast("long").alias("id"), F.sha1(html).alias("sha1"), F.octet_length(html).alias("bytes"))
     # one row for each payload, combined before the shuffle; a payload that many pages share is split by skew handling
-    latest = found.where(F.col("payload_bytes") >= min_bytes).groupBy("digest").agg(F.max("id").alias("latest"))
-    refers = F.when((F.col("payload_bytes") >= min_bytes) & (F.col("latest") != F.col("id")), F.col("latest"))
-    return found.join(latest, "digest", "left").select("id", "digest", refers.alias("refers_to"))
+    latest = found.where(F.col("bytes") >= min_bytes).groupBy("sha1").agg(F.max("id").alias("latest"))
+    return found.join(latest, "sha1", "left").select("id", "sha1", F.when(F.col("bytes") >= min_bytes, F.col("latest")).alias("latest"))
 
 
 def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
@@ -56,33 +61,39 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
     return F.concat(head, F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit(CRLF + CRLF), block)
 
 
-def _urn(kind: str, key: Column) -> Column:
-    return F.concat(F.lit(f"<urn:listwell:{kind}:"), key.cast("string"), F.lit(">"))
+def _urn(kind: str, key: Column, sha1: Column) -> Column:
+    return F.concat(F.lit(f"<urn:listwell:{kind}:"), F.coalesce(key.cast("string"), F.lit("null")), F.lit(":"), sha1, F.lit(">"))
 
 
-def write_captures(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", compression: str = "gzip") -> None:
+def write_captures(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", compression: str = "gzip", archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write a request, a response or revisit, and a metadata record for each row.
 
-    A revisit has no payload of its own: it names the response that has it and the payload's digest. Ids must not be null.
+    Of equal payloads of at least ``min_bytes`` that of the largest id is the response; the others are revisits, which have
+    no payload of their own: they name the response that has it and the payload's digest. Smaller payloads are all
+    responses. Records are named by id and payload, so an id that is null or stands for several payloads is no matter.
     """
     roles = capture_roles(pages, id_col=id_col, html_col=html_col, min_bytes=min_bytes)
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    # an id repeated with one payload stays as many captures
-    joined = rows.join(roles.distinct(), "id")
-    key, uri, when = F.col("id"), F.regexp_replace("url", r"[\r\n]", ""), F.lit(date)
-    main, revisit = _urn("capture", key), F.col("refers_to").isNotNull()
-    digest = F.concat(F.lit("sha1:"), F.col("digest"))
+    html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), html.alias("html"))
+    total = pages.agg(F.sum(F.octet_length(html) + 1024)).first()[0] or 0
+    # each partition is one archive; both sides are dealt alike, so that the join moves nothing again
+    archives = max(-(-int(total) // archive_bytes), min(pages.sparkSession.sparkContext.defaultParallelism, 1 + int(total) // (1 << 20)))
+    deal = lambda df: df.withColumn("key", F.coalesce(F.col("id").cast("string"), F.lit("null"))).drop("id").repartition(archives, "key", "sha1")
+    joined = deal(rows.withColumn("sha1", F.sha1("html"))).join(deal(roles.distinct()), ["key", "sha1"])
+    key, sha1, uri, when = F.col("key"), F.col("sha1"), F.regexp_replace("url", r"[\r\n]", ""), F.lit(date)
+    main, revisit = _urn("capture", key, sha1), F.coalesce(F.col("latest").cast("string") != key, F.lit(False))
+    digest = F.concat(F.lit("sha1:"), base32_of_hex(sha1))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length("html").cast("string"), F.lit(CRLF + CRLF))
     host = F.regexp_extract(uri, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     request = F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{CRLF}Host: "), host, F.lit(CRLF + CRLF))
     records = F.array(
-        _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _urn("request", key)), ("WARC-Concurrent-To", main), ("WARC-Target-URI", uri), ("WARC-Date", when), ("Content-Type", F.lit("application/http; msgtype=request"))], request),
+        _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _urn("request", key, sha1)), ("WARC-Concurrent-To", main), ("WARC-Target-URI", uri), ("WARC-Date", when), ("Content-Type", F.lit("application/http; msgtype=request"))], request),
         _record(
             [("WARC-Type", F.when(revisit, "revisit").otherwise("response")), ("WARC-Record-ID", main), ("WARC-Target-URI", uri), ("WARC-Date", when), ("WARC-Payload-Digest", digest), ("Content-Type", F.lit("application/http; msgtype=response")),
-             ("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))), ("WARC-Refers-To", F.when(revisit, _urn("capture", F.col("refers_to"))))],
+             ("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))), ("WARC-Refers-To", F.when(revisit, _urn("capture", F.col("latest"), sha1)))],
             F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("html"))),
         ),
-        _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _urn("metadata", key)), ("WARC-Concurrent-To", main), ("WARC-Target-URI", uri), ("WARC-Date", when), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.lit("page-id: "), key.cast("string"), F.lit(CRLF))),
+        _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _urn("metadata", key, sha1)), ("WARC-Concurrent-To", main), ("WARC-Target-URI", uri), ("WARC-Date", when), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.lit("page-id: "), key.cast("string"), F.lit(CRLF))),
     )
     joined.select(F.explode(records).alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", compression).text(path)
 
@@ -106,10 +117,13 @@ def parse_warc(data: bytes) -> Iterator[dict]:
         end = view.find(b"\r\n\r\n", at)
         if end < 0 or not view.startswith(b"WARC/", at):
             raise ValueError(f"no WARC record at byte {at}")
-        fields = {}
+        fields, concurrent = {}, []
         for line in view[at:end].split(b"\r\n")[1:]:
             name, _, value = line.partition(b":")
-            fields[name.decode().strip().lower()] = value.decode(errors="replace").strip()
+            name, value = name.decode(errors="replace").strip().lower(), value.decode(errors="replace").strip()
+            fields[name] = value
+            if name == "warc-concurrent-to":  # the one field that may stand several times
+                concurrent.append(value)
         size = int(fields["content-length"])
         block = view[end + 4 : end + 4 + size]
         if len(block) < size:
@@ -121,14 +135,14 @@ def parse_warc(data: bytes) -> Iterator[dict]:
         head, cut, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
         declared = fields.get("warc-payload-digest", "").rpartition(":")[2] or None
         yield {
-            "warc_type": fields.get("warc-type"), "record_id": fields.get("warc-record-id"), "concurrent_to": fields.get("warc-concurrent-to"), "refers_to": fields.get("warc-refers-to"), "target_uri": fields.get("warc-target-uri"), "date": fields.get("warc-date"),
+            "warc_type": fields.get("warc-type"), "record_id": fields.get("warc-record-id"), "concurrent_to": concurrent, "refers_to": fields.get("warc-refers-to"), "target_uri": fields.get("warc-target-uri"), "date": fields.get("warc-date"),
             "block_bytes": size, "payload_bytes": len(payload), "payload_digest": base32_sha1(payload), "declared_digest": declared, "http_head": (head + cut).decode(errors="replace") or None, "payload": payload, "fields": list(fields.items()),
         }
 
 
 def read_warc(spark: SparkSession, path: str, *, with_payload: bool = True) -> DataFrame:
     """Every record of the archives under ``path``; ``with_payload=False`` leaves the payload column null."""
-    kinds = {"payload": pa.binary(), "fields": pa.map_(pa.string(), pa.string())} | dict.fromkeys(("block_bytes", "payload_bytes"), pa.int64())
+    kinds = {"payload": pa.binary(), "concurrent_to": pa.list_(pa.string()), "fields": pa.map_(pa.string(), pa.string())} | dict.fromkeys(("block_bytes", "payload_bytes"), pa.int64())
     names = [c.strip().split(" ")[0] for c in RECORD_SCHEMA.replace("map<string,string>", "map").split(",")]
     schema = pa.schema([(n, kinds.get(n, pa.string())) for n in names])
 
@@ -149,34 +163,53 @@ def read_warc(spark: SparkSession, path: str, *, with_payload: bool = True) -> D
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One row for each capture: ``record_id`` and ``main`` (its response or revisit), ``request`` and ``metadata`` (null if absent).
+    """One row for each capture: ``capture`` (its record id) and arrays of whole records, ``mains``, ``requests``, ``metadata`` and ``others``.
 
-    Requests and metadata join through WARC-Concurrent-To; of several of one kind the one of the least record id is taken.
-    Records without a capture, and records without an id, are left out; a capture written twice under one id gives two rows.
+    A main record is a response, revisit, resource or conversion. Any other record belongs to the main records that it names
+    in WARC-Concurrent-To or that name it, or else to those of a record so joined that it names or that names it. Records
+    that reach no main one are rows of their own, under their own id, with empty ``mains``; records without an id can't be
+    named and stand alone too, under a null id. Main records that share an id are one capture. ``records`` is read three
+    times: pass a written table.
     """
-    main = records.where(F.col("warc_type").isin("response", "revisit") & F.col("record_id").isNotNull())
-    side = records.where(F.col("warc_type").isin("request", "metadata") & F.col("concurrent_to").isNotNull())
-    whole = F.struct("record_id", "target_uri", "date", "fields", "payload")
-    pick = lambda kind: F.min_by(F.when(F.col("warc_type") == kind, whole), F.when(F.col("warc_type") == kind, F.col("record_id"))).alias(kind)
-    sides = side.groupBy("concurrent_to").agg(pick("request"), pick("metadata")).withColumnRenamed("concurrent_to", "capture")
-    return main.select("record_id", F.struct(*records.columns).alias("main")).join(sides, F.col("record_id") == F.col("capture"), "left").drop("capture")
+    main = F.col("warc_type").isin(*MAIN_TYPES)
+    nodes = records.where("record_id IS NOT NULL").select("record_id", F.coalesce(main, F.lit(False)).alias("is_main"), "concurrent_to")
+    named = nodes.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b"))
+    links = named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    mains = nodes.where("is_main").select(F.col("record_id").alias("b")).distinct()
+    sides = nodes.where("NOT is_main").select(F.col("record_id").alias("a")).distinct()
+    between = links.join(sides, "a", "left_semi")
+    direct = between.join(mains, "b").select(F.col("a").alias("record_id"), F.col("b").alias("capture"))
+    far = between.join(direct.select(F.col("record_id").alias("b"), "capture"), "b").join(direct.select(F.col("record_id").alias("a")), "a", "left_anti")
+    belongs = direct.unionByName(far.select(F.col("a").alias("record_id"), "capture")).distinct().groupBy("record_id").agg(F.collect_list("capture").alias("captures"))
+    placed = records.join(belongs, "record_id", "left").withColumn("captures", F.when(main | F.col("captures").isNull(), F.array("record_id")).otherwise(F.col("captures")))
+    # a record without an id keeps a group of its own
+    placed = placed.withColumn("lone", F.when(F.col("record_id").isNull(), F.monotonically_increasing_id()))
+    rows = placed.select(F.explode("captures").alias("capture"), "lone", main.alias("is_main"), "warc_type", F.struct(*records.columns).alias("record"))
+    kind = F.when(F.col("is_main"), "mains").when(F.col("warc_type") == "request", "requests").when(F.col("warc_type") == "metadata", "metadata").otherwise("others")
+    listed = [F.collect_list(F.when(kind == k, F.col("record"))).alias(k) for k in ("mains", "requests", "metadata", "others")]
+    return rows.groupBy("capture", "lone").agg(*listed).drop("lone")
 
 
 def archived_pages(pages: DataFrame, *, path: str | None = None, min_bytes: int = 0, **columns: str) -> DataFrame:
     """Write ``pages`` to archives in ``path`` (default: a new shared folder), read them back and assemble the captures.
 
     Per page: page_id, payload_bytes and payload_digest of the full payload (a revisit's are those of its response),
-    record_type, refers_to. Digests are computed anew from the payload read and must equal the declared ones, or the row's
-    ``digest_ok`` is false. A null html is an empty payload, a null url an empty one. Null ids are not archived. An empty table gives an empty result.
+    record_type, refers_to, request_uri, n_records of its capture. Digests are computed anew from the payload read and must
+    equal the declared ones, or the row's ``digest_ok`` is false. A null html is an empty payload, a null url an empty one.
+    Null ids and ids with several payloads are archived like others; the same row twice is the same capture twice. An empty
+    table gives an empty result.
     """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
-    id_col = columns.get("id_col", "page_id")
-    write_captures(pages.where(F.col(id_col).isNotNull()), path, min_bytes=min_bytes, **columns)
-    captures = assemble(read_warc(spark, path, with_payload=False))
-    number = lambda c: F.regexp_extract(c, r":(-?\d+)>$", 1).cast("long")
-    flat = captures.select(number("record_id").alias("page_id"), F.col("main.warc_type").alias("record_type"), number("main.refers_to").alias("refers_to"), F.col("main.payload_bytes").alias("own_bytes"), F.col("main.payload_digest").alias("own_digest"), F.col("main.declared_digest").alias("declared"), F.col("request.target_uri").alias("request_uri"), F.col("metadata.record_id").alias("metadata_id"))
-    revisited = flat.where("record_type = 'response'").select(F.col("page_id").alias("response_id"), F.col("own_bytes").alias("their_bytes"), F.col("own_digest").alias("their_digest")).distinct()
-    joined = flat.join(revisited, (F.col("record_type") == "revisit") & (F.col("refers_to") == F.col("response_id")), "left")
+    write_captures(pages, path, min_bytes=min_bytes, **columns)
+    slim = read_warc(spark, path, with_payload=False).drop("payload", "http_head", "fields")
+    captures = assemble(written(slim, "warc-records"))
+    number = lambda c: F.regexp_extract(c, r":(-?\d+):[0-9a-f]+>$", 1).try_cast("long")
+    size = F.size("mains") + F.size("requests") + F.size("metadata") + F.size("others")
+    each = captures.where(F.size("mains") > 0).select("capture", F.explode("mains").alias("main"), F.get("requests", F.lit(0))["target_uri"].alias("request_uri"), (size / F.size("mains")).cast("long").alias("n_records"))
+    flat = written(each.select("capture", number(F.col("capture")).alias("page_id"), F.col("main.warc_type").alias("record_type"), F.col("main.refers_to").alias("refers_to"), F.col("main.payload_bytes").alias("own_bytes"), F.col("main.payload_digest").alias("own_digest"), F.col("main.declared_digest").alias("declared"), "request_uri", "n_records"), "warc-captures")
+    theirs = flat.where("record_type = 'response'").select(F.col("capture").alias("named"), F.col("own_bytes").alias("their_bytes"), F.col("own_digest").alias("their_digest")).distinct()
+    revisit = F.col("record_type") == "revisit"
+    joined = flat.join(theirs, revisit & (F.col("refers_to") == F.col("named")), "left")
     size, digest = F.coalesce("their_bytes", "own_bytes"), F.coalesce("their_digest", "own_digest")
-    return joined.select("page_id", size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to", digest.eqNullSafe(F.col("declared")).alias("digest_ok"), "request_uri", "metadata_id")
+    return joined.select("page_id", size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", F.when(revisit, number(F.col("refers_to"))).alias("refers_to"), digest.eqNullSafe(F.col("declared")).alias("digest_ok"), "request_uri", "n_records")

@@ -38,13 +38,25 @@ def test_edges(spark, tmp_path, min_bytes, compression):
     df = spark.createDataFrame(ROWS, "page_id long, url string, html string").selectExpr("*", "1 as id", "2 as digest")
     got = archived_pages(df, min_bytes=min_bytes, path=str(tmp_path / "w")).collect()
     assert {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got} == brute([(i, h) for i, _, h in ROWS], min_bytes)
-    assert all(r.digest_ok and r.metadata_id and r.request_uri is not None for r in got)
+    assert all(r.digest_ok and r.n_records == 3 and r.request_uri is not None for r in got)
     write_captures(df, str(tmp_path / "p"), compression=compression)
-    captures = {r.record_id: r for r in assemble(read_warc(spark, str(tmp_path / "p"))).collect()}
-    assert bytes(captures["<urn:listwell:capture:1>"].main.payload) == ROWS[0][2].encode()
-    assert captures["<urn:listwell:capture:8>"].request.target_uri == "uWARC-Type: x"
+    captures = {int(r.capture.split(":")[3]): r for r in assemble(read_warc(spark, str(tmp_path / "p"))).collect()}
+    assert bytes(captures[1].mains[0].payload) == ROWS[0][2].encode() and [len(captures[1][k]) for k in ("mains", "requests", "metadata", "others")] == [1, 1, 1, 0]
+    assert captures[8].requests[0].target_uri == "uWARC-Type: x"
     assert archived_pages(df.limit(0)).count() == 0
-    assert archived_pages(df.selectExpr("null as page_id", "url", "html")).count() == 0
+    nulls = archived_pages(df.selectExpr("cast(null as long) as page_id", "url", "html")).collect()
+    assert len(nulls) == len(ROWS) and all(r.page_id is None and r.record_type == "response" and r.digest_ok for r in nulls)
+
+
+def test_repeated_ids_and_small_archives(spark, tmp_path):
+    """An id may stand for several payloads, a row may repeat; archives are cut at a size."""
+    rows = [(1, "u", "one"), (1, "u", "two"), (2, "u", "one"), (3, "v", "three"), (3, "v", "three"), (None, "w", "one")] + [(100 + i, "x", str(i) * 3000) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = archived_pages(df, path=str(tmp_path / "w"), archive_bytes=100_000).collect()
+    key = lambda r: (r.page_id, r.record_type, r.refers_to, r.payload_bytes)
+    assert {key(r) for r in got if (r.page_id or 0) < 100} == {(1, "revisit", 2, 3), (1, "response", None, 3), (2, "response", None, 3), (3, "response", None, 5), (None, "revisit", 2, 3)}
+    assert len(got) == len(rows) and all(r.digest_ok for r in got) and sum(r.page_id == 3 for r in got) == 2
+    assert len(list((tmp_path / "w").glob("part-*"))) > 5
 
 
 def test_parser():
@@ -56,7 +68,19 @@ def test_parser():
             list(parse_warc(bad))
 
 
-def test_lone_records(spark):
-    row = {"warc_type": "request", "record_id": "r", "concurrent_to": "none"}
-    df = spark.createDataFrame([row, {"warc_type": "response", "record_id": "m"}, {"warc_type": "response"}], "warc_type string, record_id string, concurrent_to string, target_uri string, date string, fields map<string,string>, payload binary")
-    assert [(r.record_id, r.request, r.metadata) for r in assemble(df).collect()] == [("m", None, None)]
+def test_records_are_joined_in_either_direction(spark):
+    """Named by the response, naming it, or reached through a record that does; the rest stand alone."""
+    rows = [
+        ("response", "m", ["q"]), ("request", "q", None), ("metadata", "d", ["m", "q"]), ("metadata", "d2", ["q"]), ("warcinfo", "i", ["m"]),
+        ("request", "lost", ["none"]), ("resource", "r", None), ("request", None, None), ("request", None, ["m"]), (None, "odd", None),
+    ]
+    df = spark.createDataFrame(rows, "warc_type string, record_id string, concurrent_to array<string>")
+    ids = lambda r: tuple(sorted(str(x.record_id) for x in r))
+    got = sorted((str(r.capture), ids(r.mains), ids(r.requests), ids(r.metadata), ids(r.others)) for r in assemble(df).collect())
+    assert got == sorted([("m", ("m",), ("q",), ("d", "d2"), ("i",)), ("lost", (), ("lost",), (), ()), ("r", ("r",), (), (), ()), ("None", (), ("None",), (), ()), ("None", (), ("None",), (), ()), ("odd", (), (), (), ("odd",))])
+    assert assemble(df.limit(0)).count() == 0
+
+
+def test_repeated_concurrent_fields_are_all_kept():
+    raw = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Concurrent-To: <a>\r\nWARC-Concurrent-To: <b>\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    assert [r["concurrent_to"] for r in parse_warc(raw)] == [["<a>", "<b>"]]
