@@ -8,24 +8,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import primitives as P
 from .functions.inference import infer_types
-from .functions.names import clean_names
+from .functions.names import with_clean_names
+from .functions.primitives import record_json
 from .operators import rows as R
 from .operators.export import content_fingerprint, export_dataset, read_manifest
+from .operators.mapping import Field, field_value
 from .operators.quarantine import registry, reject_rows
 from .operators.runlog import failed_runs, freshness, latest_status, stage_totals, stale_sources
-from .operators.schema import aligned, merged_schema
+from .operators.schema import added_columns, aligned, merged_schema
 from .operators.tables import VersionedTable
 from .plans.features import floor_ratio
 from .plans.lake import Lake
 from .plans.marts import MONEY, daily_counts, dynamics_mart, large_group_median, price_area_mart, price_per_area, style_mart
-from .storage import scratch_path
+from .sources.manifest import ARCHIVE, archive_raw, file_manifest, refusal
+from .sources.readers import workbook_rows
+from .sources.workbooks import with_workbooks
+from .storage import rename_files, scratch_path
 
 SMALL = "decimal(8,2)"
+#: Columns that a pivoted table may have.
+MOST_COLUMNS = 10_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,9 +175,11 @@ def synthetic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean column names out of brands, as a header that has them would get."""
-    raw = [r[0] for r in _table(spark, sf_dir, "part").select("p_brand").distinct().orderBy("p_brand").collect()]
-    return spark.createDataFrame(list(zip(raw, clean_names(raw), strict=True)), "raw string, clean string")
+    """Parts pivoted by brand, under clean names of the brands, and turned back into rows: a header that the data give."""
+    part = _table(spark, sf_dir, "part")
+    brands = [r[0] for r in part.select("p_brand").distinct().orderBy("p_brand").limit(MOST_COLUMNS).collect()]  # a header, not rows
+    wide = with_clean_names(part.groupBy().pivot("p_brand", brands).agg(F.count(F.lit(1))))
+    return wide.unpivot([], wide.columns, "clean", "n")
 
 
 def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,27 +274,236 @@ def quarantine_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- files, versions, flows ----------------------------------------------------------------------------------------
 
 
+#: Rows of a file that a query writes: files stay far below the size from which they are refused.
+FILE_ROWS = 500_000
+
+
+def _csv_files(df: DataFrame, path: str, **options) -> None:
+    df.write.options(header=True, maxRecordsPerFile=FILE_ROWS, **options).csv(path)
+
+
+def _taken(status: dict[str, str], *allowed: str) -> None:
+    """An error if a file was not taken in as it should be."""
+    if not status or set(status.values()) - set(allowed or ("success",)):
+        raise RuntimeError(f"files not taken in: {status}")
+
+
 def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers written as CSV files and taken in again: names, types and rows come back."""
+    """Customers written as CSV files and taken in again as one source: names, types and rows come back."""
     root = scratch_path(spark, "ingest")
-    _table(spark, sf_dir, "customer").repartition(3, "c_custkey").write.option("header", True).csv(f"{root}/in/customer")
+    _csv_files(_table(spark, sf_dir, "customer").repartition(3, "c_custkey"), f"{root}/in")
     lake = Lake(spark, f"{root}/lake")
-    lake.ingest([f"{root}/in/customer"])
-    tables = lake.bronze_sources()
-    out = lake.bronze(tables[0])
-    for t in tables[1:]:
-        out = out.unionByName(lake.bronze(t))
-    return out.select("c_custkey", "c_name", F.col("c_nationkey"), "c_acctbal", "c_mktsegment")
+    _taken(lake.ingest([f"{root}/in"], source="customers"))
+    return lake.bronze("customers").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written as JSON lines with a nested object, taken in as typed columns."""
     root = scratch_path(spark, "ingest")
     events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.struct(F.col("user_id").alias("b"), F.lit("x").alias("a")).alias("nested"))
-    events.coalesce(1).write.json(f"{root}/in")
+    events.write.option("maxRecordsPerFile", FILE_ROWS).json(f"{root}/in")
+    lake = Lake(spark, f"{root}/lake")
+    _taken(lake.ingest([f"{root}/in"], source="events", archive=False, json_lines=True))
+    return lake.bronze("events").select("event_id", "event_type", "value", "nested")
+
+
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of 1,000 events, one file each, laid out over several lines: a document is parsed whole."""
+    root = scratch_path(spark, "documents")
+    events = _table(spark, sf_dir, "events").select((F.col("event_id") / 1000).cast("bigint").alias("file"), F.struct("event_id", "event_type", F.nullif("user_id", F.lit(7)).alias("user_id")).alias("e"))
+    arrays = events.groupBy("file").agg(F.array_join(F.transform(F.sort_array(F.collect_list("e")), lambda e: F.to_json(e)), ",\n").alias("body"))
+    arrays.select(F.concat(F.lit("[\n"), "body", F.lit("\n]")).alias("value"), "file").repartition("file").write.partitionBy("file").text(f"{root}/text")
+    rename_files(spark, f"{root}/text", f"{root}/in", "json")
     lake = Lake(spark, f"{root}/lake")
-    lake.ingest([f"{root}/in"], archive=False)
-    return lake.bronze(lake.bronze_sources()[0]).select("event_id", "event_type", "value", "nested")
+    _taken(lake.ingest([f"{root}/in/*"], source="events", archive=False))
+    return lake.bronze("events").select("event_id", "event_type", "user_id")
+
+
+def csv_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in an old charset, parted by semicolons, with decimal commas, quoted delimiters, line breaks in a quoted name
+    of the header, and rows whose cells are all empty: found out from the file, mapped to numbers."""
+    root = scratch_path(spark, "dialects")
+    customer = _table(spark, sf_dir, "customer")
+    filled = F.col("c_custkey") % 10 > 0
+    value = lambda c: F.when(filled, c)
+    rows = customer.select(
+        value(F.col("c_custkey").cast("string")).alias("ключ"), value(F.concat(F.lit("Имя; "), "c_name")).alias("имя\nполное"), value(F.replace(F.format_string("%.2f", "c_acctbal"), F.lit("."), F.lit(","))).alias("остаток")
+    )
+    lake = Lake(spark, f"{root}/lake")
+    _csv_files(rows.repartition(3), f"{root}/in", sep=";", encoding="windows-1251", emptyValue="", quoteAll=False)
+    _taken(lake.ingest([f"{root}/in"], source="customers"))
+    bronze = lake.bronze("customers")
+    key, name, rest = (F.col(f"`{c}`") for c in [c for c in bronze.columns if not c.startswith("_")][:3])
+    return bronze.select(key.alias("c_custkey"), name.alias("name"), P.cast_decimal(P.regex_replace(rest, ",", ".")[0])[0].alias("balance"))
+
+
+def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as workbooks of 4,000 rows, made in tasks and read again: shared strings, numbers, booleans, dates by style."""
+    orders = _table(spark, sf_dir, "orders")
+    numbered = orders.select((F.col("o_orderkey") / 4000).cast("bigint").alias("book"), "o_orderkey", "o_orderpriority", F.datediff(F.to_date("o_orderdate"), F.lit("1899-12-30").cast("date")).alias("day"), (F.col("o_orderstatus") == "F").alias("done"))
+    books = numbered.groupBy("book").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "day", "done"))).alias("rows"))
+    cells = workbook_rows(with_workbooks(books))
+    below = cells.where("row_no > 1").select(*(F.get("cells", i).alias(c) for i, c in enumerate(("o_orderkey", "priority", "ordered", "done"))))
+    return below.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"), "priority", "ordered", "done")
+
+
+def file_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file for each supplier: content hash, size, and why some are refused (binary, too large)."""
+    root = scratch_path(spark, "files")
+    _supplier_files(spark, sf_dir, f"{root}/in")
+    files = file_manifest(spark, [f"{root}/in/*"], max_bytes=MOST_BYTES)
+    return files.withColumn("refusal", refusal(MOST_BYTES)).select("bytes", "content_hash", "refusal")
+
+
+#: A small limit for the files of suppliers.
+MOST_BYTES = 60
+
+
+def _supplier_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    kind = F.col("s_suppkey") % 5
+    line = F.concat(F.lit("id,name\n"), F.col("s_suppkey").cast("string"), F.lit(","), F.when(kind == 1, F.lit("\0")).when(kind == 2, F.lpad("s_name", 80, "x")).otherwise(F.col("s_name")))
+    _table(spark, sf_dir, "supplier").select(line.alias("value"), F.col("s_suppkey").alias("k")).repartition("k").write.partitionBy("k").option("compression", "none").text(f"{path}.txt")
+    rename_files(spark, f"{path}.txt", path, "csv")
+
+
+def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are archived byte for byte, once for each content, however often they come; archived twice here."""
+    root = scratch_path(spark, "archive")
+    _supplier_files(spark, sf_dir, f"{root}/in")
+    for _ in range(2):
+        archive_raw(spark, [f"{root}/in/*"], f"{root}/raw")
+    return spark.read.schema(ARCHIVE).parquet(f"{root}/raw").select("content_hash", F.decode("content", "UTF-8").alias("content"), (F.sha2("content", 256) == F.col("content_hash")).alias("intact"))
+
+
+_PRICES = """
+[meta]
+external_id = "o_orderkey"
+[fields.price_rub]
+input = "o_totalprice"
+cast = "decimal"
+[fields.area_m2]
+input = "area"
+cast = "decimal"
+default = 50
+[fields.district]
+input = "o_orderstatus"
+enum_map = { F = "finished", O = "open" }
+"""
+
+
+def _price_flow(spark: SparkSession, sf_dir: str, name: str, mapping: str = _PRICES) -> Lake:
+    """Orders as files of one source, taken in and transformed; a status of P is in no dictionary, every seventh area is missing."""
+    root = scratch_path(spark, name)
+    area = F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderkey") % 90 + 1)
+    _csv_files(_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", area.alias("area")).repartition(2, "o_orderkey"), f"{root}/in")
+    lake = Lake(spark, f"{root}/lake")
+    _taken(lake.ingest([f"{root}/in"], source="prices"))
+    lake.transform({"prices": mapping})
+    lake.files = f"{root}/in"
+    return lake
+
+
+def replayed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come again are skipped, and a reprocessed source is as it was: every order once."""
+    lake = _price_flow(spark, sf_dir, "replay")
+    again = lake.ingest([lake.files], source="prices")
+    _taken(again, "skipped")
+    unchanged = lake.transform({"prices": _PRICES})
+    lake.transform({"prices": _PRICES}, source="prices", reprocess=True)
+    runs = lake.log.read().groupBy("stage", "status").agg(F.count(F.lit(1)).alias("n")).groupBy().agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "stage", "status"))), ",").alias("seen"))
+    rows = lake.bronze("prices").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("in_bronze"))
+    silver = lake.silver.read().groupBy(F.col("external_id").cast("bigint").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.max("area_m2").alias("area_m2"), F.max("district").alias("district"))
+    joined = rows.join(silver, F.col("o_orderkey") == F.col("key"), "left").crossJoin(F.broadcast(runs))  # one row
+    return joined.select("o_orderkey", "in_bronze", F.coalesce("n", F.lit(0)).alias("in_silver"), "area_m2", "district", "seen", F.lit(unchanged["prices"]).alias("unchanged"))
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a transform with their records and reasons, after a mapping that rejects other rows was put in its place."""
+    lake = _price_flow(spark, sf_dir, "rejects")
+    lake.transform({"prices": _PRICES.replace('F = "finished"', 'P = "pending"')}, source="prices", reprocess=True)
+    rejects = lake.quarantine.read().where("layer = 'silver'")
+    field = lambda name: F.get_json_object("raw_record", f"$.{name}")
+    return rejects.select(field("o_orderkey").cast("bigint").alias("o_orderkey"), field("o_orderstatus").alias("status"), field("area").alias("area"), "reason", "source")
+
+
+def balance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each stage of a flow, rows that came in, were taken, rejected, and taken over by a later row: nothing is lost."""
+    lake = _price_flow(spark, sf_dir, "balance")
+    totals = lake.log.read().groupBy("stage").agg(F.sum("rows_ok").alias("ok"), F.sum("rows_quarantined").alias("rejected"), F.sum(F.coalesce("rows_deduplicated", F.lit(0))).alias("merged"))
+    incoming = F.lit(_table(spark, sf_dir, "orders").count())
+    return totals.select("stage", "ok", "rejected", "merged", (F.col("ok") + F.col("rejected") + F.col("merged") == incoming).alias("balanced"))
+
+
+def runs_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One broken file, one source without a mapping, one whose mapping names a column that isn't there, one whose mapping is no
+    TOML: each has its record, and the good one goes through."""
+    root = scratch_path(spark, "failures")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.lit(40).alias("area"))
+    lake = Lake(spark, f"{root}/lake")
+    for name, status in (("good", "F"), ("unmapped", "O"), ("gone", "P"), ("odd", "P")):
+        # one letter F alone would be taken for a boolean
+        _csv_files(orders.where(F.col("o_orderstatus") == status).withColumn("o_orderstatus", F.lit("O")).withColumn("tag", F.lit(name)), f"{root}/{name}")
+        _taken(lake.ingest([f"{root}/{name}"], source=name))
+    # the first record of each file is none
+    lines = orders.select(F.when(F.monotonically_increasing_id() % (1 << 33) == 0, "[1]").otherwise(F.to_json(F.struct("o_orderkey"))).alias("value"))
+    lines.write.text(f"{root}/broken lines.txt")
+    rename_files(spark, f"{root}/broken lines.txt", f"{root}/broken lines", "jsonl")
+    lake.ingest([f"{root}/broken lines"], source="broken")
+    lake.transform({"good": _PRICES, "gone": _PRICES.replace('"area"', '"no_such"'), "odd": "[fields"})
+    log = lake.log.read().withColumn("unit", F.when((F.col("stage") == "ingest") & (F.col("status") == "failed"), F.lit("broken")).when(F.col("stage") == "ingest", F.col("target_table")).otherwise(F.col("source_file")))
+    return log.groupBy("stage", "unit", "status").agg(F.sum("rows_ok").alias("ok"), F.sum("rows_quarantined").alias("rejected"), F.count_if(F.col("error_message").isNotNull()).cast("boolean").alias("explained"))
+
+
+def pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of some files, by content hash: the scan reads the partitions of those alone."""
+    root, orders = scratch_path(spark, "pruned"), _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for rest in range(3):
+        _csv_files(orders.where(F.col("o_orderkey") % 3 == rest), f"{root}/in/{rest}")
+    lake = Lake(spark, f"{root}/lake")
+    _taken(lake.ingest([f"{root}/in/*"], source="orders"))
+    chosen = [r[0] for r in lake.bronze("orders").where("o_orderkey % 3 = 1").select("_content_hash").distinct().collect()]  # a row for each file
+    return lake.bronze("orders", chosen).select("o_orderkey", "o_orderstatus")
+
+
+def evolved_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that was published with fewer columns, read under the schema of today, beside a part that has them all."""
+    customer = _table(spark, sf_dir, "customer")
+    new = customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    old = customer.select("c_custkey", "c_name")
+    root = scratch_path(spark, "evolved")
+    VersionedTable(spark, root, old.schema).publish(old.where("c_nationkey < 12"), "old")
+    table = VersionedTable(spark, root, new.schema)
+    table.publish(new.where("c_nationkey >= 12"), "new")
+    missing = added_columns(new.schema, old.schema)
+    return table.read().withColumn("added", F.lit(",".join(missing)))
+
+
+def ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of an export, and whether each follows the line before it in the order of keys, across all files."""
+    root = scratch_path(spark, "ordered")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("price"), F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.to_date("o_orderdate").alias("day"))
+    version = export_dataset(orders, root, key="o_orderkey", formats=("parquet", "jsonl"))
+    lines = spark.read.text(f"{root}/{version}/jsonl").select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    keyed = lines.withColumn("key", F.get_json_object("value", "$.o_orderkey").cast("bigint"))
+    within = Window.partitionBy("file").orderBy("block", "at")
+    # a row for each file
+    first = keyed.groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high")).withColumn("before", F.max("high").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)))
+    placed = keyed.withColumn("last", F.lag("key").over(within)).join(first.select("file", "before"), "file")
+    return placed.select("value", (F.col("key") > F.coalesce("last", "before", F.lit(-1))).alias("in_order"))
+
+
+def guarded_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length guard of patterns, time stamps in several ISO forms, defaults, and the JSON record of a row with a size limit."""
+    events = _table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 5 == 0, F.repeat(F.lit("ab"), 40)).otherwise(F.col("event_type"))
+    replaced, long = F.when(~P.too_long(text, 50), F.regexp_replace(text, "a", "_")), P.too_long(text, 50)
+    form = F.col("event_id") % 4
+    stamp = F.when(form == 0, F.date_format("ts", "yyyy-MM-dd'T'HH")).when(form == 1, F.date_format("ts", "yyyy-MM-dd HH:mm")).when(form == 2, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.concat(F.date_format("ts", "dd.MM.yyyy")))
+    moment, failed = P.cast_timestamp(stamp)
+    spec = Field(input="value", cast="decimal", default=1)
+    amount, reason = field_value("ceiling_height_m", spec, F.when(F.col("user_id") % 3 > 0, F.format_string("%.1f", (F.col("user_id") % 12).cast("double"))), "decimal(4,2)")
+    record = record_json(["event_id", "event_type"], 37)
+    return events.select("event_id", replaced.alias("replaced"), long.alias("too_long"), moment.alias("moment"), failed.alias("failed"), amount.alias("amount"), reason.alias("reason"), F.get_json_object(record, "$._original_bytes").cast("bigint").alias("cut_from"))
 
 
 _FLOW_MAPPING = """
@@ -308,12 +526,12 @@ input = "p_type"
 
 
 def listing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts through the whole flow: file, bronze, mapping with sanity ranges, silver, mart."""
+    """Parts through the whole flow: files, bronze, mapping with sanity ranges, silver, mart."""
     root = scratch_path(spark, "flow")
-    _table(spark, sf_dir, "part").coalesce(1).write.option("header", True).csv(f"{root}/in")
+    _csv_files(_table(spark, sf_dir, "part"), f"{root}/in")
     lake = Lake(spark, f"{root}/lake")
-    lake.ingest([f"{root}/in"])
-    lake.transform(dict.fromkeys(lake.bronze_sources(), _FLOW_MAPPING))
+    _taken(lake.ingest([f"{root}/in"], source="parts"))
+    lake.transform({"parts": _FLOW_MAPPING})
     lake.build_gold(["mart_price_area_by_district"])
     return lake.gold("mart_price_area_by_district").drop("_computed_at", "_gold_run_id")
 
@@ -352,7 +570,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mart_group_summary, mart_large_groups, median_by_rank, mart_styles, mart_dynamics, daily_event_counts, panel_selected_districts, distinct_districts, feature_rows, target_nulls,
         text_primitives, json_fields, reject_split, dictionary_lookup, boolean_words, stable_ids, synthetic_ids, column_names, inferred_types, latest_event_per_user, upsert_customers,
         pending_documents, reconciled_schema, runs_latest_by_stage, runs_latest_by_content, runs_totals, runs_freshness, runs_failed, runs_stale_mappings, quarantine_registry, ingest_csv,
-        ingest_json, listing_flow, versioned_orders, exported_orders, dataset_manifest,
+        ingest_json, json_documents, csv_dialects, workbook_cells, file_admission, raw_archive, replayed_files, quarantined_rows, balance_check, runs_after_failure, pruned_scan, evolved_silver,
+        ordered_export, guarded_values, listing_flow, versioned_orders, exported_orders, dataset_manifest,
     )
 }
 
@@ -361,6 +580,8 @@ _MEAN = lambda v, n: f"(((2 * sum(({v} * 100)::BIGINT) + count({v})) // (2 * cou
 _KIND = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "bigint", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "date"}
 _LATEST = "row_number() OVER (PARTITION BY {} ORDER BY started_at DESC, run_id DESC)"
 
+_SUPPLIER_FILES = "(SELECT s_suppkey, concat('id,name' || chr(10), s_suppkey, ',', CASE s_suppkey % 5 WHEN 1 THEN chr(0) WHEN 2 THEN lpad(s_name, 80, 'x') ELSE s_name END, chr(10)) AS c FROM supplier)"
+
 ORACLES: dict[str, str] = {
     "mart_group_summary": _summary_sql("SELECT p_brand AS k, p_retailprice::DECIMAL(12,2) AS p, p_size::DECIMAL(8,2) AS a FROM part"),
     "mart_large_groups": _summary_sql(_ITEMS),
@@ -389,7 +610,7 @@ SELECT CASE WHEN value > 300 THEN 'value above 300' WHEN value < 0.1 THEN 'value
     "boolean_words": "SELECT DISTINCT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS value, o_orderstatus NOT IN ('F', 'O') AS failed FROM orders",
     "stable_ids": "SELECT o_orderkey, sha256(concat(length(o_orderpriority), ':', o_orderpriority, ':', o_orderkey)) AS id FROM orders",
     "synthetic_ids": "SELECT p_partkey, basis, sha256(concat('4:part:', basis)) AS id FROM (SELECT p_partkey, concat('brand=', p_brand, ';name=', coalesce(nullif(p_name, 'red widget'), 'None'), ';size=', p_size) AS basis FROM part)",
-    "column_names": "SELECT DISTINCT p_brand AS raw, regexp_replace(lower(p_brand), '[^a-z0-9_]', '_', 'g') AS clean FROM part",
+    "column_names": "SELECT regexp_replace(lower(p_brand), '[^a-z0-9_]', '_', 'g') AS clean, count(*)::BIGINT AS n FROM part GROUP BY 1",
     "inferred_types": " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS type" for c, t in _KIND.items()),
     "latest_event_per_user": "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS n FROM events) WHERE n = 1",
     "upsert_customers": """
@@ -408,6 +629,34 @@ SELECT coalesce(c.c_custkey, l.c_custkey) AS c_custkey, CASE WHEN c.c_custkey IS
     "quarantine_registry": "SELECT CASE event_type WHEN 'click' THEN 'bronze' ELSE 'silver' END AS layer, event_type AS source, count(*)::BIGINT AS n_rejects, max(ts) AS last_rejected_at FROM events WHERE value > 100 AND event_type IN ('click', 'view') GROUP BY 1, 2",
     "ingest_csv": "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "ingest_json": """SELECT event_id, event_type, value, '{"a":"x","b":' || user_id || '}' AS nested FROM events""",
+    "json_documents": "SELECT event_id, event_type, nullif(user_id, 7) AS user_id FROM events",
+    "csv_dialects": "SELECT CASE WHEN k THEN c_custkey END AS c_custkey, CASE WHEN k THEN 'Имя; ' || c_name END AS name, CASE WHEN k THEN c_acctbal::DECIMAL(38,2) END AS balance FROM (SELECT *, c_custkey % 10 > 0 AS k FROM customer)",
+    "workbook_cells": "SELECT o_orderkey, o_orderpriority AS priority, strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS ordered, CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS done FROM orders",
+    "file_admission": f"""
+SELECT strlen(c)::BIGINT AS bytes, CASE WHEN strlen(c) <= {MOST_BYTES} THEN sha256(c) END AS content_hash, CASE WHEN strlen(c) > {MOST_BYTES} THEN 'file too large' WHEN s_suppkey % 5 = 1 THEN 'looks binary, not text' END AS refusal FROM {_SUPPLIER_FILES}""",
+    "raw_archive": f"SELECT DISTINCT sha256(c) AS content_hash, c AS content, true AS intact FROM {_SUPPLIER_FILES}",
+    "replayed_files": """
+SELECT o_orderkey, 1::BIGINT AS in_bronze, (o_orderstatus <> 'P')::BIGINT AS in_silver, CASE WHEN o_orderstatus <> 'P' THEN (CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey % 90 + 1 ELSE 50 END)::DECIMAL(8,2) END AS area_m2,
+       CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS district, 'ingest:skipped,ingest:success,transform:partial' AS seen, 'success' AS unchanged FROM orders""",
+    "quarantined_rows": "SELECT o_orderkey, o_orderstatus AS status, CASE WHEN o_orderkey % 7 > 0 THEN (o_orderkey % 90 + 1)::VARCHAR END AS area, 'district: not in dictionary' AS reason, 'prices' AS source FROM orders WHERE o_orderstatus = 'F'",
+    "balance_check": """
+SELECT 'ingest' AS stage, count(*)::BIGINT AS ok, 0::BIGINT AS rejected, 0::BIGINT AS merged, true AS balanced FROM orders
+UNION ALL SELECT 'transform', count(*) FILTER (WHERE o_orderstatus <> 'P'), count(*) FILTER (WHERE o_orderstatus = 'P'), 0, true FROM orders""",
+    "runs_after_failure": """
+WITH n AS (SELECT count(*) FILTER (WHERE o_orderstatus = 'F')::BIGINT AS f, count(*) FILTER (WHERE o_orderstatus = 'O')::BIGINT AS o, count(*) FILTER (WHERE o_orderstatus = 'P')::BIGINT AS p FROM orders)
+SELECT 'ingest' AS stage, 'good' AS unit, 'success' AS status, f AS ok, 0::BIGINT AS rejected, false AS explained FROM n
+UNION ALL SELECT 'ingest', 'unmapped', 'success', o, 0, false FROM n UNION ALL SELECT 'ingest', 'gone', 'success', p, 0, false FROM n UNION ALL SELECT 'ingest', 'odd', 'success', p, 0, false FROM n
+UNION ALL SELECT 'ingest', 'broken', 'failed', 0, 0, true UNION ALL SELECT 'transform', 'good', 'success', f, 0, false FROM n
+UNION ALL SELECT 'transform', 'unmapped', 'skipped', 0, 0, true UNION ALL SELECT 'transform', 'gone', 'failed', 0, 0, true UNION ALL SELECT 'transform', 'odd', 'failed', 0, 0, true""",
+    "evolved_silver": "SELECT c_custkey, c_name, CASE WHEN c_nationkey >= 12 THEN c_nationkey END AS c_nationkey, CASE WHEN c_nationkey >= 12 THEN c_acctbal END AS c_acctbal, 'c_nationkey,c_acctbal' AS added FROM customer",
+    "ordered_export": """
+SELECT concat('{"o_orderkey":', o_orderkey, ',"price":"', o_totalprice::DECIMAL(12,2), '","status":', coalesce('"' || nullif(o_orderstatus, 'P') || '"', 'null'), ',"day":"', strftime(o_orderdate, '%Y-%m-%d'), '"}') AS value, true AS in_order FROM orders""",
+    "guarded_values": """
+SELECT event_id, CASE WHEN event_id % 5 > 0 THEN replace(event_type, 'a', '_') END AS replaced, event_id % 5 = 0 AS too_long,
+       CASE event_id % 4 WHEN 0 THEN date_trunc('hour', ts) WHEN 1 THEN date_trunc('minute', ts) WHEN 2 THEN date_trunc('day', ts)::TIMESTAMP END AS moment, event_id % 4 = 3 AS failed,
+       CASE WHEN user_id % 3 = 0 THEN 1 ELSE user_id % 12 END::DECIMAL(4,2) AS amount, CASE WHEN user_id % 3 = 0 OR user_id % 12 < 1.5 OR user_id % 12 > 10 THEN 'ceiling_height_m: outside sanity range' END AS reason,
+       CASE WHEN strlen(event_id::VARCHAR) + strlen(event_type) + 29 > 37 THEN (strlen(event_id::VARCHAR) + strlen(event_type) + 29)::BIGINT END AS cut_from FROM events""",
+    "pruned_scan": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 1",
     "listing_flow": _summary_sql("SELECT p_type AS k, (p_retailprice * 1000)::DECIMAL(12,2) AS p, p_size::DECIMAL(8,2) AS a FROM part WHERE nullif(regexp_extract(p_brand, '#([0-9]+)', 1), '')::INTEGER <= 20"),
     "versioned_orders": "SELECT o_orderkey, o_orderstatus, o_totalprice, false AS in_latest FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, true FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice > 100000",
     "exported_orders": "SELECT *, sha256(concat('1:o:', o_orderkey)) AS id FROM orders",

@@ -15,3 +15,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{(base or tempfile.gettempdir()).rstrip('/')}/listwell-{name}-{uuid.uuid4().hex}"
+
+
+def rename_files(spark: SparkSession, source: str, target: str, suffix: str) -> None:
+    """Move a folder that Spark wrote to ``target`` and give its part files another suffix; names only, no data."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.rename(path(source), path(target))
+    files = fs.listFiles(path(target), True)
+    found = []
+    while files.hasNext():
+        found.append(files.next().getPath())
+    for f in found:
+        if f.getName().startswith("part-"):
+            fs.rename(f, path(f.getParent(), f"{f.getName().rsplit('.', 1)[0]}.{suffix}"))
