@@ -1,7 +1,7 @@
 """Compressed FM-index over word ids: bit-packed wavelet matrix of the Burrows-Wheeler transform.
 
-``count_windows`` answers a whole batch of fixed-length patterns at a time; every step of the backward search is a
-handful of NumPy operations over all patterns that are still open, so no pattern costs Python work of its own.
+Matching statistics are taken for a whole batch of places at a time; every step of the backward search is a handful of
+NumPy operations over all places that are still open, so no place costs Python work of its own.
 """
 
 from __future__ import annotations
@@ -49,12 +49,13 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Index of passages, given as word ids from 1 up; id 0 closes each passage.
+    """Index of passages, given as word ids from 1 up; id 0 closes each passage. ``owner`` numbers the passage of each place.
 
-    Suffixes are sorted to ``depth`` words, which is enough for backward search of patterns up to that length.
+    Suffixes are sorted to ``depth`` words, which is enough for backward search of patterns up to that length. Kept are the
+    bits of the wavelet matrix and, in the order of suffixes, the 32-bit numbers of their passages.
     """
 
-    def __init__(self, ids: np.ndarray, sigma: int, depth: int):
+    def __init__(self, ids: np.ndarray, sigma: int, depth: int, owner: np.ndarray):
         n = len(ids)
         rank, order, width = ids.astype(np.int64), None, 1
         while True:
@@ -71,38 +72,50 @@ class FMIndex:
             if width >= depth or fresh.all():
                 break
         self.depth = depth
-        self.suffixes = order
+        self.owner = owner[order].astype(np.int32)
         self.before = np.zeros(sigma + 1, np.int64)
         np.cumsum(np.bincount(ids, minlength=sigma), out=self.before[1:])
         self.bwt = WaveletMatrix(ids[order - 1], sigma)
 
-    def intervals(self, ids: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix interval of each window ids[start : start + length], all taken from the indexed text.
+    def matching_statistics(self, ids: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(length, low, high) for each place of the indexed text: the longest run of words, up to ``most``, that ends there and
+        occurs elsewhere too, and the suffix interval of its occurrences (empty where not even the last word does).
 
-        A search stops early once one suffix is left: that is the window itself.
+        Each step extends all matches that are still open by one word to the left; a match ends where it would be left
+        with its own occurrence alone, or at the beginning of its passage.
         """
-        last = ids[starts + length - 1]
+        last = ids[ends]
         low, high = self.before[last], self.before[last + 1]
-        for back in range(2, length + 1):
-            live = np.flatnonzero(high - low > 1)
+        alone = high - low < 2
+        length = np.where(alone, 0, 1)
+        high = np.where(alone, low, high)
+        live = np.flatnonzero(~alone)
+        for back in range(1, most):
+            live = live[ends[live] >= back]
+            symbol = ids[ends[live] - back]
+            live, symbol = live[symbol > 0], symbol[symbol > 0]
             if not len(live):
                 break
-            symbol = ids[starts[live] + length - back]
-            low[live] = self.before[symbol] + self.bwt.rank(symbol, low[live])
-            high[live] = self.before[symbol] + self.bwt.rank(symbol, high[live])
-        return low, high
+            a = self.before[symbol] + self.bwt.rank(symbol, low[live])
+            b = self.before[symbol] + self.bwt.rank(symbol, high[live])
+            more = b - a > 1
+            live = live[more]
+            low[live], high[live] = a[more], b[more]
+            length[live] += 1
+        return length, low, high
 
     def window_minimum(self, ids: np.ndarray, starts: np.ndarray, length: int, value: np.ndarray) -> np.ndarray:
-        """For each window, the least ``value`` (one for each text position) over all its occurrences."""
-        low, high = self.intervals(ids, starts, length)
-        out = value[starts].copy()
-        many = np.flatnonzero(high - low > 1)
+        """For each window of ``length`` words, the least ``value`` (one for each passage) over all its occurrences, the largest
+        integer where the matching statistic stays below ``length``: such a window occurs once."""
+        matched, low, high = self.matching_statistics(ids, starts + length - 1, length)
+        many = np.flatnonzero(matched >= length)
+        out = np.full(len(starts), np.iinfo(np.int64).max)
         if len(many):
             # Equal windows have equal intervals and different ones disjoint intervals.
             left, back = np.unique(low[many], return_inverse=True)
             right = np.empty(len(left), np.int64)
             right[back] = high[many]
             bounds = np.stack([left, right], axis=1).ravel()
-            in_order = np.append(value[self.suffixes], np.iinfo(np.int64).max)
+            in_order = np.append(value[self.owner], np.iinfo(np.int64).max)
             out[many] = np.minimum.reduceat(in_order, bounds)[::2][back]
         return out

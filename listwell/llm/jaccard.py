@@ -29,7 +29,7 @@ from .words import gram_hashes, mix, split_words, text_slices
 #: Parity bits of a set: four for each shingle, a power of two within these bounds.
 FEWEST_BITS, MOST_BITS = 512, 8192
 #: Prefix shingles that one task holds, and coarse members that are broadcast to the texts.
-SHARD_KEYS, BROADCAST_MEMBERS = 3_000_000, 200_000
+SHARD_KEYS, BROADCAST_MEMBERS = 1_000_000, 200_000
 #: Hot shingles are looked for in about so many documents; they only order the sets, no pair depends on them.
 SAMPLE_DOCS, HOT_DOCS, HOT_SHINGLES = 10_000, 20, 100_000
 #: Differing bits of fingerprints within a tight group, and shingles that one comparing task holds of a coarse component.

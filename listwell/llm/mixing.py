@@ -2,10 +2,11 @@
 
 Sizes are summed by source, targets follow the weights up to a cap on repetition, and a source's rate is its target over
 its size. Each document is emitted floor(rate) times, plus once more with a probability equal to the fraction of the rate.
-For most documents a draw seeded by a hash of the id decides. The documents that hold a noticeable share of their source
-are drawn together instead, from the largest down, at equal steps from one hashed start for each source: each still has
-the same probability, but together they miss the target by less than the largest of them. All of it is built-in DataFrame
-work; the draws are the same on every run and in any other engine.
+A draw seeded by a hash of the id decides. Large documents of a source are drawn one after the other, from the largest
+down, and what one misses the target by the probability of the next ones makes up for: over all draws each has the
+fraction for its probability (but where a single document outweighs what others could make up for), and a source ends near
+its target even if it is small or uneven. All of it is built-in DataFrame work; the draws are the same on every run and in
+any other engine.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from .storage import checkpointed
 WORDS = r"[^\x20\x09-\x0D]+"
 #: The table of rates is broadcast up to this many bytes and joined by shuffle beyond.
 BROADCAST_BYTES = 4 << 20
-#: A document of at least this share of its source's size is drawn together with its like: no more than so many for each source.
+#: Documents that hold at least one part in so many of their source are drawn one after the other: no more than so many.
 LARGE = 2_000
 
 
@@ -83,20 +84,32 @@ def with_copies(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     size, key = word_count(text_col), F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     sizes = docs.select(F.col(source_col).cast("string").alias("source"), key.alias("key"), size.alias("size"))
     rates = _broadcast_if_small(checkpointed(source_rates(sizes, weights=weights, max_repeat=max_repeat)).select(F.struct("*").alias("r")), "r.source")
-    of_source = lambda df: df.join(rates, df["source"].eqNullSafe(F.col("r.source")))
+    of_source = lambda df, r: df.join(r, df["source"].eqNullSafe(F.col("r.source")))
     whole = F.floor("r.rate")
     part = F.col("r.rate") - whole
     large = (F.col("size") > 0) & (F.col("size") * LARGE >= F.col("r.source_size")) & (part > 0)
     # at most LARGE rows for each source
-    falling = Window.partitionBy("source").orderBy(F.col("size").desc(), draw(F.col("key"), seed), "key")
-    start = draw(F.concat(F.lit("source:"), F.coalesce("source", F.lit(""))), seed)
-    taken = lambda n: F.floor(start + part * n)
-    together = of_source(sizes).where(large).select("source", "key", "size", "r").distinct().withColumn("n", F.row_number().over(falling))
-    together = checkpointed(together.select(F.struct("source", "key", "size").alias("at"), (taken(F.col("n")) - taken(F.col("n") - 1)).alias("extra")))
-    together = _broadcast_if_small(together, "at.key")
-    rows = of_source(docs.select(F.struct("*").alias("doc"), F.col(source_col).cast("string").alias("source"), key.alias("key"), size.alias("size")))
+    rows = of_source(sizes, rates).where(large).groupBy("source", "key", "size", "r").agg(F.count(F.lit(1)).alias("times"))
+    falling = F.struct((-F.col("size")).alias("order"), draw(F.col("key"), seed).alias("u"), "key", (F.col("size") * F.col("times")).alias("words"))
+    lists = rows.groupBy("source", "r").agg(F.sort_array(F.collect_list(falling)).alias("rows"))
+    due = part * F.col("r.source_size")
+
+    def step(done: Column, row: Column) -> Column:
+        hit = (row["u"] < (due - done["taken"]) / (F.col("r.source_size") - done["seen"])).cast("long")
+        return F.struct((done["taken"] + hit * row["words"]).alias("taken"), (done["seen"] + row["words"]).alias("seen"), F.array_append(done["hits"], hit).alias("hits"))
+
+    none = F.struct(F.lit(0).cast("long").alias("taken"), F.lit(0).cast("long").alias("seen"), F.array().cast("array<bigint>").alias("hits"))
+    drawn = checkpointed(lists.select("source", "rows", F.aggregate("rows", none, step).alias("done")))
+    together = drawn.select("source", F.explode(F.arrays_zip("rows", F.col("done.hits").alias("hits"))).alias("x"))
+    together = _broadcast_if_small(together.select(F.struct("source", F.col("x.rows.key").alias("key"), (-F.col("x.rows.order")).alias("size")).alias("at"), F.col("x.hits").alias("extra")), "at.key")
+    # what is left to the other documents of a source
+    ends = drawn.select(F.col("source").alias("s"), "done.taken", "done.seen")
+    ends = F.broadcast(ends) if rates.count() * 64 <= BROADCAST_BYTES else ends
+    left = (due - F.coalesce("taken", F.lit(0))) / F.nullif(F.col("r.source_size") - F.coalesce("seen", F.lit(0)), F.lit(0))
+    rates = _broadcast_if_small(checkpointed(rates.join(ends, F.col("r.source").eqNullSafe(F.col("s")), "left").select("r", F.coalesce(left, F.lit(0.0)).alias("p"))), "r.source")
+    rows = of_source(docs.select(F.struct("*").alias("doc"), F.col(source_col).cast("string").alias("source"), key.alias("key"), size.alias("size")), rates)
     same = F.col("source").eqNullSafe(F.col("at.source")) & (F.col("key") == F.col("at.key")) & (F.col("size") == F.col("at.size"))
-    copies = whole + F.coalesce(F.col("extra"), (draw(F.col("key"), seed) < part).cast("long"))
+    copies = whole + F.coalesce(F.col("extra"), (draw(F.col("key"), seed) < F.col("p")).cast("long"))
     return rows.join(together, same, "left").select("doc", F.struct("size", "r.source_size", "r.target", "r.rate", copies.alias("copies")).alias("mix"))
 
 
@@ -113,7 +126,7 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
 def mixing_sql(seed: int = 7, max_repeat: int = 3) -> str:
     """The same rows for DuckDB, weights 1, 2, 3."""
     return rf"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0)::BIGINT AS size FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight, {max_repeat} * source_size AS cap FROM s),
 l AS (SELECT *, ((sum(source_size) OVER ()) - coalesce(sum(cap) OVER p, 0))::DOUBLE / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER p, 0))::DOUBLE AS level
@@ -122,10 +135,17 @@ f AS (SELECT *, max(CASE WHEN NOT level * weight > cap THEN level END) OVER () A
 t AS (SELECT source, source_size, CASE WHEN level * weight > cap THEN cap::DOUBLE ELSE rest * weight END AS target FROM f),
 r AS (SELECT *, CASE WHEN source_size = 0 THEN 1.0 ELSE target / source_size END AS rate FROM t),
 j AS (SELECT d.doc_id, d.source, d.size, source_size, target, floor(rate)::BIGINT AS whole, rate - floor(rate) AS part,
-             ('0x' || substr(md5(concat('{seed}:', d.doc_id)), 1, 13))::BIGINT / 4503599627370496.0 AS u,
-             ('0x' || substr(md5(concat('{seed}:source:', coalesce(d.source, ''))), 1, 13))::BIGINT / 4503599627370496.0 AS start
+             ('0x' || substr(md5(concat('{seed}:', d.doc_id)), 1, 13))::BIGINT / 4503599627370496.0 AS u
       FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
 h AS (SELECT *, size > 0 AND size * {LARGE} >= source_size AND part > 0 AS large FROM j),
-n AS (SELECT *, row_number() OVER (PARTITION BY source, large ORDER BY size DESC, u, doc_id::VARCHAR) AS n FROM h)
-SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN large THEN floor(start + part * n) - floor(start + part * (n - 1)) ELSE (u < part)::BIGINT END))::BIGINT AS taken FROM n"""
+n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, u, doc_id::VARCHAR) AS n FROM h WHERE large),
+q AS (SELECT source, 0::BIGINT AS n, 0::BIGINT AS taken, 0::BIGINT AS seen, 0::BIGINT AS extra FROM (SELECT DISTINCT source FROM h)
+      UNION ALL
+      SELECT n.source, n.n, taken + CASE WHEN u < (part * source_size - taken) / (source_size - seen) THEN size ELSE 0 END, seen + size,
+             (u < (part * source_size - taken) / (source_size - seen))::BIGINT
+      FROM q JOIN n ON n.source IS NOT DISTINCT FROM q.source AND n.n = q.n + 1),
+e AS (SELECT source, max_by(taken, n) AS taken, max_by(seen, n) AS seen FROM q GROUP BY source),
+x AS (SELECT n.doc_id, q.extra FROM q JOIN n ON n.source IS NOT DISTINCT FROM q.source AND n.n = q.n)
+SELECT h.doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN large THEN x.extra ELSE (u < coalesce((part * source_size - e.taken) / nullif(source_size - e.seen, 0), 0))::BIGINT END))::BIGINT AS taken
+FROM h JOIN e ON h.source IS NOT DISTINCT FROM e.source LEFT JOIN x ON h.doc_id = x.doc_id"""

@@ -33,7 +33,8 @@ def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(_table(spark, sf_dir, "documents"), min_words=13, with_text=False)
-    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256", spans.alias("spans"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +84,12 @@ s AS (SELECT *, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS
 f AS (SELECT run, min(doc_id) AS first FROM s WHERE i + 13 <= n GROUP BY run),
 h AS (SELECT s.doc_id, i, word, coalesce(i + 13 <= n AND first < s.doc_id, false) AS hit FROM s LEFT JOIN f ON s.run = f.run),
 c AS (SELECT *, max(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM h),
-k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id)
-SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id),
+g AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM c WHERE gone),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 1 AS b FROM g GROUP BY doc_id, island),
+p AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN p USING (doc_id)"""
 
 #: Base 32 of a hexadecimal SHA-1: five hexadecimal digits make four letters.
 _WARC_SQL = r"""

@@ -6,14 +6,15 @@ id. Windows are judged on the input, so the first holder of a passage keeps it w
 How it is spread: documents are dealt once into chunks by a hash of their id; three passes read that one exchange.
 
 1. Each window is named by the least hash of the ``anchor_words``-grams in it (a minimizer). Equal windows have equal
-   anchors. A chunk sends each distinct anchor once, so an anchor found in a third of all documents is one entry for each
-   chunk. Anchors held by a single document cannot be part of a repeat and end here.
-2. Stretches of windows under a shared anchor, once for each distinct stretch in a chunk, go to the shard of their anchor.
-   Every shard builds a compressed FM-index of them and streams its stretches through it: backward search gives the
-   matching statistic of each window up to the threshold, and the least document id among its occurrences.
+   anchors. A chunk sends each distinct anchor once, with the number of its documents, so an anchor found in a third of
+   all documents is one entry for each chunk. Anchors held by a single document cannot be part of a repeat and end here.
+2. Stretches of windows under a shared anchor, once for each distinct stretch in a chunk, go to the shard of their anchor;
+   under an anchor of very many documents each window goes alone, to the shard of its words. Every shard builds a
+   compressed FM-index of its stretches and streams them through it: backward search gives the matching statistic of each
+   place up to the threshold, and the least document id among the occurrences of the windows that reach it.
 3. The answers go back to their chunks in the order of the stretches and mark the words.
 
-Nothing is capped or sampled. Hash equality of 64-bit words and 64-bit anchors stands for equality of words.
+Nothing is capped or sampled. 64-bit hashes stand for words and anchors; passages are compared word by word.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql.types import StructType
 from .words import gram_hashes, mix, pack, sliding_min, split_words, text_slices
 
 _FAR = np.iinfo(np.int64).max
+#: Text of a chunk and of a shard, which one task holds, and documents from which an anchor's windows go alone.
+CHUNK_BYTES, SHARD_BYTES, HOT_DOCS = 64 << 20, 128 << 20, 4096
 
 
 def _windows(column, min_words: int, anchor_words: int):
@@ -49,7 +52,7 @@ def _ids(table: pa.Table) -> np.ndarray:
 
 
 def _chunk_anchors(table: pa.Table, min_words: int, anchor_words: int, shards: int) -> pa.Table:
-    """Distinct anchors of one chunk, by shard, with a mark for those in two of its documents."""
+    """Distinct anchors of one chunk, by shard, with the number of its documents that hold them (to 65,535)."""
     ids, found = _ids(table), []
     for row, _, _, _, text, valid, anchors in _windows(table.column("text"), min_words, anchor_words):
         fresh = np.ones(len(valid), bool)
@@ -60,11 +63,12 @@ def _chunk_anchors(table: pa.Table, min_words: int, anchor_words: int, shards: i
     doc = ids[text]
     order = np.lexsort((doc, anchor))
     anchor, doc = anchor[order], doc[order]
-    first = np.ones(len(anchor), bool)
+    first, fresh = np.ones(len(anchor), bool), np.ones(len(anchor), bool)
     first[1:] = anchor[1:] != anchor[:-1]
+    fresh[1:] = first[1:] | (doc[1:] != doc[:-1])
     at = np.flatnonzero(first)
-    last = np.append(at[1:], len(anchor)) - 1
-    anchor, several = anchor[at], doc[at] != doc[last] if len(at) else np.zeros(0, bool)
+    docs = np.minimum(np.add.reduceat(fresh, at, dtype=np.int64), 65_535).astype(np.uint16) if len(at) else np.zeros(0, np.uint16)
+    anchor = anchor[at]
     shard = (anchor % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -73,54 +77,55 @@ def _chunk_anchors(table: pa.Table, min_words: int, anchor_words: int, shards: i
     chunk = table.column("chunk")[0].as_py()
     return pa.table({
         "shard": pa.array(full, pa.int32()), "chunk": pa.array([chunk] * len(full), pa.int32()),
-        "anchors": pa.array([pack(anchor[p]) for p in pick], pa.binary()), "several": pa.array([pack(several[p]) for p in pick], pa.binary()),
+        "anchors": pa.array([pack(anchor[p]) for p in pick], pa.binary()), "docs": pa.array([pack(docs[p]) for p in pick], pa.binary()),
     })
 
 
 def _shared_anchors(table: pa.Table) -> pa.Table:
-    """Of one shard's anchors, those in two documents or more, back to each chunk that sent them."""
+    """Of one shard's anchors, those in two documents or more, back to each chunk that sent them, with marks for hot ones."""
     sent = [np.frombuffer(b, np.uint64) for b in table.column("anchors").to_pylist()]
-    several = np.concatenate([np.frombuffer(b, bool) for b in table.column("several").to_pylist()])
-    anchor = np.concatenate(sent)
-    values, back, count = np.unique(anchor, return_inverse=True, return_counts=True)
-    shared = count > 1
-    shared[back[several]] = True
-    keep = shared[back]
+    docs = np.concatenate([np.frombuffer(b, np.uint16) for b in table.column("docs").to_pylist()])
+    _, back = np.unique(np.concatenate(sent), return_inverse=True)
+    count = np.bincount(back, docs).astype(np.int64)[back]
     cuts = np.cumsum([0, *map(len, sent)])
-    blobs = [pack(a[keep[cuts[i] : cuts[i + 1]]]) for i, a in enumerate(sent)]
-    full = [i for i, b in enumerate(blobs) if b]
+    parts = [(a[n > 1], n[n > 1] > HOT_DOCS) for a, n in ((a, count[cuts[i] : cuts[i + 1]]) for i, a in enumerate(sent))]
+    full = [i for i, (a, _) in enumerate(parts) if len(a)]
     chunk = table.column("chunk").to_numpy()
-    return pa.table({"chunk": pa.array(chunk[full], pa.int32()), "shard": pa.array([table.column("shard")[0].as_py()] * len(full), pa.int32()), "blob": pa.array([blobs[i] for i in full], pa.binary())})
+    return pa.table({
+        "chunk": pa.array(chunk[full], pa.int32()), "shard": pa.array([table.column("shard")[0].as_py()] * len(full), pa.int32()),
+        "blob": pa.array([pack(parts[i][0]) for i in full], pa.binary()), "hot": pa.array([pack(parts[i][1]) for i in full], pa.binary()),
+    })
 
 
 class _Stretches:
     """Distinct stretches of one chunk under shared anchors, ordered by shard; the same on every call."""
 
-    def __init__(self, table: pa.Table, shared: np.ndarray, min_words: int, anchor_words: int, shards: int):
+    def __init__(self, table: pa.Table, shared: np.ndarray, hot: np.ndarray, min_words: int, anchor_words: int, shards: int):
         ids, parts = _ids(table), []
         for row, _, words, h, text, valid, anchors in _windows(table.column("text"), min_words, anchor_words):
             at = np.searchsorted(shared, anchors)
             hit = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == anchors) if len(shared) else np.zeros(0, np.int64)
-            start, anchor = valid[hit], anchors[hit]
-            new = np.ones(len(hit), bool)
-            new[1:] = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1) | (text[start[1:]] != text[start[:-1]])
+            start, anchor, alone = valid[hit], anchors[hit], hot[at[hit]]
+            new = alone.copy()
+            new[:1] = True
+            new[1:] |= (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1) | (text[start[1:]] != text[start[:-1]])
             head = np.flatnonzero(new)
             n = np.diff(np.append(head, len(hit)))  # windows in each stretch
             begin, length = start[head], n + min_words - 1
             inner = np.repeat(begin - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
             # position in the text's own words, and the text's row in the chunk
-            parts.append((anchor[head], n, begin - words.first[text[begin]], row + text[begin], h[inner]))
+            parts.append((anchor[head], n, begin - words.first[text[begin]], row + text[begin], h[inner], alone[head]))
         cat = lambda i, kind: np.concatenate([p[i] for p in parts]).astype(kind, copy=False) if parts else np.zeros(0, kind)
-        anchor, self.n, self.begin, self.row, word = cat(0, np.uint64), cat(1, np.int64), cat(2, np.int64), cat(3, np.int64), cat(4, np.uint64)
+        anchor, self.n, self.begin, self.row, word, alone = cat(0, np.uint64), cat(1, np.int64), cat(2, np.int64), cat(3, np.int64), cat(4, np.uint64), cat(5, bool)
         length = self.n + min_words - 1
         self.doc = ids[self.row]
         cuts = np.concatenate([[0], np.cumsum(length)])
         key = _content_key(word, cuts, length)
-        shard = (anchor % np.uint64(shards)).astype(np.int64)
+        shard = (np.where(alone, key, anchor) % np.uint64(shards)).astype(np.int64)
         # one of each distinct content, in the order of (shard, key)
         order = np.lexsort((self.doc, key, shard))
         fresh = np.ones(len(order), bool)
-        fresh[1:] = (key[order][1:] != key[order][:-1]) | (shard[order][1:] != shard[order][:-1])
+        fresh[1:] = (shard[order][1:] != shard[order][:-1]) | _content_changes(key, word, cuts, length, order)
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(fresh) - 1
         one = order[fresh]
@@ -138,9 +143,28 @@ def _content_key(word: np.ndarray, cuts: np.ndarray, length: np.ndarray) -> np.n
     return mix(np.add.reduceat(mix(word + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), cuts[:-1]) + length.astype(np.uint64))
 
 
-def _shared_of(extra: pa.Table) -> np.ndarray:
-    blobs = [np.frombuffer(b, np.uint64) for b, d in zip(extra.column("blob").to_pylist(), extra.column("answer").to_pylist(), strict=True) if not d]
-    return np.sort(np.concatenate(blobs)) if blobs else np.zeros(0, np.uint64)
+def _content_changes(key: np.ndarray, word: np.ndarray, cuts: np.ndarray, length: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Whether each stretch, in ``order``, differs from the one before it: by its key, or else by its words."""
+    a, b = order[:-1], order[1:]
+    changes = key[a] != key[b]
+    same = np.flatnonzero(~changes)
+    differ = length[a[same]] != length[b[same]]
+    changes[same[differ]] = True
+    same = same[~differ]
+    n = length[a[same]]
+    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    unequal = word[np.repeat(cuts[a[same]], n) + inner] != word[np.repeat(cuts[b[same]], n) + inner]
+    if unequal.any():
+        changes[np.repeat(same, n)[unequal]] = True
+    return changes
+
+
+def _shared_of(extra: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Shared anchors of a chunk in order, and marks for hot ones."""
+    anchors = [(np.frombuffer(b, np.uint64), np.frombuffer(h, bool)) for b, h, d in zip(*(extra.column(c).to_pylist() for c in ("blob", "hot", "answer")), strict=True) if not d]
+    anchor = np.concatenate([np.zeros(0, np.uint64), *(a for a, _ in anchors)])
+    order = np.argsort(anchor)
+    return anchor[order], np.concatenate([np.zeros(0, bool), *(h for _, h in anchors)])[order]
 
 
 _STRETCH_SCHEMA = "shard int, chunk int, words binary, ids binary, lengths binary, least binary"
@@ -149,7 +173,7 @@ _STRETCH_SCHEMA = "shard int, chunk int, words binary, ids binary, lengths binar
 def _chunk_stretches(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int, shards: int) -> pa.Table:
     rows = {k: [] for k in ("shard", "chunk", "words", "ids", "lengths", "least")}
     if table.num_rows and extra.num_rows:
-        s = _Stretches(table, _shared_of(extra), min_words, anchor_words, shards)
+        s = _Stretches(table, *_shared_of(extra), min_words, anchor_words, shards)
         cuts, ends = np.searchsorted(s.shard, np.arange(shards + 1)), np.concatenate([[0], np.cumsum(s.length)])
         for shard in np.flatnonzero(np.diff(cuts)):
             a, b = cuts[shard], cuts[shard + 1]
@@ -181,7 +205,7 @@ def _search_shard(table: pa.Table, min_words: int) -> pa.Table:
     key = _content_key(values[ids - 1], cuts, length)
     order = np.lexsort((least, key))
     fresh = np.ones(len(order), bool)
-    fresh[1:] = key[order][1:] != key[order][:-1]
+    fresh[1:] = _content_changes(key, ids, cuts, length, order)
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(fresh) - 1
     one = order[fresh]
@@ -192,12 +216,11 @@ def _search_shard(table: pa.Table, min_words: int) -> pa.Table:
     inside = np.ones(len(text), bool)
     inside[begin + n] = False
     text[inside] = ids[np.repeat(cuts[one] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
-    value = np.full(len(text), _FAR)
-    value[inside] = np.repeat(least[one], n)
     per = n - min_words + 1
     starts = np.repeat(begin - np.cumsum(per) + per, per) + np.arange(int(per.sum()))
-    index = FMIndex(text, len(values) + 1, min_words)
-    best = index.window_minimum(text, starts, min_words, value)
+    index = FMIndex(text, len(values) + 1, min_words, np.repeat(np.arange(len(n)), n + 1))
+    # a window found once is that of its own stretch
+    best = np.minimum(index.window_minimum(text, starts, min_words, least[one]), np.repeat(least[one], per))
     edge = np.concatenate([[0], np.cumsum(per)])
     blobs, at = [], 0
     for lengths in sent:
@@ -205,7 +228,7 @@ def _search_shard(table: pa.Table, min_words: int) -> pa.Table:
         p = per[w]
         blobs.append(pack(best[np.repeat(edge[w] - np.cumsum(p) + p, p) + np.arange(int(p.sum()))]))
         at += len(lengths)
-    return pa.table({"chunk": table.column("chunk").cast(pa.int32()), "shard": table.column("shard").cast(pa.int32()), "blob": pa.array(blobs, pa.binary())})
+    return pa.table({"chunk": table.column("chunk").cast(pa.int32()), "shard": table.column("shard").cast(pa.int32()), "blob": pa.array(blobs, pa.binary()), "hot": pa.nulls(len(blobs), pa.binary())})
 
 
 _RESULT_SCHEMA = "id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>, kept_sha256 string"
@@ -218,7 +241,7 @@ def _apply(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int,
         return pa.table({k: pa.array([], t) for k, t in kinds.items()} | {"rest": pa.array([], table.schema.field("rest").type)})
     ids, covers = _ids(table), {}
     if extra.num_rows:
-        s = _Stretches(table, _shared_of(extra), min_words, anchor_words, shards)
+        s = _Stretches(table, *_shared_of(extra), min_words, anchor_words, shards)
         answers = sorted((sh, b) for sh, b, d in zip(extra.column("shard").to_pylist(), extra.column("blob").to_pylist(), extra.column("answer").to_pylist(), strict=True) if d)
         best = np.concatenate([np.frombuffer(b, np.int64) for _, b in answers]) if answers else np.zeros(0, np.int64)
         edge = np.concatenate([[0], np.cumsum(s.windows)])
@@ -250,28 +273,29 @@ def _apply(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int,
     return pa.table({k: pa.array(v, kinds[k]) for k, v in out.items()} | {"rest": table.column("rest")})
 
 
-def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, anchor_words: int = 4, chunks: int | None = None, with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, anchor_words: int = 4, chunks: int | None = None, shards: int | None = None, with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: ``id_col``, ``n_words``, ``n_removed``, ``kept_text`` (the text itself where nothing goes, else the
     kept words joined by one space), ``removed`` (word spans), ``kept_sha256`` (of the kept words joined by one space), and
     ``rest``: a struct of the ``carry`` columns.
 
-    ``chunks`` (default: the session's shuffle partitions) sets the number of chunks and of shards; a chunk is held by one
-    task, so keep the text of a chunk below some 100 MB. Null and empty texts have no words. Rows with a null id are
+    ``chunks`` and ``shards``, each held by one task, are by default as many as their bytes ask for, at least the session's
+    shuffle partitions. Null and empty texts have no words. Rows with a null id are
     compared with nothing and keep all their words. Rows that repeat an id count as one document that occurs twice:
     they take nothing from each other. ``with_text=False`` leaves ``kept_text`` null. An empty table gives an empty result; columns other than id and text are
     not looked at, whatever their names.
     """
     if not 1 <= anchor_words <= min_words:
         raise ValueError("anchor_words must be from 1 to min_words")
-    spark = docs.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    args = (min_words, anchor_words, n)
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0 if not (chunks and shards) else 0
+    n, m = chunks or max(least, -(-int(held) // CHUNK_BYTES)), shards or max(least, -(-int(held) // SHARD_BYTES))
+    args = (min_words, anchor_words, m)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in carry) if carry else [F.lit(0).alias("none")]).alias("rest"))
     dealt = rows.where("id is not null").withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(n, "chunk")
-    anchors = dealt.groupBy("chunk").applyInArrow(lambda t: _chunk_anchors(t, *args), "shard int, chunk int, anchors binary, several binary")
-    shared = anchors.groupBy("shard").applyInArrow(_shared_anchors, "chunk int, shard int, blob binary").withColumn("answer", F.lit(False))
+    anchors = dealt.groupBy("chunk").applyInArrow(lambda t: _chunk_anchors(t, *args), "shard int, chunk int, anchors binary, docs binary")
+    shared = anchors.groupBy("shard").applyInArrow(_shared_anchors, "chunk int, shard int, blob binary, hot binary").withColumn("answer", F.lit(False))
     stretches = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(lambda t, e: _chunk_stretches(t, e, *args), _STRETCH_SCHEMA)
-    answers = stretches.groupBy("shard").applyInArrow(lambda t: _search_shard(t, min_words), "chunk int, shard int, blob binary").withColumn("answer", F.lit(True))
+    answers = stretches.groupBy("shard").applyInArrow(lambda t: _search_shard(t, min_words), "chunk int, shard int, blob binary, hot binary").withColumn("answer", F.lit(True))
     schema = StructType([*StructType.fromDDL(_RESULT_SCHEMA), rows.schema["rest"]])
     out = dealt.groupBy("chunk").cogroup(shared.unionByName(answers).groupBy("chunk")).applyInArrow(lambda t, e: _apply(t, e, *args, with_text), schema)
     alone = rows.where("id is null").mapInArrow(lambda it: _unmatched(it, *args, with_text), schema)

@@ -48,7 +48,7 @@ def test_taken_is_near_target_at_scale(spark):
 
 
 def test_mix_repeats_rows_and_edges(spark):
-    rows = [(1, "a b", "x"), (2, None, None), (3, "", "y"), (None, "q", "x"), (1, "a b", "x")]
+    rows = [(1, "a b", "x"), (2, None, None), (3, "", "y"), (None, "q", "x"), (1, "a b", "x"), (7, "w " * 300_000, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 as size", "2 as target", "3 as rate", "4 as mix", "5 as r", "6 as doc", "7 as u")
     out = mix_sources(df)
     assert out.columns == df.columns
@@ -61,10 +61,10 @@ def test_mix_repeats_rows_and_edges(spark):
 
 
 def test_small_sources_end_near_their_targets(spark):
-    """Sources of 50 documents or more within a tenth, on tables of few and uneven documents."""
+    """Sources of 50 documents or more within a twentieth, on tables of few and uneven documents."""
     out = op5_source_mixing(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source"), "doc_id")
     rows = out.groupBy("source").agg({"taken": "sum", "target": "max", "doc_id": "count"}).collect()
-    far = [(r["source"], r["sum(taken)"] / r["max(target)"]) for r in rows if r["count(doc_id)"] >= 50 and abs(r["sum(taken)"] - r["max(target)"]) > 0.1 * r["max(target)"]]
+    far = [(r["source"], r["sum(taken)"] / r["max(target)"]) for r in rows if r["count(doc_id)"] >= 50 and abs(r["sum(taken)"] - r["max(target)"]) > 0.05 * r["max(target)"]]
     assert rows and not far
 
 
@@ -72,10 +72,10 @@ def test_a_copy_is_as_likely_as_the_fraction(spark):
     """Over many seeds each document is taken in proportion to its rate, alone or drawn together."""
     rows = [(i, "w " * (1 + 7 * i % 40), "a" if i % 3 else "b") for i in range(40)] + [(99, "w " * 9000, "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    seen, seeds = {}, 40
+    seen, seeds = {}, 12
     for seed in range(seeds):
         for r in with_copies(df, seed=seed, weights=(3, 1, 1)).selectExpr("doc.doc_id as i", "mix.copies as c", "mix.rate as rate").collect():
             seen.setdefault(r.i, []).append(r.c - r.rate)
             assert abs(r.c - r.rate) < 1 + 1e-9
     means = [sum(v) / seeds for v in seen.values()]
-    assert max(map(abs, means)) < 0.35 and abs(sum(means) / len(means)) < 0.1
+    assert max(map(abs, means)) < 0.6 and abs(sum(means) / len(means)) < 0.1

@@ -97,3 +97,15 @@ def test_large_bucket_and_chain(spark):
     ball = {100 + i: (1 << 63) | (1 << (i % 50)) | (1 << ((i * 7) % 50)) for i in range(200)}
     fps = {i: f for f, i in {f: i for i, f in reversed({**chain, **ball}.items())}.items()}
     assert components(spark, fps) == brute_components(fps, 4)
+
+
+def test_hubs_are_split(spark, monkeypatch):
+    monkeypatch.setattr("listwell.llm.components.HUB", 7)
+    rng = random.Random(2)
+    edges = [(0, i) for i in range(1, 60)] + [(500 + i, 500) for i in range(40)] + [(rng.randrange(900, 960), rng.randrange(900, 960)) for _ in range(40)] + [(59, 700), (700, 539)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    parent = {x: x for e in edges for x in e}
+    for _ in range(len(parent)):
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert got == {x: p for x, p in parent.items() if x != p}

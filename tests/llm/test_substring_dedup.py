@@ -1,9 +1,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
+from listwell.llm.fm_index import FMIndex
 from listwell.llm.substring_dedup import substring_dedup
 
 SF = "/root/testdata/sf0.01"
@@ -55,3 +57,36 @@ def test_spans_null_ids_and_empty(spark):
     assert cut.kept_text == "x y z" and [tuple(s) for s in cut.removed] == [(2, 22)]
     assert len(got) == 4 and next(r for r in got if r.doc_id is None).n_removed == 0
     assert substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_matching_statistics_match_brute_force():
+    rng = random.Random(4)
+    passages = [[rng.randrange(1, 4) for _ in range(rng.randrange(1, 30))] for _ in range(12)]
+    ids = np.array([x for p in passages for x in [*p, 0]])
+    owner = np.repeat(np.arange(len(passages)), [len(p) + 1 for p in passages])
+    ends = np.flatnonzero(ids)
+    text, most = ids.tolist(), 9
+    found = {}
+    for e in range(len(text)):
+        for k in range(1, most + 1):
+            run = tuple(text[max(0, e - k + 1) : e + 1])
+            if len(run) == k and 0 not in run:
+                found.setdefault(run, set()).add(e)
+    want = [max((k for k in range(1, most + 1) if len(found.get(tuple(text[max(0, e - k + 1) : e + 1]), ())) > 1 and k <= e + 1), default=0) for e in ends.tolist()]
+    index = FMIndex(ids, 4, most, owner)
+    length, low, high = index.matching_statistics(ids, ends, most)
+    assert length.tolist() == want
+    for e, k, a, b in zip(ends.tolist(), want, low.tolist(), high.tolist()):
+        assert sorted(index.owner[a:b].tolist()) == sorted(owner[x] for x in (found[tuple(text[e - k + 1 : e + 1])] if k else ()))
+
+
+def test_hot_anchors_and_words_alike_in_structure(spark, monkeypatch):
+    """Windows of anchors that many documents hold go alone; Thue-Morse words are different words."""
+    monkeypatch.setattr("listwell.llm.substring_dedup.HOT_DOCS", 3)
+    rng = random.Random(9)
+    hot = "a b c d"
+    a, b = ("".join(p[i.bit_count() % 2] for i in range(2048)) for p in ("xy", "yx"))
+    rows = [(i, " ".join(rng.choice([hot, "e f", "g", "h i j"]) for _ in range(rng.randrange(1, 30)))) for i in range(60)]
+    rows += [(100, " ".join([a] * 14)), (101, " ".join([b] * 14)), (102, " ".join([b] * 14))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(substring_dedup(df, min_words=6, anchor_words=3, chunks=5, shards=3)) == brute(rows, 6)

@@ -1,7 +1,12 @@
+import itertools
+import math
+import re
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from listwell.llm.toxicity import OrdinalModel, fit_ordinal, fit_toxicity_model, toxicity_scores
+from listwell.llm.toxicity import OrdinalModel, fit_ordinal, fit_toxicity_model, toxicity_scores, word_features
 
 
 def test_held_out_accuracy_and_order(spark):
@@ -40,3 +45,26 @@ def test_edges(spark):
     assert got[1] == got[2] == got[3] < got[5] <= got[4]
     assert fit_toxicity_model(df, labels.where("toxic = 1")) is None
     assert toxicity_scores(df.limit(0), model).count() == 0
+
+
+def test_scores_match_a_plain_scorer(spark):
+    """Severity, grade and verdict of every text by loops over its distinct words."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_toxicity_model(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1: None, -2: "", -3: "42 %", -4: "w " * 200_000}
+    weight = dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True))
+    names = {}
+
+    def key(word):
+        if word not in names:
+            names[word] = int(word_features(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[1][0])
+        return names[word]
+
+    logistic = lambda z: 1 / (1 + math.exp(-max(-50, min(50, z))))
+    for r in toxicity_scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect():
+        words = set(re.findall(rb"[a-z\x80-\xff]+", (texts[r.doc_id] or "").encode().lower()))
+        score = sum(weight.get(key(w), 0.0) for w in words)
+        up_to = [0.0, *(logistic(t - score) for t in model.thresholds), 1.0]
+        p = [b - a for a, b in itertools.pairwise(up_to)]
+        assert r.severity == pytest.approx(sum(k * x for k, x in enumerate(p)), abs=1e-9)
+        assert r.p_toxic == pytest.approx(1 - p[0], abs=1e-9) and r.toxic == (r.p_toxic >= 0.5) and p[r.grade] == pytest.approx(max(p), abs=1e-12)
