@@ -19,12 +19,51 @@ def exact_mean(value: Column, kind: str) -> Column:
     return (F.sum(value) / F.nullif(F.count(value), F.lit(0))).cast(kind)
 
 
-def exact_median(value: Column, kind: str = MONEY) -> Column:
-    """Mean of the two middle values, halves up; nulls are ignored. Deterministic, unlike an approximate percentile.
+#: Value ranges that a group is cut into to find its median.
+RANGES = 1024
 
-    It is taken over whole cents, whose mean is exact as a double, so that no half cent is lost to binary fractions.
+
+def exact_medians(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """(keys, ``name``): the mean of the two middle values of each group, halves up; nulls are ignored, as are groups of nulls.
+
+    Values are counted in whole cents before anything is ordered. Counts by range tell in which one or two ranges of a
+    group its middle lies; only those are ranked. So no task orders or holds a whole group, however large it is.
     """
-    return (F.percentile((value.cast(MONEY) * 100).cast("bigint"), 0.5).cast("decimal(20,1)") / 100).cast(kind)
+    cents = (F.col(value).cast(MONEY) * 100).cast("bigint").alias("cents")
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, cents).agg(F.count(F.lit(1)).alias("n"))
+    bounds = counts.groupBy(*keys).agg(F.min("cents").alias("least"), F.max("cents").alias("most"), F.sum("n").alias("total"))
+    same = lambda a, b, names: [a[k].eqNullSafe(b[k]) for k in names]
+
+    def joined(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+        condition = same(left, right, names)
+        both = condition[0]
+        for c in condition[1:]:
+            both = both & c
+        return left.join(right, both).select(*(left[c] for c in left.columns), *(right[c] for c in right.columns if c not in names))
+
+    ranged = joined(counts, bounds, keys).withColumn("range", F.floor((F.col("cents") - F.col("least")).cast("double") / (F.col("most") - F.col("least") + 1) * RANGES).cast("int"))
+    group = Window.partitionBy(*keys)
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
+    by_range = ranged.groupBy(*keys, "range", "total").agg(F.sum("n").alias("held"))
+    # at most RANGES rows for each group
+    by_range = by_range.withColumn("upto", F.sum("held").over(group.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.col("upto") - F.col("held"))
+    holds = lambda rank: (F.col("before") < rank) & (F.col("upto") >= rank)
+    middle = by_range.where(holds(low) | holds(high)).select(*keys, "range", "before")
+    inside = joined(ranged.select(*keys, "range", "cents", "n", "total"), middle, [*keys, "range"])
+    ranked = inside.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "range").orderBy("cents").rowsBetween(Window.unboundedPreceding, 0)))
+    pick = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("cents")))
+    median = ((pick(low) + pick(high)).cast("decimal(20,0)") / 200).cast(MONEY)
+    return ranked.groupBy(*keys).agg(median.alias(name))
+
+
+def _with_medians(summary: DataFrame, rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``summary`` with the median price of each group, columns in the order given."""
+    medians = exact_medians(rows, keys, "p", "median_price_rub")
+    medians = medians.select(*(F.col(k).alias(f"_{k}") for k in keys), "median_price_rub")
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return summary.join(medians, condition, "left").select(*columns)
 
 
 def price_per_area(price: str = "price_rub", area: str = "area_m2") -> Column:
@@ -34,15 +73,15 @@ def price_per_area(price: str = "price_rub", area: str = "area_m2") -> Column:
 def price_area_mart(silver: DataFrame, group: str = "district", price: str = "price_rub", area: str = "area_m2") -> DataFrame:
     """Listings, prices and areas by district; a null district is 'unknown'."""
     rows = silver.select(F.coalesce(F.col(group), F.lit("unknown")).alias(group), F.col(price).cast(MONEY).alias("p"), F.col(area).cast(AREA).alias("a"))
-    return rows.groupBy(group).agg(
+    summary = rows.groupBy(group).agg(
         F.count(F.lit(1)).alias("listing_count"),
         exact_mean(F.col("p"), MONEY).alias("avg_price_rub"),
-        exact_median(F.col("p")).alias("median_price_rub"),
         F.min("p").cast(MONEY).alias("min_price_rub"),
         F.max("p").cast(MONEY).alias("max_price_rub"),
         exact_mean(price_per_area("p", "a"), MONEY).alias("avg_price_per_m2"),
         exact_mean(F.col("a"), AREA).alias("avg_area_m2"),
     )
+    return _with_medians(summary, rows, [group], [group, "listing_count", "avg_price_rub", "median_price_rub", "min_price_rub", "max_price_rub", "avg_price_per_m2", "avg_area_m2"])
 
 
 def style_mart(silver: DataFrame, small_sample: int = 3) -> DataFrame:
@@ -50,9 +89,9 @@ def style_mart(silver: DataFrame, small_sample: int = 3) -> DataFrame:
     rows = silver.select(
         text_key(F.col("style")).alias("style_norm"), text_key(F.col("renovation_style")).alias("renovation_style_norm"), "has_renovation", "has_furniture", F.col("price_rub").cast(MONEY).alias("p"), F.col("area_m2").cast(AREA).alias("a")
     )
-    grouped = rows.groupBy("style_norm", "renovation_style_norm", "has_renovation", "has_furniture").agg(
-        F.count(F.lit(1)).alias("listing_count"), exact_mean(F.col("p"), MONEY).alias("avg_price_rub"), exact_median(F.col("p")).alias("median_price_rub"), exact_mean(F.col("a"), AREA).alias("avg_area_m2")
-    )
+    keys = ["style_norm", "renovation_style_norm", "has_renovation", "has_furniture"]
+    summary = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("listing_count"), exact_mean(F.col("p"), MONEY).alias("avg_price_rub"), exact_mean(F.col("a"), AREA).alias("avg_area_m2"))
+    grouped = _with_medians(summary, rows, keys, [*keys, "listing_count", "avg_price_rub", "median_price_rub", "avg_area_m2"])
     return grouped.withColumn("is_small_sample", F.col("listing_count") < small_sample)
 
 
@@ -74,17 +113,4 @@ def dynamics_mart(silver: DataFrame, moment: str = "_ingested_at") -> DataFrame:
     return filled.withColumn("listings_added_cumulative", running)
 
 
-def large_group_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """The exact median by rank instead of a map of values: for groups whose distinct values would not fit a task's memory.
-
-    Values are counted before anything is ordered, so repeated values cost one row; equal results to ``exact_median``.
-    """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(*keys)
-    ranked = counts.withColumn("upto", F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(group))
-    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    pick = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col(value).cast(MONEY)))
-    return ranked.groupBy(*keys).agg(((pick(low) + pick(high)) / 2).cast(MONEY).alias(f"median_{value}"))
-
-
 MARTS = {"mart_price_area_by_district": price_area_mart, "mart_style_renovation_furniture": style_mart, "mart_listing_dynamics": dynamics_mart}

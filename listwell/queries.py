@@ -24,7 +24,7 @@ from .operators.schema import added_columns, aligned, merged_schema
 from .operators.tables import VersionedTable
 from .plans.features import floor_ratio
 from .plans.lake import Lake
-from .plans.marts import MONEY, daily_counts, dynamics_mart, large_group_median, price_area_mart, price_per_area, style_mart
+from .plans.marts import MONEY, daily_counts, dynamics_mart, exact_medians, price_area_mart, price_per_area, style_mart
 from .sources.manifest import ARCHIVE, archive_raw, file_manifest, refusal
 from .sources.readers import workbook_rows
 from .sources.workbooks import with_workbooks
@@ -79,8 +79,8 @@ FROM b GROUP BY 1"""
 
 
 def median_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact medians of large groups by rank."""
-    return large_group_median(_listings(spark, sf_dir), ["district"], "price_rub")
+    """Exact medians of large groups: ranges first, ranks within the middle ones."""
+    return exact_medians(_listings(spark, sf_dir), ["district"], "price_rub", "median_price_rub")
 
 
 def mart_styles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from listwell.operators.runlog import failed_runs, freshness, latest_status, sta
 from listwell.operators.schema import SchemaConflict, added_columns, aligned, merged_schema
 from listwell.operators.tables import VersionedTable
 from listwell.plans.lake import Lake
-from listwell.plans.marts import dynamics_mart, large_group_median, price_area_mart, style_mart
+from listwell.plans.marts import dynamics_mart, exact_medians, price_area_mart, style_mart
 from listwell.sources.manifest import archive_raw, file_manifest
 
 AVITO = """
@@ -227,7 +227,7 @@ def test_marts(spark):
     assert styles == {("loft", "none", True): (2, False), ("loft", "x", True): (1, True), ("none", "none", None): (1, True)}
     days = spark.sql("select explode(array(timestamp_ntz'2024-01-01 23:00:00', timestamp_ntz'2024-01-04', timestamp_ntz'2024-01-04 05:00:00', null)) as _ingested_at")
     assert [(str(r[0]), r[1], r[2]) for r in dynamics_mart(days).orderBy("load_date").collect()] == [("2024-01-01", 1, 1), ("2024-01-02", 0, 1), ("2024-01-03", 0, 1), ("2024-01-04", 2, 3)]
-    assert {tuple(r) for r in large_group_median(df.fillna("u", ["district"]), ["district"], "price_rub").collect()} == {("a", Decimal("150.00")), ("u", Decimal("300.01"))}
+    assert {tuple(r) for r in exact_medians(df.fillna("u", ["district"]), ["district"], "price_rub", "m").collect()} == {("a", Decimal("150.00")), ("u", Decimal("300.01"))}
 
 
 def test_versions_and_export(spark, tmp_path):
