@@ -168,19 +168,20 @@ def assemble(records: DataFrame) -> DataFrame:
     A main record is a response, revisit, resource or conversion. Any other record belongs to the main records that it names
     in WARC-Concurrent-To or that name it, or else to those of a record so joined that it names or that names it. Records
     that reach no main one are rows of their own, under their own id, with empty ``mains``; records without an id can't be
-    named and stand alone too, under a null id. Main records that share an id are one capture. ``records`` is read three
-    times: pass a written table.
+    named and stand alone too, under a null id. Main records that share an id are one capture. ``records`` is read
+    several times: pass a written table.
     """
     main = F.col("warc_type").isin(*MAIN_TYPES)
     nodes = records.where("record_id IS NOT NULL").select("record_id", F.coalesce(main, F.lit(False)).alias("is_main"), "concurrent_to")
-    named = nodes.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b"))
-    links = named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    mains = nodes.where("is_main").select(F.col("record_id").alias("b")).distinct()
-    sides = nodes.where("NOT is_main").select(F.col("record_id").alias("a")).distinct()
-    between = links.join(sides, "a", "left_semi")
-    direct = between.join(mains, "b").select(F.col("a").alias("record_id"), F.col("b").alias("capture"))
-    far = between.join(direct.select(F.col("record_id").alias("b"), "capture"), "b").join(direct.select(F.col("record_id").alias("a")), "a", "left_anti")
-    belongs = direct.unionByName(far.select(F.col("a").alias("record_id"), "capture")).distinct().groupBy("record_id").agg(F.collect_list("capture").alias("captures"))
+    kinds = nodes.groupBy(F.col("record_id").alias("b")).agg(F.max("is_main").alias("b_main"))
+    named = nodes.select(F.col("record_id").alias("a"), F.col("is_main").alias("a_main"), F.explode("concurrent_to").alias("b")).where("a <> b").join(kinds, "b")
+    ends = lambda side, other: F.struct(F.col(side).alias("side"), F.col(f"{side}_main").alias("side_main"), F.col(other).alias("other"), F.col(f"{other}_main").alias("other_main"))
+    links = named.select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("x")).select("x.*").where("NOT side_main")
+    joined = links.groupBy("side").agg(F.collect_set(F.when(F.col("other_main"), F.col("other"))).alias("captures"), F.collect_set(F.when(~F.col("other_main"), F.col("other"))).alias("sides"))
+    direct = joined.where(F.size("captures") > 0).select(F.col("side").alias("record_id"), "captures")
+    far = joined.where((F.size("captures") == 0) & (F.size("sides") > 0)).select("side", F.explode("sides").alias("record_id")).join(direct, "record_id")
+    far = far.select("side", F.explode("captures").alias("capture")).groupBy(F.col("side").alias("record_id")).agg(F.collect_set("capture").alias("captures"))
+    belongs = direct.unionByName(far)
     placed = records.join(belongs, "record_id", "left").withColumn("captures", F.when(main | F.col("captures").isNull(), F.array("record_id")).otherwise(F.col("captures")))
     # a record without an id keeps a group of its own
     placed = placed.withColumn("lone", F.when(F.col("record_id").isNull(), F.monotonically_increasing_id()))
