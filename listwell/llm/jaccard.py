@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .simhash import _local_stars, near_fingerprint_links
 from .storage import checkpointed, written
-from .words import gram_hashes, mix, split_words, text_slices
+from .words import gram_hashes, mix, split_words, text_slices, whole_runs
 
 #: Parity bits of a set: four for each shingle, a power of two within these bounds.
 FEWEST_BITS, MOST_BITS = 512, 8192
@@ -140,21 +140,6 @@ def exact_links(sets: list[np.ndarray], t: Fraction) -> tuple[np.ndarray, np.nda
     return _grow(len(sets), near)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.ChunkedArray]]:
-    """Columns of rows that come in order of the first one, cut so that no value of it is parted."""
-    rest: pa.Table | None = None
-    for b in itertools.chain(batches, [None]):
-        rows = rest if b is None else pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
-        if rows is None or not len(rows):
-            continue
-        key = rows.column(0).to_numpy()
-        # signed order, as Spark sorts
-        cut = len(rows) if b is None else int(np.searchsorted(key, key[-1]))
-        rest = rows.slice(cut)
-        if cut:
-            yield rows.slice(0, cut).columns
-
-
 def _pieces(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     return (b.slice(i, rows) for i in range(0, b.num_rows, rows))
 
@@ -237,7 +222,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         return pa.table({"bucket": rows[:, 0], "sig": rows[:, 1]})
 
     def thin(batches: Iterator[pa.RecordBatch], large: int = 64) -> Iterator[pa.RecordBatch]:
-        for key, sig, size, packed in _runs(batches):
+        for key, sig, size, packed in whole_runs(batches):
             key, sig = key.to_numpy(), sig.to_numpy()
             sketches = Sketches(size.to_numpy(), [np.frombuffer(p, np.uint64) for p in packed.to_pylist()], t)
             head, n = _heads(key)
@@ -258,7 +243,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_pydict({"src": src, "dst": dst})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, sig, text in _runs(batches):
+        for unit, sig, text in whole_runs(batches):
             sig = sig.to_numpy()
             for h, m in zip(*_heads(unit.to_numpy()), strict=True):
                 own, first = np.unique(sig[h : h + m], return_index=True)

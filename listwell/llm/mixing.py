@@ -82,7 +82,7 @@ def with_copies(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     Rows that share source, id and size share their draw.
     """
     size, key = word_count(text_col), F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    sizes = docs.select(F.col(source_col).cast("string").alias("source"), key.alias("key"), size.alias("size"))
+    sizes = checkpointed(docs.select(F.col(source_col).cast("string").alias("source"), key.alias("key"), size.alias("size")))
     rates = _broadcast_if_small(checkpointed(source_rates(sizes, weights=weights, max_repeat=max_repeat)).select(F.struct("*").alias("r")), "r.source")
     of_source = lambda df, r: df.join(r, df["source"].eqNullSafe(F.col("r.source")))
     whole = F.floor("r.rate")

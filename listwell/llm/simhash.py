@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .storage import checkpointed
-from .words import mix
+from .words import mix, whole_runs
 
 BITS = 64
 #: Relative cost of a row that is shuffled and of a pair that is verified.
@@ -202,16 +202,10 @@ def near_fingerprint_links(reps: DataFrame, distance: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "rep", "fp"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # buckets come in order of key; the last one of a batch may go on in the next
-        rest = [np.zeros(0, np.int64)] * 3
-        for b in itertools.chain(batches, [None]):
-            rows = rest if b is None else [np.concatenate([r, b.column(i).to_numpy()]) for i, r in enumerate(rest)]
-            cut = len(rows[0]) if b is None or not len(rows[0]) else int(np.searchsorted(rows[0], rows[0][-1]))
-            rest = [r[cut:] for r in rows]
-            if cut:
-                key, rep, fp = (r[:cut] for r in rows)
-                src, dst = _verify(key, rep, fp.view(np.uint64), distance)
-                yield pa.RecordBatch.from_pydict({"src": src, "dst": dst})
+        for columns in whole_runs(batches):
+            key, rep, fp = (c.to_numpy() for c in columns)
+            src, dst = _verify(key, rep, fp.view(np.uint64), distance)
+            yield pa.RecordBatch.from_pydict({"src": src, "dst": dst})
 
     return reps.select("rep", "fp").mapInArrow(probe, "key long, rep long, fp long").repartition("key").sortWithinPartitions("key").mapInArrow(verify, "src long, dst long")
 

@@ -165,3 +165,22 @@ def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def pack(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.ChunkedArray]]:
+    """Columns of rows that come in order of the first one, cut so that no value of it is parted."""
+    held: list[pa.RecordBatch] = []  # parts of one value that may go on
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column(0).to_numpy()
+        # signed order, as Spark sorts
+        cut = int(np.searchsorted(key, key[-1]))
+        if held and (cut or held[-1].column(0)[-1].as_py() != key[0]):
+            yield pa.Table.from_batches([*held, b.slice(0, cut)]).columns
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([b.slice(0, cut)]).columns
+        held.append(b.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).columns

@@ -1,10 +1,12 @@
 import random
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from listwell.llm.jaccard import jaccard_components, one_of_each_similar
+from listwell.llm.words import whole_runs
 
 SF = "/root/testdata/sf0.01"
 
@@ -97,3 +99,13 @@ def test_components_too_large_for_a_task(spark, monkeypatch):
     rng.shuffle(rows)
     got = {r.id: r.least_id for r in jaccard_components(near(spark, rows)).collect()}
     assert got == brute(rows)
+
+
+def test_runs_stay_whole_across_batches():
+    rng = random.Random(1)
+    keys = sorted(rng.choices([-5, -1, 0, 3, 3, 9], k=200))
+    for width in (1, 3, 50, 300):
+        batches = [pa.RecordBatch.from_pydict({"k": keys[i : i + width], "i": list(range(i, min(200, i + width)))}) for i in range(0, 200, width)]
+        runs = [(k.to_pylist(), i.to_pylist()) for k, i in whole_runs(iter([*batches, batches[0].slice(0, 0)]))]
+        assert sum((k for k, _ in runs), []) == keys and sum((i for _, i in runs), []) == list(range(200))
+        assert sum(len(set(k)) for k, _ in runs) == len(set(keys))
