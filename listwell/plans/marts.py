@@ -23,6 +23,15 @@ def exact_mean(value: Column, kind: str) -> Column:
 RANGES = 1024
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right``; nulls of ``keys`` meet each other."""
+    renamed = right.select(*(F.col(k).alias(f"_right_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, condition, how).drop(*(f"_right_{k}" for k in keys))
+
+
 def exact_medians(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """(keys, ``name``): the mean of the two middle values of each group, halves up; nulls are ignored, as are groups of nulls.
 
@@ -32,16 +41,7 @@ def exact_medians(rows: DataFrame, keys: list[str], value: str, name: str) -> Da
     cents = (F.col(value).cast(MONEY) * 100).cast("bigint").alias("cents")
     counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, cents).agg(F.count(F.lit(1)).alias("n"))
     bounds = counts.groupBy(*keys).agg(F.min("cents").alias("least"), F.max("cents").alias("most"), F.sum("n").alias("total"))
-    same = lambda a, b, names: [a[k].eqNullSafe(b[k]) for k in names]
-
-    def joined(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
-        condition = same(left, right, names)
-        both = condition[0]
-        for c in condition[1:]:
-            both = both & c
-        return left.join(right, both).select(*(left[c] for c in left.columns), *(right[c] for c in right.columns if c not in names))
-
-    ranged = joined(counts, bounds, keys).withColumn("range", F.floor((F.col("cents") - F.col("least")).cast("double") / (F.col("most") - F.col("least") + 1) * RANGES).cast("int"))
+    ranged = _joined(counts, bounds, keys).withColumn("range", F.floor((F.col("cents") - F.col("least")).cast("double") / (F.col("most") - F.col("least") + 1) * RANGES).cast("int"))
     group = Window.partitionBy(*keys)
     low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
     by_range = ranged.groupBy(*keys, "range", "total").agg(F.sum("n").alias("held"))
@@ -49,7 +49,7 @@ def exact_medians(rows: DataFrame, keys: list[str], value: str, name: str) -> Da
     by_range = by_range.withColumn("upto", F.sum("held").over(group.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.col("upto") - F.col("held"))
     holds = lambda rank: (F.col("before") < rank) & (F.col("upto") >= rank)
     middle = by_range.where(holds(low) | holds(high)).select(*keys, "range", "before")
-    inside = joined(ranged.select(*keys, "range", "cents", "n", "total"), middle, [*keys, "range"])
+    inside = _joined(ranged.select(*keys, "range", "cents", "n", "total"), middle, [*keys, "range"])
     ranked = inside.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "range").orderBy("cents").rowsBetween(Window.unboundedPreceding, 0)))
     pick = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("cents")))
     median = ((pick(low) + pick(high)).cast("decimal(20,0)") / 200).cast(MONEY)
@@ -58,12 +58,7 @@ def exact_medians(rows: DataFrame, keys: list[str], value: str, name: str) -> Da
 
 def _with_medians(summary: DataFrame, rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """``summary`` with the median price of each group, columns in the order given."""
-    medians = exact_medians(rows, keys, "p", "median_price_rub")
-    medians = medians.select(*(F.col(k).alias(f"_{k}") for k in keys), "median_price_rub")
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return summary.join(medians, condition, "left").select(*columns)
+    return _joined(summary, exact_medians(rows, keys, "p", "median_price_rub"), keys, "left").select(*columns)
 
 
 def price_per_area(price: str = "price_rub", area: str = "area_m2") -> Column:
