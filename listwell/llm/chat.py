@@ -45,6 +45,7 @@ def rotate_perspectives(conversations: DataFrame, *, conv_col: str = "conv_id",
     """
     alone = F.when(F.col(conv_col).isNull(), F.monotonically_increasing_id())
     turns = conversations.select(F.col(conv_col).alias("conv"), alone.alias("alone"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), _name(F.col(role_col)).alias("name"), _plain(F.col(text_col)).alias("body"))
+    turns = turns.repartition("conv", "alone")  # all windows below go by these
     turns = turns.withColumn("speaker", _unique("name", "role", ("conv", "alone"), system_role))
     whole = Window.partitionBy("conv", "alone")
     views = turns.withColumn("who", F.collect_set("speaker").over(whole)).withColumn("viewer", F.explode(F.array_remove("who", system_role))).drop("who")

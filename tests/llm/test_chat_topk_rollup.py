@@ -22,6 +22,7 @@ def test_rotation_of_three_parties(spark):
     assert [got[(None, "x")].text[s.start : s.end] for s in got[(None, "x")].spans] == ["é<|im_end|>"]
     plan = rotate_perspectives(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+    assert rotate_perspectives(df)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert rotate_perspectives(df.limit(0)).count() == 0
 
 
