@@ -73,9 +73,9 @@ def rotation_sql() -> str:
     return r"""
 WITH r AS (SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, role, replace(coalesce(text, ''), '<|im_', '< |im_') AS body,
                   CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE regexp_replace(trim(replace(role, '<|im_', '< |im_')), '[\x00-\x20]+', '_', 'g') END AS name FROM conversations),
-m AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id, alone, name ORDER BY role NULLS FIRST) AS at,
+m AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id, alone, name ORDER BY role NULLS FIRST) AS nth,
              min(coalesce(role, chr(0))) OVER (PARTITION BY conv_id, alone, name) < max(coalesce(role, chr(0))) OVER (PARTITION BY conv_id, alone, name) AS several FROM r),
-t AS (SELECT *, CASE WHEN name <> 'system' AND (several OR regexp_matches(name, '#[0-9]+$')) THEN name || '#' || at ELSE name END AS speaker FROM m),
+t AS (SELECT *, CASE WHEN name <> 'system' AND (several OR regexp_matches(name, '#[0-9]+$')) THEN name || '#' || nth ELSE name END AS speaker FROM m),
 p AS (SELECT DISTINCT conv_id, alone, speaker AS viewer FROM t WHERE speaker <> 'system'),
 h AS (SELECT t.*, viewer, '<|im_start|>' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = viewer THEN 'assistant' ELSE 'user name=' || speaker END || chr(10) AS head
       FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.alone IS NOT DISTINCT FROM p.alone),
