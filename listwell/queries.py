@@ -391,22 +391,22 @@ enum_map = { F = "finished", O = "open" }
 """
 
 
-def _price_flow(spark: SparkSession, sf_dir: str, name: str, mapping: str = _PRICES) -> Lake:
-    """Orders as files of one source, taken in and transformed; a status of P is in no dictionary, every seventh area is missing."""
+def _price_flow(spark: SparkSession, sf_dir: str, name: str, mapping: str = _PRICES) -> tuple[Lake, str]:
+    """(lake, folder of files): orders as files of one source, taken in and transformed. A status of P is in no dictionary,
+    every seventh area is missing."""
     root = scratch_path(spark, name)
     area = F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderkey") % 90 + 1)
     _csv_files(_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", area.alias("area")).repartition(2, "o_orderkey"), f"{root}/in")
     lake = Lake(spark, f"{root}/lake")
     _taken(lake.ingest([f"{root}/in"], source="prices"))
     lake.transform({"prices": mapping})
-    lake.files = f"{root}/in"
-    return lake
+    return lake, f"{root}/in"
 
 
 def replayed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that come again are skipped, and a reprocessed source is as it was: every order once."""
-    lake = _price_flow(spark, sf_dir, "replay")
-    again = lake.ingest([lake.files], source="prices")
+    lake, files = _price_flow(spark, sf_dir, "replay")
+    again = lake.ingest([files], source="prices")
     _taken(again, "skipped")
     unchanged = lake.transform({"prices": _PRICES})
     lake.transform({"prices": _PRICES}, source="prices", reprocess=True)
@@ -419,7 +419,7 @@ def replayed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejects of a transform with their records and reasons, after a mapping that rejects other rows was put in its place."""
-    lake = _price_flow(spark, sf_dir, "rejects")
+    lake, _ = _price_flow(spark, sf_dir, "rejects")
     lake.transform({"prices": _PRICES.replace('F = "finished"', 'P = "pending"')}, source="prices", reprocess=True)
     rejects = lake.quarantine.read().where("layer = 'silver'")
     field = lambda name: F.get_json_object("raw_record", f"$.{name}")
@@ -428,7 +428,7 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def balance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each stage of a flow, rows that came in, were taken, rejected, and taken over by a later row: nothing is lost."""
-    lake = _price_flow(spark, sf_dir, "balance")
+    lake, _ = _price_flow(spark, sf_dir, "balance")
     totals = lake.log.read().groupBy("stage").agg(F.sum("rows_ok").alias("ok"), F.sum("rows_quarantined").alias("rejected"), F.sum(F.coalesce("rows_deduplicated", F.lit(0))).alias("merged"))
     incoming = F.lit(_table(spark, sf_dir, "orders").count())
     return totals.select("stage", "ok", "rejected", "merged", (F.col("ok") + F.col("rejected") + F.col("merged") == incoming).alias("balanced"))

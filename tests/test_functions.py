@@ -23,11 +23,14 @@ def test_clean_names(raw, want):
     assert got == want or got[0].startswith("drop") and len(set(got)) == len(got)
 
 
+# Parity inputs: lists of values that must give the stated types.
 CASES = [
     (["1", "2", "3"], "bigint"), (["1.5", "2.0", "-3.25"], "double"), (["1234,56"], "string"), (["true", "FALSE", "t"], "boolean"), (["2020-01-01", "2021-12-31"], "date"),
     (["2020-01-01T10:00:00", "2020-01-01"], "timestamp_ntz"), (["a", "1"], "string"), ([None, ""], "string"), (["007", "+5"], "bigint"), (["1", "1.5", None], "double"),
     (["nan"], "string"), (["inf", "1"], "string"), (["1.5d"], "string"), (["2020"], "bigint"), (["2020-01"], "string"), (["10:00"], "string"), (["2020-02-30"], "string"),
     (["9223372036854775808"], "double"), (["1e3", ".5", "2."], "double"), (["y", "n"], "string"), (["1", "0"], "bigint"), (["2020-01-01 10:00:00.123456"], "timestamp_ntz"), (["1e999"], "string"),
+    (["2020-W01-1", "2020-01-05"], "date"), (["2020-W01"], "date"), (["2020-W60-1"], "string"), (["2020-W011"], "string"), (["20200131", "2020-01-02"], "date"), (["20201350"], "bigint"), (["2020-01-01T10", "2020-W02-3"], "timestamp_ntz"),
+    (["2020-01-01T10:30+03:00", "2020-01-01T10"], "timestamp_ntz"), (["2020-01-01T25"], "string"),
 ]
 
 
@@ -94,3 +97,12 @@ def test_ids(spark):
     text = spark.createDataFrame([(1, None)], "b int, a string").select(P.fields_text({"b": F.col("b"), "a": F.col("a")})).first()[0]
     assert text == "a=None;b=1"
     assert spark.createDataFrame([(None, "  X\t")], "a string, b string").select(P.text_key(F.col("a")), P.text_key(F.col("b"))).first() == ("none", "x")
+
+
+def test_iso_dates_have_their_days(spark):
+    values = ["2020-W01-1", "2020W537", "2019-W53-1", "20200229", "2021-01-31", "2015-W53"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [tuple(r) for r in df.select(coerce(F.col("v"), "date")[0].alias("d"), coerce(F.col("v"), "timestamp_ntz")[0].alias("t")).collect()]
+    want = [dt.date.fromisoformat(v) if v != "2019-W53-1" else None for v in values]
+    assert [d for d, _ in got] == want
+    assert [t for _, t in got] == [w and dt.datetime.combine(w, dt.time()) for w in want]

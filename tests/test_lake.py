@@ -251,3 +251,46 @@ def test_manifest_and_archive(spark, tmp_path):
     rows = file_manifest(spark, [a, b]).collect()
     assert len(rows) == 2 and len({r.content_hash for r in rows}) == 1
     assert archive_raw(spark, [a, b], str(tmp_path / "raw")).count() == 1 and archive_raw(spark, [a], str(tmp_path / "raw")).count() == 0
+
+
+def test_publish_goes_on_after_a_failed_write(spark, tmp_path):
+    df = spark.range(3)
+    table = VersionedTable(spark, str(tmp_path / "t"), df.schema)
+    table.publish(df)
+    broken = df.select(F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        table.publish(broken)
+    assert table.read().count() == 3
+    table.publish(df.limit(1))
+    assert table.read().count() == 1
+
+
+@pytest.mark.parametrize("text", ["[fields", "", "[fields]", "[meta]\nexternal_id='x'", "[fields.rooms]\nenum_map = {}", "fields = 3", "[fields]\nrooms = 1"])
+def test_mappings_without_meaning_are_errors(text):
+    with pytest.raises(M.MappingError):
+        M.parse_mapping(text)
+
+
+def test_values_of_uncast_fields_are_rejects(lake, tmp_path):
+    """Text where a number is due sends its row to quarantine; the run goes on, with a record for each source."""
+    put(tmp_path, "a.csv", "id,price,area\n1,5,40\n2,much,40\n3,7,wide\n")
+    put(tmp_path, "b.csv", "id,price,area\n1,5,40\n9,9,9\n")
+    lake.ingest([str(tmp_path / "in")])
+    plain = """
+[meta]
+external_id = "id"
+[fields.price_rub]
+input = "price"
+unit_convert = { from = "rub", to = "rub" }
+[fields.area_m2]
+input = "area"
+"""
+    assert lake.transform({"a": plain, "b": plain.replace('"area"', '"nowhere"')}) == {"a": "partial", "b": "failed"}
+    assert lake.silver.read().count() == 1 and lake.quarantine.read().where("layer = 'silver'").count() == 2
+    assert {(r.source_file, r.status) for r in lake.log.read().where("stage = 'transform'").collect()} == {("a", "partial"), ("b", "failed")}
+
+
+def test_a_beginning_may_decide_the_types(lake, tmp_path):
+    put(tmp_path, "v.csv", "val\n10\n20\noops\n40\n")
+    lake.ingest([str(tmp_path / "in")], infer_rows=2)
+    assert lake.bronze("v").count() == 3 and lake.quarantine.read().count() == 1
