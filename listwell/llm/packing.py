@@ -25,6 +25,8 @@ from .words import Words, same_spans, span_hashes, split_words, text_slices
 
 #: Distinct words of one generation of a worker's cache, which outlives its tasks.
 CACHE_WORDS = 400_000
+#: Text that is encoded at once; a worker holds some sixty times that for a moment.
+ENCODED_BYTES = 1 << 20
 _encoders: dict[str, "WordEncoder"] = {}
 
 # The split pattern of the tokenizer file whose pieces are found below, its special tokens' first bytes, and
@@ -195,7 +197,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, max_tokens: int = 2048, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordEncoder(tokenizer))
         for b in batches:
-            for row, rows, data, offsets in text_slices(b.column(1)):
+            for row, rows, data, offsets in text_slices(b.column(1), ENCODED_BYTES):
                 ids, first = encoder.encode(data, offsets)
                 size = np.diff(first) + 1
                 ends = np.cumsum(size)
