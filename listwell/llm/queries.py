@@ -19,6 +19,7 @@ from .token_rollup import TokenRollup, image, nothing, with_token_counts
 from .topk import exact_top_k
 from .toxicity import fit_toxicity_model, toxicity_scores
 from .warc import archived_pages
+from .whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,6 +123,11 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("word_bpe_49k.json"), max_tokens=2048)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whiten(_table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_perspective_rotation": op1_perspective_rotation,
     "op2_substring_dedup": op2_substring_dedup,
@@ -133,6 +139,7 @@ QUERIES = {
     "op8_warc_transactions": op8_warc_transactions,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = {
     "op1_perspective_rotation": rotation_sql(),
