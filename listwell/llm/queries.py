@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bag_search import ranked_search, search_sql
 from .chat import rotate_perspectives, rotation_sql
 from .mixing import WORDS, mixing_sql, with_copies
 from .packing import pack_documents
@@ -123,6 +124,10 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("word_bpe_49k.json"), max_tokens=2048)
 
 
+def op12_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whiten(_table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
     return out.withColumn("deviation", F.col("deviation").cast("long"))
@@ -139,6 +144,7 @@ QUERIES = {
     "op8_warc_transactions": op8_warc_transactions,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
+    "op12_bag_search": op12_bag_search,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = {
@@ -147,4 +153,5 @@ ORACLES: dict[str, str] = {
     "op5_source_mixing": mixing_sql(),
     "op6_exact_top_k": _TOP_K_SQL,
     "op8_warc_transactions": _WARC_SQL,
+    "op12_bag_search": search_sql(),
 }

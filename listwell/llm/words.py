@@ -8,6 +8,9 @@ counts as an empty one. Texts are walked in slices of a few megabytes, so memory
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,6 +86,45 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return h
 
 
+def drawn_key() -> bytes:
+    """A key of a run's own: texts can't be made to collide under it beforehand. The driver draws it, tasks are told."""
+    return secrets.token_bytes(32)
+
+
+@functools.lru_cache(maxsize=8)
+def _multipliers(key: bytes) -> np.ndarray:
+    """Two rows of numbers drawn by the key: one for each four bytes of a span below ``_LONG``, the last for its length."""
+    stream = hashlib.shake_256(key).digest(16 * (_LONG // 4 + 1))
+    return np.frombuffer(stream, "<u8").reshape(2, -1)
+
+
+def keyed_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: bytes) -> np.ndarray:
+    """64-bit hash of byte spans under a key: two unequal spans below 256 bytes collide with a chance of 2^-64.
+
+    Two multilinear hashes (a sum of products with random numbers, of which the upper half is kept) make the two halves;
+    long spans go through keyed BLAKE2.
+    """
+    lanes, n, k = _lanes(data), ends - starts, _multipliers(key)
+    a, b = n.astype(np.uint64) * k[0, -1], n.astype(np.uint64) * k[1, -1]
+    live = np.flatnonzero(n < _LONG)
+    low, half = np.uint64(0xFFFFFFFF), np.uint64(32)
+    at = 0
+    while len(live):
+        left = n[live] - at
+        x = lanes[starts[live] + at] & _KEEP[np.minimum(left, 8)]
+        lower, upper, i = x & low, x >> half, at // 4
+        a[live] += lower * k[0, i] + upper * k[0, i + 1]
+        b[live] += lower * k[1, i] + upper * k[1, i + 1]
+        live = live[left > 8]
+        at += 8
+    out = mix((a & ~low) | (b >> half))
+    if (n >= _LONG).any():
+        raw = memoryview(np.ascontiguousarray(data))
+        for i in np.flatnonzero(n >= _LONG).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8, key=key).digest(), "little")
+    return out
+
+
 def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether spans a[i] and b[i] hold the same bytes."""
     lanes, n = _lanes(data), ends - starts
