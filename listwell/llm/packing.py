@@ -155,12 +155,16 @@ class WordEncoder:
                 self._learn_runs(runs)
         return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
 
+    def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
+        """What is looked up in the cache, and whether the tokenizer may part it further."""
+        words = split_words(data, offsets)
+        return letter_runs(words) if self.fine and len(words.starts) else (words, np.ones(len(words.starts), bool))
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts back to back, and where each text's ids begin (one more at the end)."""
-        words = split_words(data, offsets)
+        words, whole = self.units(data, offsets)
         if not len(words.starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        words, whole = letter_runs(words) if self.fine else (words, np.ones(len(words.starts), bool))
         n = words.ends - words.starts
         key = span_hashes(words.data, words.starts, words.ends)
         code, distinct = pd.factorize(key)

@@ -16,6 +16,7 @@ from .quality import fit_quality_model, quality_report
 from .simhash import simhash_components
 from .storage import scratch_path, written
 from .substring_dedup import substring_dedup
+from .tier_packing import pack_tiers
 from .token_rollup import TokenRollup, image, nothing, with_token_counts
 from .topk import exact_top_k
 from .toxicity import fit_toxicity_model, toxicity_scores
@@ -124,6 +125,12 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("word_bpe_49k.json"), max_tokens=2048)
 
 
+def op11_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_tiers(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op12_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
 
@@ -144,6 +151,7 @@ QUERIES = {
     "op8_warc_transactions": op8_warc_transactions,
     "op9_quality_rules": op9_quality_rules,
     "op10_pattern_packing": op10_pattern_packing,
+    "op11_tier_packing": op11_tier_packing,
     "op12_bag_search": op12_bag_search,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
