@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .memory import lean
 from .storage import written
 from .words import drawn_key, keyed_hashes, same_spans, split_words, text_slices
 
@@ -121,7 +122,7 @@ def document_bags(docs: DataFrame, items: Items, *, id_col: str, text_col: str)
                 bags = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(bag.tobytes())])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(row, rows), pa.array(words.counts), bags], names=["id", "n", "bag"]).filter(kept)
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n long, bag binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), "id long, n long, bag binary")
 
 
 def _entries(bags: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,7 +145,7 @@ def corpus_counts(bags: DataFrame, vocabulary: int) -> tuple[int, int, np.ndarra
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
     out = np.zeros(vocabulary + 2, np.int64)
-    for at, n in bags.select("n", "bag").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n")).collect():  # vocabulary of a block
+    for at, n in bags.select("n", "bag").mapInArrow(lean(run), "at long, n long").groupBy("at").agg(F.sum("n")).collect():  # vocabulary of a block
         out[at] = n
     return int(out[0]), int(out[1]), out[2:]
 
@@ -201,7 +202,7 @@ def class_scores(classes: DataFrame, items: Items, weights: np.ndarray, k: int)
         if len(best):
             yield pa.RecordBatch.from_arrays([pa.array(best["item"].astype(np.int32)), pa.array(best["score"]), members.take(pa.array(best["at"]))], names=["item", "score", "members"])
 
-    return classes.select("bag", "m", "members").mapInArrow(run, "item int, score long, members array<struct<none: boolean, id: long>>")
+    return classes.select("bag", "m", "members").mapInArrow(lean(run), "item int, score long, members array<struct<none: boolean, id: long>>")
 
 
 def term_weights(documents: int, frequency: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ prefixes. A bucket of one tight group says nothing new and goes; two bounds that
 on the parity bits of the sets, thin the others to coarse links. Both kinds of links make coarse components. Their sets
 are compared exactly, one with those not yet reached, never all pairs; a component too large for a task is compared in
 chunks with its first member, and only members that this does not reach meet all chunks. Equal sets are one node. Shingles
-stand for each other by 64-bit hashes.
+stand for each other by 64-bit hashes of words under a key that is drawn for each run.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .memory import lean, lean_group
 from .simhash import _local_stars, near_fingerprint_links
 from .storage import checkpointed, written
-from .words import gram_hashes, mix, split_words, text_slices, whole_runs
+from .words import drawn_key, gram_hashes, mix, split_words, text_slices, whole_runs
 
 #: Parity bits of a set: four for each shingle, a power of two within these bounds.
 FEWEST_BITS, MOST_BITS = 512, 8192
@@ -39,11 +40,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shingle_sets(column: pa.Array | pa.ChunkedArray, shingle_words: int) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of each text; a shorter text is one shingle, one without words has none."""
+def shingle_sets(column: pa.Array | pa.ChunkedArray, shingle_words: int, key: bytes) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text under the run's key; a shorter text is one shingle, one without words has none."""
     for _, rows, data, offsets in text_slices(column):
         words = split_words(_LOWER[data], offsets)
-        h = words.hashes()
+        h = words.hashes(key)
         grams = gram_hashes(h, shingle_words)
         for i in range(rows):
             a, b = words.first[i], words.first[i + 1]
@@ -149,16 +150,16 @@ def _heads(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return head, np.diff(np.append(head, len(key)))
 
 
-def _hot_shingles(docs: DataFrame, shingle_words: int) -> np.ndarray:
+def _hot_shingles(docs: DataFrame, shingle_words: int, key: bytes) -> np.ndarray:
     """Shingles found often in a sample; of bounded number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in shingle_sets(b.column(0), shingle_words):
+            for s in shingle_sets(b.column(0), shingle_words, key):
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["key"])
 
     n = docs.count()
-    rows = docs.sample(min(1.0, SAMPLE_DOCS / max(n, 1)), seed=7).select("text").mapInArrow(run, "key long")
+    rows = docs.sample(min(1.0, SAMPLE_DOCS / max(n, 1)), seed=7).select("text").mapInArrow(lean(run), "key long")
     rows = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_DOCS).orderBy(F.desc("n"), "key").limit(HOT_SHINGLES)
     return np.sort(np.array([r.key for r in rows.collect()], np.int64).view(np.uint64))
 
@@ -170,15 +171,15 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     white space, a text of fewer than ``shingle_words`` words is one shingle, and all texts without words are one group.
     ``text_hash`` is Spark's xxhash64 of the text and tells rows of one id apart.
     """
-    t = Fraction(str(similarity))
+    t, run_key = Fraction(str(similarity)), drawn_key()
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(texts, shingle_words))
+    hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(texts, shingle_words, run_key))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = hot.value
         for b in itertools.chain.from_iterable(_pieces(b) for b in batches):
             sig, size, fp, prefix, bits = [], [], [], [], []
-            for s in shingle_sets(b.column(2), shingle_words):
+            for s in shingle_sets(b.column(2), shingle_words, run_key):
                 late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s if len(last) else np.zeros(len(s), bool)
                 keep = len(s) - -(-len(s) * t.numerator // t.denominator) + 1 if len(s) else 0
                 sig.append(signature(s))
@@ -247,12 +248,12 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             sig = sig.to_numpy()
             for h, m in zip(*_heads(unit.to_numpy()), strict=True):
                 own, first = np.unique(sig[h : h + m], return_index=True)
-                x, y = exact_links(list(shingle_sets(text.slice(h, m).take(pa.array(first)), shingle_words)), t)
+                x, y = exact_links(list(shingle_sets(text.slice(h, m).take(pa.array(first)), shingle_words, run_key)), t)
                 node, exact = _local_stars(own[x], own[y])
                 if len(node):
                     yield pa.RecordBatch.from_pydict({"src": node, "dst": exact})
 
-    described = checkpointed(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(describe, "id long, text_hash long, sig long, size long, fp long, prefix binary, bits binary"))
+    described = checkpointed(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(lean(describe), "id long, text_hash long, sig long, size long, fp long, prefix binary, bits binary"))
     nodes = checkpointed(described.where("size > 0").groupBy("sig").agg(F.min_by(F.struct("id", "text_hash", "size", "fp", "prefix", "bits"), F.struct("id", "text_hash")).alias("one")).select("sig", "one.*"))
     by_print = nodes.groupBy("fp").agg(F.min("sig").alias("rep"))
     stars = connected_components(near_fingerprint_links(checkpointed(by_print), TIGHT_BITS))
@@ -260,8 +261,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     named = checkpointed(nodes.select("sig", "fp").join(tight, "fp").select("sig", "tight"))
     keys = nodes.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
     shards = int(keys) // SHARD_KEYS + int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = nodes.join(named, "sig").select("sig", "tight", "size", "prefix").mapInArrow(explode, "shard int, entries binary").groupBy("shard").applyInArrow(meet, "bucket long, sig long").distinct()
-    thinned = met.join(nodes.select("sig", "size", "bits"), "sig").select("bucket", "sig", "size", "bits").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(thin, "src long, dst long")
+    met = nodes.join(named, "sig").select("sig", "tight", "size", "prefix").mapInArrow(lean(explode), "shard int, entries binary").groupBy("shard").applyInArrow(lean_group(meet), "bucket long, sig long").distinct()
+    thinned = met.join(nodes.select("sig", "size", "bits"), "sig").select("bucket", "sig", "size", "bits").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(thin), "src long, dst long")
     coarse = connected_components(thinned.unionByName(named.where("sig <> tight").select(F.col("sig").alias("src"), F.col("tight").alias("dst"))))
     members = coarse.select(F.col("node").alias("sig"), F.col("component").alias("coarse")).unionByName(coarse.select(F.col("component").alias("sig"), F.col("component").alias("coarse")).distinct())
     wanted = nodes.join(members, "sig").select("id", "text_hash", "sig", "coarse", "size")
@@ -273,7 +274,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     found = written(found.select("coarse", "chunks", "chunk", "sig", "text"), "similar-members")
 
     def links(rows: DataFrame) -> DataFrame:
-        return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "src long, dst long"))
+        return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(lean(compare), "src long, dst long"))
 
     # a coarse component is named by its least member, which goes along with every chunk
     everywhere = F.when(F.col("sig") == F.col("coarse"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))

@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .memory import cached, lean
 from .storage import written
 from .words import Words, same_spans, span_hashes, split_words, text_slices
 
 #: Distinct words of one generation of a worker's cache, which outlives its tasks.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Text that is encoded at once; a worker holds some sixty times that for a moment.
 ENCODED_BYTES = 1 << 20
-_encoders: dict[str, "WordEncoder"] = {}
 
 # The split pattern of the tokenizer file whose pieces are found below, its special tokens' first bytes, and
 # two-byte letters (lead bytes of U+00C0-U+017F and U+0400-U+047F) with the characters among them that are none or that
@@ -199,7 +199,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, max_tokens: int = 2048, end
     schema = "id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordEncoder(tokenizer))
+        encoder = cached(f"words {tokenizer}", lambda: WordEncoder(tokenizer))
         for b in batches:
             for row, rows, data, offsets in text_slices(b.column(1), ENCODED_BYTES):
                 ids, first = encoder.encode(data, offsets)
@@ -222,7 +222,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, max_tokens: int = 2048, end
                     columns.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(out)).astype(np.int32)), pa.array(out.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run, f"words {tokenizer}"), schema)
 
 
 Pattern = tuple[int, ...]
@@ -422,7 +422,7 @@ def pack_pieces(pieces: DataFrame, *, max_tokens: int = 2048) -> DataFrame:
             columns = [*b.columns[:-1], pa.array(base[slot] + rank - first[slot]), pa.array(at[slot])]
             yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names[:-1], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(lean(place), schema)
 
 
 def pack_documents(docs: DataFrame, *, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import lean
 from .training import labelled_sample
-from .words import Words, gram_hashes, mix, same_spans, span_hashes, split_words, sums_by_text, text_slices
+from .words import Words, exact_codes, gram_hashes, split_words, sums_by_text, text_slices
 
 WORD_BITS, CHAR_BITS, CHAR_GRAM = 18, 16, 4
 #: Features are shares of a text, times this.
@@ -143,7 +144,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, *, per_class: int = 75
     ``per_class`` bounds what the driver holds: that many sparse rows of each class, each at most one value for a bucket.
     """
     sample = labelled_sample(docs, labels, label_col=label_col, per_class=per_class, id_col=id_col, text_col=text_col)
-    rows = sorted(sample.mapInArrow(_features, "label int, at binary, value binary, id long").collect(), key=lambda r: (r.id, r.label, bytes(r.at)))
+    rows = sorted(sample.mapInArrow(lean(_features), "label int, at binary, value binary, id long").collect(), key=lambda r: (r.id, r.label, bytes(r.at)))
     y = np.array([r.label for r in rows], float)
     if len(set(y.tolist())) < 2:
         return None
@@ -169,16 +170,18 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, *, per_class: int = 75
 
 def _repeats(words: Words, text: np.ndarray, gram: int = 3) -> np.ndarray:
     """Words of each text that stand in a window of ``gram`` words found twice or more in that text."""
-    h = words.hashes()
-    n = len(h) - gram + 1
+    word = words.codes()
+    n = len(word) - gram + 1
     if n <= 0:
         return np.zeros(len(words.counts), np.int64)
     inside = text[:n] == text[gram - 1 :]
-    key = mix(gram_hashes(h, gram) + text[:n].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    code, _ = pd.factorize(key[inside])
+    # windows by number: a text's number, then one word after the other, so that equal numbers are equal words
+    code = text[:n][inside]
+    for j in range(gram):
+        code, _ = pd.factorize(code.astype(np.int64) * (int(word.max()) + 1) + word[j : j + n][inside])
     twice = np.zeros(n, bool)
     twice[inside] = (np.bincount(code) > 1)[code] if len(code) else False
-    covered = np.zeros(len(h), bool)
+    covered = np.zeros(len(word), bool)
     for j in range(gram):
         covered[j : j + n] |= twice
     return sums_by_text(covered.astype(np.int64), words.first)
@@ -200,17 +203,8 @@ def _dup_lines(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarra
     start, end, text = start[filled], end[filled], text[filled]
     if not len(start):
         return np.zeros(texts, np.int64)
-    # equal hashes of one text, confirmed by bytes against the first of them
-    key = mix(span_hashes(data, start, end) + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    code, _ = pd.factorize(key)
-    place = np.empty(int(code.max()) + 1, np.int64)
-    place[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-    again = np.flatnonzero(place[code] != np.arange(len(code)))
-    if not (text[again] == text[place[code[again]]]).all() or not same_spans(data, start, end, again, place[code[again]]).all():
-        raw = data.tobytes()
-        seen: set = set()
-        lines = [(t, raw[a:b]) for t, a, b in zip(text.tolist(), start.tolist(), end.tolist(), strict=True)]
-        again = np.array([i for i, line in enumerate(lines) if line in seen or seen.add(line)], np.int64)
+    line = exact_codes(data, start, end)
+    again = pd.Series(text.astype(np.int64) * (int(line.max()) + 1) + line).duplicated().to_numpy()
     return np.bincount(text[again], minlength=texts)
 
 
@@ -245,7 +239,7 @@ def quality_report(docs: DataFrame, model: QualityModel | None, *, threshold: fl
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(row, n), *(pa.array(c.astype(np.int64)) for c in columns), pa.array(failed), pa.nulls(n, pa.float64()) if p is None else pa.array(p), pa.array(kept)], names=["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "probability", "kept"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(lean(run), "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean").withColumnRenamed("id", id_col)
 
 
 def good_documents(docs: DataFrame, model: QualityModel | None, *, threshold: float = KEEP_AT, text_col: str = "text") -> DataFrame:
@@ -258,4 +252,4 @@ def good_documents(docs: DataFrame, model: QualityModel | None, *, threshold: fl
             if kept:
                 yield b.filter(pa.array(np.concatenate(kept)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .memory import lean
 from .storage import checkpointed
 from .words import mix, whole_runs
 
@@ -57,7 +58,7 @@ def simhash_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
             found = np.array([fingerprint(t.as_py() or b"", shingle_words, seed) for t in b.column(1).cast(pa.binary())], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), "id long, fp long")
 
 
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -72,7 +73,7 @@ def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
         if n:
             yield pa.RecordBatch.from_pydict({"at": np.arange(BITS * BITS + 1), "n": np.append(total.ravel(), n).astype(np.int64)})
 
-    rows = fps.select("fp").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
+    rows = fps.select("fp").mapInArrow(lean(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
     flat = np.zeros(BITS * BITS + 1)
     for at, n in rows:
         flat[at] = n
@@ -207,7 +208,7 @@ def near_fingerprint_links(reps: DataFrame, distance: int) -> DataFrame:
             src, dst = _verify(key, rep, fp.view(np.uint64), distance)
             yield pa.RecordBatch.from_pydict({"src": src, "dst": dst})
 
-    return reps.select("rep", "fp").mapInArrow(probe, "key long, rep long, fp long").repartition("key").sortWithinPartitions("key").mapInArrow(verify, "src long, dst long")
+    return reps.select("rep", "fp").mapInArrow(lean(probe), "key long, rep long, fp long").repartition("key").sortWithinPartitions("key").mapInArrow(lean(verify), "src long, dst long")
 
 
 def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, distance: int = 4, seed: int = 42) -> DataFrame:

@@ -14,7 +14,8 @@ How it is spread: documents are dealt once into chunks by a hash of their id; th
    place up to the threshold, and the least document id among the occurrences of the windows that reach it.
 3. The answers go back to their chunks in the order of the stretches and mark the words.
 
-Nothing is capped or sampled. 64-bit hashes stand for words and anchors; passages are compared word by word.
+Nothing is capped or sampled. Words stand for each other by 64-bit hashes under a key that is drawn for each run, so no text can
+be made to collide and two given words collide with a chance of 2^-64; passages are compared word hash by word hash.
 """
 
 from __future__ import annotations
@@ -29,18 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .words import gram_hashes, mix, pack, sliding_min, split_words, text_slices
+from .memory import lean_group, lean_pair
+from .words import drawn_key, gram_hashes, mix, pack, sliding_min, split_words, text_slices
 
 _FAR = np.iinfo(np.int64).max
 #: Text of a chunk and of a shard, which one task holds, and documents from which an anchor's windows go alone.
 CHUNK_BYTES, SHARD_BYTES, HOT_DOCS = 64 << 20, 128 << 20, 4096
 
 
-def _windows(column, min_words: int, anchor_words: int):
+def _windows(column, min_words: int, anchor_words: int, key: bytes):
     """For each slice of texts: (first row, words, hashes, start of every valid window, its anchor)."""
     for row, rows, data, offsets in text_slices(column):
         words = split_words(data, offsets)
-        h = words.hashes()
+        h = words.hashes(key)
         anchors = sliding_min(gram_hashes(h, anchor_words), min_words - anchor_words + 1) if len(h) >= min_words else np.zeros(0, np.uint64)
         text = words.text_of
         valid = np.flatnonzero(text[: len(anchors)] == text[min_words - 1 : min_words - 1 + len(anchors)])
@@ -51,10 +53,10 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("id").to_numpy().astype(np.int64, copy=False)
 
 
-def _chunk_anchors(table: pa.Table, min_words: int, anchor_words: int, shards: int) -> pa.Table:
+def _chunk_anchors(table: pa.Table, min_words: int, anchor_words: int, shards: int, key: bytes) -> pa.Table:
     """Distinct anchors of one chunk, by shard, with the number of its documents that hold them (to 65,535)."""
     ids, found = _ids(table), []
-    for row, _, _, _, text, valid, anchors in _windows(table.column("text"), min_words, anchor_words):
+    for row, _, _, _, text, valid, anchors in _windows(table.column("text"), min_words, anchor_words, key):
         fresh = np.ones(len(valid), bool)
         fresh[1:] = (anchors[1:] != anchors[:-1]) | (text[valid[1:]] != text[valid[:-1]])
         found.append((anchors[fresh], row + text[valid[fresh]]))
@@ -100,9 +102,9 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
 class _Stretches:
     """Distinct stretches of one chunk under shared anchors, ordered by shard; the same on every call."""
 
-    def __init__(self, table: pa.Table, shared: np.ndarray, hot: np.ndarray, min_words: int, anchor_words: int, shards: int):
+    def __init__(self, table: pa.Table, shared: np.ndarray, hot: np.ndarray, min_words: int, anchor_words: int, shards: int, key: bytes):
         ids, parts = _ids(table), []
-        for row, _, words, h, text, valid, anchors in _windows(table.column("text"), min_words, anchor_words):
+        for row, _, words, h, text, valid, anchors in _windows(table.column("text"), min_words, anchor_words, key):
             at = np.searchsorted(shared, anchors)
             hit = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == anchors) if len(shared) else np.zeros(0, np.int64)
             start, anchor, alone = valid[hit], anchors[hit], hot[at[hit]]
@@ -120,12 +122,12 @@ class _Stretches:
         length = self.n + min_words - 1
         self.doc = ids[self.row]
         cuts = np.concatenate([[0], np.cumsum(length)])
-        key = _content_key(word, cuts, length)
-        shard = (np.where(alone, key, anchor) % np.uint64(shards)).astype(np.int64)
+        content = _content_key(word, cuts, length)
+        shard = (np.where(alone, content, anchor) % np.uint64(shards)).astype(np.int64)
         # one of each distinct content, in the order of (shard, key)
-        order = np.lexsort((self.doc, key, shard))
+        order = np.lexsort((self.doc, content, shard))
         fresh = np.ones(len(order), bool)
-        fresh[1:] = (shard[order][1:] != shard[order][:-1]) | _content_changes(key, word, cuts, length, order)
+        fresh[1:] = (shard[order][1:] != shard[order][:-1]) | _content_changes(content, word, cuts, length, order)
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(fresh) - 1
         one = order[fresh]
@@ -170,10 +172,10 @@ def _shared_of(extra: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 _STRETCH_SCHEMA = "shard int, chunk int, words binary, ids binary, lengths binary, least binary"
 
 
-def _chunk_stretches(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int, shards: int) -> pa.Table:
+def _chunk_stretches(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int, shards: int, key: bytes) -> pa.Table:
     rows = {k: [] for k in ("shard", "chunk", "words", "ids", "lengths", "least")}
     if table.num_rows and extra.num_rows:
-        s = _Stretches(table, *_shared_of(extra), min_words, anchor_words, shards)
+        s = _Stretches(table, *_shared_of(extra), min_words, anchor_words, shards, key)
         cuts, ends = np.searchsorted(s.shard, np.arange(shards + 1)), np.concatenate([[0], np.cumsum(s.length)])
         for shard in np.flatnonzero(np.diff(cuts)):
             a, b = cuts[shard], cuts[shard + 1]
@@ -234,14 +236,14 @@ def _search_shard(table: pa.Table, min_words: int) -> pa.Table:
 _RESULT_SCHEMA = "id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>, kept_sha256 string"
 
 
-def _apply(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int, shards: int, with_text: bool) -> pa.Table:
+def _apply(table: pa.Table, extra: pa.Table, min_words: int, anchor_words: int, shards: int, key: bytes, with_text: bool) -> pa.Table:
     """Mark the covered words of one chunk's documents and render what is left."""
     kinds = {"id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_text": pa.string(), "removed": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "kept_sha256": pa.string()}
     if not table.num_rows:
         return pa.table({k: pa.array([], t) for k, t in kinds.items()} | {"rest": pa.array([], table.schema.field("rest").type)})
     ids, covers = _ids(table), {}
     if extra.num_rows:
-        s = _Stretches(table, *_shared_of(extra), min_words, anchor_words, shards)
+        s = _Stretches(table, *_shared_of(extra), min_words, anchor_words, shards, key)
         answers = sorted((sh, b) for sh, b, d in zip(extra.column("shard").to_pylist(), extra.column("blob").to_pylist(), extra.column("answer").to_pylist(), strict=True) if d)
         best = np.concatenate([np.frombuffer(b, np.int64) for _, b in answers]) if answers else np.zeros(0, np.int64)
         edge = np.concatenate([[0], np.cumsum(s.windows)])
@@ -289,15 +291,15 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0 if not (chunks and shards) else 0
     n, m = chunks or max(least, -(-int(held) // CHUNK_BYTES)), shards or max(least, -(-int(held) // SHARD_BYTES))
-    args = (min_words, anchor_words, m)
+    args = (min_words, anchor_words, m, drawn_key())
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in carry) if carry else [F.lit(0).alias("none")]).alias("rest"))
     dealt = rows.where("id is not null").withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(n, "chunk")
-    anchors = dealt.groupBy("chunk").applyInArrow(lambda t: _chunk_anchors(t, *args), "shard int, chunk int, anchors binary, docs binary")
-    shared = anchors.groupBy("shard").applyInArrow(_shared_anchors, "chunk int, shard int, blob binary, hot binary").withColumn("answer", F.lit(False))
-    stretches = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(lambda t, e: _chunk_stretches(t, e, *args), _STRETCH_SCHEMA)
-    answers = stretches.groupBy("shard").applyInArrow(lambda t: _search_shard(t, min_words), "chunk int, shard int, blob binary, hot binary").withColumn("answer", F.lit(True))
+    anchors = dealt.groupBy("chunk").applyInArrow(lean_group(lambda t: _chunk_anchors(t, *args)), "shard int, chunk int, anchors binary, docs binary")
+    shared = anchors.groupBy("shard").applyInArrow(lean_group(_shared_anchors), "chunk int, shard int, blob binary, hot binary").withColumn("answer", F.lit(False))
+    stretches = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(lean_pair(lambda t, e: _chunk_stretches(t, e, *args)), _STRETCH_SCHEMA)
+    answers = stretches.groupBy("shard").applyInArrow(lean_group(lambda t: _search_shard(t, min_words)), "chunk int, shard int, blob binary, hot binary").withColumn("answer", F.lit(True))
     schema = StructType([*StructType.fromDDL(_RESULT_SCHEMA), rows.schema["rest"]])
-    out = dealt.groupBy("chunk").cogroup(shared.unionByName(answers).groupBy("chunk")).applyInArrow(lambda t, e: _apply(t, e, *args, with_text), schema)
+    out = dealt.groupBy("chunk").cogroup(shared.unionByName(answers).groupBy("chunk")).applyInArrow(lean_pair(lambda t, e: _apply(t, e, *args, with_text)), schema)
     alone = rows.where("id is null").mapInArrow(lambda it: _unmatched(it, *args, with_text), schema)
     return out.unionByName(alone).withColumnRenamed("id", id_col)
 

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .memory import cached, lean
 from .packing import ENCODED_BYTES
 from .spaced_encoding import SpacedEncoder
 from .storage import written
@@ -32,7 +33,6 @@ from .words import text_slices
 TIERS = (2048, 1024, 512, 256)
 #: Tokens of a step group, a multiple of every window.
 STEP_TOKENS = 16_384
-_encoders: dict[str, SpacedEncoder] = {}
 
 
 def tokenized_pieces(docs: DataFrame, *, tokenizer: str, max_tokens: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -43,7 +43,7 @@ def tokenized_pieces(docs: DataFrame, *, tokenizer: str, max_tokens: int, end_id
     schema = "id long, start long, length int, doc_tokens long, ids_crc32 long, ids binary, bucket int, ordinal long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, SpacedEncoder(tokenizer))
+        encoder = cached(f"units {tokenizer}", lambda: SpacedEncoder(tokenizer))
         seen, bucket = np.zeros(max_tokens + 1, np.int64), TaskContext.get().partitionId()
         for b in batches:
             for row, rows, data, offsets in text_slices(b.column(1), ENCODED_BYTES):
@@ -71,7 +71,7 @@ def tokenized_pieces(docs: DataFrame, *, tokenizer: str, max_tokens: int, end_id
                 columns = [b.column(0).take(pa.array(row + doc)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(size[doc]), pa.array(crc, pa.int64()), packed, pa.array(np.full(len(at), bucket, np.int32)), pa.array(ordinal)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "length", "doc_tokens", "ids_crc32", "ids", "bucket", "ordinal"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run, f"units {tokenizer}"), schema)
 
 
 @dataclass(frozen=True)
@@ -233,7 +233,7 @@ def place_pieces(pieces: DataFrame, plan: Plan, *, with_ids: bool) -> DataFrame:
                 columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(tokens)]).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *flat]))))
             yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_id", "ids"][: len(columns)])
 
-    return pieces.select("id", "start", "length", "ids_crc32", "doc_tokens", "ids", "rank").mapInArrow(run, schema)
+    return pieces.select("id", "start", "length", "ids_crc32", "doc_tokens", "ids", "rank").mapInArrow(lean(run), schema)
 
 
 def pack_tiers(docs: DataFrame, *, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -53,9 +54,16 @@ class Words:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word's bytes, equal for equal words wherever they stand."""
-        return span_hashes(self.data, self.starts, self.ends)
+    def hashes(self, key: bytes | None = None) -> np.ndarray:
+        """A 64-bit hash of every word's bytes, equal for equal words wherever they stand.
+
+        Where equality decides a result it is taken under the run's own ``key``; without one it serves for features.
+        """
+        return span_hashes(self.data, self.starts, self.ends) if key is None else keyed_hashes(self.data, self.starts, self.ends, key)
+
+    def codes(self) -> np.ndarray:
+        """A small number for every word, equal for equal bytes only: by hash, then byte by byte."""
+        return exact_codes(self.data, self.starts, self.ends)
 
 
 def _lanes(data: np.ndarray) -> np.ndarray:
@@ -142,6 +150,17 @@ def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.nda
     return same
 
 
+def exact_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number from 0 on for every span, in the order of their first places; equal numbers are equal bytes."""
+    code, _ = pd.factorize(span_hashes(data, starts, ends))
+    first = np.empty(int(code.max(initial=-1)) + 1, np.int64)
+    first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+    if not same_spans(data, starts, ends, np.arange(len(code)), first[code]).all():
+        raw, known = data.tobytes(), {}
+        code = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+    return code
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _IS_SPACE) -> Words:
     """``separator``: 256 flags of the bytes that part words."""
     if not len(data):
