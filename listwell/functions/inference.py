@@ -1,4 +1,4 @@
-"""Types of text columns: inference in one pass over all rows, and coercion that tells failures apart from nulls."""
+"""Types of text columns: inference by the shapes of all values, and coercion that tells failures apart from nulls."""
 
 from __future__ import annotations
 
@@ -81,16 +81,65 @@ def fitting_types(value: Column) -> Column:
     )
 
 
+#: Longest text whose shape is kept; only values of one shape up to that length stand for each other.
+SHAPE_LENGTH = 40
+_DIGITS, _NINES = "0123456789", "9" * 10
+#: Characters of numbers, dates and times; a filled value with another one is a boolean word or text.
+_ALPHABET = r"^[0-9eETZW+\-.,:_ \t\n\x0B\f\r]*$"
+_CLOCK = r"^.{10}[T ](?:[01][0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9])?+)?+(?!:)"
+
+
+def shape(value: Column) -> Column:
+    """What a filled text looks like: digits as 9 and signs kept; all other text is its boolean word or ``text``."""
+    word = F.lower(value)
+    other = F.when(word.isin(*TRUE_WORDS, *FALSE_WORDS), word).otherwise("text")
+    # the alphabet's own letter can be a word: T is one, and no number
+    return F.when(F.length(value) == 1, F.when(value.rlike("[0-9]"), "9").otherwise(other)).when(value.rlike(_ALPHABET), F.when(F.length(value) <= SHAPE_LENGTH, F.translate(value, _DIGITS, _NINES)).otherwise("long")).otherwise(other)
+
+
+def probe(value: Column, looks: Column) -> Column:
+    """What tells values of one shape apart where their type depends on more than that; null where it doesn't.
+
+    Days are looked at one by one (there are few), times of day by whether the clock has them, numbers that are long or
+    have an exponent by the types that they fit.
+    """
+    fits = F.when(as_bigint(value).isNotNull(), "1").when(as_double(value).isNotNull(), "1.5").otherwise("text")
+    month, day = F.substring(value, 5, 2), F.substring(value, 7, 2)
+    compact = F.when(month.between("01", "12") & day.between("01", "31"), value)
+    moment = F.concat(F.substring(value, 1, 10), F.translate(F.substring(looks, F.lit(11), F.lit(SHAPE_LENGTH)), "9", "0"))
+    return (
+        F.when(looks.isin("text", *TRUE_WORDS, *FALSE_WORDS), None)
+        .when(looks == "99999999", compact)
+        .when(looks.startswith("9999-99-99"), F.when(F.length(value) == 10, value).when(value.rlike(_CLOCK), moment))
+        .when(looks.contains("W"), value)
+        .when(looks.contains("e") | looks.contains("E") | (looks == "long") | (F.length(value) > 18), fits)
+    )
+
+
+def shape_histogram(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(at, example, n): how many filled values of the column at a place are of one type with an example.
+
+    The example is the shape itself, or a value of it with the same day and a clock that there is, and fits the types that
+    the values fit. All columns go through one expression; counts are combined before the shuffle, so what is shuffled
+    follows the number of shapes and days, not of rows.
+    """
+    cells = df.select(F.posexplode(F.array(*(F.col(f"`{c}`").cast("string") for c in columns))).alias("at", "value")).where(filled(F.col("value")).isNotNull())
+    looked = cells.withColumn("shape", shape(F.col("value")))
+    return looked.withColumn("probe", probe(F.col("value"), F.col("shape"))).groupBy("at", "shape", "probe").agg(F.count(F.lit(1)).alias("n")).select("at", F.coalesce("probe", "shape").alias("example"), "n")
+
+
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
     """The first type in ``ORDER`` that all filled values of a column have, text if none or if the column is empty.
 
-    One aggregation over every row: the intersection of the values' bit sets, one number for each column.
+    Every row counts: the type rules run once for each shape of a column's values, by one example that stands for them.
     """
     columns = columns if columns is not None else df.columns
     if not columns:
         return {}
-    row = df.agg(*(F.bit_and(F.when(filled(F.col(f"`{c}`")).isNotNull(), fitting_types(F.col(f"`{c}`")))).alias(f"t_{i}") for i, c in enumerate(columns))).first()
-    return {c: next((t for k, t in enumerate(ORDER) if (row[i] or 0) >> k & 1), TEXT) for i, c in enumerate(columns)}
+    # the sum of counts keeps the histogram: without it the optimizer would judge every value again
+    found = shape_histogram(df, columns).groupBy("at").agg(F.bit_and(fitting_types(F.col("example"))).alias("fits"), F.sum("n").alias("filled"))
+    fits = {r["at"]: r["fits"] for r in found.collect()}  # a row for each column
+    return {c: next((t for k, t in enumerate(ORDER) if fits.get(i, 0) >> k & 1), TEXT) for i, c in enumerate(columns)}
 
 
 def coerce(value: Column, kind: str) -> tuple[Column, Column]:

@@ -27,6 +27,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def clear_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Drop the partitions of a folder that hold the values given, as far as there are any."""
+    for value in values:
+        delete_folder(spark, f"{path}/{column}={value}")
+
+
 def json_line(df: DataFrame) -> Column:
     """A row as JSON with nulls; decimals as text, dates and times in ISO form."""
     return F.to_json(F.struct(*((F.col(f"`{n}`").cast("string") if t.startswith("decimal") else F.col(f"`{n}`")).alias(n) for n, t in df.dtypes)), {"ignoreNullFields": "false"})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import tomllib
 from dataclasses import dataclass, field
 
@@ -89,6 +90,9 @@ def parse_mapping(text: str, mappable: tuple[str, ...] = MAPPABLE) -> Mapping:
         one = Field(spec.get("input"), _pair(spec, "regex_replace", "pattern", "replacement"), extract, spec.get("enum_map"), spec.get("cast", "varchar"), _pair(spec, "unit_convert", "from", "to"), spec.get("default"))
         if one.unit_convert and one.unit_convert not in P.UNIT_FACTORS:
             raise MappingError(f"field {name}: unknown unit conversion {one.unit_convert}")
+        if one.default is not None and one.cast in ("decimal", "bigint"):
+            if not re.fullmatch(r"[+-]?[0-9]{1,36}(\.[0-9]+)?" if one.cast == "decimal" else r"[+-]?[0-9]{1,18}", str(one.default)):
+                raise MappingError(f"field {name}: the default {one.default!r} is not a {one.cast}")
         fields[name] = one
     return Mapping(fields, config.get("meta", {}).get("external_id"), hashlib.sha256(text.encode()).hexdigest())
 
@@ -136,8 +140,10 @@ def apply_mapping(bronze: DataFrame, mapping: Mapping, source: str, *, run_id: s
 
     def text(column: str) -> Column:
         c = F.col(f"`{column}`")
-        plain = F.regexp_replace(c.cast("decimal(38,10)").cast("string"), r"\.?0+$", "") if kinds[column] in ("double", "float") else c.cast("string")
-        return plain
+        if kinds[column] not in ("double", "float"):
+            return c.cast("string")
+        # a number beyond the decimal's range keeps its exponent, by which every numeric step rejects its row
+        return F.coalesce(F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", ""), c.cast("string"))
 
     values, reasons = {}, []
     if mapping.external_id:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.primitives import record_json
 from ..functions.schemas import simple_schema
+from .export import clear_partitions
 
 REJECTS = simple_schema("run_id string, raw_record string, reason string, rejected_at timestamp_ntz, layer string, source string, content_hash string")
 
@@ -31,13 +32,14 @@ class Quarantine:
     def read(self) -> DataFrame:
         return self.spark.read.schema(REJECTS).parquet(self.path)
 
-    def clear(self, layer: str, source: str, hashes: list[str] | None = None) -> None:
-        """Drop the rejects of a source (of some contents only, if given), before they are judged anew."""
-        base = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/layer={layer}/source={source}")
-        fs = base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        for target in [base] if hashes is None else [self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/content_hash={h}") for h in hashes]:
-            if fs.exists(target):
-                fs.delete(target, True)
+    def clear(self, layer: str, source: str, hashes: list[str]) -> None:
+        """Drop the rejects of some contents of a source, once they have none any more."""
+        clear_partitions(self.spark, f"{self.path}/layer={layer}/source={source}", "content_hash", hashes)
+
+    def counts(self, layer: str, source: str, run_id: str) -> dict[str, int]:
+        """Rejects that a run left, by content hash."""
+        mine = self.read().where((F.col("layer") == layer) & (F.col("source") == source) & (F.col("run_id") == run_id))
+        return {r["content_hash"]: r["count"] for r in mine.groupBy("content_hash").count().collect()}  # a row for each file
 
 
 def registry(rejects: DataFrame) -> DataFrame:

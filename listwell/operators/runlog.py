@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from ..functions.schemas import simple_schema
 
 RUN_LOG = simple_schema(
     "run_id string, stage string, started_at timestamp_ntz, finished_at timestamp_ntz, source_file string, content_hash string, "
-    "target_table string, rows_ok bigint, rows_quarantined bigint, rows_deduplicated bigint, schema_json string, status string, error_message string"
+    "target_table string, rows_ok bigint, rows_quarantined bigint, rows_deduplicated bigint, schema_json string, status string, error_message string, "
+    "source_path string, rows_inserted bigint, rows_updated bigint, rows_unchanged bigint"
 )
 DONE_INGEST, DONE_TRANSFORM = ("success", "skipped"), ("success", "skipped", "partial")
 
@@ -20,6 +22,11 @@ def status_of(rejected: int, error: str | None) -> str:
     return "failed" if error else "partial" if rejected else "success"
 
 
+def worst(states: Iterable[str]) -> str:
+    """What stands for several units of one name."""
+    return max(states, key=("skipped", "success", "partial", "failed").index)
+
+
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.UTC).replace(tzinfo=None)
 

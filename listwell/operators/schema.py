@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from .export import folder_names
+
 # Pairs of types that may meet; the table's type is kept.
 COMPATIBLE = ({"bigint", "double"}, {"int", "bigint"}, {"int", "double"}, {"float", "double"})
 
@@ -35,3 +39,29 @@ def added_columns(declared: StructType, actual: StructType) -> list[str]:
     """Declared columns that a table lacks, in declared order."""
     have = set(actual.fieldNames())
     return [f.name for f in declared if f.name not in have]
+
+
+class KeptSchema:
+    """The schema of a folder of Parquet files, kept beside them, so that it is known before there is a row.
+
+    Each change is a numbered version of its own that Spark writes; the last one that was committed counts. Scans of the
+    data don't see it, as its name begins with an underscore.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.path = spark, f"{folder}/_schema"
+
+    def _versions(self) -> list[int]:
+        return sorted(int(name[1:]) for name in folder_names(self.spark, self.path) if name.startswith("v"))
+
+    def read(self) -> StructType | None:
+        for version in reversed(self._versions()):
+            if "_SUCCESS" in folder_names(self.spark, f"{self.path}/v{version:06d}"):
+                return StructType.fromJson(json.loads(self.spark.read.text(f"{self.path}/v{version:06d}/part-*").first()[0]))
+        return None
+
+    def write(self, schema: StructType) -> None:
+        """Keep ``schema``, unless it is what is kept already."""
+        if schema != self.read():
+            version = max(self._versions(), default=0) + 1
+            self.spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(f"{self.path}/v{version:06d}")

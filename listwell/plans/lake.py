@@ -7,21 +7,23 @@ each file), schemas and counts.
 from __future__ import annotations
 
 import contextlib
+import json
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.inference import TEXT, coerce, infer_types
 from ..functions.names import clean_name
 from ..operators import mapping as M
 from ..operators import rows as R
-from ..operators.export import delete_folder, export_dataset, folder_names
+from ..operators.export import clear_partitions, delete_folder, export_dataset, folder_names
 from ..operators.quarantine import Quarantine, reject_rows
-from ..operators.runlog import DONE_INGEST, DONE_TRANSFORM, RunLog, latest_status, stale_sources, status_of, utc_now
-from ..operators.schema import aligned, merged_schema
+from ..operators.runlog import DONE_INGEST, DONE_TRANSFORM, RunLog, latest_status, stale_sources, status_of, utc_now, worst
+from ..operators.schema import KeptSchema, aligned, merged_schema
 from ..operators.tables import VersionedTable, snapshot_id
 from ..session import SETTINGS
 from ..sources import manifest as FM
@@ -74,17 +76,23 @@ class Lake:
     def bronze_sources(self) -> list[str]:
         return sorted(folder_names(self.spark, f"{self.root}/bronze"))
 
-    def _bronze_schema(self, source: str):
-        if source not in self.bronze_sources():
-            return None
-        return self.spark.read.option("mergeSchema", "true").parquet(self._bronze_path(source)).schema
+    def _kept(self, source: str) -> KeptSchema:
+        return KeptSchema(self.spark, self._bronze_path(source))
+
+    def _bronze_schema(self, source: str) -> StructType | None:
+        return self._kept(source).read() if source in self.bronze_sources() else None
 
     def bronze(self, source: str, hashes: list[str] | None = None) -> DataFrame:
-        df = self.spark.read.option("mergeSchema", "true").parquet(self._bronze_path(source))
+        """Rows of a source, of some files only if their content hashes are given; a source without accepted rows is empty."""
+        schema = self._bronze_schema(source)
+        if schema is None:
+            raise ValueError(f"no such source: {source}")
+        df = self.spark.read.schema(schema).parquet(self._bronze_path(source))
         return df if hashes is None else df.where(F.col("_content_hash").isin(hashes))
 
     def ingest(self, paths: list[str], *, source: str | None = None, max_file_bytes: int = FM.MAX_FILE_BYTES, max_field_bytes: int = 200_000, infer_rows: int | None = None, archive: bool = True, json_lines: bool = False) -> dict[str, str]:
-        """Take in files; returns file name -> status. A file seen before by content is skipped, a failed or partial one replayed.
+        """Take in files; returns file name -> status, of several files of one name the worst (the log has their paths). A file
+        seen before by content is skipped, a failed or partial one replayed.
 
         All files go to the one ``source`` if it is named, else each to that of its name. A new column gets the first type
         that all its values have; ``infer_rows`` looks at the first rows only, in the order of file and row, so that later
@@ -95,7 +103,7 @@ class Lake:
         done = latest_status(self.log.read().where("stage = 'ingest'"), "content_hash").where(F.col("status").isin(*DONE_INGEST)).select("content_hash", F.lit(True).alias("seen"))
         listed = files.join(done, "content_hash", "left").orderBy("path").collect()  # a row for each file
         records, work = [], []
-        base = lambda f: {"run_id": run_id, "stage": "ingest", "started_at": started, "source_file": f.name, "content_hash": f.content_hash, "rows_ok": 0, "rows_quarantined": 0}
+        base = lambda f: {"run_id": run_id, "stage": "ingest", "started_at": started, "source_file": f.name, "source_path": f.path, "content_hash": f.content_hash, "rows_ok": 0, "rows_quarantined": 0}
         taken = set()
         for f in listed:
             if f.refusal:
@@ -105,28 +113,30 @@ class Lake:
             else:
                 taken.add(f.content_hash)
                 work.append(f)
-        outcome: dict[str, dict] = {f.content_hash: {"ok": 0, "bad": 0, "tables": set(), "error": None} for f in work}
+        outcome: dict[str, dict] = {f.content_hash: {"ok": 0, "bad": 0, "tables": set(), "schemas": {}, "error": None} for f in work}
         groups: dict[tuple, list] = defaultdict(list)
-        for f in work:
-            stem = clean_name(source or f.name.rsplit(".", 1)[0]) or "source"
-            groups[(f.suffix, stem, f.encoding, f.delimiter, f.header) if f.suffix == "csv" else (f.suffix, stem)].append(f)
         with isolated(outcome, list(outcome)):
+            headers = FM.first_records(self.spark, {f.path: f.encoding for f in work if f.suffix == "csv" and f.header is None})
+            for f in work:
+                stem = clean_name(source or f.name.rsplit(".", 1)[0]) or "source"
+                groups[(f.suffix, stem, f.encoding, f.delimiter, headers.get(f.path, f.header)) if f.suffix == "csv" else (f.suffix, stem)].append(f)
             if archive and work:
                 FM.archive_raw(self.spark, [f.path for f in work], f"{self.root}/raw")
             for kind, members in groups.items():
                 with isolated(outcome, [f.content_hash for f in members]):
                     for name, raw, hashes in self._tables(kind, members, outcome, json_lines):
                         with isolated(outcome, hashes):
-                            for h, ok, bad in self._load(name, raw, [f for f in members if f.content_hash in hashes], run_id, started, max_field_bytes, infer_rows):
-                                outcome[h]["ok"] += ok
-                                outcome[h]["bad"] += bad
+                            taken_in, rejected, kinds = self._load(name, raw, [f for f in members if f.content_hash in hashes], run_id, started, max_field_bytes, infer_rows)
                             for h in hashes:
+                                outcome[h]["ok"] += taken_in.get(h, 0)
+                                outcome[h]["bad"] += rejected.get(h, 0)
                                 outcome[h]["tables"].add(name)
+                                outcome[h]["schemas"][name] = kinds
         for f in work:
             o = outcome[f.content_hash]
-            records.append(base(f) | {"target_table": ",".join(sorted(o["tables"])), "rows_ok": o["ok"], "rows_quarantined": o["bad"], "status": status_of(o["bad"], o["error"]), "error_message": o["error"]})
+            records.append(base(f) | {"target_table": ",".join(sorted(o["tables"])), "rows_ok": o["ok"], "rows_quarantined": o["bad"], "schema_json": json.dumps(o["schemas"], ensure_ascii=False), "status": status_of(o["bad"], o["error"]), "error_message": o["error"]})
         self._finish(records)
-        return {r["source_file"]: r["status"] for r in records}
+        return {name: worst(r["status"] for r in records if r["source_file"] == name) for name in dict.fromkeys(r["source_file"] for r in records)}
 
     def _finish(self, records: list[dict]) -> None:
         now = utc_now()
@@ -163,8 +173,12 @@ class Lake:
             if good:
                 yield stem, SR.read_json(self.spark, [f.path for f in good], lines=lines), [f.content_hash for f in good]
 
-    def _load(self, source: str, raw: DataFrame, files: list, run_id: str, started, max_field_bytes: int, infer_rows: int | None) -> list[tuple[str, int, int]]:
-        """Type, split and write one source; returns (content hash, rows, rejects)."""
+    def _load(self, source: str, raw: DataFrame, files: list, run_id: str, started, max_field_bytes: int, infer_rows: int | None) -> tuple[dict[str, int], dict[str, int], dict[str, str]]:
+        """Type, split and write one source; returns rows and rejects by content hash, and the columns' types.
+
+        The files' partitions are replaced in bronze and in quarantine: one without new rows is emptied. The source's schema
+        is kept before its first row is; files without any row make no source.
+        """
         columns = [c for c in raw.columns if c not in (SR.FILE, SR.ORDINAL)]
         known = self.spark.createDataFrame([(SR.plain_path(f.path), f.content_hash, f.name) for f in files], "_p string, _content_hash string, _source_file string")
         known = F.broadcast(known) if len(files) <= BROADCAST_FILES else known
@@ -177,6 +191,8 @@ class Lake:
                 batch = self.spark.createDataFrame([], ", ".join(f"`{c}` {kinds[c]}" for c in columns)).schema
                 whole = merged_schema(table, batch)
                 kinds |= {f.name: f.dataType.simpleString() for f in table if f.name in columns and f.dataType.simpleString() in (*SR_KINDS, TEXT)}
+            elif not rows.head(1):
+                return {}, {}, kinds
             else:
                 whole = None
             rules, typed = [(R.oversize(columns, max_field_bytes), f"a cell is larger than {max_field_bytes} bytes")], {}
@@ -186,14 +202,19 @@ class Lake:
             judged = rows.drop(SR.FILE).withColumn(R.REASON, R.first_reason(rules))
             service = [F.lit(run_id).alias("_run_id"), "_source_file", F.lit(started).cast("timestamp_ntz").alias("_ingested_at"), SR.ORDINAL, "_content_hash"]
             valid = judged.where(F.col(R.REASON).isNull()).select(*(typed[c].alias(c) for c in columns), *service)
-            if whole is not None:
-                valid = aligned(valid, merged_schema(whole, valid.schema))
-            valid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_content_hash").parquet(self._bronze_path(source))
+            kept = merged_schema(whole, valid.schema)
+            self._kept(source).write(kept)
+            aligned(valid, kept).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_content_hash").parquet(self._bronze_path(source))
             self.quarantine.put(reject_rows(judged.where(F.col(R.REASON).isNotNull()), columns, layer="bronze", source=source, run_id=run_id, now=F.lit(utc_now()).cast("timestamp_ntz")))
-            counts = judged.groupBy("_content_hash").agg(F.count_if(F.col(R.REASON).isNull()), F.count_if(F.col(R.REASON).isNotNull()))
-            return [tuple(r) for r in counts.collect()]
         finally:
             rows.unpersist()
+        # what was written is counted, file by file, from the tables themselves
+        hashes = [f.content_hash for f in files]
+        mine = self.bronze(source, hashes if len(hashes) <= PRUNED_FILES else None).where(F.col("_run_id") == run_id).groupBy("_content_hash").count()
+        ok, bad = {r["_content_hash"]: r["count"] for r in mine.collect()}, self.quarantine.counts("bronze", source, run_id)  # a row for each file
+        clear_partitions(self.spark, self._bronze_path(source), "_content_hash", [h for h in hashes if h not in ok])
+        self.quarantine.clear("bronze", source, [h for h in hashes if h not in bad])
+        return ok, bad, kinds
 
     # -- silver ------------------------------------------------------------------------------------------------
 
@@ -250,8 +271,8 @@ class Lake:
             self.silver.publish(merged.drop("_change"), source)
             columns = [c for c in rows.columns if c not in SERVICE]
             self.quarantine.put(reject_rows(mapped.where(F.col(R.REASON).isNotNull()), columns, layer="silver", source=source, run_id=run_id, now=F.lit(utc_now()).cast("timestamp_ntz")))
-            if reprocess:  # only after the new rejects are there
-                self.quarantine.clear("silver", source, [h for h, _, bad, _ in counts if not bad])
+            # only after the new rejects are there
+            self.quarantine.clear("silver", source, [h for h, _, bad, _ in counts if not bad])
         finally:
             mapped.unpersist()
         return [{"content_hash": h, "rows_ok": keys, "rows_quarantined": bad, "rows_deduplicated": ok - keys, "schema_json": M.schema_json(mapping), "status": status_of(bad, None)} for h, ok, bad, keys in counts]
@@ -264,6 +285,8 @@ class Lake:
         Style groups of fewer than ``small_sample`` listings are marked. A table that fails keeps its former version and gets a
         failed record; the others are built.
         """
+        if unknown := sorted({*(only or ())} - {*MARTS, "features"}):
+            raise ValueError(f"no such table: {unknown}")
         run_id, started, pinned, records, rows = uuid.uuid4().hex, utc_now(), self.silver.snapshot(), [], {}
         silver, now = self.silver.read(pinned), F.lit(started).cast("timestamp_ntz")
         options = {"mart_style_renovation_furniture": {"small_sample": small_sample}}

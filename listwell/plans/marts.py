@@ -19,8 +19,12 @@ def exact_mean(value: Column, kind: str) -> Column:
     return (F.sum(value) / F.nullif(F.count(value), F.lit(0))).cast(kind)
 
 
-#: Value ranges that a group is cut into to find its median.
-RANGES = 1024
+#: A quantile sketch is off by no more than 1 / ACCURACY of a group's rows, whatever its values are.
+ACCURACY = 10_000
+#: Pivots of a first narrowing, on both sides of the middle, and of further ones: shares of the rows in question.
+FIRST_PIVOTS, MORE_PIVOTS = (0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY), tuple(i / 32 for i in range(1, 32))
+#: Distinct values of a group that one task ranks; groups beyond it are narrowed again. Groups whose bounds are broadcast.
+MOST_RANKED, BROADCAST_GROUPS = 1_000_000, 100_000
 
 
 def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -32,27 +36,69 @@ def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(renamed, condition, how).drop(*(f"_right_{k}" for k in keys))
 
 
+def _sketched(rows: DataFrame, keys: list[str], pivots: tuple[float, ...]) -> DataFrame:
+    """(keys, held, least, most, pivots) of each group's ``cents``."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("held"), F.min("cents").alias("least"), F.max("cents").alias("most"), F.percentile_approx("cents", list(pivots), ACCURACY).alias("pivots"))
+
+
+def _between(sketched: DataFrame, pivots: tuple[float, ...]) -> DataFrame:
+    """``sketched`` (with ``before``, the rows below those held, and ``total``) with bounds that hold both middle values."""
+    low, high = ((F.floor((F.col("total") + k) / 2) - F.col("before")) / F.col("held") for k in (1, 2))
+    margin = F.lit(1 / ACCURACY)
+    under, over = F.lit(None), F.lit(None)
+    for i, share in enumerate(pivots):
+        # the last pivot that is surely below, the first that is surely above
+        under = F.when(F.lit(share) + margin <= low, F.col("pivots")[i]).otherwise(under)
+    for i, share in reversed(list(enumerate(pivots))):
+        over = F.when(F.lit(share) - margin >= high, F.col("pivots")[i]).otherwise(over)
+    return sketched.withColumn("low", F.coalesce(under, "least")).withColumn("high", F.coalesce(over, "most"))
+
+
+def _held(rows: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, cents, n) of values between each group's bounds; those below are counted under a null."""
+    inside = _joined(rows, bounds.select(*keys, "low", "high"), keys).where("cents <= high")
+    return inside.groupBy(*keys, F.when(F.col("cents") >= F.col("low"), F.col("cents")).alias("cents")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def middle_values(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, cents, n, total): the values of each group around its middle, and how many lie below, under a null.
+
+    A sketch's pivots bound the middle for certain, as its error is bounded; what lies between is at most four times that
+    error, or the few values that repeat so often. Groups of so many rows that this is still too much for a task are
+    narrowed again by counted pivots. So the values' scale and outliers make no difference.
+    """
+    sketched = _sketched(rows, keys, FIRST_PIVOTS).withColumn("total", F.col("held")).withColumn("before", F.lit(0).cast("long"))
+    bounds = _between(sketched, FIRST_PIVOTS).select(*keys, "total", "low", "high")
+    known = bounds.limit(BROADCAST_GROUPS + 1).collect()
+    small = len(known) <= BROADCAST_GROUPS
+    if small:  # at most BROADCAST_GROUPS rows
+        bounds = F.broadcast(rows.sparkSession.createDataFrame(known, bounds.schema))
+    most = max((r["total"] for r in known), default=0) if small else bounds.agg(F.max("total")).first()[0]
+    share = 4 / ACCURACY
+    while most * share > MOST_RANKED:
+        held = _held(rows, bounds, keys)
+        below = held.where("cents IS NULL").select(*keys, F.col("n").alias("before"))
+        inside = _joined(rows, bounds.select(*keys, "low", "high"), keys).where("cents BETWEEN low AND high")
+        again = _joined(_joined(_sketched(inside, keys, MORE_PIVOTS), bounds.select(*keys, "total"), keys), below, keys, "left").withColumn("before", F.coalesce("before", F.lit(0)))
+        bounds = _between(again, MORE_PIVOTS).select(*keys, "total", "low", "high")
+        if small:
+            bounds = F.broadcast(rows.sparkSession.createDataFrame(bounds.collect(), bounds.schema))
+        # a range between pivots and the sketch's error on both sides
+        share *= 1 / 16 + 4 / ACCURACY
+    return _joined(_held(rows, bounds, keys), bounds.select(*keys, "total"), keys)
+
+
 def exact_medians(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """(keys, ``name``): the mean of the two middle values of each group, halves up; nulls are ignored, as are groups of nulls.
 
-    Values are counted in whole cents before anything is ordered. Counts by range tell in which one or two ranges of a
-    group its middle lies; only those are ranked. So no task orders or holds a whole group, however large it is.
+    Values are whole cents. Only those around the middle are ordered, see ``middle_values``.
     """
     cents = (F.col(value).cast(MONEY) * 100).cast("bigint").alias("cents")
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, cents).agg(F.count(F.lit(1)).alias("n"))
-    bounds = counts.groupBy(*keys).agg(F.min("cents").alias("least"), F.max("cents").alias("most"), F.sum("n").alias("total"))
-    ranged = _joined(counts, bounds, keys).withColumn("range", F.floor((F.col("cents") - F.col("least")).cast("double") / (F.col("most") - F.col("least") + 1) * RANGES).cast("int"))
-    group = Window.partitionBy(*keys)
-    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    by_range = ranged.groupBy(*keys, "range", "total").agg(F.sum("n").alias("held"))
-    # at most RANGES rows for each group
-    by_range = by_range.withColumn("upto", F.sum("held").over(group.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.col("upto") - F.col("held"))
-    holds = lambda rank: (F.col("before") < rank) & (F.col("upto") >= rank)
-    middle = by_range.where(holds(low) | holds(high)).select(*keys, "range", "before")
-    inside = _joined(ranged.select(*keys, "range", "cents", "n", "total"), middle, [*keys, "range"])
-    ranked = inside.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "range").orderBy("cents").rowsBetween(Window.unboundedPreceding, 0)))
+    held = middle_values(rows.where(F.col(value).isNotNull()).select(*keys, cents), keys)
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(F.col("cents").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = held.withColumn("upto", upto).where("cents IS NOT NULL")
     pick = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("cents")))
-    median = ((pick(low) + pick(high)).cast("decimal(20,0)") / 200).cast(MONEY)
+    median = ((pick(F.floor((F.col("total") + 1) / 2)) + pick(F.floor((F.col("total") + 2) / 2))).cast("decimal(20,0)") / 200).cast(MONEY)
     return ranked.groupBy(*keys).agg(median.alias(name))
 
 

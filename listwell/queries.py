@@ -177,7 +177,9 @@ def synthetic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts pivoted by brand, under clean names of the brands, and turned back into rows: a header that the data give."""
     part = _table(spark, sf_dir, "part")
-    brands = [r[0] for r in part.select("p_brand").distinct().orderBy("p_brand").limit(MOST_COLUMNS).collect()]  # a header, not rows
+    brands = [r[0] for r in part.select("p_brand").distinct().orderBy("p_brand").limit(MOST_COLUMNS + 1).collect()]  # a header, not rows
+    if len(brands) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} brands: too many for columns")
     wide = with_clean_names(part.groupBy().pivot("p_brand", brands).agg(F.count(F.lit(1))))
     return wide.unpivot([], wide.columns, "clean", "n")
 
@@ -417,6 +419,57 @@ def replayed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("o_orderkey", "in_bronze", F.coalesce("n", F.lit(0)).alias("in_silver"), "area_m2", "district", "seen", F.lit(unchanged["prices"]).alias("unchanged"))
 
 
+def replayed_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with rejects come again under another size limit: at first long statuses are rejects, then nothing is, or all is.
+    Bronze and quarantine hold each row once after every step."""
+    root = scratch_path(spark, "partial")
+    status = F.when(F.col("o_orderstatus") == "P", F.repeat("o_orderstatus", F.lit(40))).otherwise(F.col("o_orderstatus"))
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"))
+    _csv_files(orders.repartition(2, "o_orderkey"), f"{root}/in")
+    steps = []
+    for source, limits in (("to_none", (30, 200_000)), ("to_all", (30, 0))):
+        lake = Lake(spark, f"{root}/{source}")
+        for at, limit in enumerate(limits):
+            _taken(lake.ingest([f"{root}/in"], source=source, max_field_bytes=limit, archive=False), "success", "partial")
+            held = lake.bronze(source).agg(F.count(F.lit(1)).alias("in_bronze"), F.count_distinct("o_orderkey").alias("keys"))
+            rejects = lake.quarantine.read().agg(F.count(F.lit(1)).alias("in_quarantine"), F.count_distinct("raw_record").alias("records"))
+            counted = held.crossJoin(rejects).first()  # one row each
+            steps.append((source, at, counted["in_bronze"], counted["in_quarantine"], counted["keys"] + counted["records"] == orders.count()))
+    return spark.createDataFrame(steps, "source string, step int, in_bronze long, in_quarantine long, balanced boolean")
+
+
+def empty_first_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source whose first file is a header alone and whose second has nothing but rejects takes in the third as if it were the first."""
+    root = scratch_path(spark, "first")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    _csv_files(orders.limit(0).coalesce(1), f"{root}/header")
+    _csv_files(orders.where("o_orderstatus = 'P'"), f"{root}/rejects")
+    _csv_files(orders, f"{root}/rows")
+    lake, states = Lake(spark, f"{root}/lake"), []
+    for folder, limit in (("header", 200_000), ("rejects", 0), ("rows", 200_000)):
+        states += sorted({*lake.ingest([f"{root}/{folder}"], source="orders", max_field_bytes=limit, archive=False).values()})
+    rejected = lake.quarantine.read().count()
+    return lake.bronze("orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.lit(",".join(states)).alias("states"), F.lit(rejected).alias("rejected"))
+
+
+#: Columns of a wide file; their names take more than the beginning of a file that is looked at first.
+WIDE_COLUMNS, WIDE_NAME = 800, 100
+
+
+def wide_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as a file with so many long column names, some with line breaks, that its header is larger than a sample."""
+    root = scratch_path(spark, "wide")
+    name = lambda i: f"{'line' + chr(10) + 'break' if i % 100 == 0 else 'column'} {i} {'x' * WIDE_NAME}"
+    rows = _table(spark, sf_dir, "supplier").select("s_suppkey", *((F.col("s_suppkey") * i).alias(name(i)) for i in range(1, WIDE_COLUMNS)), F.col("s_name").alias("the last name"))
+    _csv_files(rows, f"{root}/in", quoteAll=True)
+    lake = Lake(spark, f"{root}/lake")
+    _taken(lake.ingest([f"{root}/in"], source="suppliers", archive=False))
+    bronze = lake.bronze("suppliers")
+    columns = [c for c in bronze.columns if not c.startswith("_")]
+    total = F.aggregate(F.array(*(F.col(f"`{c}`") for c in columns[1:-1])), F.lit(0).cast("long"), lambda a, x: a + x)
+    return bronze.select("s_suppkey", total.alias("total"), F.col("the_last_name").alias("s_name"), F.lit(len(columns)).alias("n_columns"))
+
+
 def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejects of a transform with their records and reasons, after a mapping that rejects other rows was put in its place."""
     lake, _ = _price_flow(spark, sf_dir, "rejects")
@@ -570,7 +623,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mart_group_summary, mart_large_groups, median_by_rank, mart_styles, mart_dynamics, daily_event_counts, panel_selected_districts, distinct_districts, feature_rows, target_nulls,
         text_primitives, json_fields, reject_split, dictionary_lookup, boolean_words, stable_ids, synthetic_ids, column_names, inferred_types, latest_event_per_user, upsert_customers,
         pending_documents, reconciled_schema, runs_latest_by_stage, runs_latest_by_content, runs_totals, runs_freshness, runs_failed, runs_stale_mappings, quarantine_registry, ingest_csv,
-        ingest_json, json_documents, csv_dialects, workbook_cells, file_admission, raw_archive, replayed_files, quarantined_rows, balance_check, runs_after_failure, pruned_scan, evolved_silver,
+        ingest_json, json_documents, csv_dialects, workbook_cells, file_admission, raw_archive, replayed_files, replayed_partial, empty_first_file, wide_header, quarantined_rows, balance_check, runs_after_failure, pruned_scan, evolved_silver,
         ordered_export, guarded_values, listing_flow, versioned_orders, exported_orders, dataset_manifest,
     )
 }
@@ -638,6 +691,12 @@ SELECT strlen(c)::BIGINT AS bytes, CASE WHEN strlen(c) <= {MOST_BYTES} THEN sha2
     "replayed_files": """
 SELECT o_orderkey, 1::BIGINT AS in_bronze, (o_orderstatus <> 'P')::BIGINT AS in_silver, CASE WHEN o_orderstatus <> 'P' THEN (CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey % 90 + 1 ELSE 50 END)::DECIMAL(8,2) END AS area_m2,
        CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS district, 'ingest:skipped,ingest:success,transform:partial' AS seen, 'success' AS unchanged FROM orders""",
+    "replayed_partial": """
+WITH n AS (SELECT count(*)::BIGINT AS n, count(*) FILTER (WHERE o_orderstatus = 'P')::BIGINT AS p FROM orders)
+SELECT 'to_none' AS source, 0 AS step, n - p AS in_bronze, p AS in_quarantine, true AS balanced FROM n UNION ALL SELECT 'to_none', 1, n, 0, true FROM n
+UNION ALL SELECT 'to_all', 0, n - p, p, true FROM n UNION ALL SELECT 'to_all', 1, 0, n, true FROM n""",
+    "empty_first_file": "SELECT o_orderkey, o_totalprice, o_orderstatus, 'success,partial,success' AS states, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')::BIGINT AS rejected FROM orders",
+    "wide_header": f"SELECT s_suppkey, (s_suppkey * {WIDE_COLUMNS * (WIDE_COLUMNS - 1) // 2})::BIGINT AS total, s_name, {WIDE_COLUMNS + 1} AS n_columns FROM supplier",
     "quarantined_rows": "SELECT o_orderkey, o_orderstatus AS status, CASE WHEN o_orderkey % 7 > 0 THEN (o_orderkey % 90 + 1)::VARCHAR END AS area, 'district: not in dictionary' AS reason, 'prices' AS source FROM orders WHERE o_orderstatus = 'F'",
     "balance_check": """
 SELECT 'ingest' AS stage, count(*)::BIGINT AS ok, 0::BIGINT AS rejected, 0::BIGINT AS merged, true AS balanced FROM orders

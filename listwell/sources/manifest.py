@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +16,10 @@ MAX_FILE_BYTES = 500 * 1024 * 1024
 SAMPLE_BYTES = 65_536
 MAX_CONTROL_SHARE = 0.30
 DELIMITERS = (",", ";", "\t")
-#: A CSV record: line breaks end it outside of quotes only.
-_FIRST_RECORD = r'^(?:[^"\r\n]++|"(?:[^"]++|"")*+"?+|\r(?!\n))*+'
+#: How many times as much of a file is looked at where its first record goes on.
+GROWTH = 16
+#: Suffixes in any case, as a glob.
+_ANY_CASE = ",".join("".join(f"[{c}{c.upper()}]" for c in suffix) for suffix in SUFFIXES)
 
 
 def file_manifest(spark: SparkSession, paths: list[str], *, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
@@ -21,7 +27,7 @@ def file_manifest(spark: SparkSession, paths: list[str], *, max_bytes: int = MAX
 
     A missing path is an error. Files over ``max_bytes`` are listed without being read.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{{{','.join(SUFFIXES)}}}").option("recursiveFileLookup", "false").load(paths)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{{{_ANY_CASE}}}").option("recursiveFileLookup", "false").load(paths)
     name = F.element_at(F.split("path", "/"), -1)
     known = [F.col("path"), name.alias("name"), F.lower(F.element_at(F.split(name, r"\."), -1)).alias("suffix"), F.col("length").alias("bytes")]
     read = files.where(F.col("length") <= max_bytes).select(*known, F.sha2("content", 256).alias("content_hash"), F.substring("content", 1, SAMPLE_BYTES).alias("head"))
@@ -61,19 +67,55 @@ def _valid_utf8(head: Column) -> Column:
 def with_dialect(manifest: DataFrame) -> DataFrame:
     """Adds ``encoding`` (UTF-8 if the sample decodes so, else windows-1251), ``delimiter`` and ``header`` for text files.
 
-    The delimiter is counted on the first line; the header is the first record, in which quoted names may hold line breaks.
+    The delimiter is counted on the first line, as far as the sample goes. The header is the first line, or null where that
+    has quotes or doesn't end within the sample: ``first_records`` finds those.
     """
     encoding = F.when(_valid_utf8(F.col("head")), "UTF-8").when(F.instr(F.decode("head", "ISO-8859-1"), "\x98") > 0, "UTF-8").otherwise("windows-1251")
     text = F.when(F.col("encoding") == "UTF-8", F.decode("head", "UTF-8")).otherwise(F.decode("head", "windows-1251"))
-    text = F.regexp_replace(text, "^﻿", "")
+    text = F.regexp_replace(text, "^\ufeff", "")
     line = F.regexp_replace(F.substring_index(text, "\n", 1), "\r$", "")
-    header = F.regexp_extract(text, _FIRST_RECORD, 0)
+    ends = (F.col("bytes") <= SAMPLE_BYTES) | (F.instr(text, "\n") > 0)
     count = [F.length("header_line") - F.length(F.replace("header_line", F.lit(d))) for d in DELIMITERS]
     best = F.greatest(*count)
     delimiter = F.when(best <= 0, DELIMITERS[0])
     for d, n in zip(DELIMITERS, count, strict=True):
         delimiter = delimiter.when(n == best, d)
-    return manifest.withColumn("encoding", encoding).withColumn("header_line", line).withColumn("header", header).withColumn("delimiter", delimiter).drop("header_line")
+    known = manifest.withColumn("encoding", encoding).withColumn("header_line", line).withColumn("header", F.when(ends & ~F.contains("header_line", F.lit('"')), F.col("header_line")))
+    return known.withColumn("delimiter", delimiter).drop("header_line")
+
+
+def record_end(data: bytes) -> int:
+    """Where the first record ends, without its line break; -1 if it goes on. Quotes, doubled ones too, hold line breaks."""
+    raw = np.frombuffer(data, np.uint8)
+    breaks = np.flatnonzero(raw == 0x0A)
+    outside = np.searchsorted(np.flatnonzero(raw == 0x22), breaks) % 2 == 0
+    if not outside.any():
+        return -1
+    end = int(breaks[outside][0])
+    return end - 1 if end and raw[end - 1] == 0x0D else end
+
+
+def first_records(spark: SparkSession, files: dict[str, str], *, sample: int = SAMPLE_BYTES) -> dict[str, str]:
+    """The whole first record of each file (path -> encoding), however long it is.
+
+    As much of a file is looked at as it takes: first a sample, then ``GROWTH`` times as much of those whose record goes on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                head = b.column(1)[i].as_py()
+                end = record_end(head)
+                end = len(head) if end < 0 and len(head) == b.column(2)[i].as_py() else end
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([head[:end] if end >= 0 else None], pa.binary())], names=["path", "record"])
+
+    found: dict[str, str] = {}
+    while left := [p for p in files if p not in found]:
+        heads = spark.read.format("binaryFile").load(left).select("path", F.substring("content", 1, sample).alias("head"), "length")
+        for path, record in heads.mapInArrow(run, "path string, record binary").where("record IS NOT NULL").collect():  # a header for each file
+            found[path] = bytes(record).decode(files[path], "replace").removeprefix("\ufeff")
+        sample *= GROWTH
+    return found
 
 
 ARCHIVE = "name string, content binary, content_hash string"
@@ -82,16 +124,20 @@ ARCHIVE = "name string, content binary, content_hash string"
 def archive_raw(spark: SparkSession, paths: list[str], archive: str) -> DataFrame:
     """Append files whose content is not yet in the archive (content_hash, name, content); returns the manifest of those.
 
-    The same bytes are stored once, whatever the file is called.
+    The same bytes are stored once, whatever the file is called. One path is chosen for each new content; only those files
+    are read for their bytes, which go from the scan to the archive without a shuffle.
     """
-    files = spark.read.format("binaryFile").load(paths)
-    rows = files.select(F.sha2("content", 256).alias("content_hash"), F.regexp_replace(F.element_at(F.split("path", "/"), -1), "[^A-Za-z0-9._-]", "_").alias("name"), "content")
+    clean = F.regexp_replace(F.element_at(F.split("path", "/"), -1), "[^A-Za-z0-9._-]", "_")
+    hashed = spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("content_hash"))
     known = spark.read.schema(ARCHIVE).parquet(archive).select("content_hash") if _exists(spark, archive) else None
-    fresh = rows if known is None else rows.join(known.distinct(), "content_hash", "left_anti")
-    one = fresh.groupBy("content_hash").agg(F.min_by("name", "name").alias("name"), F.min_by("content", "name").alias("content"))
-    added = [r[0] for r in fresh.select("content_hash").distinct().collect()]  # a row for each file
-    one.write.mode("append").partitionBy("content_hash").parquet(archive)
-    return spark.read.schema(ARCHIVE).parquet(archive).where(F.col("content_hash").isin(added)).select("content_hash", "name")
+    fresh = hashed if known is None else hashed.join(known.distinct(), "content_hash", "left_anti")
+    chosen = fresh.groupBy("content_hash").agg(F.min_by("path", F.struct(clean, "path")).alias("path")).collect()  # a row for each file
+    if chosen:
+        files = spark.read.format("binaryFile").load([r["path"] for r in chosen])
+        files.select(clean.alias("name"), "content", F.sha2("content", 256).alias("content_hash")).write.mode("append").partitionBy("content_hash").parquet(archive)
+    elif known is None:
+        spark.createDataFrame([], ARCHIVE).write.mode("append").partitionBy("content_hash").parquet(archive)
+    return spark.createDataFrame([(r["content_hash"],) for r in chosen], "content_hash string").join(spark.read.schema(ARCHIVE).parquet(archive), "content_hash").select("content_hash", "name")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -34,6 +34,7 @@ def _file_path() -> Column:
 
 def header_names(line: str, delimiter: str) -> list[str]:
     """Names of a header as they stand in the file, without white space around them; a quoted name may span lines."""
+    csv.field_size_limit(max(csv.field_size_limit(), len(line) + 1))
     return [name.strip() for name in next(csv.reader(io.StringIO(line, newline=""), delimiter=delimiter), [])]
 
 
@@ -44,24 +45,28 @@ def read_csv(spark: SparkSession, paths: list[str], names: list[str], *, delimit
     without any character is none. ``multiline=False`` lets a large file be read in splits,
     where no quoted field holds a line break. ``_row_ordinal`` follows the order of rows within a file.
     """
+    if not any(name.strip() for name in names):
+        raise ValueError("no header: the first record has no names")
     clean = clean_names(names)
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(clean))])
-    raw = spark.read.schema(schema).options(header=True, sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", enforceSchema=True).csv(paths)
+    raw = spark.read.schema(schema).options(header=True, sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", enforceSchema=True, maxColumns=max(20_480, 2 * len(clean))).csv(paths)
     placed = raw.withColumn(FILE, _file_path()).withColumn(ORDINAL, F.monotonically_increasing_id())
     return placed.select(*(filled(F.col(f"c{i}")).alias(c) for i, c in enumerate(clean)), FILE, ORDINAL)
 
 
 def _json_rows(spark: SparkSession, paths: list[str], lines: bool) -> DataFrame:
     """(value variant, file, ordinal) of every record; a record that isn't an object has a null value."""
-    text = spark.read.text(paths, wholetext=not lines).withColumn(FILE, _file_path()).withColumn(ORDINAL, F.monotonically_increasing_id())
-    parsed = text.where(F.length(F.trim("value")) > 0).withColumn("v", F.try_parse_json("value"))
-    if not lines:
-        parsed.createOrReplaceTempView("_listwell_json")
-        # a document is one object or an array of objects
-        parsed = spark.sql(f"""
-            SELECT v, {FILE}, {ORDINAL}, 0 AS pos FROM _listwell_json WHERE coalesce(schema_of_variant(v), '') NOT LIKE 'ARRAY%'
-            UNION ALL SELECT e.value AS v, {FILE}, {ORDINAL}, e.pos FROM _listwell_json, LATERAL variant_explode(v) AS e WHERE schema_of_variant(v) LIKE 'ARRAY%'""")
-        parsed = parsed.withColumn(ORDINAL, F.col(ORDINAL) * F.lit(1 << 20) + F.col("pos"))
+    text = spark.read.text(paths, wholetext=not lines).withColumn(FILE, _file_path()).where(F.length(F.trim("value")) > 0)
+    if lines:
+        parsed = text.withColumn("v", F.try_parse_json("value")).withColumn(ORDINAL, F.monotonically_increasing_id())
+    else:
+        # within brackets of its own a document is the one thing there is, or there is more than a document; it is an array of
+        # objects, or one object; a record's place in the file orders it
+        wrapped = text.select(F.ltrim("value").startswith("[").alias("many"), F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).alias("w"), FILE)
+        alone = F.try_variant_get("w", "$[1]", "variant").isNull()
+        document = F.when(alone & F.col("many"), F.try_variant_get("w", "$[0]", "variant")).when(alone, F.col("w"))
+        wrapped.select(document.alias("document"), FILE).createOrReplaceTempView("_listwell_json")
+        parsed = spark.sql(f"SELECT e.value AS v, {FILE}, coalesce(cast(e.pos AS bigint), 0) AS {ORDINAL} FROM _listwell_json, LATERAL variant_explode_outer(document) AS e WHERE document IS NULL OR e.pos IS NOT NULL")
     return parsed.select(F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")).alias("v"), FILE, ORDINAL)
 
 
