@@ -12,7 +12,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,7 +24,7 @@ from ..operators.export import clear_partitions, delete_folder, export_dataset,
 from ..operators.quarantine import Quarantine, reject_rows
 from ..operators.runlog import DONE_INGEST, DONE_TRANSFORM, RunLog, latest_status, stale_sources, status_of, utc_now, worst
 from ..operators.schema import KeptSchema, aligned, merged_schema
-from ..operators.tables import VersionedTable, snapshot_id
+from ..operators.tables import VersionedTable, bucket_of, snapshot_id
 from ..session import SETTINGS
 from ..sources import manifest as FM
 from ..sources import readers as SR
@@ -58,10 +58,13 @@ def error_text(e: Exception, limit: int = 2000) -> str:
 
 
 class Lake:
-    """Folders of one lake under ``root``: bronze, silver, gold, quarantine, ops, datasets."""
+    """Folders of one lake under ``root``: bronze, silver, gold, quarantine, ops, datasets.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    Each source's silver rows are divided into ``silver_buckets`` by their key; an update reads and writes those it touches.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, *, silver_buckets: int = 16):
+        self.spark, self.root, self.silver_buckets = spark, root.rstrip("/"), silver_buckets
         for key in NEEDED:
             spark.conf.set(key, SETTINGS[key])
         self.log = RunLog(spark, f"{self.root}/ops/pipeline_runs")
@@ -266,16 +269,25 @@ class Lake:
             counts = mapped.groupBy("_content_hash").agg(F.count_if(F.col(R.REASON).isNull()).alias("ok"), F.count_if(F.col(R.REASON).isNotNull()).alias("bad"), F.count_distinct(F.when(F.col(R.REASON).isNull(), F.col("_listing.external_id"))).alias("keys")).collect()  # a row for each file
             if not counts:
                 return []
-            before = self.spark.createDataFrame([], M.LISTING) if reprocess else self.silver.read(parts=[source])
+            # a source that isn't divided like this yet is written whole once
+            whole = reprocess or self.silver.buckets(source) != self.silver_buckets
+            touched = [] if whole else [f"{source}#{r[0]}" for r in good.select(bucket_of(M.KEY, self.silver_buckets)).distinct().collect()]  # buckets at most
+            before = self.spark.createDataFrame([], M.LISTING) if reprocess else self.silver.read(parts=[source] if whole else touched)
             merged = R.latest_wins(before, good, M.KEY, "_ingested_at", "_source_content_hash", "_row_ordinal")
-            self.silver.publish(merged.drop("_change"), source)
+            seen = Observation()
+            changes = merged.observe(seen, *(F.count_if(F.col("_change") == c).alias(c) for c in ("inserted", "updated")))
+            self.silver.publish_buckets(changes.drop("_change"), source, M.KEY, self.silver_buckets, whole=whole)
+            inserted, updated = seen.get["inserted"], seen.get["updated"]
             columns = [c for c in rows.columns if c not in SERVICE]
             self.quarantine.put(reject_rows(mapped.where(F.col(R.REASON).isNotNull()), columns, layer="silver", source=source, run_id=run_id, now=F.lit(utc_now()).cast("timestamp_ntz")))
             # only after the new rejects are there
             self.quarantine.clear("silver", source, [h for h, _, bad, _ in counts if not bad])
         finally:
             mapped.unpersist()
-        return [{"content_hash": h, "rows_ok": keys, "rows_quarantined": bad, "rows_deduplicated": ok - keys, "schema_json": M.schema_json(mapping), "status": status_of(bad, None)} for h, ok, bad, keys in counts]
+        # what the run did to the table stands in its first record; keys that it changed nothing by are the rest of them
+        change = {"rows_inserted": inserted, "rows_updated": updated, "rows_unchanged": sum(keys for *_, keys in counts) - inserted - updated}
+        rest = dict.fromkeys(change, 0)
+        return [{"content_hash": h, "rows_ok": keys, "rows_quarantined": bad, "rows_deduplicated": ok - keys, "schema_json": M.schema_json(mapping), "status": status_of(bad, None)} | (rest if i else change) for i, (h, ok, bad, keys) in enumerate(counts)]
 
     # -- gold and export ---------------------------------------------------------------------------------------
 

@@ -21,7 +21,7 @@ from .operators.mapping import Field, field_value
 from .operators.quarantine import registry, reject_rows
 from .operators.runlog import failed_runs, freshness, latest_status, stage_totals, stale_sources
 from .operators.schema import added_columns, aligned, merged_schema
-from .operators.tables import VersionedTable
+from .operators.tables import VersionedTable, bucket_of
 from .plans.features import floor_ratio
 from .plans.lake import Lake
 from .plans.marts import MONEY, daily_counts, dynamics_mart, exact_medians, price_area_mart, price_per_area, style_mart
@@ -487,6 +487,53 @@ def balance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("stage", "ok", "rejected", "merged", (F.col("ok") + F.col("rejected") + F.col("merged") == incoming).alias("balanced"))
 
 
+_BY_CUSTOMER = """
+[meta]
+external_id = "o_custkey"
+[fields.price_rub]
+input = "o_totalprice"
+cast = "decimal"
+[fields.area_m2]
+cast = "decimal"
+default = 50
+[fields.district]
+input = "o_orderstatus"
+enum_map = { F = "finished", O = "open" }
+"""
+
+
+def change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by customer in two loads, finished ones first: what each transform inserted, updated, merged and rejected."""
+    root = scratch_path(spark, "changes")
+    orders, lake, steps = _table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate"), Lake(spark, f"{root}/lake"), []
+    for step, chosen in enumerate((F.year("o_orderdate") < 1996, F.year("o_orderdate") >= 1996)):
+        # a customer's orders of a load are in one file
+        _csv_files(orders.where(chosen).repartition(2, "o_custkey"), f"{root}/{step}")
+        _taken(lake.ingest([f"{root}/{step}"], source="customers", archive=False))
+        before = lake.log.read().select("run_id").distinct()
+        seen = {r[0] for r in before.collect()}  # a row for each command
+        lake.transform({"customers": _BY_CUSTOMER})
+        mine = lake.log.read().where((F.col("stage") == "transform") & ~F.col("run_id").isin(list(seen)))
+        steps.append(mine.agg(F.lit(step).alias("step"), *(F.sum(f"rows_{c}").alias(c) for c in ("inserted", "updated", "unchanged")), F.sum("rows_deduplicated").alias("merged"), F.sum("rows_quarantined").alias("rejected"), (F.sum(F.col("rows_ok") + F.col("rows_deduplicated") + F.col("rows_quarantined")) == orders.where(chosen).count()).alias("balanced")))
+    return steps[0].unionByName(steps[1])
+
+
+def touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers divided by nation; the orders of one nation's customers update them, and the files of all other buckets stay."""
+    customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation").where("n_name = 'NATION_7'")
+    base = customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("balance"), F.lit(1).alias("version"))
+    bought = _table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))  # one nation
+    updates = bought.select("c_custkey", "c_nationkey", F.col("o_totalprice").alias("balance"), F.when(F.col("o_orderpriority") == "1-URGENT", 2).otherwise(1).alias("version"), "o_orderkey")
+    table, key, n = VersionedTable(spark, scratch_path(spark, "buckets"), base.schema), ["c_nationkey"], 16
+    first = table.publish_buckets(base, "all", key, n, whole=True)
+    touched = {f"all#{r[0]}" for r in updates.select(bucket_of(key, n)).distinct().collect()}  # n at most
+    merged = R.latest_wins(table.read(parts=sorted(touched)), updates, ["c_custkey"], "version", "o_orderkey").drop("_change")
+    second = table.publish_buckets(merged, "all", key, n, whole=False)
+    kept = {p for p in first if first[p] == second[p]}
+    as_they_were = kept == set(first) - touched and len(touched) < len(first)
+    return table.read().withColumn("others_stay", F.lit(as_they_were))
+
+
 def runs_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One broken file, one source without a mapping, one whose mapping names a column that isn't there, one whose mapping is no
     TOML: each has its record, and the good one goes through."""
@@ -623,7 +670,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mart_group_summary, mart_large_groups, median_by_rank, mart_styles, mart_dynamics, daily_event_counts, panel_selected_districts, distinct_districts, feature_rows, target_nulls,
         text_primitives, json_fields, reject_split, dictionary_lookup, boolean_words, stable_ids, synthetic_ids, column_names, inferred_types, latest_event_per_user, upsert_customers,
         pending_documents, reconciled_schema, runs_latest_by_stage, runs_latest_by_content, runs_totals, runs_freshness, runs_failed, runs_stale_mappings, quarantine_registry, ingest_csv,
-        ingest_json, json_documents, csv_dialects, workbook_cells, file_admission, raw_archive, replayed_files, replayed_partial, empty_first_file, wide_header, quarantined_rows, balance_check, runs_after_failure, pruned_scan, evolved_silver,
+        ingest_json, json_documents, csv_dialects, workbook_cells, file_admission, raw_archive, replayed_files, replayed_partial, empty_first_file, wide_header, quarantined_rows, balance_check, change_counts, touched_buckets, runs_after_failure, pruned_scan, evolved_silver,
         ordered_export, guarded_values, listing_flow, versioned_orders, exported_orders, dataset_manifest,
     )
 }
@@ -701,6 +748,15 @@ UNION ALL SELECT 'to_all', 0, n - p, p, true FROM n UNION ALL SELECT 'to_all', 1
     "balance_check": """
 SELECT 'ingest' AS stage, count(*)::BIGINT AS ok, 0::BIGINT AS rejected, 0::BIGINT AS merged, true AS balanced FROM orders
 UNION ALL SELECT 'transform', count(*) FILTER (WHERE o_orderstatus <> 'P'), count(*) FILTER (WHERE o_orderstatus = 'P'), 0, true FROM orders""",
+    "change_counts": """
+WITH o AS (SELECT *, (year(o_orderdate) >= 1996)::INTEGER AS step, o_orderstatus IN ('F', 'O') AS ok FROM orders),
+k AS (SELECT DISTINCT step, o_custkey FROM o WHERE ok),
+c AS (SELECT k.step, count(*) FILTER (WHERE b.o_custkey IS NULL)::BIGINT AS inserted, count(b.o_custkey)::BIGINT AS updated, count(*) AS keys FROM k LEFT JOIN k AS b ON b.step < k.step AND b.o_custkey = k.o_custkey GROUP BY k.step)
+SELECT o.step, inserted, updated, 0::BIGINT AS unchanged, (count(*) FILTER (WHERE ok) - keys)::BIGINT AS merged, count(*) FILTER (WHERE NOT ok)::BIGINT AS rejected, true AS balanced FROM o JOIN c USING (step) GROUP BY o.step, inserted, updated, keys""",
+    "touched_buckets": """
+WITH u AS (SELECT c_custkey, o_totalprice AS balance, CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS version, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_7'),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY version DESC, o_orderkey) AS n FROM u) WHERE n = 1 AND version > 1)
+SELECT c.c_custkey, c_nationkey, coalesce(l.balance, c_acctbal) AS balance, coalesce(l.version, 1) AS version, true AS others_stay FROM customer c LEFT JOIN l ON c.c_custkey = l.c_custkey""",
     "runs_after_failure": """
 WITH n AS (SELECT count(*) FILTER (WHERE o_orderstatus = 'F')::BIGINT AS f, count(*) FILTER (WHERE o_orderstatus = 'O')::BIGINT AS o, count(*) FILTER (WHERE o_orderstatus = 'P')::BIGINT AS p FROM orders)
 SELECT 'ingest' AS stage, 'good' AS unit, 'success' AS status, f AS ok, 0::BIGINT AS rejected, false AS explained FROM n
