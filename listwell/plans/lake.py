@@ -11,6 +11,7 @@ import json
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from ..operators.tables import VersionedTable, bucket_of, snapshot_id
 from ..session import SETTINGS
 from ..sources import manifest as FM
 from ..sources import readers as SR
+from ..sources.splits import read_csv_splits
 from .features import TARGET, feature_table
 from .marts import MARTS
 
@@ -38,6 +40,8 @@ SERVICE = ("_run_id", "_content_hash", "_source_file", "_ingested_at", "_row_ord
 NEEDED = ("spark.sql.legacy.javaCharsets", "spark.sql.sources.partitionColumnTypeInference.enabled")
 #: Files of one load whose names are broadcast; more are joined by shuffle.
 BROADCAST_FILES = 100_000
+#: CSV files above this size are read in splits by many tasks.
+SPLIT_BYTES = 128 << 20
 #: Pending files of a source that a scan names one by one, so that only their partitions are read.
 PRUNED_FILES = 10_000
 
@@ -153,7 +157,12 @@ class Lake:
         by_path = {SR.plain_path(f.path): f for f in files}
         if suffix == "csv":
             encoding, delimiter, header = dialect
-            yield stem, SR.read_csv(self.spark, paths, SR.header_names(header, delimiter), delimiter=delimiter, encoding=encoding), hashes
+            names, read = SR.header_names(header, delimiter), {"delimiter": delimiter, "encoding": encoding}
+            large = [f.path for f in files if f.bytes > SPLIT_BYTES]
+            parts = [read_csv_splits(self.spark, large, names, **read)] if large else []
+            if small := [f.path for f in files if f.bytes <= SPLIT_BYTES]:
+                parts.append(SR.read_csv(self.spark, small, names, **read))
+            yield stem, reduce(DataFrame.unionByName, parts), hashes
         elif suffix == "xlsx":
             # workbooks are parsed once; sheets are then read from the parsed rows
             parsed = f"{self.root}/ops/workbooks/{uuid.uuid4().hex}"

@@ -26,7 +26,7 @@ def plain_path(path: str) -> str:
     return re.sub("^[a-z0-9]+:", "", path).lstrip("/")
 
 
-def _file_path() -> Column:
+def file_path() -> Column:
     """The plain path of a row's file; the scan gives it percent-encoded."""
     decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(decoded, "^(?:[a-z0-9]+:)?/*", "")
@@ -50,13 +50,13 @@ def read_csv(spark: SparkSession, paths: list[str], names: list[str], *, delimit
     clean = clean_names(names)
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(clean))])
     raw = spark.read.schema(schema).options(header=True, sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", enforceSchema=True, maxColumns=max(20_480, 2 * len(clean))).csv(paths)
-    placed = raw.withColumn(FILE, _file_path()).withColumn(ORDINAL, F.monotonically_increasing_id())
+    placed = raw.withColumn(FILE, file_path()).withColumn(ORDINAL, F.monotonically_increasing_id())
     return placed.select(*(filled(F.col(f"c{i}")).alias(c) for i, c in enumerate(clean)), FILE, ORDINAL)
 
 
 def _json_rows(spark: SparkSession, paths: list[str], lines: bool) -> DataFrame:
     """(value variant, file, ordinal) of every record; a record that isn't an object has a null value."""
-    text = spark.read.text(paths, wholetext=not lines).withColumn(FILE, _file_path()).where(F.length(F.trim("value")) > 0)
+    text = spark.read.text(paths, wholetext=not lines).withColumn(FILE, file_path()).where(F.length(F.trim("value")) > 0)
     if lines:
         parsed = text.withColumn("v", F.try_parse_json("value")).withColumn(ORDINAL, F.monotonically_increasing_id())
     else:
