@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .memory import lean, lean_group
 from .simhash import _local_stars, near_fingerprint_links
-from .storage import checkpointed, written
+from .storage import checkpointed, discard, written
 from .words import drawn_key, gram_hashes, mix, split_words, text_slices, whole_runs
 
 #: Parity bits of a set: four for each shingle, a power of two within these bounds.
@@ -253,8 +253,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 if len(node):
                     yield pa.RecordBatch.from_pydict({"src": node, "dst": exact})
 
-    described = checkpointed(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(lean(describe), "id long, text_hash long, sig long, size long, fp long, prefix binary, bits binary"))
-    nodes = checkpointed(described.where("size > 0").groupBy("sig").agg(F.min_by(F.struct("id", "text_hash", "size", "fp", "prefix", "bits"), F.struct("id", "text_hash")).alias("one")).select("sig", "one.*"))
+    described = written(texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(lean(describe), "id long, text_hash long, sig long, size long, fp long, prefix binary, bits binary"), "similar-described")
+    nodes = written(described.where("size > 0").groupBy("sig").agg(F.min_by(F.struct("id", "text_hash", "size", "fp", "prefix", "bits"), F.struct("id", "text_hash")).alias("one")).select("sig", "one.*"), "similar-nodes")
+    rows = written(described.select("id", "text_hash", "sig"), "similar-rows")
+    discard(described)  # prefixes and bits of equal sets are kept once, with the nodes
     by_print = nodes.groupBy("fp").agg(F.min("sig").alias("rep"))
     stars = connected_components(near_fingerprint_links(checkpointed(by_print), TIGHT_BITS))
     tight = by_print.join(stars, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("tight"))
@@ -269,6 +271,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     shares = wanted.groupBy("coarse").agg(F.ceil(F.sum("size") / CHUNK_SHINGLES).cast("int").alias("chunks"))
     placed = wanted.join(shares, "coarse").withColumn("chunk", F.pmod(F.xxhash64("sig"), "chunks").cast("int"))
     placed = checkpointed(placed.drop("size"))
+    discard(nodes)
     placed = F.broadcast(placed) if placed.count() <= BROADCAST_MEMBERS else placed
     found = texts.withColumn("text_hash", F.xxhash64("text")).join(placed, ["id", "text_hash"])
     found = written(found.select("coarse", "chunks", "chunk", "sig", "text"), "similar-members")
@@ -293,7 +296,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         second = again.join(units, ["coarse", "part"]).select(F.xxhash64("block", "part").alias("unit"), "sig", "text")
         near = near.unionByName(links(first.unionByName(second)))
     exact = connected_components(near)
-    groups = described.select("id", "text_hash", "sig").join(exact, F.col("sig") == F.col("node"), "left").select("id", "text_hash", F.coalesce("component", "sig").alias("group"))
+    discard(found)
+    groups = rows.join(exact, F.col("sig") == F.col("node"), "left").select("id", "text_hash", F.coalesce("component", "sig").alias("group"))
     least = groups.groupBy("group").agg(F.min("id").alias("least_id"))
     return groups.join(least, "group").select("id", "text_hash", "least_id")
 

@@ -39,4 +39,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back: later uses share the one result."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``written`` made, once nothing reads it any more: all that was derived from it must be stored."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
