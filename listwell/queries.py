@@ -16,6 +16,7 @@ from .functions.inference import infer_types
 from .functions.names import with_clean_names
 from .functions.primitives import record_json
 from .operators import rows as R
+from .operators.dictionary import dictionary, looked_up
 from .operators.export import content_fingerprint, export_dataset, read_manifest
 from .operators.mapping import Field, field_value
 from .operators.quarantine import registry, reject_rows
@@ -156,6 +157,13 @@ def dictionary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.groupBy(value.alias("finished"), missed.alias("missed")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def dictionary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of some size as the dictionary of line items: the type of each, or the reason why there is none."""
+    entries = dictionary(_table(spark, sf_dir, "part").where("p_size > 10"), "p_partkey", "p_type")
+    items = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "R", F.concat(F.lit(" "), F.col("l_partkey").cast("string"))).alias("part"))
+    return looked_up(items, "part", entries, name="type").select("l_orderkey", "l_linenumber", "type", F.col(R.REASON).alias("reason"))
+
+
 def boolean_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     word = F.when(F.col("o_orderstatus") == "F", " Да").when(F.col("o_orderstatus") == "O", "NO").otherwise("y")
@@ -668,7 +676,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         mart_group_summary, mart_large_groups, median_by_rank, mart_styles, mart_dynamics, daily_event_counts, panel_selected_districts, distinct_districts, feature_rows, target_nulls,
-        text_primitives, json_fields, reject_split, dictionary_lookup, boolean_words, stable_ids, synthetic_ids, column_names, inferred_types, latest_event_per_user, upsert_customers,
+        text_primitives, json_fields, reject_split, dictionary_lookup, dictionary_table, boolean_words, stable_ids, synthetic_ids, column_names, inferred_types, latest_event_per_user, upsert_customers,
         pending_documents, reconciled_schema, runs_latest_by_stage, runs_latest_by_content, runs_totals, runs_freshness, runs_failed, runs_stale_mappings, quarantine_registry, ingest_csv,
         ingest_json, json_documents, csv_dialects, workbook_cells, file_admission, raw_archive, replayed_files, replayed_partial, empty_first_file, wide_header, quarantined_rows, balance_check, change_counts, touched_buckets, runs_after_failure, pruned_scan, evolved_silver,
         ordered_export, guarded_values, listing_flow, versioned_orders, exported_orders, dataset_manifest,
@@ -707,6 +715,7 @@ SELECT p_partkey, nullif(regexp_extract(p_brand, '#(\d+)', 1), '')::BIGINT AS br
 SELECT CASE WHEN value > 300 THEN 'value above 300' WHEN value < 0.1 THEN 'value below 0.1' WHEN event_type = 'error' THEN 'event_type is missing' WHEN strlen(props) > 9 THEN 'props too long' ELSE 'valid' END AS reason,
        count(*)::BIGINT AS n, min(event_id) AS first_event FROM events GROUP BY 1""",
     "dictionary_lookup": "SELECT CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS finished, o_orderstatus NOT IN ('F', 'O') AS missed, count(*)::BIGINT AS n FROM orders GROUP BY 1, 2",
+    "dictionary_table": "SELECT l_orderkey, l_linenumber, p_type AS type, CASE WHEN l_returnflag <> 'R' AND p_partkey IS NULL THEN 'type: not in dictionary' END AS reason FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size > 10 AND l_returnflag <> 'R'",
     "boolean_words": "SELECT DISTINCT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS value, o_orderstatus NOT IN ('F', 'O') AS failed FROM orders",
     "stable_ids": "SELECT o_orderkey, sha256(concat(length(o_orderpriority), ':', o_orderpriority, ':', o_orderkey)) AS id FROM orders",
     "synthetic_ids": "SELECT p_partkey, basis, sha256(concat('4:part:', basis)) AS id FROM (SELECT p_partkey, concat('brand=', p_brand, ';name=', coalesce(nullif(p_name, 'red widget'), 'None'), ';size=', p_size) AS basis FROM part)",
