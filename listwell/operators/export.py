@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,20 +45,41 @@ def content_fingerprint(df: DataFrame) -> tuple[int, str]:
     return n, f"{int(total or 0):x}.{int(mixed or 0) & (1 << 64) - 1:016x}"
 
 
-def export_dataset(df: DataFrame, root: str, *, key: str = "id", target: str | None = None, snapshot: str = "none", formats: Sequence[str] = ("parquet", "jsonl"), notes: str = "") -> str:
+#: Rows of a part file at first, and bytes that none may exceed: parts are hashed as whole values, which Spark limits to 2 GB.
+PART_ROWS, PART_BYTES = 5_000_000, 1 << 30
+
+
+def bounded_parts(write: Callable[[int], None], spark: SparkSession, path: str, *, rows: int, most: int) -> int:
+    """Call ``write`` with a number of rows for each part file until no part under ``path`` is larger than ``most`` bytes.
+
+    What was too large is dropped and written anew with as many rows as its size asks for; returns that number.
+    """
+    while True:
+        write(rows)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        largest = max((s.getLen() for s in target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target) if s.isFile()), default=0)
+        if largest <= most or rows == 1:
+            return rows
+        delete_folder(spark, path)
+        rows = max(1, int(rows * most / largest * 0.8)) if rows * most > largest else 1
+
+
+def export_dataset(df: DataFrame, root: str, *, key: str = "id", target: str | None = None, snapshot: str = "none", formats: Sequence[str] = ("parquet", "jsonl"), notes: str = "", part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES) -> str:
     """Write ``df``, ordered by ``key`` across part files, as a new version under ``root``; returns its name.
 
-    The version counts once ``manifest`` is there. Empty input is allowed. Nothing is ever overwritten.
+    The version counts once ``manifest`` is there. Empty input is allowed. Nothing is ever overwritten. No part has more than
+    ``part_rows`` rows or ``part_bytes`` bytes (a single row may), so that each can be hashed, however large the version is.
     """
     spark = df.sparkSession
     version = next_version(folder_names(spark, root))
     path = f"{root}/{version}"
     ordered = df.repartitionByRange(key).sortWithinPartitions(key) if df.head(1) else df
-    ordered.write.mode("errorifexists").parquet(f"{path}/parquet")
+    bounded_parts(lambda rows: ordered.write.mode("errorifexists").option("maxRecordsPerFile", rows).parquet(f"{path}/parquet"), spark, f"{path}/parquet", rows=part_rows, most=part_bytes)
     stored = spark.read.schema(df.schema).parquet(f"{path}/parquet")
     if "jsonl" in formats:
-        lines = stored.repartitionByRange(key).sortWithinPartitions(key) if df.head(1) else stored
-        lines.select(json_line(stored).alias("value")).write.mode("errorifexists").text(f"{path}/jsonl")
+        lines = stored.repartitionByRange(key).sortWithinPartitions(key) if stored.head(1) else stored
+        text = lines.select(json_line(stored).alias("value"))
+        bounded_parts(lambda rows: text.write.mode("errorifexists").option("maxRecordsPerFile", rows).text(f"{path}/jsonl"), spark, f"{path}/jsonl", rows=part_rows, most=part_bytes)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
     hashed = files.select("path", "length", F.sha2("content", 256).alias("sha256"))
     nulls = stored.agg(F.count_if(F.col(target).isNull())).first()[0] if target else None
