@@ -56,11 +56,11 @@ def test_coerce(spark):
 @pytest.mark.parametrize(
     ("value", "make", "want"),
     [
-        ("1500", lambda c: P.unit_convert(c, "thousands_rub", "rub"), (Decimal("1500000.00"), False)),
-        ("3.5", lambda c: P.unit_convert(c, "mln_rub", "rub"), (Decimal("3500000.00"), False)),
-        ("6", lambda c: P.unit_convert(c, "sotka", "m2"), (Decimal("600.00"), False)),
-        ("100", lambda c: P.unit_convert(c, "rub", "rub"), (Decimal("100.00"), False)),
-        ("45,5", lambda c: P.regex_replace(c, ",", "."), ("45.5", False)),
+        ("27", lambda c: P.unit_convert(c, "thousands_rub", "rub"), (Decimal("27000.00"), False)),
+        ("0.25", lambda c: P.unit_convert(c, "mln_rub", "rub"), (Decimal("250000.00"), False)),
+        ("9.1", lambda c: P.unit_convert(c, "sotka", "m2"), (Decimal("910.00"), False)),
+        ("81", lambda c: P.unit_convert(c, "rub", "rub"), (Decimal("81.00"), False)),
+        ("7;25", lambda c: P.regex_replace(c, ";", ":"), ("7:25", False)),
         ("a-b", lambda c: P.regex_replace(c, r"(\w)-(\w)", r"\2$\1"), ("b$a", False)),
         ("Brand#25", lambda c: P.regex_extract(c, r"#(\d+)"), ("25", False)),
         ("Brand", lambda c: P.regex_extract(c, r"\d+"), (None, False)),

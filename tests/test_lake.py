@@ -18,16 +18,16 @@ from listwell.plans.lake import Lake
 from listwell.plans.marts import dynamics_mart, exact_medians, price_area_mart, style_mart
 from listwell.sources.manifest import archive_raw, file_manifest
 
-AVITO = """
+HOUSES = """
 [meta]
-external_id = "id"
+external_id = "lot"
 [fields.price_rub]
-input = "price"
+input = "asked"
 cast = "decimal"
-unit_convert = { from = "thousands_rub", to = "rub" }
+unit_convert = { from = "mln_rub", to = "rub" }
 [fields.area_m2]
-input = "area"
-regex_replace = { pattern = ",", replacement = "." }
+input = "size"
+regex_replace = { pattern = " sqm", replacement = "" }
 cast = "decimal"
 [fields.rooms]
 input = "rooms"
@@ -121,29 +121,29 @@ def test_oversize_and_evolution(lake, tmp_path):
 
 
 def test_transform_upsert_rejects_and_reprocess(lake, tmp_path):
-    lake.ingest([put(tmp_path, "t_avito.csv", "id;price;area;rooms\n1;5000;45,5;2\n2;7200;60,0;3\n3;0;10;1\n2;7300;60,0;3\n")])
+    lake.ingest([put(tmp_path, "houses.csv", "lot;asked;size;rooms\n1;8;71 sqm;4\n2;3.1;33.5 sqm;1\n3;0;12 sqm;1\n2;3.2;33.5 sqm;1\n")])
     lake.ingest([put(tmp_path, "other.csv", "id,x\n1,2\n")])
-    assert lake.transform({"t_avito": AVITO}) == {"t_avito": "partial", "other": "skipped"}
+    assert lake.transform({"houses": HOUSES}) == {"houses": "partial", "other": "skipped"}
     rows = lambda: {r.external_id: (r.price_rub, r.area_m2, r.rooms) for r in lake.silver.read().collect()}
-    assert rows() == {"1": (Decimal("5000000.00"), Decimal("45.50"), 2), "2": (Decimal("7200000.00"), Decimal("60.00"), 3)}
+    assert rows() == {"1": (Decimal("8000000.00"), Decimal("71.00"), 4), "2": (Decimal("3100000.00"), Decimal("33.50"), 1)}
     assert ["sanity" in r.reason for r in lake.quarantine.read().where("layer = 'silver'").collect()] == [True]
-    log = lake.log.read().where("stage = 'transform' AND source_file = 't_avito'").first()
+    log = lake.log.read().where("stage = 'transform' AND source_file = 'houses'").first()
     assert (log.rows_ok, log.rows_quarantined, log.rows_deduplicated) == (2, 1, 1)
-    assert lake.transform({"t_avito": AVITO}, source="t_avito") == {"t_avito": "success"}  # nothing pending
-    newer = put(tmp_path, "new.csv", "id;price;area;rooms\n1;6000;45,5;2\n")
+    assert lake.transform({"houses": HOUSES}, source="houses") == {"houses": "success"}  # nothing pending
+    newer = put(tmp_path, "new.csv", "lot;asked;size;rooms\n1;9.5;71 sqm;4\n")
     (tmp_path / "n").mkdir()
-    renamed = tmp_path / "n" / "t_avito.csv"
+    renamed = tmp_path / "n" / "houses.csv"
     renamed.write_bytes(open(newer, "rb").read())
     lake.ingest([str(renamed)])
-    assert lake.transform({"t_avito": AVITO}, source="t_avito") == {"t_avito": "success"}
-    assert rows()["1"][0] == Decimal("6000000.00") and len(rows()) == 2
-    changed = AVITO + "\n# edited"
-    assert lake.transform({"t_avito": changed}, source="t_avito") == {"t_avito": "failed"}
+    assert lake.transform({"houses": HOUSES}, source="houses") == {"houses": "success"}
+    assert rows()["1"][0] == Decimal("9500000.00") and len(rows()) == 2
+    changed = HOUSES + "\n# edited"
+    assert lake.transform({"houses": changed}, source="houses") == {"houses": "failed"}
     pinned = lake.silver.snapshot()
-    assert lake.transform({"t_avito": changed}, source="t_avito", reprocess=True) == {"t_avito": "partial"}
-    assert lake.quarantine.read().where("layer = 'silver'").count() == 1 and rows()["1"][0] == Decimal("6000000.00")
+    assert lake.transform({"houses": changed}, source="houses", reprocess=True) == {"houses": "partial"}
+    assert lake.quarantine.read().where("layer = 'silver'").count() == 1 and rows()["1"][0] == Decimal("9500000.00")
     assert {r._mapping_config_hash for r in lake.silver.read(pinned).collect()} != {r._mapping_config_hash for r in lake.silver.read().collect()}
-    assert lake.transform({"t_avito": AVITO.replace('"rooms"\ncast', '"absent"\ncast')}, source="t_avito", reprocess=True) == {"t_avito": "failed"}
+    assert lake.transform({"houses": HOUSES.replace('"rooms"\ncast', '"absent"\ncast')}, source="houses", reprocess=True) == {"houses": "failed"}
     assert "absent" in failed_runs(lake.log.read()).first().error_message
     assert {(r.layer, r.n_rejects) for r in registry(lake.quarantine.read()).collect()} == {("silver", 1)}
 
@@ -155,7 +155,7 @@ def test_transform_upsert_rejects_and_reprocess(lake, tmp_path):
     assert head["rows"] == head["target_nulls"] == 2 and len(head["schema"]) == 26 and files.count() >= 2
     assert head["content"] == read_manifest(lake.spark, f"{lake.root}/datasets/v002")[0]["content"]
     line = json.loads(lake.spark.read.text(f"{lake.root}/datasets/v001/jsonl").orderBy("value").first().value)
-    assert line["is_loft"] is None and line["price_rub"] in ("6000000.00", "7200000.00")
+    assert line["is_loft"] is None and line["price_rub"] in ("9500000.00", "3100000.00")
 
 
 def test_empty_lake_builds(lake):
