@@ -169,9 +169,10 @@ class Lake:
             SR.read_workbooks(self.spark, paths).write.parquet(parsed)
             books = self.spark.read.parquet(parsed)
             try:
-                for (p,) in books.where("sheet IS NULL").select(SR.FILE).distinct().collect():
+                broken = [p for (p,) in books.where("sheet IS NULL").select(SR.FILE).distinct().collect()]  # a row for each file
+                for p in broken:
                     outcome[by_path[p].content_hash]["error"] = "not a readable workbook"
-                for r in SR.sheet_headers(books).orderBy(SR.FILE, "sheet").collect():  # a row for each sheet
+                for r in SR.sheet_headers(books.where(~F.col(SR.FILE).isin(broken)) if broken else books).orderBy(SR.FILE, "sheet").collect():  # a row for each sheet
                     name = clean_name(f"{stem}_{r.sheet}") or stem
                     yield name, SR.sheet_table(books, r[SR.FILE], r.sheet, r.header_row, r.names), [by_path[r[SR.FILE]].content_hash]
             finally:

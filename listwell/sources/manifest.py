@@ -71,7 +71,8 @@ def with_dialect(manifest: DataFrame) -> DataFrame:
     has quotes or doesn't end within the sample: ``first_records`` finds those.
     """
     encoding = F.when(_valid_utf8(F.col("head")), "UTF-8").when(F.instr(F.decode("head", "ISO-8859-1"), "\x98") > 0, "UTF-8").otherwise("windows-1251")
-    text = F.when(F.col("encoding") == "UTF-8", F.decode("head", "UTF-8")).otherwise(F.decode("head", "windows-1251"))
+    # other files' bytes are no text; of text, bytes that are none are replaced
+    text = F.when(F.col("suffix") != "csv", None).when(F.col("encoding") == "UTF-8", F.make_valid_utf8(F.col("head").cast("string"))).otherwise(F.decode("head", "windows-1251"))
     text = F.regexp_replace(text, "^\ufeff", "")
     line = F.regexp_replace(F.substring_index(text, "\n", 1), "\r$", "")
     ends = (F.col("bytes") <= SAMPLE_BYTES) | (F.instr(text, "\n") > 0)

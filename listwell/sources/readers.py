@@ -5,9 +5,11 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import io
+import itertools
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -122,56 +124,98 @@ def _moment_text(serial: str, epoch: dt.datetime, elapsed: bool) -> str:
     return (epoch + span + dt.timedelta(days=1 if epoch == EPOCH and 1 <= days < 60 else 0)).isoformat()
 
 
+#: Rows of a sheet that are handed on at once, and shared strings of one Arrow array.
+SHEET_ROWS, STRINGS_AT_ONCE = 5_000, 50_000
+
+
+def _elements(stream: IO[bytes], tag: str) -> Iterator[ElementTree.Element]:
+    """Elements of a name as they are read; each is dropped, with all before it, once the next one is asked for."""
+    path: list[ElementTree.Element] = []
+    for event, element in ElementTree.iterparse(stream, events=("start", "end")):
+        if event == "start":
+            path.append(element)
+            continue
+        path.pop()
+        if element.tag == tag:
+            yield element
+            if path:
+                path[-1].clear()
+
+
+class _Strings:
+    """Shared strings of a workbook in Arrow arrays: no Python object for each."""
+
+    def __init__(self, stream: IO[bytes], main: str):
+        self.arrays: list[pa.Array] = []
+        held: list[str] = []
+        for item in _elements(stream, f"{main}si"):
+            held.append("".join(t.text or "" for t in item.iter(f"{main}t")))
+            if len(held) == STRINGS_AT_ONCE:
+                self.arrays.append(pa.array(held, pa.string()))
+                held = []
+        self.arrays.append(pa.array(held, pa.string()))
+
+    def __getitem__(self, i: int) -> str:
+        return self.arrays[i // STRINGS_AT_ONCE][i % STRINGS_AT_ONCE].as_py()
+
+
 def _sheet_rows(data: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
-    """(sheet, row number, cells) of a workbook's filled rows: cached values, merged cells in their first place only, dates as ISO text."""
+    """(sheet, row number, cells) of a workbook's filled rows: cached values, merged cells in their first place only, dates as ISO text.
+
+    Sheets are read as streams: what is held is one row and the shared strings.
+    """
     main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
     link = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
     with zipfile.ZipFile(io.BytesIO(data)) as book:
         names = set(book.namelist())
-        shared = []
+        shared = None
         if "xl/sharedStrings.xml" in names:
-            shared = ["".join(t.text or "" for t in item.iter(f"{main}t")) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{main}si")]
+            with book.open("xl/sharedStrings.xml") as stream:
+                shared = _Strings(stream, main)
         targets = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         outline = ElementTree.fromstring(book.read("xl/workbook.xml"))
         epoch = EPOCH_1904 if any(p.get("date1904") in ("1", "true") for p in outline.iter(f"{main}workbookPr")) else EPOCH
         dates = _date_styles(book, main)
         for sheet in outline.iter(f"{main}sheet"):
             target = targets[sheet.get(link)].lstrip("/")
-            body = ElementTree.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}"))
-            for number, row in enumerate(body.iter(f"{main}row"), 1):
-                cells: list[str | None] = []
-                for cell in row.iter(f"{main}c"):
-                    letters = re.match("[A-Z]+", cell.get("r") or "")
-                    at = sum((ord(ch) - 64) * 26**i for i, ch in enumerate(reversed(letters[0]))) - 1 if letters else len(cells)
-                    cells += [None] * (at + 1 - len(cells))
-                    kind, value = cell.get("t"), cell.findtext(f"{main}v")
-                    if kind == "s" and value is not None:
-                        value = shared[int(value)]
-                    elif kind == "inlineStr":
-                        value = "".join(t.text or "" for t in cell.iter(f"{main}t"))
-                    elif kind == "b" and value is not None:
-                        value = "true" if value == "1" else "false"
-                    elif kind in (None, "n") and value and int(cell.get("s") or 0) in dates:
-                        value = _moment_text(value, epoch, dates[int(cell.get("s") or 0)])
-                    cells[at] = value or None
-                if any(cells):
-                    yield sheet.get("name") or "", int(row.get("r") or number), cells
+            with book.open(target if target.startswith("xl/") else f"xl/{target}") as stream:
+                for number, row in enumerate(_elements(stream, f"{main}row"), 1):
+                    cells: list[str | None] = []
+                    for cell in row.iter(f"{main}c"):
+                        letters = re.match("[A-Z]+", cell.get("r") or "")
+                        at = sum((ord(ch) - 64) * 26**i for i, ch in enumerate(reversed(letters[0]))) - 1 if letters else len(cells)
+                        cells += [None] * (at + 1 - len(cells))
+                        kind, value = cell.get("t"), cell.findtext(f"{main}v")
+                        if kind == "s" and value is not None:
+                            value = shared[int(value)]
+                        elif kind == "inlineStr":
+                            value = "".join(t.text or "" for t in cell.iter(f"{main}t"))
+                        elif kind == "b" and value is not None:
+                            value = "true" if value == "1" else "false"
+                        elif kind in (None, "n") and value and int(cell.get("s") or 0) in dates:
+                            value = _moment_text(value, epoch, dates[int(cell.get("s") or 0)])
+                        cells[at] = value or None
+                    if any(cells):
+                        yield sheet.get("name") or "", int(row.get("r") or number), cells
 
 
 def workbook_rows(books: DataFrame) -> DataFrame:
-    """(file, sheet, row_no, cells) of all sheets of ``books`` (path, content), in parallel; an unreadable one gives a row with a null sheet."""
+    """(file, sheet, row_no, cells) of all sheets of ``books`` (path, content), in parallel, some thousand rows at a time.
+
+    A file that turns out unreadable gives a row with a null sheet, perhaps after some rows that are not to be used.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(FILE, pa.string()), ("sheet", pa.string()), ("row_no", pa.int64()), ("cells", pa.list_(pa.string()))])
         for b in batches:
             for path, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                rows = []
+                row = lambda sheet, number, cells, path=path: {FILE: path, "sheet": sheet, "row_no": number, "cells": cells}
                 try:
-                    for sheet, number, cells in _sheet_rows(content.as_py()):
-                        rows.append({FILE: path, "sheet": sheet, "row_no": number, "cells": cells})
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, IndexError, ValueError, OverflowError):
-                    rows = [{FILE: path, "sheet": None, "row_no": 0, "cells": []}]
-                yield pa.RecordBatch.from_pylist(rows, schema)
+                    found = _sheet_rows(content.as_py())
+                    while part := [row(*r) for r in itertools.islice(found, SHEET_ROWS)]:
+                        yield pa.RecordBatch.from_pylist(part, schema)
+                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, IndexError, ValueError, OverflowError, TypeError):
+                    yield pa.RecordBatch.from_pylist([row(None, 0, [])], schema)
 
     return books.select(F.regexp_replace("path", "^(?:[a-z0-9]+:)?/*", ""), "content").mapInArrow(run, f"{FILE} string, sheet string, row_no long, cells array<string>")
 
