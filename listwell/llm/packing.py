@@ -91,6 +91,9 @@ class WordEncoder:
     a word that is met again moves to the younger one, so that frequent words stay.
     """
 
+    #: How many times ``CACHE_WORDS`` one generation holds.
+    generation = 1
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -136,7 +139,7 @@ class WordEncoder:
 
     def _slots(self, keys: list[bytes], whole: np.ndarray) -> np.ndarray:
         """Where each key's ids are kept; unknown ones are learned."""
-        if len(self.index) > CACHE_WORDS:
+        if len(self.index) > CACHE_WORDS * self.generation:
             self.old, self.old_ids, self.old_first = self.index, self.ids, self.first
             self._start()
         missing = [i for i, k in enumerate(keys) if k not in self.index]

@@ -87,6 +87,9 @@ def spaced_units(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarr
 class SpacedEncoder(WordEncoder):
     """The ids of a byte-level tokenizer (spaces before words, its usual split pattern, nothing normalised)."""
 
+    #: A word with a space before it is another unit than one without.
+    generation = 2
+
     def __init__(self, path: str):
         super().__init__(path)
         steps = json.loads(self.tokenizer.to_str())
