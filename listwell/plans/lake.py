@@ -38,8 +38,8 @@ SERVICE = ("_run_id", "_content_hash", "_source_file", "_ingested_at", "_row_ord
 
 #: Session settings without which old charsets aren't read and content hashes can be taken for numbers.
 NEEDED = ("spark.sql.legacy.javaCharsets", "spark.sql.sources.partitionColumnTypeInference.enabled")
-#: Files of one load whose names are broadcast; more are joined by shuffle.
-BROADCAST_FILES = 100_000
+#: Bytes of the names of a load's files up to which they are broadcast; more are joined by shuffle.
+BROADCAST_NAMES = 16 << 20
 #: CSV files above this size are read in splits by many tasks.
 SPLIT_BYTES = 128 << 20
 #: Pending files of a source that a scan names one by one, so that only their partitions are read.
@@ -194,7 +194,7 @@ class Lake:
         """
         columns = [c for c in raw.columns if c not in (SR.FILE, SR.ORDINAL)]
         known = self.spark.createDataFrame([(SR.plain_path(f.path), f.content_hash, f.name) for f in files], "_p string, _content_hash string, _source_file string")
-        known = F.broadcast(known) if len(files) <= BROADCAST_FILES else known
+        known = F.broadcast(known) if sum(len(f.path) + len(f.name) + 200 for f in files) <= BROADCAST_NAMES else known.hint("merge")
         rows = raw.join(known, F.col(SR.FILE) == F.col("_p")).drop("_p").persist()
         try:
             table = self._bronze_schema(source)
