@@ -87,7 +87,13 @@ class Lake:
         return KeptSchema(self.spark, self._bronze_path(source))
 
     def _bronze_schema(self, source: str) -> StructType | None:
-        return self._kept(source).read() if source in self.bronze_sources() else None
+        """The kept schema; of a source that was written before schemas were kept, that of its files."""
+        if source not in self.bronze_sources():
+            return None
+        kept, path = self._kept(source).read(), self._bronze_path(source)
+        if kept is None and any(name.startswith("_content_hash=") for name in folder_names(self.spark, path)):
+            return self.spark.read.option("mergeSchema", "true").parquet(path).schema
+        return kept
 
     def bronze(self, source: str, hashes: list[str] | None = None) -> DataFrame:
         """Rows of a source, of some files only if their content hashes are given; a source without accepted rows is empty."""

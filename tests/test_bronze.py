@@ -39,6 +39,14 @@ def test_a_source_may_begin_without_rows(lake, tmp_path):
     assert schemas == ['{"s": {"k": "string", "v": "string"}}', '{"s": {"k": "bigint", "v": "string"}}', '{"s": {"k": "bigint", "v": "string"}}']
 
 
+def test_a_source_without_a_kept_schema(lake, tmp_path):
+    lake.ingest([put(tmp_path, "a.csv", "k\n1\n")], source="s", archive=False)
+    (tmp_path / "lake" / "bronze" / "s" / "_schema").rename(tmp_path / "gone")
+    assert dict(lake.bronze("s").dtypes)["k"] == "bigint"
+    assert lake.ingest([put(tmp_path, "b.csv", "k,v\n2,x\n")], source="s", archive=False) == {"b.csv": "success"}
+    assert {(r.k, r.v) for r in lake.bronze("s").collect()} == {(1, None), (2, "x")}
+
+
 def test_a_replay_leaves_nothing_of_the_former_run(lake, tmp_path):
     path = put(tmp_path, "r.csv", "k,v\n1,a\n2,bbbb\n")
     for limit, want in ((3, (1, 1)), (0, (0, 2)), (3, (1, 1)), (100, (2, 0))):
