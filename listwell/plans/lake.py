@@ -40,8 +40,8 @@ SERVICE = ("_run_id", "_content_hash", "_source_file", "_ingested_at", "_row_ord
 NEEDED = ("spark.sql.legacy.javaCharsets", "spark.sql.sources.partitionColumnTypeInference.enabled")
 #: Bytes of the names of a load's files up to which they are broadcast; more are joined by shuffle.
 BROADCAST_NAMES = 16 << 20
-#: CSV files above this size are read in splits by many tasks.
-SPLIT_BYTES = 128 << 20
+#: CSV files, and JSON files that hold an array, above these sizes are read in splits by many tasks.
+SPLIT_BYTES, ARRAY_BYTES = 128 << 20, 32 << 20
 #: Pending files of a source that a scan names one by one, so that only their partitions are read.
 PRUNED_FILES = 10_000
 
@@ -185,12 +185,13 @@ class Lake:
                 delete_folder(self.spark, parsed)
         else:
             lines = suffix != "json"
-            broken = {r[0] for r in SR.broken_json_files(self.spark, paths, lines=lines).collect()}
+            large = tuple(f.path for f in files if f.bytes > ARRAY_BYTES)
+            broken = {r[0] for r in SR.broken_json_files(self.spark, paths, lines=lines, large=large).collect()}
             for p in broken:
                 outcome[by_path[p].content_hash]["error"] = "a record is not a JSON object"
             good = [f for p, f in by_path.items() if p not in broken]
             if good:
-                yield stem, SR.read_json(self.spark, [f.path for f in good], lines=lines), [f.content_hash for f in good]
+                yield stem, SR.read_json(self.spark, [f.path for f in good], lines=lines, large=tuple(f.path for f in good if f.path in large)), [f.content_hash for f in good]
 
     def _load(self, source: str, raw: DataFrame, files: list, run_id: str, started, max_field_bytes: int, infer_rows: int | None) -> tuple[dict[str, int], dict[str, int], dict[str, str]]:
         """Type, split and write one source; returns rows and rejects by content hash, and the columns' types.

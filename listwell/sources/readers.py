@@ -7,6 +7,7 @@ import datetime as dt
 import io
 import itertools
 import re
+import uuid
 import zipfile
 from collections.abc import Iterator
 from typing import IO
@@ -56,33 +57,59 @@ def read_csv(spark: SparkSession, paths: list[str], names: list[str], *, delimit
     return placed.select(*(filled(F.col(f"c{i}")).alias(c) for i, c in enumerate(clean)), FILE, ORDINAL)
 
 
-def _json_rows(spark: SparkSession, paths: list[str], lines: bool) -> DataFrame:
-    """(value variant, file, ordinal) of every record; a record that isn't an object has a null value."""
+def _with_end(text: Column) -> tuple[Column, str]:
+    """JSON text as the first of two values, the second a word drawn for this plan.
+
+    The parser leaves what follows a value alone: only if that word comes next is ``text`` one value and nothing else.
+    """
+    end = uuid.uuid4().hex
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{end}"]'))), end
+
+
+def _ended(pair: Column, end: str) -> Column:
+    return F.try_variant_get(pair, "$[1]", "string") == end
+
+
+def _json_rows(spark: SparkSession, paths: list[str], lines: bool, large: tuple[str, ...] = ()) -> DataFrame:
+    """(value variant, file, ordinal) of every record; a record that isn't an object has a null value.
+
+    Of ``paths`` the ``large`` ones are read in splits if they hold an array.
+    """
+    if large and not lines:
+        from .arrays import array_records
+
+        records, others = array_records(spark, list(large))
+        parsed = records.select(F.try_parse_json("text").alias("v"), F.col("file").alias(FILE), F.col("ordinal").alias(ORDINAL))
+        cut = parsed.select(F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")).alias("v"), FILE, ORDINAL)
+        rest = [p for p in paths if p not in large or plain_path(p) in others]
+        return cut.unionAll(_json_rows(spark, rest, lines)) if rest else cut
     text = spark.read.text(paths, wholetext=not lines).withColumn(FILE, file_path()).where(F.length(F.trim("value")) > 0)
     if lines:
-        parsed = text.withColumn("v", F.try_parse_json("value")).withColumn(ORDINAL, F.monotonically_increasing_id())
+        pair, end = _with_end(F.col("value"))
+        pairs = text.withColumn("w", pair).withColumn(ORDINAL, F.monotonically_increasing_id())
+        parsed = pairs.withColumn("v", F.when(_ended(F.col("w"), end), F.try_variant_get("w", "$[0]", "variant")))
     else:
-        # within brackets of its own a document is the one thing there is, or there is more than a document; it is an array of
-        # objects, or one object; a record's place in the file orders it
-        wrapped = text.select(F.ltrim("value").startswith("[").alias("many"), F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).alias("w"), FILE)
-        alone = F.try_variant_get("w", "$[1]", "variant").isNull()
-        document = F.when(alone & F.col("many"), F.try_variant_get("w", "$[0]", "variant")).when(alone, F.col("w"))
-        wrapped.select(document.alias("document"), FILE).createOrReplaceTempView("_listwell_json")
-        parsed = spark.sql(f"SELECT e.value AS v, {FILE}, coalesce(cast(e.pos AS bigint), 0) AS {ORDINAL} FROM _listwell_json, LATERAL variant_explode_outer(document) AS e WHERE document IS NULL OR e.pos IS NOT NULL")
+        # an array of objects, or one object; a record's place in the file orders it
+        pair, end = _with_end(F.col("value"))
+        pairs = text.select(F.ltrim("value").startswith("[").alias("many"), pair.alias("w"), FILE)
+        document = F.when(_ended(F.col("w"), end), F.when(F.col("many"), F.try_variant_get("w", "$[0]", "variant")).otherwise(F.col("w")))
+        pairs.select("many", document.alias("document"), FILE).createOrReplaceTempView("_listwell_json")
+        parsed = spark.sql(f"SELECT e.value AS v, {FILE}, coalesce(cast(e.pos AS bigint), 0) AS {ORDINAL} FROM _listwell_json, LATERAL variant_explode_outer(document) AS e WHERE document IS NULL OR e.pos = 0 OR many AND e.pos > 0")
     return parsed.select(F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")).alias("v"), FILE, ORDINAL)
 
 
-def broken_json_files(spark: SparkSession, paths: list[str], *, lines: bool) -> DataFrame:
+def broken_json_files(spark: SparkSession, paths: list[str], *, lines: bool, large: tuple[str, ...] = ()) -> DataFrame:
     """(file, broken): files with records that are not objects, which fail as a whole."""
-    return _json_rows(spark, paths, lines).groupBy(FILE).agg(F.count_if(F.col("v").isNull()).alias("broken")).where("broken > 0")
+    return _json_rows(spark, paths, lines, large).groupBy(FILE).agg(F.count_if(F.col("v").isNull()).alias("broken")).where("broken > 0")
 
 
-def read_json(spark: SparkSession, paths: list[str], *, lines: bool) -> DataFrame:
+def read_json(spark: SparkSession, paths: list[str], *, lines: bool, large: tuple[str, ...] = ()) -> DataFrame:
     """Objects as rows of text: the union of all keys in the order first seen, over every record.
 
-    Nested values are JSON text with sorted keys; booleans read true and false; null and '' are null.
+    Nested values are JSON text with sorted keys; booleans read true and false; null and '' are null. The ``large`` ones of
+    ``paths`` are read in splits where they hold an array; ordinals then follow the records' places without being their numbers.
     """
-    rows = _json_rows(spark, paths, lines).where("v IS NOT NULL")
+    rows = _json_rows(spark, paths, lines, large).where("v IS NOT NULL")
     rows.createOrReplaceTempView("_listwell_objects")
     # as many rows as there are distinct keys
     seen = spark.sql(f"SELECT e.key, min(struct({FILE}, {ORDINAL}, e.pos)) AS at FROM _listwell_objects, LATERAL variant_explode(v) AS e GROUP BY e.key ORDER BY at").collect()

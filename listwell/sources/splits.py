@@ -26,7 +26,7 @@ from .readers import FILE, ORDINAL, file_path, plain_path, read_csv
 
 #: Splits whose parity the tasks are told, some ten megabytes; the largest load is so many times the size of a split.
 MOST_SPLITS = 200_000
-_PIECE = "file string, block long, part long, at int, text string"
+PIECES = "file string, block long, part long, at int, text string"
 
 
 def _lines(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
@@ -92,17 +92,17 @@ def _pieces(lines: DataFrame, starts: dict[tuple[str, int], bool]) -> DataFrame:
         if held:
             yield rows([begin], 2 if from_before else 1, pa.array(["\n".join(held)]))
 
-    return lines.mapInArrow(run, _PIECE)
+    return lines.mapInArrow(run, PIECES)
 
 
-def _records(pieces: DataFrame) -> DataFrame:
-    """(file, block, part, text) of whole records, those that cross bounds put together."""
+def records_of_pieces(pieces: DataFrame, between: str = "\n") -> DataFrame:
+    """(file, block, part, text) of whole records, those that cross bounds put together with ``between``."""
     crossing = pieces.where("at <> 0")
     # two rows for each split of a file at most, the end of a record before the beginning of the next
-    along = Window.partitionBy("file").orderBy("block", "part")
+    along = Window.partitionBy("file").orderBy("block", "part", "at")
     named = crossing.withColumn("begin", F.last(F.when(F.col("at") == 1, F.struct("block", "part")), ignorenulls=True).over(along))
     joined = named.groupBy("file", "begin").agg(F.sort_array(F.collect_list(F.struct("block", "part", "text"))).alias("pieces"))
-    text = F.array_join(F.transform("pieces", lambda p: p["text"]), "\n")
+    text = F.array_join(F.transform("pieces", lambda p: p["text"]), between)
     return pieces.where("at = 0").select("file", "block", "part", "text").unionByName(joined.select("file", "begin.block", "begin.part", text.alias("text")))
 
 
@@ -119,7 +119,7 @@ def read_csv_splits(spark: SparkSession, paths: list[str], names: list[str], *,
     Files whose quotes turn out not to be well-formed, or whose lines end in carriage returns alone, are read whole.
     """
     lines, clean = _lines(spark, paths, encoding), clean_names(names)
-    records = _records(_pieces(lines, _odd_starts(lines))).where("text NOT IN ('', '\r')")
+    records = records_of_pieces(_pieces(lines, _odd_starts(lines))).where("text NOT IN ('', '\r')")
     placed = _cells(records, len(clean), delimiter)
     breaks = lambda c: F.length(c) - F.length(F.replace(c, F.lit("\n")))
     within = F.aggregate(F.array(*(F.coalesce(breaks(F.col(f"cells.c{i}")), F.lit(0)) for i in range(len(clean)))), F.lit(0), lambda n, x: n + x)
