@@ -29,6 +29,6 @@ def small_splits(spark):
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-@pytest.mark.parametrize("name", ["pruned_scan", "runs_after_failure", "empty_first_file"])
+@pytest.mark.parametrize("name", ["ingest_json", "pruned_scan", "runs_after_failure", "empty_first_file"])
 def test_first_split_without_rows(spark, small_splits, name):
     assert same_rows(spark, name)
