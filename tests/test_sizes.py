@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from listwell import queries as Q
+from listwell.sources.manifest import file_manifest
 
 SF = "/root/testdata/sf0.01"
 
@@ -32,3 +33,12 @@ def small_splits(spark):
 @pytest.mark.parametrize("name", ["ingest_json", "pruned_scan", "runs_after_failure", "empty_first_file"])
 def test_first_split_without_rows(spark, small_splits, name):
     assert same_rows(spark, name)
+
+
+def test_many_files_need_few_folders(spark, tmp_path):
+    Q._supplier_files(spark, SF, str(tmp_path / "in"))
+    found = [p for p in (tmp_path / "in").iterdir() if not p.name.startswith((".", "_"))]
+    assert len(found) == 100 and all(p.is_file() for p in found)
+    assert all(p.read_bytes().startswith(b"id,name\n") and p.read_bytes().count(b"\n") == 2 for p in found)
+    (tmp_path / "in" / "empty.CSV").write_bytes(b"")
+    assert file_manifest(spark, [str(tmp_path / "in")]).where("bytes = 0 AND suffix = 'csv'").count() == 1
