@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from listwell import queries as Q
-from listwell.sources.manifest import file_manifest
+from listwell.sources.manifest import ARCHIVE, archive_raw, file_manifest
 
 SF = "/root/testdata/sf0.01"
 
@@ -42,3 +42,21 @@ def test_many_files_need_few_folders(spark, tmp_path):
     assert all(p.read_bytes().startswith(b"id,name\n") and p.read_bytes().count(b"\n") == 2 for p in found)
     (tmp_path / "in" / "empty.CSV").write_bytes(b"")
     assert file_manifest(spark, [str(tmp_path / "in")]).where("bytes = 0 AND suffix = 'csv'").count() == 1
+
+
+def test_archive_has_no_folder_for_each_content(spark, tmp_path):
+    files = tmp_path / "in"
+    files.mkdir()
+    for i in range(6):
+        (files / f"{i}.csv").write_text(f"a\n{i % 4}\n")
+    new = tmp_path / "new"
+    assert archive_raw(spark, [str(files)], str(new)).count() == 4 and archive_raw(spark, [str(files)], str(new)).count() == 0
+    (files / "7.csv").write_text("a\n7\n")
+    assert archive_raw(spark, [str(files)], str(new)).count() == 1
+    held = lambda path: sorted(bytes(r[0]) for r in spark.read.schema(ARCHIVE).parquet(str(path)).where("sha2(content, 256) = content_hash").select("content").collect())
+    assert held(new) == [f"a\n{i}\n".encode() for i in (0, 1, 2, 3, 7)]
+    assert not [p for p in new.iterdir() if p.is_dir()]
+    # an archive of former times
+    old = tmp_path / "old"
+    spark.read.schema(ARCHIVE).parquet(str(new)).where("content <> cast('a\n7\n' AS binary)").write.partitionBy("content_hash").parquet(str(old))
+    assert len(held(old)) == 4 and archive_raw(spark, [str(files)], str(old)).count() == 1 and len(held(old)) == 5
