@@ -60,3 +60,8 @@ def test_archive_has_no_folder_for_each_content(spark, tmp_path):
     old = tmp_path / "old"
     spark.read.schema(ARCHIVE).parquet(str(new)).where("content <> cast('a\n7\n' AS binary)").write.partitionBy("content_hash").parquet(str(old))
     assert len(held(old)) == 4 and archive_raw(spark, [str(files)], str(old)).count() == 1 and len(held(old)) == 5
+
+
+def test_a_customer_in_several_files_counts_once(spark, monkeypatch):
+    monkeypatch.setattr(Q, "FILE_ROWS", 700)
+    assert same_rows(spark, "change_counts")
