@@ -65,3 +65,9 @@ def test_archive_has_no_folder_for_each_content(spark, tmp_path):
 def test_a_customer_in_several_files_counts_once(spark, monkeypatch):
     monkeypatch.setattr(Q, "FILE_ROWS", 700)
     assert same_rows(spark, "change_counts")
+
+
+def test_files_are_bounded_by_cells(spark, tmp_path):
+    Q._csv_files(spark.range(10_000).select("id", *((Q.F.col("id") + i).alias(f"c{i}") for i in range(1, 2000))), str(tmp_path / "in"), "id")
+    files = list((tmp_path / "in").glob("part-*"))
+    assert len(files) >= 5 and all(sum(1 for _ in p.open()) <= 2001 for p in files)
