@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from listwell import queries as Q
+from listwell.operators.mapping import apply_mapping, parse_mapping
 from listwell.sources.manifest import ARCHIVE, archive_raw, file_manifest
 
 SF = "/root/testdata/sf0.01"
@@ -71,3 +72,10 @@ def test_files_are_bounded_by_cells(spark, tmp_path):
     Q._csv_files(spark.range(10_000).select("id", *((Q.F.col("id") + i).alias(f"c{i}") for i in range(1, 2000))), str(tmp_path / "in"), "id")
     files = list((tmp_path / "in").glob("part-*"))
     assert len(files) >= 5 and all(sum(1 for _ in p.open()) <= 2001 for p in files)
+
+
+def test_a_mapping_works_out_each_value_once(spark):
+    bronze = spark.range(10).selectExpr("id AS o_orderkey", "id * 1.5D AS o_totalprice", "'F' AS o_orderstatus", "id AS area", "'r' AS _run_id", "'h' AS _content_hash", "timestamp_ntz'2024-01-01' AS _ingested_at", "id AS _row_ordinal")
+    mapped = apply_mapping(bronze, parse_mapping(Q._PRICES), "s", run_id="r", now=Q.F.lit("2024-01-01").cast("timestamp_ntz"))
+    plan = mapped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(38,10)") <= 4
