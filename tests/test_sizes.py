@@ -79,3 +79,13 @@ def test_a_mapping_works_out_each_value_once(spark):
     mapped = apply_mapping(bronze, parse_mapping(Q._PRICES), "s", run_id="r", now=Q.F.lit("2024-01-01").cast("timestamp_ntz"))
     plan = mapped._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(38,10)") <= 4
+
+
+@pytest.mark.parametrize(("name", "least"), [("replayed_files", 15), ("quarantined_rows", 15)])
+def test_files_follow_the_rows(spark, monkeypatch, name, least):
+    """A table's files are written, and read, by as many tasks as its rows ask for."""
+    seen = []
+    ingest = Q.Lake.ingest
+    monkeypatch.setattr(Q, "TASK_ROWS", 1000)
+    monkeypatch.setattr(Q.Lake, "ingest", lambda self, *a, **b: seen.append(ingest(self, *a, **b)) or seen[-1])
+    assert same_rows(spark, name) and all(len(s) >= least for s in seen)
