@@ -81,7 +81,7 @@ def test_a_mapping_works_out_each_value_once(spark):
     assert plan.count("(38,10)") <= 4
 
 
-@pytest.mark.parametrize(("name", "least"), [("replayed_files", 15), ("quarantined_rows", 15)])
+@pytest.mark.parametrize(("name", "least"), [("replayed_files", 15), ("quarantined_rows", 15), ("listing_flow", 8)])
 def test_files_follow_the_rows(spark, monkeypatch, name, least):
     """A table's files are written, and read, by as many tasks as its rows ask for."""
     seen = []
