@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from listwell import queries as Q
+from listwell.operators import export
 from listwell.operators.mapping import apply_mapping, parse_mapping
 from listwell.sources.manifest import ARCHIVE, archive_raw, file_manifest
 
@@ -89,3 +90,20 @@ def test_files_follow_the_rows(spark, monkeypatch, name, least):
     monkeypatch.setattr(Q, "TASK_ROWS", 1000)
     monkeypatch.setattr(Q.Lake, "ingest", lambda self, *a, **b: seen.append(ingest(self, *a, **b)) or seen[-1])
     assert same_rows(spark, name) and all(len(s) >= least for s in seen)
+
+
+def test_documents_are_in_one_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: str(tmp_path / name))
+    assert same_rows(spark, "json_documents")
+    found = list((tmp_path / "documents" / "in").glob("*.json"))
+    assert len(found) >= 10 and all(p.read_bytes().startswith(b"[\n{") and p.read_bytes().count(b"\n") <= 1002 for p in found)
+
+
+def test_only_partitions_that_are_there_are_dropped(spark, tmp_path, monkeypatch):
+    (tmp_path / "k=1").mkdir()
+    (tmp_path / "k=x").mkdir()
+    dropped, delete = [], export.delete_folder
+    monkeypatch.setattr(export, "delete_folder", lambda spark, path: dropped.append(path) or delete(spark, path))
+    export.clear_partitions(spark, str(tmp_path), "k", [str(i) for i in range(1000)])
+    export.clear_partitions(spark, str(tmp_path / "none"), "k", ["1"])
+    assert len(dropped) == 1 and [p.name for p in tmp_path.iterdir()] == ["k=x"]
